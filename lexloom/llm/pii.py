@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import documents, text_of
+from lexloom.llm.shared import documents, scratch, text_of, written
 from lexloom.llm.spans import digits, find, joined, luhn, ranked
 
 KINDS = ("email", "ip", "card", "phone")
@@ -26,19 +26,19 @@ KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns of the contract, in forms that neither backtrack over long runs nor recurse: an address can only start
 # where the last match ended or a run of its characters starts; only runs of 14 to 19 digits can be cards.
 LOCAL = "A-Za-z0-9._%+-"
-EMAIL = f"(?:\\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++"
-IP = "(?:\\G|(?<![0-9]))[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++"
-CARD = "(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])"
+EMAIL = f"(?:(?<![{LOCAL}])|\\G)[{LOCAL}]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++"
+IP = "[0-9](?<![0-9]{2})[0-9]*+\\.[0-9]++\\.[0-9]++\\.[0-9]++"
+CARD = "[0-9](?<![0-9]{2})(?<![0-9][ -][0-9])(?:[ -]?[0-9]){13,18}(?![ -]?[0-9])"
 PHONE = "\\+[0-9][ ().0-9-]+[0-9]"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 #: Further candidates by kind, with the labeler that knows their strict form.
 MORE = {
     "email_like": ("(?i)[a-z0-9._%+-]{1,64} ?(?:\\[at\\]|\\(at\\)) ?[a-z0-9-]{1,64}(?: ?(?:\\.|\\[dot\\]|\\(dot\\)) ?[a-z0-9-]{1,64}){1,5}", "(?i).*(?:at\\]|at\\)) ?[a-z0-9-]+ ?(?:\\[dot\\]|\\(dot\\)|\\.) ?[a-z]{2,}"),
-    "phone_like": ("(?<![0-9+.-])\\(?[0-9]{3}\\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])", "\\([2-9][0-9]{2}\\) [2-9][0-9]{2}-[0-9]{4}|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}"),
-    "id_like": ("(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"),
-    "account_like": ("(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", "(?:DE|FR|ES|GB|IT|NL|BE|AT|CH|PT|IE|PL)[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}.*"),
-    "name_like": ("(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?", "(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]+ [A-Z][a-z]+"),
+    "phone_like": ("(?:\\([0-9]|[0-9])(?<![0-9+.-]\\(?[0-9])[0-9]{2}\\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])", "\\([2-9][0-9]{2}\\) [2-9][0-9]{2}-[0-9]{4}|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}"),
+    "id_like": ("[0-9](?<![0-9-][0-9])[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])", "(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"),
+    "account_like": ("[A-Z]{2}[0-9]{2}(?<![A-Z0-9][A-Z0-9]{4})(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", "(?:DE|FR|ES|GB|IT|NL|BE|AT|CH|PT|IE|PL)[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}.*"),
+    "name_like": ("\\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?", "(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]+ [A-Z][a-z]+"),
 }
 #: Gazetteer: mail providers and top-level names, dialling prefixes, bank countries, given names.
 GAZETTEER = "(?i)(?:gmail|yahoo|hotmail|outlook|proton|example)|\\.(?:com|org|net|edu|de|fr|es)$|^\\(?(?:212|310|312|415|499|617|646|718|800|888)|^(?:DE|FR|ES|GB|IT|NL)[0-9]|\\b(?:Anna|Carlos|David|Emma|Hans|James|Jean|John|Laura|Luis|Maria|Marie|Mary|Michael|Paul|Peter|Robert|Sarah|Thomas)\\b"
@@ -59,7 +59,8 @@ def base_spans(text: Column) -> dict[str, Column]:
         "phone": lambda s: F.length(digits(s["value"])).between(10, 15),
     }
     patterns = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True))
-    return {k: F.filter(find(text, patterns[k]), ok[k]) for k in KINDS}
+    needs = {"email": text.contains("@"), "phone": text.contains("+")}
+    return {k: F.filter(find(text, patterns[k], needs.get(k)), ok[k]) for k in KINDS}
 
 
 def _voted(text: Column, spans: Column, strict: str | None) -> Column:
@@ -68,7 +69,7 @@ def _voted(text: Column, spans: Column, strict: str | None) -> Column:
         before = F.substring(text, F.greatest(s["start"] - 31, F.lit(1)), F.least(s["start"], F.lit(32)))
         n_digits = F.length(digits(s["value"]))
         return F.struct(
-            s["start"], F.lit(0).alias("rank"), s["end"], s["kind"],
+            s["start"], s["rank"], s["end"], s["kind"],
             (F.lit(1) if strict is None else F.when(s["value"].rlike(f"^(?:{strict})$"), 1).otherwise(-1)).alias("strict"),
             F.when(s["value"].rlike(GAZETTEER), 1).otherwise(0).alias("gazetteer"),
             F.when(before.rlike(AGAINST), -1).when(before.rlike(CONTEXT), 1).otherwise(0).alias("context"),
@@ -87,7 +88,7 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = docs.withColumns({f"_f_{k}": v for k, v in found.items()})
     out = out.withColumns({f"_n_{k}": F.size(f"_f_{k}").cast("long") for k in KINDS})
     out = out.withColumn("_base", F.array_sort(F.concat(*(ranked(F.col(f"_f_{k}"), r, k) for r, k in enumerate(KINDS)))))
-    more = [_voted(text, ranked(find(text, p), len(KINDS) + r, k), strict) for r, (k, (p, strict)) in enumerate(MORE.items())]
+    more = [_voted(text, ranked(find(text, p, text.rlike("(?i)[\\[(]at[\\])]") if k == "email_like" else None), len(KINDS) + r, k), strict) for r, (k, (p, strict)) in enumerate(MORE.items())]
     return out.withColumn("_seen", _voted(text, F.col("_base"), None)).withColumn("_more", F.concat(*more)).drop(*(f"_f_{k}" for k in KINDS))
 
 
@@ -135,13 +136,13 @@ def score(span: Column, model: dict[str, dict[int, float]]) -> Column:
 
 
 def find_private(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with _n_<kind>, _base and _spans: arrays of (start, rank, end, kind, value), code points, end exclusive."""
-    cand = candidates(docs, text_col)
+    """docs without their text, with _n_<kind>, _base and _spans: arrays of (start, rank, end, kind, value), code points,
+    end exclusive.  The texts are scanned once; what was found is written to the shared folder and read twice."""
+    cand = written(candidates(docs, text_col).drop(text_col), f"{scratch(docs.sparkSession, 'pii')}/found")
     votes = cand.select(F.explode(F.concat("_seen", "_more")).alias("s")).select(*(F.col(f"s.{f}").alias(f) for f in (*VOTES, *SHAPE)))
     model = fit(votes.groupBy(*VOTES, *SHAPE).agg(F.count("*").alias("n")).collect())  # at most 3^3 * 5 * 5 * 4 rows
     extra = F.filter("_more", lambda s: (score(s, model) > 0) & ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    rank = F.lit(0)
-    plain = F.transform(extra, lambda s: F.struct(s["start"].alias("start"), (rank + len(KINDS)).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"), F.lit(None).cast("string").alias("value")))
+    plain = F.transform(extra, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"], F.lit(None).cast("string").alias("value")))
     return cand.withColumn("_spans", F.array_sort(F.concat("_base", plain))).drop("_seen", "_more")
 
 

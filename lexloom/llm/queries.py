@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL, where SQL can express them."""
 
-from lexloom.llm import lines, pii, secrets
+from lexloom.llm import embeddings, imatch, langid, lines, packing, pii, secrets, tokens, warc
 
-_MODULES = (lines, pii, secrets)
+_MODULES = (lines, pii, tokens, imatch, warc, secrets, langid, packing, embeddings)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in getattr(m, "SQL", {}).items()}

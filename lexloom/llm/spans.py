@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def find(text: Column, pattern: str) -> Column:
+def find(text: Column, pattern: str, needs: Column | None = None) -> Column:
     """Leftmost non-overlapping matches of a Java pattern with their code points [start, end).
 
     split() with no limit gives the text between the matches that regexp_extract_all() gives, so the positions are running
     sums of both lengths.  Patterns must not match the empty string, and should be selective: the array is built by
-    appending.
+    appending.  needs, a cheap test of the text, spares texts that can hold no match the search.
     """
     hits, none = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array().cast(SPAN)
     zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
@@ -24,7 +24,8 @@ def find(text: Column, pattern: str) -> Column:
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
 
     pairs = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("value")))
-    return F.when(F.size(hits) == 0, none).otherwise(F.aggregate(pairs, zero, step, lambda acc: acc["out"]))
+    nothing = F.size(hits) == 0
+    return F.when(nothing if needs is None else F.when(needs, nothing).otherwise(True), none).otherwise(F.aggregate(pairs, zero, step, lambda acc: acc["out"]))
 
 
 def digits(value: Column) -> Column:
