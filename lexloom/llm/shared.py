@@ -60,6 +60,14 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of finished stages now; it follows the driver's garbage collection."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else as it is.  lower() does the same, faster, unless other capitals could change."""
     other = c.rlike("[^\\x00-\\x{24F}]|[\\x{80}-\\x{24F}&&[\\p{javaUpperCase}\\p{Lt}]]")
