@@ -1,4 +1,7 @@
 """Registered queries and their SQL counterparts."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from lexloom.plans import loading, quality, retrieval
+
+_GROUPS = (loading.R, quality.R, retrieval.R)
+QUERIES = {k: v for r in _GROUPS for k, v in r.queries.items()}
+SQL = {k: v for r in _GROUPS for k, v in r.sql.items()}
