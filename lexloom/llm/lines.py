@@ -84,8 +84,8 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, id_col: str = "doc_id", tex
     Only (row, line number, hash) moves to find the hits; a row's dropped line numbers come back as one array.
     """
     base = docs.drop(*RESULT).withColumn("_mark", row_mark(id_col, text_col))
-    lines = base.select(F.col(id_col).alias("_id"), "_mark", F.posexplode(lines_of(text_of(text_col))).alias("_at", "_line"))
-    lines = lines.select("_id", "_mark", "_at", line_key(F.col("_line")).alias("_line")).filter(F.char_length("_line") >= min_chars)
+    lines = base.select(F.col(id_col).alias("_id"), "_mark", F.posexplode(F.transform(lines_of(text_of(text_col)), line_key)).alias("_at", "_line"))
+    lines = lines.filter(F.char_length("_line") >= min_chars)
     hits = lines.select("_id", "_mark", "_at", F.unhex(F.md5(F.col("_line").cast("binary"))).alias("key")).join(frequent, "key", "left_semi")
     gone = hits.groupBy("_id", "_mark").agg(F.array_sort(F.collect_set("_at")).alias("_gone")).withColumnRenamed("_mark", "_hit")
     both = base.join(gone, (base["_mark"] == gone["_hit"]) & base[id_col].eqNullSafe(gone["_id"]), "left")
