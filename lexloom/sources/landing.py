@@ -66,9 +66,19 @@ MANIFEST = "manifest_version int, load_id string, connector string, fetched_at s
 
 
 def pending(spark: SparkSession, root: str, connector: str, mark: str | None) -> DataFrame:
-    """Manifests after the mark, with their folder, oldest first."""
-    df = spark.read.schema(MANIFEST).option("multiLine", True).json(f"{root}/incoming/{connector}/*/*/_manifest.json")
-    df = df.withColumn("folder", F.regexp_replace(F.col("_metadata.file_path"), "/_manifest.json$", ""))
+    """Manifests after the mark, with their folder, oldest first.
+
+    Spark's readers pass over names that start with an underscore, so the driver reads these control files, one small
+    file a batch, by Hadoop's file system.
+    """
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/incoming/{connector}/*/*/_manifest.json")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = []
+    for status in fs.globStatus(p) or []:
+        stream = fs.open(status.getPath())
+        rows.append((str(status.getPath().getParent()), bytes(stream.readAllBytes()).decode()))
+        stream.close()
+    df = spark.createDataFrame(rows, "folder string, body string").select("folder", F.from_json("body", MANIFEST).alias("m")).select("folder", "m.*")
     return (df.filter(F.col("fetched_at") > mark) if mark else df).orderBy("fetched_at")
 
 
