@@ -160,13 +160,13 @@ class Encoder:
         mid = len(run) // 2
         return self.join(lambda a, b: run[a - at : b - at], self._half(run[:mid], at), self._half(run[mid:], at + mid), at, at + mid, at + len(run))
 
-    def atoms(self, text: str, at: int = 0) -> list[Atom]:
-        """The atoms of a text that starts at code point ``at``."""
+    def atoms(self, text: str, at: int = 0, halve: bool = True) -> list[Atom]:
+        """The atoms of a text that starts at code point ``at``; without halve, long runs are encoded in one go."""
         runs = [(m.start(), m.group()) for m in RUN.finditer(text)]
         self.learn({r.encode() for _, r in runs if len(r) <= LONG_RUN})
         out: list[Atom] = []
         for start, r in runs:
-            out += [(at + start, at + start + len(r), unpack(self.young[r.encode()]))] if len(r) <= LONG_RUN else self._run(r, at + start)
+            out += [(at + start, at + start + len(r), unpack(self.young[r.encode()]))] if len(r) <= LONG_RUN else (self._run if halve else self._tokens)(r, at + start)
         return out
 
     def join(self, text: Callable[[int, int], str], left: list[Atom], right: list[Atom], first: int, cut: int, last: int) -> list[Atom]:
@@ -184,9 +184,9 @@ class Encoder:
             window = text(begin, end)
             # inside a long run the atoms are tokens; elsewhere they are whole runs
             whole = begin == first and end == last
-            got = self.atoms(window, begin) if whole or not self._inside(text, begin, end, first, last) else self._tokens(window, begin)
-            if whole:
-                return got
+            if whole:  # nothing agreed, as in long repeats of one letter
+                return self.atoms(window, begin, halve=False)
+            got = self._tokens(window, begin) if self._inside(text, begin, end, first, last) else self.atoms(window, begin)
             same_left = begin == first or (got and a < len(left) and got[0] == left[a])
             if same_left:
                 for k in range(len(got) - 1):  # the last atom may be cut by the window's end

@@ -1,0 +1,202 @@
+"""BPE, near-duplicate joins, fingerprints, WARC, language ID, packing and the pipeline against plain Python."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from lexloom.llm import bpe, embeddings, imatch, jaccard, langid, packing, tokens, warc
+from tests.llm import brute
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n int, cls string, g int, key string, label int"
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.default_path())
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+@pytest.fixture(scope="module")
+def folder(spark, sf, tmp_path_factory):
+    """The test documents, odd ones, near copies, a very long one, repeated rows, and columns with clashing names."""
+    d = str(tmp_path_factory.mktemp("in"))
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(400)]
+    base = [rng.choice(words) for _ in range(80)]
+    copies = [" ".join(w if rng.random() > 0.03 else rng.choice(words) for w in base) for _ in range(30)]
+    long = " ".join(rng.choice(words) for _ in range(20_000)) + "x" * 40_000
+    texts = [*brute.ODD, *copies, copies[0], long]
+    rows = [(10**6 + k, t, "en", f"s{k % 4}", 0, 1, "c", 2, "k", 3) for k, t in enumerate(texts)]
+    odd = spark.createDataFrame(rows, SCHEMA)
+    real = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "lang", "source", "n_chars", "1 n", "'c' cls", "2 g", "'k' key", "3 label")
+    real.unionByName(odd).write.parquet(f"{d}/documents.parquet")
+    return d
+
+
+@pytest.fixture(scope="module")
+def texts(spark, folder):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+
+
+def test_encoding_equals_the_library(spark, folder, texts, library):
+    got = tokens.op3_bpe(spark, folder).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), brute.sha(" ".join(map(str, ids)))), texts[r.doc_id][:80]
+        assert r.decoded_sha256 == brute.sha(library.decode(ids, skip_special_tokens=False))
+
+
+def test_tree_concatenation_is_exact_for_any_leaf(library):
+    enc, rng = bpe.Encoder(tokens.default_path()), random.Random(3)
+    for k in range(120):
+        letters = "abthe'séÉ!?1 \n<|>İ́ß日本Σ" if k % 2 else "abthe'é"
+        x = "".join(rng.choice(letters) for _ in range(rng.choice([1, 40, 5000])))
+        leaf = rng.choice([3, 90, 1500])
+        parts = [enc.atoms(x[i : i + leaf], i) for i in range(0, len(x), leaf)]
+        assert [i for _, _, ids in bpe.tree(enc, x, parts, leaf) for i in ids] == library.encode(x, add_special_tokens=False).ids, x[:60]
+
+
+def test_packing_holds_every_id_once(spark, folder, texts, library):
+    seqs, docs = defaultdict(list), defaultdict(list)
+    for r in packing.op9_packing(spark, folder).collect():
+        ids = np.array([*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 1], "<u4")
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+        seqs[r.sequence_id].append((r.offset, r.length))
+        docs[r.doc_id].append((r.start, r.length))
+    for pieces in (*seqs.values(), *docs.values()):
+        at = 0
+        for a, n in sorted(pieces):
+            assert a == at and n > 0
+            at += n
+    sizes = [sum(n for _, n in s) for s in seqs.values()]
+    assert max(sizes) <= 2048 and set(docs) == set(texts)
+    assert sum(2048 - s for s in sizes) < 2048 * (1 + len(texts) // packing.GROUP) + 1
+
+
+def test_balanced_costs():
+    rng = random.Random(1)
+    sizes = sorted((rng.randint(1, 2047) for _ in range(300)), reverse=True)
+    spent = defaultdict(float)
+    for pieces in packing.place(sizes):
+        for _, n, k, _ in pieces:
+            spent[k] += packing.cost(n)
+    full = sorted(spent.values())[1:]
+    assert max(full) < 2.5 * min(full)
+
+
+def components(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_jaccard_join_loses_no_link(spark, folder, texts):
+    sets = {}
+    for k, t in texts.items():
+        w = [x for x in brute.re.split(r"[\x20\x09-\x0D]+", brute.lower(t)) if x]
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    ids = sorted(sets)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    want = components(ids, links)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.op4_ngram_jaccard_join(spark, folder).collect()}
+    assert got == {k: (len(sets[k]), want[k]) for k in ids}
+
+
+def test_embeddings_equal_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=(12, 16))
+    rows = [(k, [float(x) for x in base[k % 12] + rng.normal(size=16) * (0.02 + 0.25 * (k % 5))], k % 3 if k % 7 else None) for k in range(300)]
+    rows += [(300, None, 1), (301, [0.0] * 16, 1), (302, [float("nan")] * 16, 1), (303, rows[1][1], 1), (304, rows[1][1], 1), (305, [], 1), (306, [1.0, None], 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    fine = [(k, np.array(v) / np.linalg.norm(v), lab) for k, v, lab in rows if lab is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
+    links = [(a[0], b[0]) for i, a in enumerate(fine) for b in fine[i + 1 :] if a[2] == b[2] and a[1] @ b[1] >= 0.93]
+    n, comp = defaultdict(int), components([r[0] for r in rows], links)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.op10_embedding_near_dedup(spark, str(tmp_path)).collect()}
+    assert got == {k: (n[k], comp[k], comp[k] == k) for k, _, _ in rows}
+
+
+def test_fingerprints(spark, folder, texts):
+    got = {r.doc_id: r for r in imatch.op5_fingerprints(spark, folder).collect()}
+    ids, prints = sorted(texts), defaultdict(set)
+    for i, k in enumerate(ids):
+        t, follow = texts[k], texts[ids[(i + 1) % len(ids)]]
+        q = len(t) // 4
+        assert (got[k].n_chars, got[k].edited_sha256) == (len(t), brute.sha(t[: len(t) - q] + follow[:q]))
+        assert 0 <= got[k].near_edited <= 1 and 0 <= got[k].near_next <= 1
+        prints[t].add(got[k].fingerprint)
+    assert all(len(p) == 1 for p in prints.values())
+    real = [got[k] for k in ids if k < 10**6]
+    assert sum(r.near_edited for r in real) > 5 * sum(r.near_next for r in real)
+
+
+def test_archives_round_trip(spark, tmp_path):
+    body = "é" * 60
+    rows = [(3, "http://a/\r\nx", body), (1, "http://b", body + "\r\n\r\nWARC/1.1\r\n"), (2, None, body), (5, "u", None), (4, "u", "short"), (6, "u", "short"), (7, "u", body), (None, "u", body)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in warc.op6_warc(spark, str(tmp_path)).collect()}
+    assert {k: (r.record_type, r.refers_to) for k, r in got.items()} == {1: ("response", None), 2: ("response", None), 3: ("revisit", 2), 4: ("response", None), 5: ("response", None), 6: ("response", None), 7: ("revisit", 2), None: ("revisit", 2)}
+    for k, _, html in rows:
+        assert (got[k].payload_bytes, got[k].payload_digest) == (len((html or "").encode()), brute.sha(html or ""))
+
+
+def test_language_of_held_out_and_mixed_texts(spark, folder, sf):
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = [r for r in langid.op8_language_id(spark, folder).collect() if r.doc_id < 10**6]
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+    model = langid.train(spark.createDataFrame([("the cat and the dog with this hat " * 9, "en"), ("le chat et la maison avec les chiens " * 9, "fr")], "text string, lang string"))
+    text = "the cat and the dog with this hat " * 3 + "le chat et la maison avec les chiens " * 3
+    assert [s[2] for s in model.spans(text)] == ["en", "fr"]
+    assert model.predict([None, "", "12 !?", "the dog"])[:3] == [("und", 0.0)] * 3
+
+
+def test_viterbi_shortcut_equals_full_decoding():
+    rng = np.random.default_rng(2)
+    model = langid.Model(["a", "b", "c"], np.ones((3, langid.BUCKETS)), np.ones((3, len(langid.SCRIPTS))))
+    for _ in range(50):
+        s = rng.normal(size=(rng.integers(1, 30), 3)) * 6
+        best = int(s.sum(0).argmax())
+        gain = np.cumsum(s - s[:, best : best + 1], axis=0)
+        low = np.minimum.accumulate(np.vstack((np.zeros((1, 3)), gain[:-1])), axis=0)
+        if (gain - low).max() <= model.penalty:
+            assert set(langid.viterbi(s, model.penalty)) == {best}
+
+
+def test_pipeline_keeps_clean_documents(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    kept = corpus_pipeline.language_id(spark, docs, folder)
+    assert kept.columns == docs.columns and {r.doc_id for r in docs.filter("text rlike '\\\\p{L}'").collect()} == {r.doc_id for r in kept.collect()}
+    near = corpus_pipeline.near_dedup(spark, docs, folder)
+    groups = {r.doc_id: r.component_id for r in jaccard.near_groups(docs).collect()}
+    assert sorted(r.doc_id for r in near.collect()) == sorted(k for k, c in groups.items() if k == c)
+    assert corpus_pipeline.secret_scan(spark, docs, folder).count() == docs.count()
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], brute.DOCS)
+    assert jaccard.near_groups(none).count() == 0
+    assert packing.pack_documents(none).count() == 0
+    assert langid.identify(none, langid.train(none)).count() == 0
+    assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
