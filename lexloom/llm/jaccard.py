@@ -6,7 +6,8 @@ A document is its set of distinct word shingles; equal sets are one *class*.  Th
    shingles with the lowest hashes (at least as many as the prefix filter needs), as 32-bit tokens.
 2. Classes that share a minimum are checked against the bucket's least class; what links forms the *groups* of similar
    documents.  A group of thousands of near copies needs one check for each copy and minimum.
-3. The token-group matrix holds the tokens that occur more than once, per group (the union over its members).  A class
+3. The token-group matrix holds the tokens that occur more than once, per group (the union over its members), for the
+   classes of which enough tokens do; the others can link with nothing.  A class
    opens only groups of which it meets a token by its prefix: two sets of Jaccard similarity t share a token among the
    n - ceil(t n) + 1 first of either, in any common order of tokens, and here frequent tokens come last.  The overlap of
    the class with the group's union bounds its overlap with every member; groups below ceil(t n) stay closed.
@@ -54,27 +55,28 @@ def needed(n: int, threshold: int = THRESHOLD) -> int:
 
 
 def _sketch(words: int, threshold: int):
-    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("mins", pa.list_(pa.int64())), ("toks", pa.list_(pa.int32()))])
+    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("mins", pa.list_(pa.int64())), ("toks", pa.list_(pa.int32())), ("inside", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as hash64
 
         mixes, limit = np.array(MIXES, np.uint64), np.uint64(int(REGION * 2**32) << 32)
         for batch in batches:
-            n, cls, mins, toks = [], [], [], []
+            n, cls, mins, toks, inside = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingles(text, words)
                 if not s:
-                    n.append(0), cls.append(None), mins.append(None), toks.append(None)
+                    n.append(0), cls.append(None), mins.append(None), toks.append(None), inside.append(0)
                     continue
                 h = np.unique(np.fromiter(map(hash64, s), np.uint64, len(s)))
                 size = len(set(s)) if len(h) != len(s) else len(h)
                 n.append(size)
                 cls.append(hash64(h.tobytes()) - 2**63)
                 mins.append((h[:, None] * mixes).min(0).view(np.int64))
-                keep = max(int(np.searchsorted(h, limit)), size - needed(size, threshold) + 1)
+                inside.append(int(np.searchsorted(h, limit)))
+                keep = max(inside[-1], size - needed(size, threshold) + 1)
                 toks.append((h[:keep] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mins, pa.list_(pa.int64())), pa.array(toks, pa.list_(pa.int32()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mins, pa.list_(pa.int64())), pa.array(toks, pa.list_(pa.int32())), pa.array(inside, pa.int64())], schema=schema)
 
     return run
 
@@ -102,7 +104,7 @@ class Join:
         self.spark, self.words, self.threshold = docs.sparkSession, words, threshold
         self.base, self.k = scratch(self.spark, "jaccard"), 0
         self.rows = docs.select(F.col(id_col).cast("long").alias("_id"), row_mark(id_col, text_col).alias("_mark"), text_of(text_col).alias("_text"))
-        self.sketch = self.keep(self.rows.mapInArrow(_sketch(words, threshold), "_id long, _mark long, n long, cls long, mins array<long>, toks array<int>"), "sketch")
+        self.sketch = self.keep(self.rows.mapInArrow(_sketch(words, threshold), "_id long, _mark long, n long, cls long, mins array<long>, toks array<int>, inside long"), "sketch")
         best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_mark")).alias("rep")
         self.classes = self.keep(self.sketch.filter("cls is not null").groupBy("cls").agg(best, F.first("n").alias("n"), F.first("mins").alias("mins"), F.count("*").alias("rows")), "classes")
 
@@ -130,19 +132,27 @@ class Join:
 
     def matrix(self) -> DataFrame:
         """(cls, n, m, line): tokens that occur in more than one row, by class, as (rank, token, frequent) in rank order."""
-        each = self.sketch.filter("cls is not null").select("cls", "n", F.size("toks").alias("m"), F.posexplode("toks").alias("r", "tok"))
+        each = self.sketch.filter("cls is not null").select("cls", "n", "inside", F.size("toks").alias("m"), F.posexplode("toks").alias("r", "tok"))
         shared = self.keep(each.groupBy("tok").agg(F.count("*").alias("c")).filter("c > 1").select("tok", (F.col("c") > FREQUENT).alias("hot")), "tokens")
-        line = each.join(shared, "tok").groupBy("cls").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.array_sort(F.collect_set(F.struct("r", "tok", "hot"))).alias("line"))
-        return self.keep(line, "matrix")
+        line = each.join(shared, "tok").groupBy("cls").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("inside").alias("inside"), F.array_sort(F.collect_set(F.struct("r", "tok", "hot"))).alias("line"))
+        # a class whose tokens are too few of them shared can't reach the overlap with any set: no group holds it, none opens
+        # (others keep all their tokens of the counted region, so only there it shows that a token isn't shared)
+        shared_inside = F.size(F.filter("line", lambda x: x["r"] < F.col("inside")))
+        return self.keep(line.filter(shared_inside + F.col("n") - F.col("inside") >= F.ceil(F.col("n") * self.threshold / 100)), "matrix")
 
     def prefixes(self, matrix: DataFrame) -> DataFrame:
-        """(cls, n, tok): the tokens of each class's prefix that others have too; frequent tokens come last in the order."""
-        at = matrix.select("cls", "n", "m", F.col("line").alias("all"), F.posexplode("line").alias("i", "x")).select("cls", "n", "m", "i", "x", F.size(F.filter("all", lambda t: t["hot"])).alias("hots"), F.size(F.filter(F.slice("all", F.lit(1), F.col("i") + 0), lambda t: t["hot"])).alias("before"))
+        """(cls, n, tok): the tokens of each class's prefix that others have too; frequent tokens come last in the order.
+
+        A light token's place is its rank less the frequent ones before it, which is how far the filter moved it.
+        """
         size = F.col("n") - F.ceil(F.col("n") * self.threshold / 100).cast("long") + 1
-        light = F.col("m") - F.col("hots")
-        place = F.when(F.col("x.hot"), light + F.col("before")).otherwise(F.col("x.r") - F.col("before"))
+        placed = lambda hot: F.filter(F.transform("line", lambda x, i: F.struct(x["tok"].alias("tok"), x["r"].alias("r"), i.alias("i"), x["hot"].alias("hot"))), lambda x: x["hot"] == hot)
+        light = F.transform(placed(False), lambda x, j: F.struct(x["tok"].alias("tok"), (x["r"] - (x["i"] - j)).alias("place")))
+        hots = F.size(F.filter("line", lambda x: x["hot"]))
+        hot = F.transform(placed(True), lambda x, j: F.struct(x["tok"].alias("tok"), (F.col("m") - hots + j).alias("place")))
+        at = matrix.select("cls", "n", "m", F.explode(F.concat(light, hot)).alias("x"))
         # a row with no more tokens than its prefix holds has kept them in hash order beyond the counted region: all count
-        return at.filter((F.col("m") <= size) | (place < size)).select("cls", "n", F.col("x.tok").alias("tok"))
+        return at.filter((F.col("m") <= size) | (F.col("x.place") < size)).select("cls", "n", F.col("x.tok").alias("tok"))
 
     def opened(self, matrix: DataFrame, groups: DataFrame) -> DataFrame:
         """Step 3: (cls, group) of the groups that a class has to open."""
@@ -154,12 +164,13 @@ class Join:
         t = self.threshold
         near = (F.col("g") != F.col("group")) & (100 * F.col("n") >= t * F.col("least")) & (100 * F.col("most") >= t * F.col("n"))
         met = self.keep(prefix.join(column, "tok").filter(near).select("cls", "n", "group").distinct(), "candidates")
-        # bound the overlap with the group's union; tokens outside the counted ones may all be common
-        line = matrix.join(met.select("cls").distinct(), "cls", "left_semi").select("cls", "m", F.explode("line.tok").alias("tok")).distinct()
-        mine = met.join(line, "cls")
-        union = matrix.select("cls", F.explode("line.tok").alias("tok")).join(named, "cls", "left").select(F.coalesce("g", "cls").alias("group"), "tok").join(met.select("group").distinct(), "group", "left_semi").distinct()
-        overlap = mine.join(union, ["group", "tok"], "left_semi").groupBy("cls", "n", "m", "group").agg(F.count("*").alias("o"))
-        return self.keep(overlap.filter(F.col("o") + F.col("n") - F.col("m") >= F.ceil(F.col("n") * t / 100)).select("cls", "n", "group"), "opened")
+        # bound the overlap with the group's union; tokens outside the counted region may all be common
+        lines = matrix.select("cls", "n", "inside", F.explode_outer(F.filter("line", lambda x: x["r"] < F.col("inside"))).alias("x")).select("cls", "n", "inside", "x.tok")
+        mine = met.join(lines.select("cls", "tok"), "cls")
+        union = lines.select("cls", "tok").join(named, "cls", "left").select(F.coalesce("g", "cls").alias("group"), "tok").join(met.select("group").distinct(), "group", "left_semi").distinct()
+        overlap = mine.join(union, ["group", "tok"], "left_semi").groupBy("cls", "group").agg(F.count("*").alias("o"))
+        bound = met.join(overlap, ["cls", "group"], "left").join(matrix.select("cls", "inside"), "cls")
+        return self.keep(bound.filter(F.coalesce("o", F.lit(0)) + F.col("n") - F.col("inside") >= F.ceil(F.col("n") * t / 100)).select("cls", "n", "group"), "opened")
 
     def rest(self, groups: DataFrame) -> DataFrame:
         """Step 4: links between members of opened groups."""
