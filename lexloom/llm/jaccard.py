@@ -160,9 +160,12 @@ class Join:
         prefix = self.keep(self.prefixes(matrix).join(named, "cls", "left").withColumn("g", F.coalesce("g", "cls")), "prefixes")
         several = prefix.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("tok")
         prefix = self.keep(prefix.join(several, "tok", "left_semi"), "met")
-        column = prefix.groupBy("tok", "g").agg(F.min("n").alias("least"), F.max("n").alias("most")).withColumnRenamed("g", "group")
+        # of two groups the smaller one's classes ask, so the members of a large group never ask its stragglers
+        prefix = self.keep(prefix.join(prefix.groupBy("g").agg(F.count("*").alias("w")), "g"), "weighed")
+        column = prefix.groupBy("tok", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.first("w").alias("weight")).withColumnRenamed("g", "group")
         t = self.threshold
-        near = (F.col("g") != F.col("group")) & (100 * F.col("n") >= t * F.col("least")) & (100 * F.col("most") >= t * F.col("n"))
+        asks = (F.col("w") < F.col("weight")) | ((F.col("w") == F.col("weight")) & (F.col("g") < F.col("group")))
+        near = asks & (100 * F.col("n") >= t * F.col("least")) & (100 * F.col("most") >= t * F.col("n"))
         met = self.keep(prefix.join(column, "tok").filter(near).select("cls", "n", "group").distinct(), "candidates")
         # bound the overlap with the group's union; tokens outside the counted region may all be common
         lines = matrix.select("cls", "n", "inside", F.explode_outer(F.filter("line", lambda x: x["r"] < F.col("inside"))).alias("x")).select("cls", "n", "inside", "x.tok")
