@@ -9,7 +9,8 @@ A document is its set of distinct word shingles; equal sets are one *class*.  Th
 3. The token-group matrix holds the tokens that occur more than once, per group (the union over its members), for the
    classes of which enough tokens do; the others can link with nothing.  A class
    opens only groups of which it meets a token by its prefix: two sets of Jaccard similarity t share a token among the
-   n - ceil(t n) + 1 first of either, in any common order of tokens, and here frequent tokens come last.  The overlap of
+   n - ceil(t n) + 1 first of either, in any common order of tokens, and here frequent tokens come last; the places of the
+   first shared token bound the overlap, which parts documents that share little but a common passage.  The overlap of
    the class with the group's union bounds its overlap with every member; groups below ceil(t n) stay closed.
 4. Members of opened groups are compared by their texts, exactly.  Components of all links found are the result.
 
@@ -141,18 +142,20 @@ class Join:
         return self.keep(line.filter(shared_inside + F.col("n") - F.col("inside") >= F.ceil(F.col("n") * self.threshold / 100)), "matrix")
 
     def prefixes(self, matrix: DataFrame) -> DataFrame:
-        """(cls, n, tok): the tokens of each class's prefix that others have too; frequent tokens come last in the order.
+        """(cls, n, tok, place): the tokens of each class's prefix that others have too, and their places in the order.
 
-        A light token's place is its rank less the frequent ones before it, which is how far the filter moved it.
+        The order: light tokens of the counted region, its frequent ones, all others, each by hash.  A light token's place is
+        its rank less the frequent ones before it, which is how far the filter moved it.
         """
         size = F.col("n") - F.ceil(F.col("n") * self.threshold / 100).cast("long") + 1
-        placed = lambda hot: F.filter(F.transform("line", lambda x, i: F.struct(x["tok"].alias("tok"), x["r"].alias("r"), i.alias("i"), x["hot"].alias("hot"))), lambda x: x["hot"] == hot)
+        counted = lambda x: x["r"] < F.col("inside")
+        placed = lambda hot: F.filter(F.transform(F.filter("line", counted), lambda x, i: F.struct(x["tok"].alias("tok"), x["r"].cast("long").alias("r"), i.alias("i"), x["hot"].alias("hot"))), lambda x: x["hot"] == hot)
         light = F.transform(placed(False), lambda x, j: F.struct(x["tok"].alias("tok"), (x["r"] - (x["i"] - j)).alias("place")))
-        hots = F.size(F.filter("line", lambda x: x["hot"]))
-        hot = F.transform(placed(True), lambda x, j: F.struct(x["tok"].alias("tok"), (F.col("m") - hots + j).alias("place")))
-        at = matrix.select("cls", "n", "m", F.explode(F.concat(light, hot)).alias("x"))
-        # a row with no more tokens than its prefix holds has kept them in hash order beyond the counted region: all count
-        return at.filter((F.col("m") <= size) | (F.col("x.place") < size)).select("cls", "n", F.col("x.tok").alias("tok"))
+        hots = F.size(F.filter("line", lambda x: counted(x) & x["hot"]))
+        hot = F.transform(placed(True), lambda x, j: F.struct(x["tok"].alias("tok"), (F.col("inside") - hots + j).alias("place")))
+        beyond = F.transform(F.filter("line", lambda x: ~counted(x)), lambda x: F.struct(x["tok"].alias("tok"), x["r"].cast("long").alias("place")))
+        at = matrix.select("cls", "n", F.explode(F.concat(light, hot, beyond)).alias("x"))
+        return at.filter(F.col("x.place") < size).select("cls", "n", "x.tok", "x.place")
 
     def opened(self, matrix: DataFrame, groups: DataFrame) -> DataFrame:
         """Step 3: (cls, group) of the groups that a class has to open."""
@@ -162,10 +165,13 @@ class Join:
         prefix = self.keep(prefix.join(several, "tok", "left_semi"), "met")
         # of two groups the smaller one's classes ask, so the members of a large group never ask its stragglers
         prefix = self.keep(prefix.join(prefix.groupBy("g").agg(F.count("*").alias("w")), "g"), "weighed")
-        column = prefix.groupBy("tok", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.first("w").alias("weight")).withColumnRenamed("g", "group")
+        # all that two sets share comes at their first common token or later, so their places there bound the overlap: with
+        # c of n and d of m tokens before it, it is at most n - c and m - d, and a link takes t (n + m) / (100 + t)
         t = self.threshold
+        reach = 100 * F.col("n") - (100 + t) * F.col("place")
+        column = prefix.groupBy("tok", "g").agg(F.min("n").alias("least"), F.max(reach).alias("reach"), F.first("w").alias("weight")).withColumnRenamed("g", "group")
         asks = (F.col("w") < F.col("weight")) | ((F.col("w") == F.col("weight")) & (F.col("g") < F.col("group")))
-        near = asks & (100 * F.col("n") >= t * F.col("least")) & (100 * F.col("most") >= t * F.col("n"))
+        near = asks & (100 * F.col("n") - (100 + t) * F.col("place") >= t * F.col("least")) & (F.col("reach") >= t * F.col("n"))
         met = self.keep(prefix.join(column, "tok").filter(near).select("cls", "n", "group").distinct(), "candidates")
         # bound the overlap with the group's union; tokens outside the counted region may all be common
         lines = matrix.select("cls", "n", "inside", F.explode_outer(F.filter("line", lambda x: x["r"] < F.col("inside"))).alias("x")).select("cls", "n", "inside", "x.tok")
