@@ -4,8 +4,8 @@ A document is its set of distinct word shingles; equal sets are one *class*.  Th
 
 1. Every row is sketched: set size, class (a 64-bit hash of the set), four minima of permuted shingle hashes, and its
    shingles with the lowest hashes (at least as many as the prefix filter needs), as 32-bit tokens.
-2. Classes that share a minimum are checked against the bucket's least class; what links forms the *groups* of similar
-   documents.  A group of thousands of near copies needs one check for each copy and minimum.
+2. Classes that share a minimum are checked against a few leads of the bucket; what links forms the *groups* of similar
+   documents.  A group of thousands of near copies needs a few checks for each copy and minimum.
 3. The token-group matrix holds the tokens that occur more than once, per group (the union over its members), for the
    classes of which enough tokens do; the others can link with nothing.  A class
    opens only groups of which it meets a token by its prefix: two sets of Jaccard similarity t share a token among the
@@ -35,6 +35,9 @@ from lexloom.llm.shared import components, documents, release, row_mark, scratch
 WORDS, THRESHOLD = 5, 75
 #: Share of the hash space whose tokens are counted, and the count beyond which a token is frequent.
 REGION, FREQUENT = 0.4, 32
+#: Classes of a bucket that its others are checked against in step 2; members of a group may be no nearer to each other than
+#: the threshold, so one lead would leave many out.
+LEADS = 8
 #: Odd multipliers of the permutations of step 2.
 MIXES = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -126,10 +129,12 @@ class Join:
         return self.keep(both.select("a", "b", "ta", "tb").mapInArrow(_linked(self.words, self.threshold), "a long, b long"), f"{name}-links")
 
     def stars(self) -> DataFrame:
-        """Step 2: classes of a bucket against its least class."""
+        """Step 2: classes of a bucket against its leads, the least classes in LEADS random orders."""
         each = self.classes.select("cls", F.posexplode("mins").alias("k", "m"))
-        lead = each.groupBy("k", "m").agg(F.min("cls").alias("lead"), F.count("*").alias("c")).filter("c > 1").select("k", "m", "lead")
-        return self.linked(each.join(lead, ["k", "m"]).filter("cls <> lead").select(F.col("cls").alias("a"), F.col("lead").alias("b")), "stars")
+        leads = F.array_distinct(F.array(*(F.min_by("cls", F.xxhash64("cls", F.lit(i))) for i in range(LEADS))))
+        lead = each.groupBy("k", "m").agg(leads.alias("leads"), F.count("*").alias("c")).filter("c > 1").select("k", "m", "leads")
+        pairs = each.join(lead, ["k", "m"]).select(F.col("cls").alias("a"), F.explode("leads").alias("b"))
+        return self.linked(pairs.filter("a <> b"), "stars")
 
     def matrix(self) -> DataFrame:
         """(cls, n, m, line): tokens that occur in more than one row, by class, as (rank, token, frequent) in rank order."""
