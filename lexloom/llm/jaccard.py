@@ -38,6 +38,8 @@ REGION, FREQUENT = 0.4, 32
 #: Classes of a bucket that its others are checked against in step 2; members of a group may be no nearer to each other than
 #: the threshold, so one lead would leave many out.
 LEADS = 8
+#: Shingles of the classes that are compared at once, about, on either side.
+TILE = 1 << 16
 #: Odd multipliers of the permutations of step 2.
 MIXES = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -86,17 +88,28 @@ def _sketch(words: int, threshold: int):
 
 
 def _linked(words: int, threshold: int):
+    """Rows sorted by (lo, hi), the texts of a pair of tiles before its pairs; the sets of one pair of tiles are held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, known = None, set()
+        last, texts, sets = None, {}, {}
+
+        def known(cls: int) -> set[bytes]:
+            if cls not in sets:
+                sets[cls] = set(shingles(texts.pop(cls), words))
+            return sets[cls]
+
         for batch in batches:
-            a, b, keep = batch.column("a").to_pylist(), batch.column("b"), []
-            for x, tx, ty in zip(a, batch.column("ta"), batch.column("tb"), strict=True):
-                if x != last:
-                    last, known = x, set(shingles(tx.as_py(), words))
-                other = set(shingles(ty.as_py(), words))
-                both = len(known & other)
-                keep.append(100 * both >= threshold * (len(known) + len(other) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found = []
+            for lo, hi, a, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (lo, hi) != last:
+                    last, texts, sets = (lo, hi), {}, {}
+                if b is None:
+                    texts[a] = text
+                    continue
+                x, y = known(a), known(b)
+                both = len(x & y)
+                if 100 * both >= threshold * (len(x) + len(y) - both):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -119,14 +132,29 @@ class Join:
         release(self.spark)
         return out
 
-    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Those pairs (a, b) of classes whose texts reach the threshold."""
+    def linked(self, pairs: DataFrame, name: str, groups: DataFrame | None = None) -> DataFrame:
+        """Those pairs (a, b) of classes whose texts reach the threshold.
+
+        Classes are dealt into tiles of about TILE shingles, those of a group or of equal first minimum together, and a text
+        travels once for each pair of tiles that needs it, not once for each pair of classes.
+        """
         pairs = self.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes, "cls").select("cls", F.col("rep._id").alias("_i"), F.col("rep._mark").alias("_m"))
-        texts = wanted.join(self.rows, (F.col("_m") == F.col("_mark")) & F.col("_i").eqNullSafe(F.col("_id"))).groupBy("cls").agg(F.first("_text").alias("t"))
-        texts = self.keep(texts, f"{name}-texts")
-        both = pairs.join(texts.select(F.col("cls").alias("b"), F.col("t").alias("tb")), "b").join(texts.select(F.col("cls").alias("a"), F.col("t").alias("ta")), "a")
-        return self.keep(both.select("a", "b", "ta", "tb").mapInArrow(_linked(self.words, self.threshold), "a long, b long"), f"{name}-links")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes, "cls")
+        wanted = wanted.select("cls", "n", F.col("rep._id").alias("_i"), F.col("rep._mark").alias("_m"), F.get("mins", F.lit(0)).alias("block"))
+        if groups is not None:
+            wanted = wanted.join(groups.select(F.col("node").alias("cls"), F.col("component").alias("g")), "cls", "left").withColumn("block", F.coalesce("g", "block"))
+        texts = wanted.join(self.rows, (F.col("_m") == F.col("_mark")) & F.col("_i").eqNullSafe(F.col("_id")))
+        texts = self.keep(texts.groupBy("cls").agg(F.first("n").alias("n"), F.first("block").alias("block"), F.first("_text").alias("t")), f"{name}-texts")
+        tiles = max(1, (texts.agg(F.sum("n")).first()[0] or 0) // TILE)
+        parts = F.pmod(F.xxhash64("cls"), F.ceil(F.col("load") / TILE))
+        dealt = texts.select("cls", "n", "block").join(texts.groupBy("block").agg(F.sum("n").alias("load")), "block")
+        dealt = self.keep(dealt.select("cls", F.pmod(F.xxhash64("block", parts), F.lit(tiles)).alias("tile")), f"{name}-tiles")
+        at = lambda c: dealt.select(F.col("cls").alias(c), F.col("tile").alias(f"t{c}"))
+        both = self.keep(pairs.join(at("a"), "a").join(at("b"), "b").select(F.least("ta", "tb").alias("lo"), F.greatest("ta", "tb").alias("hi"), "a", "b"), f"{name}-dealt")
+        need = both.select("lo", "hi", F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls", "t"), "cls")
+        rows = both.withColumn("t", F.lit(None).cast("string")).unionByName(need.select("lo", "hi", F.col("cls").alias("a"), F.lit(None).cast("long").alias("b"), "t"))
+        rows = rows.repartition("lo", "hi").sortWithinPartitions("lo", "hi", F.col("b").isNotNull())
+        return self.keep(rows.mapInArrow(_linked(self.words, self.threshold), "a long, b long"), f"{name}-links")
 
     def stars(self) -> DataFrame:
         """Step 2: classes of a bucket against its leads, the least classes in LEADS random orders."""
@@ -178,13 +206,17 @@ class Join:
         asks = (F.col("w") < F.col("weight")) | ((F.col("w") == F.col("weight")) & (F.col("g") < F.col("group")))
         near = asks & (100 * F.col("n") - (100 + t) * F.col("place") >= t * F.col("least")) & (F.col("reach") >= t * F.col("n"))
         met = self.keep(prefix.join(column, "tok").filter(near).select("cls", "n", "group").distinct(), "candidates")
-        # bound the overlap with the group's union; tokens outside the counted region may all be common
+        # bound the overlap with the group's union; tokens outside the counted region may all be common.  The union of a group
+        # of one is its only member, and opening it is the comparison itself
+        several = groups.select(F.col("component").alias("group")).distinct()
+        wide = self.keep(met.join(several, "group", "left_semi"), "wide")
         lines = matrix.select("cls", "n", "inside", F.explode_outer(F.filter("line", lambda x: x["r"] < F.col("inside"))).alias("x")).select("cls", "n", "inside", "x.tok")
-        mine = met.join(lines.select("cls", "tok"), "cls")
-        union = lines.select("cls", "tok").join(named, "cls", "left").select(F.coalesce("g", "cls").alias("group"), "tok").join(met.select("group").distinct(), "group", "left_semi").distinct()
+        mine = wide.join(lines.select("cls", "tok"), "cls")
+        union = lines.select("cls", "tok").join(named, "cls").select(F.col("g").alias("group"), "tok").join(wide.select("group").distinct(), "group", "left_semi").distinct()
         overlap = mine.join(union, ["group", "tok"], "left_semi").groupBy("cls", "group").agg(F.count("*").alias("o"))
-        bound = met.join(overlap, ["cls", "group"], "left").join(matrix.select("cls", "inside"), "cls")
-        return self.keep(bound.filter(F.coalesce("o", F.lit(0)) + F.col("n") - F.col("inside") >= F.ceil(F.col("n") * t / 100)).select("cls", "n", "group"), "opened")
+        bound = wide.join(overlap, ["cls", "group"], "left").join(matrix.select("cls", "inside"), "cls")
+        bound = bound.filter(F.coalesce("o", F.lit(0)) + F.col("n") - F.col("inside") >= F.ceil(F.col("n") * t / 100)).select("cls", "n", "group")
+        return self.keep(bound.unionByName(met.join(several, "group", "left_anti").select("cls", "n", "group")), "opened")
 
     def rest(self, groups: DataFrame) -> DataFrame:
         """Step 4: links between members of opened groups."""
@@ -193,7 +225,7 @@ class Join:
         members = self.classes.select("cls", F.col("n").alias("size")).join(named, "cls", "left").select(F.col("cls").alias("member"), "size", F.coalesce("g", "cls").alias("group"))
         t = self.threshold
         near = (100 * F.col("n") >= t * F.col("size")) & (100 * F.col("size") >= t * F.col("n"))
-        return self.linked(opened.join(members, "group").filter(near).select(F.col("cls").alias("a"), F.col("member").alias("b")), "rest")
+        return self.linked(opened.join(members, "group").filter(near).select(F.col("cls").alias("a"), F.col("member").alias("b")), "rest", groups)
 
     def result(self) -> DataFrame:
         """_id, _mark, n_shingles, component_id of every row."""
