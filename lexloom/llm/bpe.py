@@ -9,7 +9,8 @@ An *atom* is a run of text without ASCII white space together with its ids; runs
 are taken apart into their single tokens.  White space runs are context-free for the supported tokenizers (the
 pre-tokenizer never spans them), and inside a run the usual property of rank-ordered BPE holds: a sequence whose
 neighbouring tokens are each neighbours in some correct encoding is itself the correct encoding.  When no agreement
-is found the window has grown to the whole text, so the result is exact in every case.
+is found the window has grown to the whole text, so the result is exact in every case.  Leaves keep atoms only near their
+ends; what lies between, from white space to white space, is kept as packed ids (``Rope``) and no join has to look at it.
 
 Defined results: a null text counts as empty, empty text has no ids and decodes to the empty string; equal rows give
 equal rows; extra columns of the input are ignored.
@@ -18,15 +19,14 @@ equal rows; extra columns of the input are ignored.
 from __future__ import annotations
 
 import bisect
-import hashlib
 import re
-from collections.abc import Callable, Iterator
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
+from typing import NamedTuple
 
 #: Code points of a leaf; a text up to this long is one leaf.
 LEAF = 32_768
+#: Code points at either end of a leaf, at least, that are kept as atoms for its joins; a join never looks further.
+EDGE = 2_048
 #: Runs without white space that are longer are joined token by token.
 LONG_RUN = 2_048
 #: First window on either side of a cut, in code points.
@@ -35,12 +35,15 @@ WINDOW = 64
 CACHE = 400_000
 
 RUN = re.compile(r"[^ \t-\r]+")
-SPACE = b" \t\n\x0b\x0c\r"
+BLANKS = " \t\n\x0b\x0c\r"
+BLANK = re.compile("[ \t-\r]")
 _LETTER = "a-zß-öø-ÿ"
 #: The pre-tokenizer's rule for words of ASCII and Latin-1 letters.
-PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+")
+PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9 \\t-\\r]+")
 #: Words that PLAIN may cut: no control, no combining or special characters, nothing that a normalizer changes.
 SAFE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: Texts of such words.
+SAFE_TEXT = re.compile("[!-~À-ÖØ-öø-ÿ \\t-\\r]*")
 
 Atom = tuple[int, int, tuple[int, ...]]
 
@@ -74,22 +77,38 @@ class Encoder:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.past: dict[str, bytes] = {}
         #: The short way below holds for vocabularies that mark word ends and lower the case; others take the library.
         self.short = self._short()
 
     def _short(self) -> bool:
         probe = "The don't a1é'LL !!'s ÀÖß x_y 12% ## it's"
-        words = probe.encode().split()
-        got = self._plain(words)
-        return got is not None and [i for w in words for i in unpack(got[w])] == self.library.encode(probe, add_special_tokens=False).ids
-
-    def _plain(self, words: list[bytes]) -> dict[bytes, bytes] | None:
-        """Packed ids of words of SAFE characters by way of their parts; None if the vocabulary has no word ends."""
-        cut = [PLAIN.findall(w.decode().lower()) for w in words]
-        new = list({p for parts in cut for p in parts}.difference(self.parts))
-        if len(self.parts) + len(new) > CACHE:
-            self.parts = {}
-            new = list({p for parts in cut for p in parts})
+        got = self._plain([probe])
+        return got is not None and list(unpack(got[0])) == self.library.encode(probe, add_special_tokens=False).ids
+
+    def _plain(self, texts: list[str]) -> list[bytes] | None:
+        """Packed ids of texts of SAFE words by way of the words' parts; None if a part is too long or has no word end."""
+        cut = [PLAIN.findall(t.lower()) for t in texts]
+        if not self._know(set().union(*cut)):
+            return None
+        get = self.parts.__getitem__
+        return [b"".join(map(get, parts)) for parts in cut]
+
+    def _know(self, wanted: set[str]) -> bool:
+        """Adds the ids of those parts that are not remembered."""
+        missing = wanted.difference(self.parts)
+        if not missing:
+            return True
+        if len(self.parts) + len(missing) > CACHE // 2:
+            self.past, self.parts, missing = self.parts, {}, wanted
+        new = []
+        for p in missing:
+            if (ids := self.past.get(p)) is None:
+                new.append(p)
+            else:
+                self.parts[p] = ids
+        if any(len(p) > LONG_RUN for p in new):
+            return False
         letters, ends = self.letters, self.ends
         for k in range(0, len(new), 16_384):
             some = new[k : k + 16_384]
@@ -97,13 +116,12 @@ class Encoder:
             ids = [i for e in self.words.encode_batch_fast([" ".join(plain[j : j + 64]) for j in range(0, len(plain), 64)], add_special_tokens=False) for i in e.ids]
             stops = [j for j, i in enumerate(ids, 1) if ends[i]]
             if len(stops) != len(some) or stops[-1] != len(ids):
-                return None
+                return False
             raw, at = pack(ids), 0
             for p, stop in zip(some, stops, strict=True):
                 self.parts[p] = raw[at : 4 * stop]
                 at = 4 * stop
-        get = self.parts.__getitem__
-        return {w: b"".join(map(get, parts)) if len(parts) > 1 else get(parts[0]) for w, parts in zip(words, cut, strict=True)}
+        return True
 
     def learn(self, words: set[bytes]) -> None:
         """Adds the ids of those words that are not remembered."""
@@ -120,17 +138,21 @@ class Encoder:
                 hard.append(w)
         for k in range(0, len(easy), 65_536):
             part = easy[k : k + 65_536]
-            got = self._plain(part)
+            got = self._plain([w.decode() for w in part])
             if got is None:
                 hard += part
             else:
-                self.young.update(got)
+                self.young.update(zip(part, got, strict=True))
         for w in hard:
             text = w.decode()
             self.young[w] = pack([i for _, _, ids in self._run(text, 0) for i in ids])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text: words by the memory, long runs by tree concatenation."""
+        """Packed ids of each text: words, or their parts, by the memory, long runs by tree concatenation."""
+        if self.short and all("<|" not in t and SAFE_TEXT.fullmatch(t) for t in texts) and (got := self._plain(texts)) is not None:
+            return got
+        if len(texts) > 1:
+            return [self.encode_batch([t])[0] for t in texts]
         split = [t.encode().split() for t in texts]
         self.learn(set().union(*split))
         get = self.young.__getitem__
@@ -225,14 +247,49 @@ def unpack(raw: bytes) -> tuple[int, ...]:
     return tuple(np.frombuffer(raw, "<u4").tolist())
 
 
-def tree(enc: Encoder, text: str, leaves: list[list[Atom]], size: int) -> list[Atom]:
-    """Joins the atoms of equal leaves pairwise up to the whole text."""
-    spans = [(k * size, min(len(text), (k + 1) * size), part) for k, part in enumerate(leaves)]
-    cut = lambda a, b: text[a:b]
-    while len(spans) > 1:
-        up = []
-        for k in range(0, len(spans) - 1, 2):
-            (a, m, x), (_, b, y) = spans[k], spans[k + 1]
-            up.append((a, b, enc.join(cut, x, y, a, m, b)))
-        spans = up + spans[len(spans) & ~1 :]
-    return spans[0][2] if spans else []
+class Rope(NamedTuple):
+    """An encoded stretch of text: atoms at its ends, packed ids between them; without a middle, head holds all atoms.
+
+    A middle lies between white space, so that what is next to it doesn't change its ids.
+    """
+
+    start: int
+    stop: int
+    head: list[Atom]
+    middle: bytes | None
+    tail: list[Atom]
+
+    def packed(self) -> bytes:
+        flat = lambda atoms: pack([i for a in atoms for i in a[2]])
+        return flat(self.head) + (self.middle or b"") + flat(self.tail)
+
+
+def leaf(enc: Encoder, text: str, at: int, edge: int = EDGE) -> Rope:
+    """A leaf that starts at code point ``at``."""
+    a = BLANK.search(text, edge)
+    b = max(text.rfind(c, 0, max(0, len(text) - edge)) for c in BLANKS)
+    if a is None or a.start() >= b:
+        return Rope(at, at + len(text), enc.atoms(text, at), None, [])
+    a = a.start()
+    return Rope(at, at + len(text), enc.atoms(text[:a], at), enc.encode_batch([text[a:b]])[0], enc.atoms(text[b:], at + b))
+
+
+def joined(enc: Encoder, text: str, left: Rope, right: Rope) -> Rope:
+    """Two neighbours as one.  The atoms that meet there reach to white space, or to the end of their side."""
+    near = left.head if left.middle is None else left.tail
+    first = left.start if left.middle is None else near[0][0] if near else left.stop
+    last = right.stop if right.middle is None else right.head[-1][1] if right.head else right.start
+    atoms = enc.join(lambda a, b: text[a:b], near, right.head, first, left.stop, last)
+    if left.middle is None:
+        return Rope(left.start, right.stop, atoms, right.middle, right.tail)
+    if right.middle is None:
+        return Rope(left.start, right.stop, left.head, left.middle, atoms)
+    return Rope(left.start, right.stop, left.head, left.middle + pack([i for a in atoms for i in a[2]]) + right.middle, right.tail)
+
+
+def tree(enc: Encoder, text: str, ropes: list[Rope]) -> bytes:
+    """Joins leaves pairwise up to the whole text: its packed ids."""
+    while len(ropes) > 1:
+        up = [joined(enc, text, ropes[k], ropes[k + 1]) for k in range(0, len(ropes) - 1, 2)]
+        ropes = up + ropes[len(ropes) & ~1 :]
+    return ropes[0].packed() if ropes else b""

@@ -66,36 +66,36 @@ def encode_rows(path: str, emit: Callable, schema: pa.Schema) -> Callable:
 
 
 def _leaf(path: str) -> Callable:
-    """Atoms of leaves: (keys..., at, text) -> (keys..., at, text, atoms as starts, ends, counts and ids)."""
+    """Ropes of leaves: (keys..., at, text) -> (keys..., at, text, atoms as starts, ends and counts, their ids, number in the head, middle)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
             got = []
             for text in batch.column("_leaf").to_pylist():
-                atoms = enc.atoms(text)
+                r = bpe.leaf(enc, text, 0)
+                atoms = r.head + r.tail
                 flat = [x for a in atoms for x in (a[0], a[1], len(a[2]))]
-                got.append((np.array(flat, "<u4").tobytes(), bpe.pack([i for a in atoms for i in a[2]])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())], names=[*batch.schema.names, "_spans", "_ids"])
+                got.append((np.array(flat, "<u4").tobytes(), bpe.pack([i for a in atoms for i in a[2]]), len(r.head), r.middle))
+            kinds = (pa.binary(), pa.binary(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([g[i] for g in got], k) for i, k in enumerate(kinds))], names=[*batch.schema.names, "_spans", "_ids", "_heads", "_middle"])
 
     return run
 
 
-def atoms_of(spans: bytes, ids: bytes, at: int) -> list[bpe.Atom]:
-    s, flat = np.frombuffer(spans, "<u4").reshape(-1, 3).tolist(), bpe.unpack(ids)
-    out, k = [], 0
-    for a, b, n in s:
-        out.append((a + at, b + at, flat[k : k + n]))
+def rope_of(row: dict) -> bpe.Rope:
+    at, flat, k, atoms = row["_at"] * bpe.LEAF, bpe.unpack(row["_ids"]), 0, []
+    for a, b, n in np.frombuffer(row["_spans"], "<u4").reshape(-1, 3).tolist():
+        atoms.append((a + at, b + at, flat[k : k + n]))
         k += n
-    return out
+    return bpe.Rope(at, at + len(row["_leaf"]), atoms[: row["_heads"]], row["_middle"], atoms[row["_heads"] :])
 
 
 def _joined(path: str, key: str) -> Callable:
-    """Leaves of one text, joined: (key, at, text, spans, ids) -> (key, ids).  One text is held at a time."""
+    """Leaves of one text, joined: (key, at, text, rope) -> (key, ids).  One text is held at a time."""
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["_at"])
-        text = "".join(r["_leaf"] for r in rows)
-        atoms = bpe.tree(encoder(path), text, [atoms_of(r["_spans"], r["_ids"], r["_at"] * bpe.LEAF) for r in rows], bpe.LEAF)
-        return pa.table({key: [rows[0][key]], "_mark": pa.array([rows[0]["_mark"]], pa.int64()), "_ids": pa.array([bpe.pack([i for a in atoms for i in a[2]])], pa.binary())}, schema=pa.schema([(key, table.schema.field(key).type), ("_mark", pa.int64()), ("_ids", pa.binary())]))
+        ids = bpe.tree(encoder(path), "".join(r["_leaf"] for r in rows), [rope_of(r) for r in rows])
+        return pa.table({key: [rows[0][key]], "_mark": pa.array([rows[0]["_mark"]], pa.int64()), "_ids": pa.array([ids], pa.binary())}, schema=pa.schema([(key, table.schema.field(key).type), ("_mark", pa.int64()), ("_ids", pa.binary())]))
 
     return run
 
@@ -111,7 +111,7 @@ def encode(docs: DataFrame, key: str, emit: Callable, out_schema: str, arrow_sch
     leaves = rows.filter(long).withColumn("_row", F.monotonically_increasing_id()).select(key, "_mark", "_row", F.posexplode(cuts).alias("_at", "_leaf"))
     leaves = leaves.repartition(n, F.xxhash64("_row", "_at"))
     kind = docs.schema[key].dataType.simpleString()
-    coded = leaves.mapInArrow(_leaf(path), f"{key} {kind}, _mark long, _row long, _at int, _leaf string, _spans binary, _ids binary")
+    coded = leaves.mapInArrow(_leaf(path), f"{key} {kind}, _mark long, _row long, _at int, _leaf string, _spans binary, _ids binary, _heads int, _middle binary")
     whole = coded.groupBy("_row").applyInArrow(_joined(path, key), f"{key} {kind}, _mark long, _ids binary")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -61,8 +61,8 @@ def test_tree_concatenation_is_exact_for_any_leaf(library):
         letters = "abthe'séÉ!?1 \n<|>İ́ß日本Σ" if k % 2 else "abthe'é"
         x = "".join(rng.choice(letters) for _ in range(rng.choice([1, 40, 5000])))
         leaf = rng.choice([3, 90, 1500])
-        parts = [enc.atoms(x[i : i + leaf], i) for i in range(0, len(x), leaf)]
-        assert [i for _, _, ids in bpe.tree(enc, x, parts, leaf) for i in ids] == library.encode(x, add_special_tokens=False).ids, x[:60]
+        ropes = [bpe.leaf(enc, x[i : i + leaf], i, rng.choice([0, 1, 20, bpe.EDGE])) for i in range(0, len(x), leaf)]
+        assert list(bpe.unpack(bpe.tree(enc, x, ropes))) == library.encode(x, add_special_tokens=False).ids, x[:60]
 
 
 def test_packing_holds_every_id_once(spark, folder, texts, library):
