@@ -23,10 +23,13 @@ import re
 from collections.abc import Callable
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+
 #: Code points of a leaf; a text up to this long is one leaf.
 LEAF = 32_768
 #: Code points at either end of a leaf, at least, that are kept as atoms for its joins; a join never looks further.
-EDGE = 2_048
+EDGE = 512
 #: Runs without white space that are longer are joined token by token.
 LONG_RUN = 2_048
 #: First window on either side of a cut, in code points.
@@ -37,10 +40,12 @@ CACHE = 400_000
 RUN = re.compile(r"[^ \t-\r]+")
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK = re.compile("[ \t-\r]")
-_LETTER = "a-zß-öø-ÿ"
-#: The pre-tokenizer's rule for words of ASCII and Latin-1 letters.
-PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9 \\t-\\r]+")
-#: Words that PLAIN may cut: no control, no combining or special characters, nothing that a normalizer changes.
+#: Classes of bytes for the pre-tokenizer's rule (contractions, runs of letters, single digits, runs of anything else but
+#: white space) in UTF-8 text of ASCII and lower-case Latin-1 letters.
+WHITE, LETTER, DIGIT, OTHER = range(4)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[list(b" \t\n\x0b\x0c\r")], KIND[ord("a") : ord("z") + 1], KIND[0x80:], KIND[ord("0") : ord("9") + 1] = WHITE, LETTER, LETTER, DIGIT
+#: Words that may be cut by these classes: no control, no combining or special characters, nothing that a normalizer changes.
 SAFE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 #: Texts of such words.
 SAFE_TEXT = re.compile("[!-~À-ÖØ-öø-ÿ \\t-\\r]*")
@@ -72,12 +77,12 @@ class Encoder:
         for name, i in vocab.items():
             self.names[i] = name
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.ends = [n.endswith("</w>") for n in self.names]
+        self.ends = np.array([n.endswith("</w>") for n in self.names])
         self.letters = byte_letters()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.past: dict[str, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.past: dict[bytes, bytes] = {}
         #: The short way below holds for vocabularies that mark word ends and lower the case; others take the library.
         self.short = self._short()
 
@@ -87,41 +92,70 @@ class Encoder:
         return got is not None and list(unpack(got[0])) == self.library.encode(probe, add_special_tokens=False).ids
 
     def _plain(self, texts: list[str]) -> list[bytes] | None:
-        """Packed ids of texts of SAFE words by way of the words' parts; None if a part is too long or has no word end."""
-        cut = [PLAIN.findall(t.lower()) for t in texts]
-        if not self._know(set().union(*cut)):
+        """Packed ids of texts of SAFE words by way of the words' parts; None if a part is too long or has no word end.
+
+        The texts are cut as one array of bytes, equal parts are looked up once, and their ids are laid out by numpy.
+        """
+        raw = [t.lower().encode() for t in texts]
+        data = np.frombuffer(b"\n".join(raw) + b"\n\n\n", np.uint8)
+        kind = KIND[data]
+        ink = kind != WHITE
+        begins = kind == DIGIT
+        begins[0] = True
+        begins[1:] |= kind[1:] != kind[:-1]
+        begins &= ink
+        mark = np.flatnonzero(begins & (data == ord("'")))  # contractions begin where a part does
+        if len(mark):
+            one, two = data[mark + 1], data[mark + 2]
+            for hit, size in ((np.isin(one, list(b"stmd")), 2), (((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l")), 3)):
+                begins[mark[hit] + 1] = False
+                begins[mark[hit] + size] |= ink[mark[hit] + size]
+        starts, letters = np.flatnonzero(begins), data[ink]
+        if not len(starts):
+            return [b""] * len(texts)
+        offsets = np.append(np.flatnonzero(begins[ink]), len(letters)).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+        which, ids = coded.indices.to_numpy(), self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        if ids is None:
             return None
-        get = self.parts.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
-
-    def _know(self, wanted: set[str]) -> bool:
-        """Adds the ids of those parts that are not remembered."""
-        missing = wanted.difference(self.parts)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        firsts = np.cumsum(sizes) - sizes
+        count = sizes[which]
+        stops = np.cumsum(count)
+        laid = pack_array(np.frombuffer(b"".join(ids), "<u4")[np.repeat(firsts[which] - (stops - count), count) + np.arange(stops[-1])])
+        edge = np.cumsum([0, *(len(r) + 1 for r in raw)])
+        at = (4 * np.append(0, stops)[np.searchsorted(starts, edge)]).tolist()
+        return [laid[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def _known(self, words: list[bytes]) -> list[bytes] | None:
+        """Packed ids of parts; those that are not remembered are encoded together."""
+        ids = list(map(self.parts.get, words))
+        missing = [k for k, i in enumerate(ids) if i is None]
         if not missing:
-            return True
+            return ids
         if len(self.parts) + len(missing) > CACHE // 2:
-            self.past, self.parts, missing = self.parts, {}, wanted
+            self.past, self.parts = self.parts, {}
         new = []
-        for p in missing:
-            if (ids := self.past.get(p)) is None:
-                new.append(p)
+        for k in missing:
+            if (old := self.past.get(words[k])) is None:
+                new.append(k)
             else:
-                self.parts[p] = ids
-        if any(len(p) > LONG_RUN for p in new):
-            return False
-        letters, ends = self.letters, self.ends
-        for k in range(0, len(new), 16_384):
-            some = new[k : k + 16_384]
-            plain = [p if p.isascii() else "".join([letters[b] for b in p.encode()]) for p in some]
-            ids = [i for e in self.words.encode_batch_fast([" ".join(plain[j : j + 64]) for j in range(0, len(plain), 64)], add_special_tokens=False) for i in e.ids]
-            stops = [j for j, i in enumerate(ids, 1) if ends[i]]
-            if len(stops) != len(some) or stops[-1] != len(ids):
-                return False
-            raw, at = pack(ids), 0
-            for p, stop in zip(some, stops, strict=True):
-                self.parts[p] = raw[at : 4 * stop]
-                at = 4 * stop
-        return True
+                ids[k] = self.parts[words[k]] = old
+        if any(len(words[k]) > LONG_RUN for k in new):
+            return None
+        for n in range(0, len(new), 16_384):
+            some = new[n : n + 16_384]
+            plain = [w.decode() if w.isascii() else "".join([self.letters[b] for b in w]) for w in map(words.__getitem__, some)]
+            coded = self.words.encode_batch_fast([" ".join(plain[j : j + 64]) for j in range(0, len(plain), 64)], add_special_tokens=False)
+            flat = np.fromiter((i for e in coded for i in e.ids), "<u4")
+            stops = np.flatnonzero(self.ends[flat]) + 1
+            if len(stops) != len(some) or stops[-1] != len(flat):
+                return None
+            raw, at = flat.tobytes(), 0
+            for k, stop in zip(some, (4 * stops).tolist(), strict=True):
+                ids[k] = self.parts[words[k]] = raw[at:stop]
+                at = stop
+        return ids
 
     def learn(self, words: set[bytes]) -> None:
         """Adds the ids of those words that are not remembered."""
@@ -241,9 +275,11 @@ def pack(ids) -> bytes:
     return a.tobytes()
 
 
-def unpack(raw: bytes) -> tuple[int, ...]:
-    import numpy as np
+def pack_array(ids: np.ndarray) -> bytes:
+    return ids.astype("<u4", copy=False).tobytes()
+
 
+def unpack(raw: bytes) -> tuple[int, ...]:
     return tuple(np.frombuffer(raw, "<u4").tolist())
 
 
@@ -264,14 +300,20 @@ class Rope(NamedTuple):
         return flat(self.head) + (self.middle or b"") + flat(self.tail)
 
 
-def leaf(enc: Encoder, text: str, at: int, edge: int = EDGE) -> Rope:
-    """A leaf that starts at code point ``at``."""
-    a = BLANK.search(text, edge)
-    b = max(text.rfind(c, 0, max(0, len(text) - edge)) for c in BLANKS)
-    if a is None or a.start() >= b:
-        return Rope(at, at + len(text), enc.atoms(text, at), None, [])
-    a = a.start()
-    return Rope(at, at + len(text), enc.atoms(text[:a], at), enc.encode_batch([text[a:b]])[0], enc.atoms(text[b:], at + b))
+def leaves(enc: Encoder, texts: list[str], starts: list[int], edge: int = EDGE) -> list[Rope]:
+    """Leaves by the code points where they start."""
+    cuts = []
+    for t in texts:
+        a, b = BLANK.search(t, edge), max(t.rfind(c, 0, max(0, len(t) - edge)) for c in BLANKS)
+        cuts.append((a.start(), b) if a and a.start() < b else None)
+    middles = iter(enc.encode_batch([t[c[0] : c[1]] for t, c in zip(texts, cuts, strict=True) if c]))
+    ropes = []
+    for t, c, at in zip(texts, cuts, starts, strict=True):
+        if c:
+            ropes.append(Rope(at, at + len(t), enc.atoms(t[: c[0]], at), next(middles), enc.atoms(t[c[1] :], at + c[1])))
+        else:
+            ropes.append(Rope(at, at + len(t), enc.atoms(t, at), None, []))
+    return ropes
 
 
 def joined(enc: Encoder, text: str, left: Rope, right: Rope) -> Rope:

@@ -22,7 +22,7 @@ from lexloom.llm.shared import documents, row_mark, text_of
 
 VOCABULARY = "word_bpe_49k.json"
 #: Texts that are encoded at once, in code points: bounds a worker's memory.
-BATCH = 1 << 19
+BATCH = 1 << 20
 
 _encoders: dict[str, bpe.Encoder] = {}
 
@@ -70,9 +70,8 @@ def _leaf(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            got = []
-            for text in batch.column("_leaf").to_pylist():
-                r = bpe.leaf(enc, text, 0)
+            got, texts = [], batch.column("_leaf").to_pylist()
+            for r in (r for part in batches_of(texts) for r in bpe.leaves(enc, [texts[k] for k in part], [0] * len(part))):
                 atoms = r.head + r.tail
                 flat = [x for a in atoms for x in (a[0], a[1], len(a[2]))]
                 got.append((np.array(flat, "<u4").tobytes(), bpe.pack([i for a in atoms for i in a[2]]), len(r.head), r.middle))

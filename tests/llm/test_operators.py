@@ -61,7 +61,8 @@ def test_tree_concatenation_is_exact_for_any_leaf(library):
         letters = "abthe'séÉ!?1 \n<|>İ́ß日本Σ" if k % 2 else "abthe'é"
         x = "".join(rng.choice(letters) for _ in range(rng.choice([1, 40, 5000])))
         leaf = rng.choice([3, 90, 1500])
-        ropes = [bpe.leaf(enc, x[i : i + leaf], i, rng.choice([0, 1, 20, bpe.EDGE])) for i in range(0, len(x), leaf)]
+        at = list(range(0, len(x), leaf))
+        ropes = bpe.leaves(enc, [x[i : i + leaf] for i in at], at, rng.choice([0, 1, 20, bpe.EDGE]))
         assert list(bpe.unpack(bpe.tree(enc, x, ropes))) == library.encode(x, add_special_tokens=False).ids, x[:60]
 
 
