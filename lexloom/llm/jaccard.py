@@ -12,7 +12,8 @@ A document is its set of distinct word shingles; equal sets are one *class*.  Th
    n - ceil(t n) + 1 first of either, in any common order of tokens, and here frequent tokens come last; the places of the
    first shared token bound the overlap, which parts documents that share little but a common passage.  The overlap of
    the class with the group's union bounds its overlap with every member; groups below ceil(t n) stay closed.
-4. Members of opened groups are compared by their texts, exactly.  Components of all links found are the result.
+4. Members of opened groups are compared by their texts, exactly: a class that opens a group of several meets its members in
+   blocks, and its first link in a block ends it there, as the group is connected.  Components of all links are the result.
 
 Every link between different components is found in steps 3 and 4; links within a group that is already connected need
 no check.  Neither step emits the pairs of a group.
@@ -114,6 +115,31 @@ def _linked(words: int, threshold: int):
     return run
 
 
+def _asked(words: int, threshold: int):
+    """Rows sorted by cell, members before asking classes: each of these with the first member of the cell that it links with."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sets = None, {}
+        for batch in batches:
+            found = []
+            for g, i, k, asks, cls, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, i, k) != last:
+                    last, sets = (g, i, k), {}
+                x = set(shingles(text, words))
+                if not asks:
+                    sets[cls] = x
+                    continue
+                for other, y in sets.items():
+                    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y)):
+                        continue
+                    both = len(x & y)
+                    if 100 * both >= threshold * (len(x) + len(y) - both):
+                        found.append((cls, other))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 class Join:
     """The join over one table of documents."""
 
@@ -139,12 +165,7 @@ class Join:
         travels once for each pair of tiles that needs it, not once for each pair of classes.
         """
         pairs = self.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes, "cls")
-        wanted = wanted.select("cls", "n", F.col("rep._id").alias("_i"), F.col("rep._mark").alias("_m"), F.get("mins", F.lit(0)).alias("block"))
-        if groups is not None:
-            wanted = wanted.join(groups.select(F.col("node").alias("cls"), F.col("component").alias("g")), "cls", "left").withColumn("block", F.coalesce("g", "block"))
-        texts = wanted.join(self.rows, (F.col("_m") == F.col("_mark")) & F.col("_i").eqNullSafe(F.col("_id")))
-        texts = self.keep(texts.groupBy("cls").agg(F.first("n").alias("n"), F.first("block").alias("block"), F.first("_text").alias("t")), f"{name}-texts")
+        texts = self.keep(self.texts(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), groups), f"{name}-texts")
         tiles = max(1, (texts.agg(F.sum("n")).first()[0] or 0) // TILE)
         parts = F.pmod(F.xxhash64("cls"), F.ceil(F.col("load") / TILE))
         dealt = texts.select("cls", "n", "block").join(texts.groupBy("block").agg(F.sum("n").alias("load")), "block")
@@ -156,6 +177,14 @@ class Join:
         rows = rows.repartition("lo", "hi").sortWithinPartitions("lo", "hi", F.col("b").isNotNull())
         return self.keep(rows.mapInArrow(_linked(self.words, self.threshold), "a long, b long"), f"{name}-links")
 
+    def texts(self, wanted: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+        """(cls, n, block, t): a text of each wanted class; its block is its group, or else its first minimum."""
+        wanted = wanted.join(self.classes, "cls").select("cls", "n", F.col("rep._id").alias("_i"), F.col("rep._mark").alias("_m"), F.get("mins", F.lit(0)).alias("block"))
+        if groups is not None:
+            wanted = wanted.join(groups.select(F.col("node").alias("cls"), F.col("component").alias("g")), "cls", "left").withColumn("block", F.coalesce("g", "block"))
+        texts = wanted.join(self.rows, (F.col("_m") == F.col("_mark")) & F.col("_i").eqNullSafe(F.col("_id")))
+        return texts.groupBy("cls").agg(F.first("n").alias("n"), F.first("block").alias("block"), F.first("_text").alias("t"))
+
     def stars(self) -> DataFrame:
         """Step 2: classes of a bucket against its leads, the least classes in LEADS random orders."""
         each = self.classes.select("cls", F.posexplode("mins").alias("k", "m"))
@@ -221,11 +250,30 @@ class Join:
     def rest(self, groups: DataFrame) -> DataFrame:
         """Step 4: links between members of opened groups."""
         opened = self.opened(self.matrix(), groups)
-        named = groups.select(F.col("node").alias("cls"), F.col("component").alias("g"))
-        members = self.classes.select("cls", F.col("n").alias("size")).join(named, "cls", "left").select(F.col("cls").alias("member"), "size", F.coalesce("g", "cls").alias("group"))
         t = self.threshold
         near = (100 * F.col("n") >= t * F.col("size")) & (100 * F.col("size") >= t * F.col("n"))
-        return self.linked(opened.join(members, "group").filter(near).select(F.col("cls").alias("a"), F.col("member").alias("b")), "rest", groups)
+        several = groups.select(F.col("component").alias("group")).distinct()
+        single = opened.join(several, "group", "left_anti").join(self.classes.select(F.col("cls").alias("group"), F.col("n").alias("size")), "group").filter(near)
+        links = self.linked(single.select(F.col("cls").alias("a"), F.col("group").alias("b")), "rest", groups)
+        return links.unionByName(self.asked(opened.join(several, "group", "left_semi"), groups))
+
+    def asked(self, wide: DataFrame, groups: DataFrame) -> DataFrame:
+        """Links of classes with members of the groups of several that they open.
+
+        The members of a group and the classes that open it are dealt into tiles of about TILE shingles; a cell is a tile of
+        either, so rows are tiles times texts, never pairs of classes.
+        """
+        members = groups.select(F.col("node").alias("cls"), F.col("component").alias("group")).join(wide.select("group").distinct(), "group", "left_semi").join(self.classes.select("cls", "n"), "cls")
+        sides = self.keep(members.select("group", "cls", "n", F.lit(0).alias("asks")).unionByName(wide.select("group", "cls", "n", F.lit(1).alias("asks"))), "sides")
+        parts = lambda k: F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("asks") == k, F.col("n")).otherwise(0)) / TILE)).cast("int")
+        cells = sides.groupBy("group").agg(parts(0).alias("p0"), parts(1).alias("p1"))
+        own = F.pmod(F.xxhash64("cls"), F.when(F.col("asks") == 0, F.col("p0")).otherwise(F.col("p1"))).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.when(F.col("asks") == 0, F.col("p1")).otherwise(F.col("p0")) - 1))
+        dealt = sides.join(cells, "group").select("group", "cls", "asks", own.alias("own"), other.alias("other"))
+        dealt = dealt.select("group", F.when(F.col("asks") == 0, F.col("own")).otherwise(F.col("other")).alias("i"), F.when(F.col("asks") == 0, F.col("other")).otherwise(F.col("own")).alias("k"), "asks", "cls")
+        texts = self.keep(self.texts(sides.select("cls").distinct()).select("cls", "t"), "asked-texts")
+        rows = dealt.join(texts, "cls").select("group", "i", "k", "asks", "cls", "t").repartition("group", "i", "k").sortWithinPartitions("group", "i", "k", "asks", "cls")
+        return self.keep(rows.mapInArrow(_asked(self.words, self.threshold), "a long, b long"), "asked-links")
 
     def result(self) -> DataFrame:
         """_id, _mark, n_shingles, component_id of every row."""
