@@ -35,7 +35,7 @@ LONG_RUN = 2_048
 #: First window on either side of a cut, in code points.
 WINDOW = 64
 #: Words and parts of words whose ids a worker remembers (about 200 bytes each); the older half goes when it is full.
-CACHE = 400_000
+CACHE = 300_000
 
 RUN = re.compile(r"[^ \t-\r]+")
 BLANKS = " \t\n\x0b\x0c\r"

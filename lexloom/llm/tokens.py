@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +41,16 @@ def encoder(path: str) -> bpe.Encoder:
     return _encoders[path]
 
 
-def batches_of(texts: list[str]) -> Iterator[range]:
+def batches_of(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Texts of BATCH code points or little more, and where they start: only these are held as Python objects."""
     first = size = 0
-    for k, t in enumerate(texts):
-        if size and size + len(t) > BATCH:
-            yield range(first, k)
+    for k, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        if size and size + n > BATCH:
+            yield first, texts.slice(first, k - first).to_pylist()
             first, size = k, 0
-        size += len(t)
+        size += n
     if first < len(texts):
-        yield range(first, len(texts))
+        yield first, texts.slice(first).to_pylist()
 
 
 def encode_rows(path: str, emit: Callable, schema: pa.Schema) -> Callable:
@@ -56,10 +58,9 @@ def encode_rows(path: str, emit: Callable, schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for part in batches_of(texts):
-                ids = enc.encode_batch([texts[k] for k in part])
-                keys = [c.slice(part.start, len(part)) for c in batch.columns[:-1]]
+            for first, texts in batches_of(batch.column(batch.num_columns - 1)):
+                ids = enc.encode_batch(texts)
+                keys = [c.slice(first, len(texts)) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays(emit(enc, keys, ids), schema=schema)
 
     return run
@@ -70,8 +71,8 @@ def _leaf(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            got, texts = [], batch.column("_leaf").to_pylist()
-            for r in (r for part in batches_of(texts) for r in bpe.leaves(enc, [texts[k] for k in part], [0] * len(part))):
+            got = []
+            for r in (r for _, texts in batches_of(batch.column("_leaf")) for r in bpe.leaves(enc, texts, [0] * len(texts))):
                 atoms = r.head + r.tail
                 flat = [x for a in atoms for x in (a[0], a[1], len(a[2]))]
                 got.append((np.array(flat, "<u4").tobytes(), bpe.pack([i for a in atoms for i in a[2]]), len(r.head), r.middle))
