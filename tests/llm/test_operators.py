@@ -201,3 +201,19 @@ def test_empty_tables(spark):
     assert packing.pack_documents(none).count() == 0
     assert langid.identify(none, langid.train(none)).count() == 0
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_jaccard_join_of_a_loose_group(spark):
+    """Copies of one text, a tenth of their words changed: a group whose members link with some of the others only."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    rows = [(k, " ".join(f"x{rng.randrange(9**6)}" if rng.random() < 0.012 * (k % 5) else w for w in base)) for k in range(80)]
+    got = {r.doc_id: r.component_id for r in jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {k: set(jaccard.shingles(t)) for k, t in rows}
+    want = {k: k for k in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    want[a] = min(want[a], want[b])
+    assert got == want and 1 < len(set(want.values())) < 80
