@@ -38,7 +38,7 @@ WORDS, THRESHOLD = 5, 75
 REGION, FREQUENT = 0.4, 32
 #: Classes of a bucket that its others are checked against in step 2; members of a group may be no nearer to each other than
 #: the threshold, so one lead would leave many out.
-LEADS = 2
+LEADS = 8
 #: Shingles of the classes that are compared at once, about, on either side.
 TILE = 1 << 16
 #: Odd multipliers of the permutations of step 2.
