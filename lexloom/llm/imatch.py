@@ -1,14 +1,18 @@
 """I-Match document fingerprints (native DataFrame operations only).
 
-Terms are lower-cased words.  The lexicon is hashed: a term's bucket counts the documents that hold any of its terms, and a
-term is kept if its bucket's inverse document frequency lies within a band.  The band is one byte a bucket, 256 KB whatever
+Terms are lower-cased words.  The lexicon is hashed: a term's bucket counts the different texts that hold any of its terms
+(copies count once, however many), and a term is kept if its bucket's inverse document frequency lies within a band.  A
+text of which the band holds less than ``LEAST_KEPT`` of the terms, as those of a large group of near copies, keeps all its
+terms.  The band is one byte a bucket, 256 KB whatever
 the corpus, and reaches the executors as a scalar subquery.  The kept distinct terms are sorted by hash and hashed once for
 every randomised lexicon subset; subsets of several densities are drawn, because a short text shares hardly any term with
 a sparse subset and a long text never agrees on a dense one.
 
-A fingerprint is the subset hashes as text, eight hex digits each, or dashes where no term of the text is in the subset.
+A fingerprint is the subset hashes as text, eight hex digits each, or dashes where no term of the text is in the subset; a
+text that meets no subset at all has the hash of all its terms at the densest ones, so only a text without a word is blank.
 The likeness of two fingerprints is the share of equal hashes, among the subsets that either text meets, at the sparsest
-density at which four subsets are met (else the densest); equal fingerprints have likeness 1.
+density at which four subsets are met (else the densest).  Equal texts have likeness 1, and so have equal fingerprints that
+aren't blank; different texts without a word have likeness 0.
 
 Defined results: a null text counts as empty; equal texts have equal fingerprints; rows are ordered by id (nulls first),
 rows of equal id by a hash of their text, and a table of one row is its own next; an empty table gives an empty result.
@@ -27,10 +31,13 @@ BUCKETS = 1 << 18
 #: Subsets keep one in 2^s of the lexicon's terms.
 SCALES = (2, 4, 6, 8, 10, 12)
 SUBSETS = 8
-#: Highest share of documents, and least number of documents, of a bucket within the band.
+#: Highest share of different texts, and least number of them, of a bucket within the band.
 MAX_SHARE, MIN_DOCS = 0.05, 2
+#: A text keeps its terms within the band if they are at least this share of its terms, else all.
+LEAST_KEPT = 0.25
 MET = 4
 BLANK = "--------"
+EMPTY = BLANK * len(SCALES) * SUBSETS
 
 
 def term_hashes(text: Column) -> Column:
@@ -43,9 +50,11 @@ def bucket(h: Column) -> Column:
 
 
 def band(docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> Column:
-    """One byte a bucket, 1 within the band, as a scalar subquery over all documents."""
-    n = docs.count()
-    counts = docs.select(F.explode(F.array_distinct(F.transform(term_hashes(text_of(text_col)), bucket))).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
+    """One byte a bucket, 1 within the band, as a scalar subquery over all different texts."""
+    key = F.xxhash64(text_of(text_col)).alias("_text")
+    n = docs.select(key).distinct().count()
+    texts = docs.select(key, F.array_distinct(F.transform(term_hashes(text_of(text_col)), bucket)).alias("b")).dropDuplicates(["_text"])
+    counts = texts.select(F.explode("b").alias("b")).groupBy("b").agg(F.count("*").alias("n"))
     flags = bytearray(b"0" * BUCKETS)
     for r in counts.filter((F.col("n") >= min(min_docs, n)) & (F.col("n") <= max(min_docs, max_share * n))).select("b").toLocalIterator():
         flags[r.b] = 49  # at most BUCKETS rows, one of them at a time
@@ -54,7 +63,10 @@ def band(docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHARE,
 
 def fingerprint(text: Column, flags: Column) -> Column:
     # transform over an array of one: its value is computed, or copied out of the row, once for all that use it
-    terms = F.get(F.transform(F.array(flags), lambda fl: F.array_sort(F.filter(term_hashes(text), lambda h: F.substring(fl, bucket(h) + 1, F.lit(1)) == F.lit(b"1")))), F.lit(0))
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    banded = lambda ts, fl: F.filter(ts, lambda h: F.substring(fl, bucket(h) + 1, F.lit(1)) == F.lit(b"1"))
+    enough = lambda ts, kept: F.when(F.size(kept) >= F.size(ts) * F.lit(LEAST_KEPT), kept).otherwise(ts)
+    terms = once(flags, lambda fl: once(term_hashes(text), lambda ts: once(banded(ts, fl), lambda kept: F.array_sort(enough(ts, kept)))))
     # subset (k, s): a window of s hash bits above the bucket's has a given value, so each is drawn from the one before
     draws = F.array(*(F.struct(F.lit(18 + 4 * k).alias("at"), F.lit((k * 2654435761 + 977) % (1 << SCALES[-1])).cast("long").alias("want")) for k in range(SUBSETS)))
     scales = F.array(*(F.lit((1 << s) - 1).cast("long") for s in SCALES))
@@ -67,11 +79,13 @@ def fingerprint(text: Column, flags: Column) -> Column:
     def of(ts: Column, d: Column) -> Column:
         return F.aggregate(scales, F.struct(ts.alias("terms"), F.lit("").alias("out")), lambda acc, mask: denser(acc, mask, d), lambda acc: acc["out"])
 
-    return F.get(F.transform(F.array(terms), lambda ts: F.array_join(F.transform(draws, lambda d: of(ts, d)), "")), F.lit(0))
+    # where no subset is met, the hash of all terms stands at the densest
+    met = lambda ts, out: F.when(out != EMPTY, out).otherwise(F.repeat(F.concat(hashed(ts), F.lit(BLANK * (len(SCALES) - 1))), F.lit(SUBSETS)))
+    return once(terms, lambda ts: once(F.array_join(F.transform(draws, lambda d: of(ts, d)), ""), lambda out: met(ts, out)))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1, of two fingerprints."""
+def likeness(a: Column, b: Column, same: Column) -> Column:
+    """0 to 1, of two fingerprints; same tells whether their texts are equal."""
     n = len(SCALES)
     part = lambda x, i: F.substring(x, i * 8 + 1, F.lit(8))
     state = F.transform(F.sequence(F.lit(0), F.lit(n * SUBSETS - 1)), lambda i: F.when(part(a, i) != part(b, i), 1).when(part(a, i) == BLANK, 0).otherwise(2))
@@ -83,7 +97,7 @@ def likeness(a: Column, b: Column) -> Column:
     scales = F.get(F.transform(F.array(state), lambda st: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda s: at(st, s))), F.lit(0))
     # the last, sparsest density that is met decides
     share = F.aggregate(scales, F.lit(0.0), lambda acc, x: F.when((x["met"] >= MET) | ((x["s"] == 0) & (x["met"] > 0)), x["same"] / x["met"]).otherwise(acc))
-    return F.when(a == b, F.lit(1.0)).otherwise(share)
+    return F.when(same | ((a == b) & (a != EMPTY)), F.lit(1.0)).otherwise(share)
 
 
 def with_next(rows: DataFrame, id_col: str, columns: list[str], derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -124,7 +138,8 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = marked(out, "edited_fingerprint", "_edited")
     return out.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("_next.fingerprint")).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint"), F.col("text") == F.col("_edited")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("_next.fingerprint"), F.col("text") == F.col("_next.text")).alias("near_next"),
     )
 
 

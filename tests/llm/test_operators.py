@@ -217,3 +217,22 @@ def test_jaccard_join_of_a_loose_group(spark):
                 if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                     want[a] = min(want[a], want[b])
     assert got == want and 1 < len(set(want.values())) < 80
+
+
+def test_fingerprints_of_groups_that_hold_a_third_of_the_rows(spark, tmp_path):
+    """Copies of two texts, near copies of a third, texts without a word, and others."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(3000)]
+    first, second, third = ([rng.choice(words) for _ in range(120)] for _ in range(3))
+    near = [" ".join(rng.choice(words) if rng.random() < 0.02 else w for w in third) for _ in range(60)]
+    texts = [" ".join(x) for _ in range(30) for x in (first, second)] + near + ["", " ", "\n", "", "one", "two"] + [" ".join(rng.choice(words) for _ in range(100)) for _ in range(54)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in imatch.op5_fingerprints(spark, str(tmp_path)).collect()}
+    blank = {k for k, r in got.items() if not r.fingerprint.strip("-")}
+    assert blank == {k for k, t in enumerate(texts) if not t.split()}
+    assert len({got[k].fingerprint for k in range(60)}) == 2
+    assert all(got[k].near_next < 0.5 for k in range(59))
+    assert all(got[k].near_edited > 0 for k in range(120))
+    assert sum(got[k].near_next for k in range(60, 119)) > 0.4 * 59
+    assert [got[k].near_next for k in range(120, 125)] == [0.0] * 5
+    assert got[120].near_edited == 1.0
