@@ -45,49 +45,66 @@ def place(sizes: list[int], size: int = SIZE) -> list[list[tuple[int, int, int,
     room, spent = [size] * n, [0.0] * n
     if n:
         room[-1] = sum(sizes) - size * (n - 1)  # the last sequence is as long as it must be
-    queue = [(0.0, k) for k in range(n)]
-    out: list[list[tuple[int, int, int, int]]] = []
     limit = list(room)
+    # a tree over classes of equal room: each node has the lowest (cost, sequence) of the classes below it
+    width = 1 << size.bit_length()
+    none = (float("inf"), n)
+    heaps: list[list[tuple[float, int]]] = [[] for _ in range(width)]
+    tree = [none] * (2 * width)
+
+    def refresh(r: int) -> None:
+        h = heaps[r]
+        while h and (room[h[0][1]] != r or spent[h[0][1]] != h[0][0]):
+            heapq.heappop(h)
+        i = width + r
+        tree[i] = h[0] if h else none
+        while i > 1:
+            i >>= 1
+            tree[i] = min(tree[2 * i], tree[2 * i + 1])
+
+    def cheapest(least: int) -> int:
+        """The sequence of the lowest cost with room for least ids, or n."""
+        best, i = none, width + least
+        best = tree[i]
+        while i > 1:
+            if not i & 1:
+                best = min(best, tree[i + 1])
+            i >>= 1
+        return best[1]
+
+    def emptiest() -> int:
+        i = 1
+        while i < width:
+            i = 2 * i + (tree[2 * i + 1] != none)
+        return tree[i][1]
+
+    def put(k: int, take: int) -> tuple[int, int]:
+        """(sequence, offset) of the next take ids in sequence k."""
+        was, at = room[k], limit[k] - room[k]
+        room[k] -= take
+        spent[k] += cost(take)
+        refresh(was)
+        if room[k]:
+            heapq.heappush(heaps[room[k]], (spent[k], k))
+            refresh(room[k])
+        return k, at
+
+    for k in range(n):
+        heapq.heappush(heaps[room[k]], (0.0, k))
+    for r in set(room):
+        refresh(r)
+    out: list[list[tuple[int, int, int, int]]] = []
     for x in sizes:
-        aside, pieces, left, done = [], [], x, False
-        while queue:
-            c, k = heapq.heappop(queue)
-            if c != spent[k] or not room[k]:
-                continue
-            if room[k] >= left:
-                pieces.append((0, left, k, limit[k] - room[k]))
-                room[k] -= left
-                spent[k] += cost(left)
-                aside.append((spent[k], k))
-                done = True
-                break
-            aside.append((c, k))
-            if len(aside) >= 64:
-                break
-        for item in aside:
-            heapq.heappush(queue, item)
-        if not done:  # cut it over the emptiest of all
-            start = 0
-            for k in heapq.nlargest(min(n, 2 + len(sizes) // max(1, n)), range(n), key=room.__getitem__) if left else []:
-                take = min(left, room[k])
-                if take:
-                    pieces.append((start, take, k, limit[k] - room[k]))
-                    start, left = start + take, left - take
-                    room[k] -= take
-                    spent[k] += cost(take)
-                    heapq.heappush(queue, (spent[k], k))
-                if not left:
-                    break
-            k = 0
-            while left:  # room is left in total, so this ends
-                take = min(left, room[k])
-                if take:
-                    pieces.append((start, take, k, limit[k] - room[k]))
-                    start, left = start + take, left - take
-                    room[k] -= take
-                    spent[k] += cost(take)
-                    heapq.heappush(queue, (spent[k], k))
-                k += 1
+        k = cheapest(x) if x else n
+        if k < n:
+            out.append([(0, x, *put(k, x))])
+            continue
+        pieces, start = [], 0
+        while start < x:  # cut it over the emptiest of all; room is left in total, so this ends
+            k = emptiest()
+            take = min(x - start, room[k])
+            pieces.append((start, take, *put(k, take)))
+            start += take
         out.append(pieces)
     return out
 

@@ -236,3 +236,23 @@ def test_fingerprints_of_groups_that_hold_a_third_of_the_rows(spark, tmp_path):
     assert sum(got[k].near_next for k in range(60, 119)) > 0.4 * 59
     assert [got[k].near_next for k in range(120, 125)] == [0.0] * 5
     assert got[120].near_edited == 1.0
+
+
+def test_rests_go_to_the_cheapest_sequence_that_has_room():
+    """Against a search of all sequences, on more rests than any bounded search would meet."""
+    rng = np.random.default_rng(6)
+    sizes = sorted((int(x) % 2048 or 1 for x in rng.lognormal(6.3, 1.2, 1500)), reverse=True)
+    n = -(-sum(sizes) // 2048)
+    room, spent = [2048] * n, [0.0] * n
+    room[-1] = sum(sizes) - 2048 * (n - 1)
+    cut = 0
+    for x, pieces in zip(sizes, packing.place(sizes), strict=True):
+        fit = [(spent[k], k) for k in range(n) if room[k] >= x]
+        if fit:
+            assert [p[2] for p in pieces] == [min(fit)[1]]
+        cut += len(pieces) > 1
+        for _, m, k, _ in pieces:
+            assert fit or room[k] == max(room)
+            room[k] -= m
+            spent[k] += packing.cost(m)
+    assert not any(room) and cut
