@@ -6,9 +6,10 @@ executors before they reach the driver.  A word's score for a language is the su
 script leaves only the languages that write in it as candidates.  Viterbi over a text's words, with ``PENALTY`` for every
 change of language, labels its spans; the text gets the language of most letters, and the share of those letters as score.
 
-Viterbi runs over whole batches of texts with array operations: one language for the whole text is the best path whenever
-no stretch of words favours another language by more than the penalty, which running minima of summed scores tell; only the
-other texts are decoded word by word.
+Viterbi runs over whole batches of texts with array operations: one language for the whole text is the best path if no
+stretch of words favours another language by the penalty, and the start and the end of the text, together, don't favour
+others by it either (a path that never visits the language saves a switch).  Summed scores and their running minima tell;
+only the other texts are decoded word by word.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; if there is nothing to learn from, every text
 is ``und``; a null language teaches nothing; repeated rows get equal results; ties go to the first language by name.
@@ -166,10 +167,8 @@ class Model:
             if a == b:
                 continue
             s = scores[a:b]
-            best = int(s.sum(0).argmax())
-            gain = np.cumsum(s - s[:, best : best + 1], axis=0)
-            low = np.minimum.accumulate(np.vstack((np.zeros((1, s.shape[1])), gain[:-1])), axis=0)
-            if (gain - low).max() <= self.penalty:
+            best = only(s, self.penalty)
+            if best is not None:
                 out[k] = (self.langs[best], 1.0)
                 continue
             weight = np.bincount(viterbi(s, self.penalty), sizes[a:b], len(self.langs))
@@ -177,6 +176,16 @@ class Model:
             out[k] = (self.langs[top], float(weight[top] / weight.sum()))
 
 
+def only(scores: np.ndarray, penalty: float) -> int | None:
+    """The language of the best path if it is surely one for all words, else None."""
+    best = int(scores.sum(0).argmax())
+    gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
+    low = np.minimum.accumulate(np.vstack((np.zeros((1, scores.shape[1])), gain[:-1])), axis=0)
+    # a path with the language pays a switch for every stretch of others, one without it a switch less: for all but the last
+    ends = gain[:-1].max() + (gain[-1] - gain[:-1]).max() if len(gain) > 1 else -np.inf
+    return best if (gain - low).max() < penalty and ends < penalty else None
+
+
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The best path over words, each change of language costing the penalty."""
     n, width = scores.shape

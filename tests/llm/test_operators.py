@@ -256,3 +256,17 @@ def test_rests_go_to_the_cheapest_sequence_that_has_room():
             room[k] -= m
             spent[k] += packing.cost(m)
     assert not any(room) and cut
+
+
+def test_shortcut_is_taken_only_where_one_language_is_the_best_path():
+    model = langid.Model(["a", "b", "c"], np.ones((3, langid.BUCKETS)), np.ones((3, len(langid.SCRIPTS))))
+    model._scores = lambda *_: np.array([[0, 11, -11.5], [0, -11.5, 11]])
+    assert model.predict(["xx yyy"]) == [("c", 0.6)]
+    rng, taken, texts = np.random.default_rng(7), 0, 3000
+    for _ in range(texts):
+        width = rng.integers(1, 5)
+        s = rng.normal(size=(rng.integers(1, 12), width)) * 5 + rng.normal(size=width) * 4
+        best = langid.only(s, 12.0)
+        taken += best is not None
+        assert best is None or set(langid.viterbi(s, 12.0)) == {best}
+    assert 0.2 * texts < taken < texts
