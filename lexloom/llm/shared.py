@@ -86,9 +86,10 @@ def row_mark(id_col: str, text_col: str) -> Column:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges (a, b), for every node of an edge.
 
-    Each round hooks every node to the smallest label among its neighbours and then halves the paths, so chains of n
-    nodes take about log n rounds.  Aggregates have partial sums, so a node with very many edges is no hot task; labels are written to
-    the shared folder each round.
+    Each round hooks every label to the smallest one that its members or their neighbours have, and on to the label of
+    that one, which doubles the way a label goes: chains of n nodes take about log n rounds.  Rounds go on until no label
+    changes; if that takes more than ``rounds`` of them, it's an error.  Aggregates have partial sums, so a node with very
+    many edges is no hot task; labels are written to the shared folder each round.
     """
     spark = edges.sparkSession
     base = scratch(spark, "components")
@@ -99,11 +100,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         near = e.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         hooked = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("low"))
         # a root learns of the smallest label that any of its members has seen
-        roots = hooked.groupBy("component").agg(F.min("low").alias("low"))
-        lifted = hooked.select("node", F.col("component").alias("was"), F.col("low").alias("mine")).join(roots.select(F.col("component").alias("was"), "low"), "was")
-        new = lifted.select("node", "was", F.least("mine", "low").alias("component"))
+        roots = hooked.groupBy(F.col("component").alias("was")).agg(F.min("low").alias("low"))
+        roots = roots.join(labels.select(F.col("node").alias("low"), F.col("component").alias("label")), "low").select("was", "label")
+        new = hooked.select("node", F.col("component").alias("was")).join(roots, "was").select("node", "was", F.col("label").alias("component"))
         new = written(new, f"{base}/{k}")
         if new.filter("was <> component").limit(1).count() == 0:
-            break
+            return labels.select("node", "component")
         labels = new.select("node", "component")
-    return labels.select("node", "component")
+    raise RuntimeError(f"labels of components still change after {rounds} rounds")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from lexloom.llm import bpe, embeddings, imatch, jaccard, langid, packing, tokens, warc
+from lexloom.llm import bpe, embeddings, imatch, jaccard, langid, packing, shared, tokens, warc
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n int, cls string, g int, key string, label int"
@@ -270,3 +270,14 @@ def test_shortcut_is_taken_only_where_one_language_is_the_best_path():
         taken += best is not None
         assert best is None or set(langid.viterbi(s, 12.0)) == {best}
     assert 0.2 * texts < taken < texts
+
+
+def test_components_of_chains_are_whole_or_an_error(spark):
+    """A chain whose ids rise along it, one of shuffled ids, and a star."""
+    mixed = random.Random(3).sample(range(1000, 1200), 200)
+    links = [(k, k + 1) for k in range(200)] + list(zip(mixed, mixed[1:], strict=False)) + [(5000, 5001 + k) for k in range(50)]
+    edges = spark.createDataFrame(links, "a long, b long")
+    want = components({x for e in links for x in e}, links)
+    assert {r.node: r.component for r in shared.components(edges, rounds=12).collect()} == want
+    with pytest.raises(RuntimeError):
+        shared.components(edges, rounds=4)
