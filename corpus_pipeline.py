@@ -31,15 +31,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that link by their word shingles the one with the smallest id stays."""
-    found = written(jaccard.Join(docs).result(), f"{scratch(spark, 'groups')}/found")
-    first = found.filter(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("_id").alias("_i")).agg(F.min("_mark").alias("_first"), F.count("*").alias("_rows"))
-    lost = found.join(first, found["_id"].eqNullSafe(first["_i"]), "left").filter(F.col("_id").isNotNull() & (F.col("_first").isNull() | (F.col("_mark") != F.col("_first"))))
+    """Of each group of documents that link by their word shingles one row of the smallest id stays, as do all rows without an id.
+
+    Groups are of rows, not of ids: rows of one id whose texts don't link are in groups of their own.  A row without words is
+    a group with its equals.
+    """
+    found = written(jaccard.Join(docs).result().withColumn("_group", F.coalesce("_group", "_mark")), f"{scratch(spark, 'groups')}/found")
+    first = found.filter("_id = component_id").groupBy(F.col("_id").alias("_i"), F.col("_group").alias("_g")).agg(F.min("_mark").alias("_first"), F.count("*").alias("_rows"))
+    lost = found.join(first, (found["_id"] == first["_i"]) & (found["_group"] == first["_g"]), "left").filter(F.col("_id").isNotNull() & (F.col("_first").isNull() | (F.col("_mark") != F.col("_first"))))
     lost = lost.select("_id", F.col("_mark").alias("_m")).distinct()
     marked = docs.withColumn("_mark", row_mark("doc_id", "text"))
     kept = marked.join(lost, (marked["_mark"] == lost["_m"]) & (marked["doc_id"] == lost["_id"]), "left_anti")
-    if first.filter("_i is not null and _rows > 1").limit(1).count():  # repeated rows of a document that stays
-        kept = kept.filter("doc_id is null").unionByName(kept.filter("doc_id is not null").dropDuplicates(["doc_id"]))
+    if first.filter("_rows > 1").limit(1).count():  # repeated rows of a document that stays
+        kept = kept.filter("doc_id is null").unionByName(kept.filter("doc_id is not null").dropDuplicates(["doc_id", "_mark"]))
     return kept.select(*docs.columns)
 
 

@@ -276,15 +276,15 @@ class Join:
         return self.keep(rows.mapInArrow(_asked(self.words, self.threshold), "a long, b long"), "asked-links")
 
     def result(self) -> DataFrame:
-        """_id, _mark, n_shingles, component_id of every row."""
+        """_id, _mark, n_shingles, component_id of every row, and _group: its component, null if it has no words."""
         stars = self.stars()
         links = stars.unionByName(self.rest(components(stars)))
         named = components(links).select(F.col("node").alias("cls"), F.col("component").alias("g"))
         roots = self.keep(self.classes.join(named, "cls", "left").select("cls", F.col("rep._id").alias("low"), F.coalesce("g", "cls").alias("g")), "roots")
         lows = roots.groupBy("g").agg(F.min("low").alias("component_id"))
-        by_class = roots.join(lows, "g").select(F.col("cls").alias("_c"), "component_id")
+        by_class = roots.join(lows, "g").select(F.col("cls").alias("_c"), "component_id", F.col("g").alias("_group"))
         out = self.sketch.join(by_class, self.sketch["cls"] == by_class["_c"], "left")
-        return out.select("_id", "_mark", F.col("n").alias("n_shingles"), F.coalesce("component_id", "_id").alias("component_id"))
+        return out.select("_id", "_mark", F.col("n").alias("n_shingles"), F.coalesce("component_id", "_id").alias("component_id"), "_group")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:

@@ -281,3 +281,14 @@ def test_components_of_chains_are_whole_or_an_error(spark):
     assert {r.node: r.component for r in shared.components(edges, rounds=12).collect()} == want
     with pytest.raises(RuntimeError):
         shared.components(edges, rounds=4)
+
+
+def test_near_dedup_keeps_one_row_of_each_group_of_rows(spark, tmp_path):
+    """Ids that occur with texts that link, with texts that don't, with equal texts, and without words."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (5, a + " end"), (7, b), (8, c), (8, ""), (8, ""), (8, a), (None, c)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], brute.DOCS)
+    got = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect())
+    assert [x for x in got if x[0] != 5] == [(0, c), (8, ""), (8, c)]
+    mine = [t for k, t in got if k == 5]
+    assert len(mine) == 2 and b in mine and set(mine) < {a, b, a + " end"}
