@@ -60,7 +60,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("packing", pack)]
 
-#: Viterbi over a trained model, expectation over owners and greedy packing have no SQL; tests hold each stage to brute force.
+#: Viterbi over a trained model, expectation over owners and greedy packing have no SQL; a test holds each stage, and run(), to plain Python.
 ORACLE_SQL = None
 
 
