@@ -1,6 +1,7 @@
 """WARC archives with revisit resolution by payload digest.
 
-``resolve`` shuffles record headers only (id, digest, length) and names the original of every repeated payload;
+``resolve`` deals record headers only (id, digest) by digest, names the original of every repeated payload, and joins what
+it found to the pages by id and digest, so that the payloads of one digest don't come under one key;
 ``write_archives`` writes the deduplicated archives with fresh headers: responses carry their payload, revisits refer
 to the original; ``read_archives`` parses archives by their content lengths and joins revisits to their responses.
 
@@ -35,10 +36,10 @@ def resolve(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = MI
     """pages with _digest, _bytes and _original: the id of the response that a revisit refers to, else null."""
     body = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.withColumn("_digest", F.sha2(body, 256)).withColumn("_bytes", F.octet_length(body).cast("long"))
-    first = rows.select("_digest", "_bytes", F.col(id_col).alias("_id")).filter(F.col("_bytes") >= min_bytes).groupBy(F.col("_digest").alias("_d")).agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    both = rows.join(first, (rows["_digest"] == first["_d"]) & (rows["_bytes"] >= min_bytes), "left")
-    again = F.col("_first").isNotNull() & (F.col(id_col).isNull() | (F.col(id_col) > F.col("_first")))
-    return both.withColumn("_original", F.when(again, F.col("_first"))).drop("_d", "_first", "_n")
+    heads = rows.select(F.col(id_col).alias("_id"), F.col("_digest").alias("_d"), "_bytes").filter(F.col("_bytes") >= min_bytes).drop("_bytes")
+    first = heads.groupBy(F.col("_d").alias("_f")).agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1 and _first is not null")
+    again = heads.join(first, F.col("_d") == F.col("_f")).filter("_id is null or _id > _first").select("_id", "_d", F.col("_first").alias("_original")).distinct()
+    return rows.join(again, rows[id_col].eqNullSafe(again["_id"]) & (rows["_digest"] == again["_d"]), "left").drop("_id", "_d")
 
 
 def _name(id_: Column) -> Column:
