@@ -70,14 +70,50 @@ def release(spark: SparkSession) -> None:
 
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else as it is.  lower() does the same, faster, unless other capitals could change."""
-    other = c.rlike("[^\\x00-\\x{24F}]|[\\x{80}-\\x{24F}&&[\\p{javaUpperCase}\\p{Lt}]]")
+    other = (F.octet_length(c) != F.char_length(c)) & c.rlike("[[^\\x00-\\x{24F}][\\x{80}-\\x{24F}&&[\\p{javaUpperCase}\\p{Lt}]]]")
     return F.when(other, F.translate(c, UPPER, LOWER)).otherwise(F.lower(c))
 
 
+def ascii_trim(c: Column) -> Column:
+    """Without ASCII white space at the ends; only what begins or ends with some is trimmed, which walks all of it."""
+    edge = F.lit(False)
+    for w in WHITE:
+        edge = edge | c.startswith(w) | c.endswith(w)
+    return F.when(edge, F.btrim(c, F.lit(WHITE))).otherwise(c)
+
+
 def text_of(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores more as keep it apart from the columns of df."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+#: A key held by more than one row in so many is heavy; so there are at most so many heavy keys.
+HEAVY = 1000
+
+
+def heavy(rows: DataFrame, *keys: str, share: int = HEAVY) -> DataFrame:
+    """The keys that more than one row in ``share`` holds: at most ``share`` rows, so they may be broadcast."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_held"))
+    total = rows.count()
+    return counts.filter(F.col("_held") > F.lit(max(total // share, share))).select(*keys)
+
+
+def semi_join(rows: DataFrame, wanted: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """rows whose key is in wanted; those of the keys in hot, at most HEAVY of them, meet a broadcast instead of one task."""
+    few = F.broadcast(hot.join(wanted, key, "left_semi"))
+    return rows.join(few, key, "left_semi").unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(wanted, key, "left_semi"))
+
+
 def row_mark(id_col: str, text_col: str) -> Column:
     """Tells rows of equal id apart by their text; equal rows share it, and so their result."""
     return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("\0null")))

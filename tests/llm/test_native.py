@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from lexloom.llm import lines, pii, secrets
+from lexloom.llm import lines, pii, secrets, shared
 from tests.llm import brute
 
 
@@ -94,6 +94,24 @@ def test_runs_give_the_same_for_any_batches(spark, batches):
     assert [g for g in got if g[0] == "7" and g[3] == 1 and g[1] == "x"]
 
 
+def test_documents_are_counted_not_rows(spark):
+    rows = [(1, f"often\n{k}") for k in range(30)] + [(k, "shared \nx") for k in range(10, 20)] + [(None, "loose")] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.kept_text for r in lines.dedup_lines(df).collect()}
+    assert "often\n0" in got and "loose" in got and "" in got and not any("shared" in g for g in got)
+
+
+def test_a_heavy_line_and_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(shared, "HEAVY", 3)
+    monkeypatch.setattr(shared.heavy, "__kwdefaults__", {"share": 3})
+    rows = [(k, f"heavy\nown {k}\n Rare{k % 4}", "m", "i", "h", "g", "a") for k in range(45)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _mark string, _id string, _hit string, _gone string, _mask string")
+    out = lines.dedup_lines(df)
+    assert out.columns == [*df.columns, *lines.RESULT]
+    for r in out.collect():
+        assert (r.kept_text, r.n_dropped, r._mark, r._id, r._hit, r._gone, r._mask) == (f"own {r.doc_id}", 2, "m", "i", "h", "g", "a")
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], brute.DOCS)
     assert lines.dedup_lines(none).count() == 0
