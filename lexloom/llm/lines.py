@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import ascii_lower, ascii_trim, documents, fresh, heavy, row_mark, scratch, semi_join, text_of, written
+from lexloom.llm.shared import ascii_lower, ascii_trim, documents, fresh, heavy, row_mark, scratch, split_join, text_of, written
 
 RESULT = ("kept_text", "n_lines", "n_dropped")
 
@@ -99,7 +99,7 @@ def drop_lines(docs: DataFrame, lines: DataFrame, frequent: DataFrame, id_col: s
     base = docs.drop(*RESULT)
     mark, gone_, mask_, id_, hit = fresh(base, "_mark", "_gone", "_mask", "_id", "_hit")
     base = base.withColumn(mark, row_mark(id_col, text_col))
-    hits = semi_join(lines, frequent, "key", heavy(lines, "key"))
+    hits = split_join(lines, frequent, ["key"], heavy(lines, "key"), "left_semi")
     gone = hits.groupBy(F.col("_id").alias(id_), F.col("_mark").alias(hit)).agg(F.array_sort(F.collect_set("_at")).alias(gone_))
     both = base.join(gone, (base[mark] == gone[hit]) & base[id_col].eqNullSafe(gone[id_]), "left")
     # one byte a line, 1 if it goes: read by position in constant time

@@ -108,10 +108,13 @@ def heavy(rows: DataFrame, *keys: str, share: int = HEAVY) -> DataFrame:
     return counts.filter(F.col("_held") > F.lit(max(total // share, share))).select(*keys)
 
 
-def semi_join(rows: DataFrame, wanted: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """rows whose key is in wanted; those of the keys in hot, at most HEAVY of them, meet a broadcast instead of one task."""
-    few = F.broadcast(hot.join(wanted, key, "left_semi"))
-    return rows.join(few, key, "left_semi").unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(wanted, key, "left_semi"))
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, how: str = "left") -> DataFrame:
+    """left joined with right, which has a key once at most, on equal non-null keys.
+
+    Rows of the keys in hot (at most HEAVY, see heavy()) meet a broadcast of those keys' rows of right, instead of one task.
+    """
+    some = F.broadcast(right.join(F.broadcast(hot), keys, "left_semi"))
+    return left.join(F.broadcast(hot), keys, "left_semi").join(some, keys, how).unionByName(left.join(F.broadcast(hot), keys, "left_anti").join(right, keys, how))
 
 
 def row_mark(id_col: str, text_col: str) -> Column:

@@ -1,59 +1,68 @@
 """WARC archives with revisit resolution by payload digest.
 
-``resolve`` deals record headers only (id, digest) by digest, names the original of every repeated payload, and joins what
-it found to the pages by id and digest, so that the payloads of one digest don't come under one key;
-``write_archives`` writes the deduplicated archives with fresh headers: responses carry their payload, revisits refer
-to the original; ``read_archives`` parses archives by their content lengths and joins revisits to their responses.
+``resolve`` deals record headers only (id, digest, length) by digest, names the original of every repeated payload, and joins
+what it found to the pages by id and digest, in the one shuffle of payloads that also forms the files; ``write_archives``
+writes the deduplicated archives with fresh headers: responses carry their payload, revisits refer to the original;
+``read_archives`` parses each archive once, by content lengths, and joins the headers of revisits to those of their
+responses.  A payload or a response that one page in HEAVY shares meets a bounded broadcast in both joins.
 
-Archives are plain WARC/1.1 files, written by Spark's text writer: a record is a line, and the line separator is the blank
-lines that end a record, so any file system that Spark writes to will do, and a lost task is simply run again.  Files are
-kept at about ``FILE_BYTES``, however large the table, since a file is read back as one value.
+Archives are WARC/1.1 files, compressed by gzip, written by Spark's text writer: a record is a line, and the line separator
+is the blank lines that end a record, so any file system that Spark writes to will do, and a lost task is simply run again.
+Files hold about ``FILE_BYTES`` of payloads, however large the table, since a file is read back as one value.
 
 Defined results: a null payload is empty; payloads of fewer than ``MIN_BYTES`` bytes are always responses; of equal
 payloads the one with the smallest id is the response, and rows that share that id and payload are all responses; a null id
-counts as larger than any; an empty table gives no archives and an empty result.
+counts as larger than any; a null URL is empty; other columns aren't archived; an empty table gives no archives and an
+empty result.  Rows that repeat both id and payload come to one task.
 """
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import scratch
+from lexloom.llm.shared import heavy, scratch, split_join, written
 
 MIN_BYTES = 100
 FILE_BYTES = 8 << 20
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-PARSED = "id string, type string, refers_to string, digest string, uri string, payload binary"
 
 
-def resolve(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """pages with _digest, _bytes and _original: the id of the response that a revisit refers to, else null."""
-    body = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
-    rows = pages.withColumn("_digest", F.sha2(body, 256)).withColumn("_bytes", F.octet_length(body).cast("long"))
-    heads = rows.select(F.col(id_col).alias("_id"), F.col("_digest").alias("_d"), "_bytes").filter(F.col("_bytes") >= min_bytes).drop("_bytes")
-    first = heads.groupBy(F.col("_d").alias("_f")).agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1 and _first is not null")
-    again = heads.join(first, F.col("_d") == F.col("_f")).filter("_id is null or _id > _first").select("_id", "_d", F.col("_first").alias("_original")).distinct()
-    return rows.join(again, rows[id_col].eqNullSafe(again["_id"]) & (rows["_digest"] == again["_d"]), "left").drop("_id", "_d")
+def _keyed(id_col: str, payload_col: str) -> list[Column]:
+    """_id, _key (never null), _digest, _bytes and _body of a page."""
+    body = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
+    key = F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit("n"))
+    return [F.col(id_col).alias("_id"), key.alias("_key"), F.sha2(body.cast("binary"), 256).alias("_digest"), F.octet_length(body).cast("long").alias("_bytes"), body.alias("_body")]
+
+
+def resolve(heads: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(_key, _digest, _original) of the pages that are revisits, from headers (_id, _key, _digest, _bytes)."""
+    some = heads.filter(F.col("_bytes") >= min_bytes).select("_id", "_key", "_digest")
+    first = some.groupBy("_digest").agg(F.min("_id").alias("_original"), F.count("*").alias("_n")).filter("_n > 1 and _original is not null").drop("_n")
+    again = split_join(some, first, ["_digest"], heavy(some, "_digest"), "inner").filter("_id is null or _id > _original")
+    return again.select("_key", "_digest", "_original").distinct()
 
 
 def _name(id_: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(id_.cast("string"), F.lit("")), F.lit(">"))
 
 
-def records(pages: DataFrame, id_col: str, uri_col: str, payload_col: str) -> DataFrame:
+def records(pages: DataFrame) -> DataFrame:
     """One column, value: a whole WARC record of each resolved page, without the blank lines that end it."""
-    body = F.when(F.col("_original").isNull(), F.coalesce(F.col(payload_col), F.lit(""))).otherwise(F.lit(""))
     revisit = F.col("_original").isNotNull()
+    body = F.when(revisit, F.lit("")).otherwise(F.col("_body"))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
-        F.lit("\r\nWARC-Record-ID: "), _name(F.col(id_col)),
-        F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(F.col(uri_col), F.lit("")), "[\\r\\n]", "%0A"),
+        F.lit("\r\nWARC-Record-ID: "), _name(F.col("_id")),
+        F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Target-URI: "), F.regexp_replace(F.coalesce(F.col("_uri"), F.lit("")), "[\\r\\n]", "%0A"),
         F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("_digest"),
         F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: "), _name(F.col("_original")), F.lit(f"\r\nWARC-Profile: {PROFILE}"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit(END),
@@ -63,11 +72,13 @@ def records(pages: DataFrame, id_col: str, uri_col: str, payload_col: str) -> Da
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html") -> None:
     """The deduplicated archives of pages, as many files as FILE_BYTES asks for."""
-    resolved = resolve(pages, id_col, payload_col)
-    total = resolved.agg(F.sum(F.when(F.col("_original").isNull(), F.col("_bytes")).otherwise(0)) + 400 * F.count("*")).first()[0]
-    files = max(1, -(-int(total or 0) // FILE_BYTES))
-    spread = resolved.repartition(files, F.xxhash64("_digest", id_col))
-    records(spread, id_col, uri_col, payload_col).write.option("lineSep", END).text(path)
+    rows = pages.select(F.col(uri_col).cast("string").alias("_uri"), *_keyed(id_col, payload_col))
+    base = scratch(pages.sparkSession, "warc-heads")
+    heads = written(rows.select("_id", "_key", "_digest", "_bytes"), f"{base}/heads")
+    again = written(resolve(heads), f"{base}/revisits")
+    files = max(1, -(-int(heads.agg(F.sum("_bytes") + 400 * F.count("*")).first()[0] or 0) // FILE_BYTES))
+    both = rows.repartition(files, "_key", "_digest").join(again.repartition(files, "_key", "_digest"), ["_key", "_digest"], "left")
+    records(both).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -84,36 +95,46 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "type", "refers_to", "digest", "uri", "payload"]
-    types = [pa.string()] * 5 + [pa.binary()]
+def _parsed(payloads: bool):
+    names = ["id", "type", "refers_to", "digest", "uri", "bytes", "sha256"] + ["payload"] * payloads
+    types = [pa.string()] * 5 + [pa.int64(), pa.string()] + [pa.binary()] * payloads
     schema = pa.schema(list(zip(names, types, strict=True)))
     urn = lambda x: x.removeprefix("<urn:page:").removesuffix(">") if x is not None else None
-    for batch in batches:
-        for content in batch.column("content"):
-            rows = [(urn(h["warc-record-id"]), h["warc-type"], urn(h.get("warc-refers-to")), h["warc-payload-digest"].split(":")[-1], h.get("warc-target-uri"), body) for h, body in parse(content.as_py())]
-            for k in range(0, len(rows), 512):
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[k : k + 512]], t) for i, t in enumerate(types)], schema=schema)
+
+    def row(h: dict[str, str], body: bytes) -> tuple:
+        return (urn(h["warc-record-id"]), h["warc-type"], urn(h.get("warc-refers-to")), h["warc-payload-digest"].split(":")[-1], h.get("warc-target-uri"), len(body), hashlib.sha256(body).hexdigest(), body)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                found = (row(h, body) for h, body in parse(gzip.decompress(content.as_py())))
+                while rows := list(itertools.islice(found, 512)):
+                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], schema=schema)
+
+    return run
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all archives under path: id, type, refers_to, digest, uri, payload (a revisit's is its original's)."""
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Records of all archives under path: id, type, refers_to, digest, uri, and of the payload (a revisit's is its original's)
+    bytes and sha256, and payload itself if asked for."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    got = files.mapInArrow(_parsed, PARSED)
-    responses = got.filter("type = 'response'").groupBy(F.col("id").alias("_id"), F.col("digest").alias("_digest")).agg(F.first("payload").alias("_payload"))
-    wanted = got.filter("type = 'revisit'").select("refers_to", "digest").distinct()
-    originals = responses.join(wanted, (F.col("_id") == F.col("refers_to")) & (F.col("_digest") == F.col("digest")), "left_semi")
-    both = got.join(originals, (got["refers_to"] == originals["_id"]) & (got["digest"] == originals["_digest"]), "left")
-    return both.select("id", "type", "refers_to", "digest", "uri", F.coalesce("_payload", "payload").alias("payload"))
+    more = ["bytes", "sha256"] + ["payload"] * payloads
+    kinds = "id string, type string, refers_to string, digest string, uri string, bytes long, sha256 string" + ", payload binary" * payloads
+    got = written(files.mapInArrow(_parsed(payloads), kinds), f"{scratch(spark, 'warc-read')}/records")
+    revisits = got.filter("type = 'revisit'").drop(*more)
+    wanted = revisits.select("refers_to", "digest").distinct()
+    mine = got.filter("type = 'response'").select(F.col("id").alias("refers_to"), "digest", *more)
+    originals = mine.join(wanted, ["refers_to", "digest"], "left_semi").groupBy("refers_to", "digest").agg(*(F.first(c).alias(c) for c in more))
+    found = split_join(revisits, originals, ["refers_to", "digest"], heavy(revisits, "refers_to", "digest"))
+    return got.filter("type <> 'revisit'").unionByName(found).select("id", "type", "refers_to", "digest", "uri", *more)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark, 'warc')}/archives"
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    got = read_archives(spark, path)
+    got = read_archives(spark, path, payloads=False)
     return got.select(
-        F.when(F.col("id") != "", F.col("id")).cast("long").alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"),
+        F.when(F.col("id") != "", F.col("id")).cast("long").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("sha256").alias("payload_digest"),
         F.col("type").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"),
     )
 
