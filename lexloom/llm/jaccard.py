@@ -2,21 +2,26 @@
 
 A document is its set of distinct word shingles; equal sets are one *class*.  The steps:
 
-1. Every row is sketched: set size, class (a 64-bit hash of the set), four minima of permuted shingle hashes, and its
+1. Every row is sketched: set size, class (a hash of the set), four minima of permuted shingle hashes, and its
    shingles with the lowest hashes (at least as many as the prefix filter needs), as 32-bit tokens.
-2. Classes that share a minimum are checked against a few leads of the bucket; what links forms the *groups* of similar
-   documents.  A group of thousands of near copies needs a few checks for each copy and minimum.
+2. Classes that share a minimum are checked against a few leads of the bucket.  Those that link, and those that come near to
+   it (``NEAR``), form the *groups* of similar documents, which links part into *components*.  A group of thousands of near
+   copies needs a few checks for each copy and minimum.
 3. The token-group matrix holds the tokens that occur more than once, per group (the union over its members), for the
    classes of which enough tokens do; the others can link with nothing.  A class
    opens only groups of which it meets a token by its prefix: two sets of Jaccard similarity t share a token among the
    n - ceil(t n) + 1 first of either, in any common order of tokens, and here frequent tokens come last; the places of the
    first shared token bound the overlap, which parts documents that share little but a common passage.  The overlap of
-   the class with the group's union bounds its overlap with every member; groups below ceil(t n) stay closed.
-4. Members of opened groups are compared by their texts, exactly: a class that opens a group of several meets its members in
-   blocks, and its first link in a block ends it there, as the group is connected.  Components of all links are the result.
+   the class with the group's union bounds its overlap with every member; groups below ceil(t n) stay closed.  A group's
+   own classes outside of its largest component open it too.
+4. Members of opened groups are compared: a class that opens a group of several meets its members in blocks, by an index of
+   the block's shingles, and one link to each component of a block stays.  Components of all links are the result.
 
-Every link between different components is found in steps 3 and 4; links within a group that is already connected need
-no check.  Neither step emits the pairs of a group.
+Every link between different components is found in steps 3 and 4; links within a component need no check.  No step emits
+the pairs of a group.
+
+Shingles are told apart by hashes of 64 bits (two sets of thousands meet a collision once in 10^12 comparisons); classes
+have hashes of 128 bits, and rows whose first halves are equal by chance are renamed.
 
 Defined results: a null or blank text has no shingles and links with nothing; fewer words than ``words`` make one shingle;
 repeated rows are copies like any others; a null id counts as none when the smallest id is taken; extra columns are ignored.
@@ -28,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import components, documents, release, row_mark, scratch, text_of, written
+from lexloom.llm.shared import components, documents, lean, pieces, release, row_mark, scratch, text_of, written
 
 WORDS, THRESHOLD = 5, 75
 #: Share of the hash space whose tokens are counted, and the count beyond which a token is frequent.
@@ -39,6 +45,8 @@ REGION, FREQUENT = 0.4, 32
 #: Classes of a bucket that its others are checked against in step 2; members of a group may be no nearer to each other than
 #: the threshold, so one lead would leave many out.
 LEADS = 8
+#: Share of the threshold from which on two classes are in one group, though they don't link.
+NEAR = 2 / 3
 #: Shingles of the classes that are compared at once, about, on either side.
 TILE = 1 << 16
 #: Odd multipliers of the permutations of step 2.
@@ -61,83 +69,170 @@ def needed(n: int, threshold: int = THRESHOLD) -> int:
     return -(-threshold * n // 100)
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of 64-bit numbers spread over all (a finalizer of public hash functions)."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def hashed(texts: pa.Array, words: int) -> Iterator[tuple[np.ndarray, int]]:
+    """For each text the sorted distinct 64-bit hashes of its shingles, and how many shingles are distinct.
+
+    The texts are cut into words as one array of bytes, equal words are hashed once, and a shingle's hash sums its words'
+    hashes times odd factors of their places.
+    """
+    from xxhash import xxh3_64_intdigest as hash64
+
+    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.zeros(0, np.uint8)
+    edges = edges - edges[0]
+    ink = ~SPACE[raw]
+    begins = ink.copy()
+    begins[1:] &= ~ink[:-1]
+    inner = edges[:-1][edges[:-1] < len(raw)]
+    begins[inner] |= ink[inner]
+    starts, letters = np.flatnonzero(begins), raw[ink]
+    ends = np.append(np.flatnonzero(begins[ink]), len(letters)).astype(np.int32)
+    coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)]).dictionary_encode()
+    own = np.fromiter(map(hash64, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    which = coded.indices.to_numpy()
+    w = own[which] if len(own) else np.zeros(0, np.uint64)
+    factors = mixed(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
+    full = max(0, len(w) - words + 1)
+    total = np.zeros(full, np.uint64)
+    for j in range(words):
+        total += w[j : j + full] * factors[j]
+    total = mixed(total)
+    at = np.searchsorted(starts, edges)
+    for a, b in zip(at.tolist(), at[1:].tolist(), strict=False):
+        if b - a < words:
+            few = (w[a:b] * factors[: b - a]).sum(keepdims=True, dtype=np.uint64) + np.uint64(b - a)
+            yield (mixed(few), 1) if b > a else (np.zeros(0, np.uint64), 0)
+            continue
+        h = total[a : b - words + 1]
+        order = np.sort(h)
+        differ = order[1:] != order[:-1]
+        if differ.all():
+            yield order, len(order)
+            continue
+        place = np.argsort(h, kind="stable")
+        same, then = a + place[:-1][~differ], a + place[1:][~differ]
+        true = all((which[same + j] == which[then + j]).all() for j in range(words))
+        n = int(differ.sum()) + 1 if true else len({tuple(which[a + k : a + k + words].tolist()) for k in range(len(h))})
+        yield order[np.append(True, differ)], n
+
+
 def _sketch(words: int, threshold: int):
-    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("mins", pa.list_(pa.int64())), ("toks", pa.list_(pa.int32())), ("inside", pa.int64())])
+    schema = pa.schema([("_id", pa.int64()), ("_mark", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("check", pa.int64()), ("mins", pa.list_(pa.int64())), ("toks", pa.list_(pa.int32())), ("inside", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as hash64
 
         mixes, limit = np.array(MIXES, np.uint64), np.uint64(int(REGION * 2**32) << 32)
-        for batch in batches:
-            n, cls, mins, toks, inside = [], [], [], [], []
-            for text in batch.column(2).to_pylist():
-                s = shingles(text, words)
-                if not s:
-                    n.append(0), cls.append(None), mins.append(None), toks.append(None), inside.append(0)
-                    continue
-                h = np.unique(np.fromiter(map(hash64, s), np.uint64, len(s)))
-                size = len(set(s)) if len(h) != len(s) else len(h)
+        for batch in (p for b in batches for p in pieces(b, 2)):
+            n, cls, check, mins, toks, inside = [], [], [], [], [], []
+            for h, size in hashed(batch.column(2), words):
                 n.append(size)
+                if not size:
+                    cls.append(None), check.append(None), mins.append(None), toks.append(None), inside.append(0)
+                    continue
                 cls.append(hash64(h.tobytes()) - 2**63)
+                check.append(hash64(h.tobytes(), seed=1) - 2**63)
                 mins.append((h[:, None] * mixes).min(0).view(np.int64))
                 inside.append(int(np.searchsorted(h, limit)))
                 keep = max(inside[-1], size - needed(size, threshold) + 1)
                 toks.append((h[:keep] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(mins, pa.list_(pa.int64())), pa.array(toks, pa.list_(pa.int32())), pa.array(inside, pa.int64())], schema=schema)
+            longs = [pa.array(x, pa.int64()) for x in (n, cls, check)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *longs, pa.array(mins, pa.list_(pa.int64())), pa.array(toks, pa.list_(pa.int32())), pa.array(inside, pa.int64())], schema=schema)
 
-    return run
+    return lean(run)
 
 
 def _linked(words: int, threshold: int):
-    """Rows sorted by (lo, hi), the texts of a pair of tiles before its pairs; the sets of one pair of tiles are held."""
+    """Rows sorted by (lo, hi), the texts of a pair of tiles before its pairs; the sets of one pair of tiles are held.
+
+    Pairs that link, and pairs that are at least near, with which of both they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, texts, sets = None, {}, {}
+        last, held = None, {}
 
-        def known(cls: int) -> set[bytes]:
-            if cls not in sets:
-                sets[cls] = set(shingles(texts.pop(cls), words))
-            return sets[cls]
+        def known(cls: int) -> set[int]:
+            if isinstance(held[cls], np.ndarray):
+                held[cls] = set(held[cls].tolist())
+            return held[cls]
 
-        for batch in batches:
-            found = []
-            for lo, hi, a, b, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for batch in (p for b in batches for p in pieces(b, 4)):
+            found, sets = [], hashed(batch.column(4), words)
+            for (lo, hi, a, b), (h, _) in zip(zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True), sets, strict=True):
                 if (lo, hi) != last:
-                    last, texts, sets = (lo, hi), {}, {}
+                    last, held = (lo, hi), {}
                 if b is None:
-                    texts[a] = text
+                    held[a] = h
                     continue
                 x, y = known(a), known(b)
                 both = len(x & y)
-                if 100 * both >= threshold * (len(x) + len(y) - both):
-                    found.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                either = len(x) + len(y) - both
+                if 100 * both >= threshold * NEAR * either:
+                    found.append((a, b, 100 * both >= threshold * either))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["a", "b", "links"])
+
+    return lean(run)
 
-    return run
+
+class Block:
+    """The members of a cell, with an index from shingles to members."""
+
+    def __init__(self, cls: list[int], comps: list[int], sets: list[np.ndarray]):
+        self.cls, self.comps, self.sizes = cls, np.array(comps), np.array([len(x) for x in sets])
+        every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.shingles, self.owners = every[order], np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def links(self, x: np.ndarray, comp: int, threshold: int) -> Iterator[int]:
+        """Members that the set x, of a component, links with: one of every other component."""
+        lo, hi = np.searchsorted(self.shingles, x, "left"), np.searchsorted(self.shingles, x, "right")
+        count = hi - lo
+        stops = np.cumsum(count)
+        at = np.repeat(lo - (stops - count), count) + np.arange(stops[-1])
+        both = np.bincount(self.owners[at], minlength=len(self.cls))
+        hits = np.flatnonzero((100 * both >= threshold * (len(x) + self.sizes - both)) & (self.comps != comp))
+        for k in np.unique(self.comps[hits], return_index=True)[1].tolist():
+            yield self.cls[hits[k]]
 
 
 def _asked(words: int, threshold: int):
-    """Rows sorted by cell, members before asking classes: each of these with the first member of the cell that it links with."""
+    """Rows sorted by cell, members before asking classes: links of these with members, one a component of the cell."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, sets = None, {}
-        for batch in batches:
+        last, members, block = None, [], None
+        for batch in (p for b in batches for p in pieces(b, 6)):
             found = []
-            for g, i, k, asks, cls, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for (g, i, k, asks, cls, comp), (h, _) in zip(zip(*(c.to_pylist() for c in batch.columns[:6]), strict=True), hashed(batch.column(6), words), strict=True):
                 if (g, i, k) != last:
-                    last, sets = (g, i, k), {}
-                x = set(shingles(text, words))
+                    last, members, block = (g, i, k), [], None
                 if not asks:
-                    sets[cls] = x
+                    members.append((cls, comp, h))
                     continue
-                for other, y in sets.items():
-                    if 100 * min(len(x), len(y)) < threshold * max(len(x), len(y)):
-                        continue
-                    both = len(x & y)
-                    if 100 * both >= threshold * (len(x) + len(y) - both):
-                        found.append((cls, other))
-                        break
+                if block is None:
+                    block = Block([m[0] for m in members], [m[1] for m in members], [m[2] for m in members])
+                    members = []
+                if len(block.cls):
+                    found += [(cls, other) for other in block.links(h, comp, threshold)]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return run
+    return lean(run)
+
+
+def lifted(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges between the components of their ends, without loops."""
+    for end in ("a", "b"):
+        edges = edges.join(labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left").withColumn(end, F.coalesce(f"c{end}", end)).drop(f"c{end}")
+    return edges.select("a", "b").filter("a <> b")
 
 
 class Join:
@@ -146,8 +241,10 @@ class Join:
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD):
         self.spark, self.words, self.threshold = docs.sparkSession, words, threshold
         self.base, self.k = scratch(self.spark, "jaccard"), 0
+        #: sets of n and size are near enough in size to link
+        self.alike = (100 * F.col("n") >= threshold * F.col("size")) & (100 * F.col("size") >= threshold * F.col("n"))
         self.rows = docs.select(F.col(id_col).cast("long").alias("_id"), row_mark(id_col, text_col).alias("_mark"), text_of(text_col).alias("_text"))
-        self.sketch = self.keep(self.rows.mapInArrow(_sketch(words, threshold), "_id long, _mark long, n long, cls long, mins array<long>, toks array<int>, inside long"), "sketch")
+        self.sketch = self.renamed(self.keep(self.rows.mapInArrow(_sketch(words, threshold), "_id long, _mark long, n long, cls long, check long, mins array<long>, toks array<int>, inside long"), "sketch"))
         best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_mark")).alias("rep")
         self.classes = self.keep(self.sketch.filter("cls is not null").groupBy("cls").agg(best, F.first("n").alias("n"), F.first("mins").alias("mins"), F.count("*").alias("rows")), "classes")
 
@@ -158,8 +255,16 @@ class Join:
         release(self.spark)
         return out
 
+    def renamed(self, sketch: DataFrame) -> DataFrame:
+        """sketch, with other class ids for different sets whose ids are equal by chance (some in 10^11 rows)."""
+        clash = self.keep(sketch.groupBy("cls").agg(F.min("check").alias("low"), F.max("check").alias("high")).filter("low <> high").select(F.col("cls").alias("was")), "clashes")
+        if not clash.limit(1).count():
+            return sketch
+        both = sketch.join(F.broadcast(clash), F.col("cls") == F.col("was"), "left")
+        return self.keep(both.withColumn("cls", F.when(F.col("was").isNotNull(), F.xxhash64("cls", "check")).otherwise(F.col("cls"))).drop("was"), "renamed")
+
     def linked(self, pairs: DataFrame, name: str, groups: DataFrame | None = None) -> DataFrame:
-        """Those pairs (a, b) of classes whose texts reach the threshold.
+        """Those pairs (a, b) of classes whose texts are near, and whether they link.
 
         Classes are dealt into tiles of about TILE shingles, those of a group or of equal first minimum together, and a text
         travels once for each pair of tiles that needs it, not once for each pair of classes.
@@ -175,7 +280,7 @@ class Join:
         need = both.select("lo", "hi", F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls", "t"), "cls")
         rows = both.withColumn("t", F.lit(None).cast("string")).unionByName(need.select("lo", "hi", F.col("cls").alias("a"), F.lit(None).cast("long").alias("b"), "t"))
         rows = rows.repartition("lo", "hi").sortWithinPartitions("lo", "hi", F.col("b").isNotNull())
-        return self.keep(rows.mapInArrow(_linked(self.words, self.threshold), "a long, b long"), f"{name}-links")
+        return self.keep(rows.mapInArrow(_linked(self.words, self.threshold), "a long, b long, links boolean"), f"{name}-links")
 
     def texts(self, wanted: DataFrame, groups: DataFrame | None = None) -> DataFrame:
         """(cls, n, block, t): a text of each wanted class; its block is its group, or else its first minimum."""
@@ -187,11 +292,11 @@ class Join:
 
     def stars(self) -> DataFrame:
         """Step 2: classes of a bucket against its leads, the least classes in LEADS random orders."""
-        each = self.classes.select("cls", F.posexplode("mins").alias("k", "m"))
-        leads = F.array_distinct(F.array(*(F.min_by("cls", F.xxhash64("cls", F.lit(i))) for i in range(LEADS))))
+        each = self.classes.select("cls", "n", F.posexplode("mins").alias("k", "m"))
+        leads = F.array_distinct(F.array(*(F.min_by(F.struct("cls", "n"), F.xxhash64("cls", F.lit(i))) for i in range(LEADS))))
         lead = each.groupBy("k", "m").agg(leads.alias("leads"), F.count("*").alias("c")).filter("c > 1").select("k", "m", "leads")
-        pairs = each.join(lead, ["k", "m"]).select(F.col("cls").alias("a"), F.explode("leads").alias("b"))
-        return self.linked(pairs.filter("a <> b"), "stars")
+        pairs = each.join(lead, ["k", "m"]).select(F.col("cls").alias("a"), "n", F.explode("leads").alias("x")).select("a", "n", F.col("x.cls").alias("b"), F.col("x.n").alias("size"))
+        return self.linked(pairs.filter(F.col("a") != F.col("b")).filter(self.alike).select("a", "b"), "stars")
 
     def matrix(self) -> DataFrame:
         """(cls, n, m, line): tokens that occur in more than one row, by class, as (rank, token, frequent) in rank order."""
@@ -247,39 +352,59 @@ class Join:
         bound = bound.filter(F.coalesce("o", F.lit(0)) + F.col("n") - F.col("inside") >= F.ceil(F.col("n") * t / 100)).select("cls", "n", "group")
         return self.keep(bound.unionByName(met.join(several, "group", "left_anti").select("cls", "n", "group")), "opened")
 
-    def rest(self, groups: DataFrame) -> DataFrame:
+    def rest(self, groups: DataFrame, comps: DataFrame) -> DataFrame:
         """Step 4: links between members of opened groups."""
         opened = self.opened(self.matrix(), groups)
-        t = self.threshold
-        near = (100 * F.col("n") >= t * F.col("size")) & (100 * F.col("size") >= t * F.col("n"))
         several = groups.select(F.col("component").alias("group")).distinct()
-        single = opened.join(several, "group", "left_anti").join(self.classes.select(F.col("cls").alias("group"), F.col("n").alias("size")), "group").filter(near)
-        links = self.linked(single.select(F.col("cls").alias("a"), F.col("group").alias("b")), "rest", groups)
-        return links.unionByName(self.asked(opened.join(several, "group", "left_semi"), groups))
-
-    def asked(self, wide: DataFrame, groups: DataFrame) -> DataFrame:
+        single = opened.join(several, "group", "left_anti").join(self.classes.select(F.col("cls").alias("group"), F.col("n").alias("size")), "group").filter(self.alike)
+        links = self.linked(single.select(F.col("cls").alias("a"), F.col("group").alias("b")), "rest", groups).filter("links").select("a", "b")
+        wide = opened.join(several, "group", "left_semi").select("group", "cls").unionByName(self.parted(groups, comps))
+        return links.unionByName(self.asked(wide, groups, comps))
+
+    def parted(self, groups: DataFrame, comps: DataFrame) -> DataFrame:
+        """(group, cls): classes outside of the largest component of their own group.  Of two classes all is known."""
+        part = F.coalesce("component", "cls").alias("part")
+        named = self.keep(groups.select(F.col("node").alias("cls"), F.col("component").alias("group")).join(comps.withColumnRenamed("node", "cls"), "cls", "left").select("group", "cls", part), "parts")
+        sizes = named.groupBy("group", "part").agg(F.count("*").alias("c"))
+        most = sizes.groupBy("group").agg(F.max_by("part", F.struct("c", "part")).alias("most"), F.sum("c").alias("all"), F.count("*").alias("parts")).filter("parts > 1 and all > 2")
+        return named.join(most, "group").filter("part <> most").select("group", "cls")
+
+    def asked(self, wide: DataFrame, groups: DataFrame, comps: DataFrame) -> DataFrame:
         """Links of classes with members of the groups of several that they open.
 
         The members of a group and the classes that open it are dealt into tiles of about TILE shingles; a cell is a tile of
         either, so rows are tiles times texts, never pairs of classes.
         """
+        wide = self.keep(wide.join(self.classes.select("cls", "n"), "cls"), "asking")
         members = groups.select(F.col("node").alias("cls"), F.col("component").alias("group")).join(wide.select("group").distinct(), "group", "left_semi").join(self.classes.select("cls", "n"), "cls")
-        sides = self.keep(members.select("group", "cls", "n", F.lit(0).alias("asks")).unionByName(wide.select("group", "cls", "n", F.lit(1).alias("asks"))), "sides")
+        sides = members.select("group", "cls", "n", F.lit(0).alias("asks")).unionByName(wide.select("group", "cls", "n", F.lit(1).alias("asks")))
+        part = F.coalesce("component", "cls").alias("part")
+        sides = self.keep(sides.join(comps.withColumnRenamed("node", "cls"), "cls", "left").select("group", "cls", "n", "asks", part), "sides")
         parts = lambda k: F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("asks") == k, F.col("n")).otherwise(0)) / TILE)).cast("int")
         cells = sides.groupBy("group").agg(parts(0).alias("p0"), parts(1).alias("p1"))
         own = F.pmod(F.xxhash64("cls"), F.when(F.col("asks") == 0, F.col("p0")).otherwise(F.col("p1"))).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.when(F.col("asks") == 0, F.col("p1")).otherwise(F.col("p0")) - 1))
-        dealt = sides.join(cells, "group").select("group", "cls", "asks", own.alias("own"), other.alias("other"))
-        dealt = dealt.select("group", F.when(F.col("asks") == 0, F.col("own")).otherwise(F.col("other")).alias("i"), F.when(F.col("asks") == 0, F.col("other")).otherwise(F.col("own")).alias("k"), "asks", "cls")
+        dealt = sides.join(cells, "group").select("group", "cls", "part", "asks", own.alias("own"), other.alias("other"))
+        dealt = dealt.select("group", F.when(F.col("asks") == 0, F.col("own")).otherwise(F.col("other")).alias("i"), F.when(F.col("asks") == 0, F.col("other")).otherwise(F.col("own")).alias("k"), "asks", "cls", "part")
         texts = self.keep(self.texts(sides.select("cls").distinct()).select("cls", "t"), "asked-texts")
-        rows = dealt.join(texts, "cls").select("group", "i", "k", "asks", "cls", "t").repartition("group", "i", "k").sortWithinPartitions("group", "i", "k", "asks", "cls")
+        rows = dealt.join(texts, "cls").select("group", "i", "k", "asks", "cls", "part", "t").repartition("group", "i", "k").sortWithinPartitions("group", "i", "k", "asks", "cls")
         return self.keep(rows.mapInArrow(_asked(self.words, self.threshold), "a long, b long"), "asked-links")
 
+    @staticmethod
+    def outer(nodes: DataFrame, inner: DataFrame, outer: DataFrame) -> DataFrame:
+        """(node, component): of every node its label in outer of its label in inner, where it has them."""
+        got = nodes.join(inner, "node", "left").select("node", F.coalesce("component", "node").alias("mid"))
+        return got.join(outer.select(F.col("node").alias("mid"), "component"), "mid", "left").select("node", F.coalesce("component", "mid").alias("component"))
+
     def result(self) -> DataFrame:
         """_id, _mark, n_shingles, component_id of every row, and _group: its component, null if it has no words."""
         stars = self.stars()
-        links = stars.unionByName(self.rest(components(stars)))
-        named = components(links).select(F.col("node").alias("cls"), F.col("component").alias("g"))
+        comps = components(stars.filter("links").select("a", "b"))
+        near = components(lifted(stars, comps))
+        ends = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        groups = self.keep(self.outer(ends, comps, near), "groups")
+        more = components(lifted(self.rest(groups, comps), comps))
+        named = self.outer(self.classes.select(F.col("cls").alias("node")), comps, more).select(F.col("node").alias("cls"), F.col("component").alias("g"))
         roots = self.keep(self.classes.join(named, "cls", "left").select("cls", F.col("rep._id").alias("low"), F.coalesce("g", "cls").alias("g")), "roots")
         lows = roots.groupBy("g").agg(F.min("low").alias("component_id"))
         by_class = roots.join(lows, "g").select(F.col("cls").alias("_c"), "component_id", F.col("g").alias("_group"))

@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +73,40 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Bytes of text that an Arrow function works on at once; a longer text is alone.
+PIECE = 1 << 22
+
+
+def pieces(batch: pa.RecordBatch, column: int, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch, of about limit bytes in the string or binary column: only these are held as Python objects."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + limit, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def trim() -> None:
+    """Gives memory that this worker process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        return
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow function after which the worker, which is kept for other stages, holds no more memory than it needs."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else as it is.  lower() does the same, faster, unless other capitals could change."""
     other = (F.octet_length(c) != F.char_length(c)) & c.rlike("[[^\\x00-\\x{24F}][\\x{80}-\\x{24F}&&[\\p{javaUpperCase}\\p{Lt}]]]")

@@ -219,6 +219,43 @@ def test_jaccard_join_of_a_loose_group(spark):
     assert got == want and 1 < len(set(want.values())) < 80
 
 
+@pytest.mark.parametrize("rate", [0.01, 0.02, 0.035])
+def test_jaccard_join_of_a_large_loose_group(spark, rate):
+    """Two thousand copies of one text, from hardly to much changed: most pairs don't link, and many copies link with none."""
+    rng = random.Random(17)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = [(k, " ".join(f"x{rng.randrange(9**6)}" if rng.random() < rate * (k % 4) else w for w in base)) for k in range(2000)]
+    got = {r.doc_id: r.component_id for r in jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    names: dict = {}
+    x = np.zeros((len(rows), 120 * 800), np.float32)
+    for k, t in rows:
+        for g in set(jaccard.shingles(t)):
+            x[k, names.setdefault(g, len(names))] = 1
+    x = x[:, : len(names)]
+    both, n = x @ x.T, x.sum(1)
+    a, b = np.nonzero(100 * both >= 75 * (n[:, None] + n - both))
+    assert got == components(range(len(rows)), zip(a.tolist(), b.tolist(), strict=True))
+
+
+def test_sets_whose_hashes_are_equal_by_chance(spark):
+    df = spark.createDataFrame([(k, f"a b c d e{k // 2}") for k in range(8)], "doc_id long, text string")
+    join = jaccard.Join(df)
+    rows = join.keep(join.sketch.withColumn("cls", jaccard.F.lit(7).cast("long")), "same")
+    got = sorted((r._id, r.cls) for r in join.renamed(rows).collect())
+    assert len({c for _, c in got}) == 4 and all(got[k][1] == got[k + 1][1] for k in range(0, 8, 2))
+
+
+def test_hashed_shingles_equal_sets():
+    rng = random.Random(2)
+    texts = ["", " \t", "One two", "one TWO", "a b c d e", "É é a b c d", None, *(" ".join(rng.choice("abcé") for _ in range(rng.randrange(60))) for _ in range(80))]
+    got = [(set(h.tolist()), n) for h, n in jaccard.hashed(jaccard.pa.array(["skipped", *texts], jaccard.pa.string()).slice(1), 5)]
+    sets = [set(jaccard.shingles(t or "")) for t in texts]
+    assert [n for _, n in got] == [len(s) for s in sets] == [len(h) for h, _ in got]
+    for a in range(len(texts)):
+        for b in range(a):
+            assert len(got[a][0] & got[b][0]) == len(sets[a] & sets[b])
+
+
 def test_fingerprints_of_groups_that_hold_a_third_of_the_rows(spark, tmp_path):
     """Copies of two texts, near copies of a third, texts without a word, and others."""
     rng = random.Random(4)
