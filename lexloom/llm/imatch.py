@@ -1,10 +1,11 @@
 """I-Match document fingerprints (native DataFrame operations only).
 
-Terms are lower-cased words.  The lexicon is hashed: a term's bucket counts the different texts that hold any of its terms
-(copies count once, however many), and a term is kept if its bucket's inverse document frequency lies within a band.  A
-text of which the band holds less than ``LEAST_KEPT`` of the terms, as those of a large group of near copies, keeps all its
-terms.  The band is one byte a bucket, 256 KB whatever
-the corpus, and reaches the executors as a scalar subquery.  The kept distinct terms are sorted by hash and hashed once for
+Terms are lower-cased words, by 64-bit hashes.  Each term's document frequency is counted over all different texts (copies
+count once, however many), and the lexicon holds the terms whose inverse document frequency lies within a band: those that
+at least ``MIN_DOCS`` texts and a share of ``MIN_SHARE`` of them, and at most a share of ``MAX_SHARE``, hold.  So the lexicon has no more
+terms than an average text's different terms divided by ``MIN_SHARE``, whatever the corpus, and may reach the executors as a
+scalar subquery: a hash table of nested arrays.  A text of which the lexicon holds less than ``LEAST_KEPT`` of the terms, as
+those of a large group of near copies, keeps all its terms.  The kept distinct terms are sorted by hash and hashed once for
 every randomised lexicon subset; subsets of several densities are drawn, because a short text shares hardly any term with
 a sparse subset and a long text never agrees on a dense one.
 
@@ -15,24 +16,25 @@ density at which four subsets are met (else the densest).  Equal texts have like
 aren't blank; different texts without a word have likeness 0.
 
 Defined results: a null text counts as empty; equal texts have equal fingerprints; rows are ordered by id (nulls first),
-rows of equal id by a hash of their text, and a table of one row is its own next; an empty table gives an empty result.
+rows of equal id by a hash of their text, and a table of one row is its own next; rows that share one id, or have none, come
+to one task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import documents, row_mark, text_of
+from lexloom.llm.shared import documents, release, row_mark, scratch, text_of, written
 
-BUCKETS = 1 << 18
 #: Subsets keep one in 2^s of the lexicon's terms.
 SCALES = (2, 4, 6, 8, 10, 12)
 SUBSETS = 8
-#: Highest share of different texts, and least number of them, of a bucket within the band.
-MAX_SHARE, MIN_DOCS = 0.05, 2
+#: Highest and least share of the different texts, and least number of them, that hold a term within the band.
+MAX_SHARE, MIN_SHARE, MIN_DOCS = 0.05, 1e-4, 2
 #: A text keeps its terms within the band if they are at least this share of its terms, else all.
 LEAST_KEPT = 0.25
 MET = 4
@@ -45,29 +47,35 @@ def term_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def bucket(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+def lexicon(docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHARE, min_share: float = MIN_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(h): the terms within the band, counted over all different texts."""
+    spark = docs.sparkSession
+    n = docs.select(F.xxhash64(text_of(text_col)).alias("_text")).distinct().count()
+    texts = docs.select(F.xxhash64(text_of(text_col)).alias("_text"), term_hashes(text_of(text_col)).alias("_terms")).dropDuplicates(["_text"])
+    counts = texts.select(F.explode("_terms").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    low = min(n, max(min_docs, math.ceil(min_share * n)))
+    out = written(counts.filter(F.col("n").between(low, max(low, int(max_share * n)))).select("h"), f"{scratch(spark, 'lexicon')}/terms")
+    release(spark)
+    return out
 
 
-def band(docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> Column:
-    """One byte a bucket, 1 within the band, as a scalar subquery over all different texts."""
-    key = F.xxhash64(text_of(text_col)).alias("_text")
-    n = docs.select(key).distinct().count()
-    texts = docs.select(key, F.array_distinct(F.transform(term_hashes(text_of(text_col)), bucket)).alias("b")).dropDuplicates(["_text"])
-    counts = texts.select(F.explode("b").alias("b")).groupBy("b").agg(F.count("*").alias("n"))
-    flags = bytearray(b"0" * BUCKETS)
-    for r in counts.filter((F.col("n") >= min(min_docs, n)) & (F.col("n") <= max(min_docs, max_share * n))).select("b").toLocalIterator():
-        flags[r.b] = 49  # at most BUCKETS rows, one of them at a time
-    return docs.sparkSession.createDataFrame([(bytes(flags),)], "flags binary").scalar()
+def table(terms: DataFrame) -> tuple[Column, int]:
+    """The lexicon as an array of arrays, one of the terms of each slot, as a scalar subquery, and the number of slots."""
+    spark = terms.sparkSession
+    slots = 1 << max(4, (terms.count() // 2).bit_length())
+    held = terms.groupBy(F.pmod("h", F.lit(slots)).alias("id")).agg(F.collect_list("h").alias("t"))
+    each = spark.range(slots).join(held, "id", "left").select(F.struct("id", F.coalesce("t", F.array().cast("array<bigint>")).alias("t")).alias("s"))
+    one = each.agg(F.array_sort(F.collect_list("s")).alias("all")).select(F.transform("all", lambda s: s["t"]).alias("lexicon"))
+    return written(one, f"{scratch(spark, 'lexicon')}/table").scalar(), slots
 
 
-def fingerprint(text: Column, flags: Column) -> Column:
+def fingerprint(text: Column, lexicon: Column, slots: int) -> Column:
     # transform over an array of one: its value is computed, or copied out of the row, once for all that use it
     once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
-    banded = lambda ts, fl: F.filter(ts, lambda h: F.substring(fl, bucket(h) + 1, F.lit(1)) == F.lit(b"1"))
+    banded = lambda ts, all_: F.filter(ts, lambda h: F.array_contains(F.get(all_, F.pmod(h, F.lit(slots)).cast("int")), h))
     enough = lambda ts, kept: F.when(F.size(kept) >= F.size(ts) * F.lit(LEAST_KEPT), kept).otherwise(ts)
-    terms = once(flags, lambda fl: once(term_hashes(text), lambda ts: once(banded(ts, fl), lambda kept: F.array_sort(enough(ts, kept)))))
-    # subset (k, s): a window of s hash bits above the bucket's has a given value, so each is drawn from the one before
+    terms = once(lexicon, lambda all_: once(term_hashes(text), lambda ts: once(banded(ts, all_), lambda kept: F.array_sort(enough(ts, kept)))))
+    # subset (k, s): a window of s hash bits has a given value, so each is drawn from the one before
     draws = F.array(*(F.struct(F.lit(18 + 4 * k).alias("at"), F.lit((k * 2654435761 + 977) % (1 << SCALES[-1])).cast("long").alias("want")) for k in range(SUBSETS)))
     scales = F.array(*(F.lit((1 << s) - 1).cast("long") for s in SCALES))
     hashed = lambda x: F.when(F.size(x) == 0, F.lit(BLANK)).otherwise(F.right(F.lpad(F.lower(F.hex(F.xxhash64(x))), F.lit(16), F.lit("0")), F.lit(8)))
@@ -100,25 +108,38 @@ def likeness(a: Column, b: Column, same: Column) -> Column:
     return F.when(same | ((a == b) & (a != EMPTY)), F.lit(1.0)).otherwise(share)
 
 
-def with_next(rows: DataFrame, id_col: str, columns: list[str], derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def cut_at(value: Column, bounds: Column, n: int) -> Column:
+    """How many of the n sorted bounds are at most value, by halving."""
+    def step(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        below = value < F.get(bounds, mid)
+        more = acc["lo"] < acc["hi"]
+        return F.struct(F.when(more & ~below, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(more & below, mid).otherwise(acc["hi"]).alias("hi"))
+
+    steps = F.array(*(F.lit(k) for k in range(n.bit_length() + 1)))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi")), step, lambda acc: acc["lo"])
+
+
+def with_next(rows: DataFrame, id_col: str, columns: list[str], derive: Callable[[DataFrame], DataFrame], ranges: int | None = None) -> DataFrame:
     """derive(rows) (with _mark) and _next, a struct of the columns of the row that follows by id; the first follows the last.
 
-    Ids are dealt into ranges, each a window of its own; the first row of a range is repeated at the end of the range before
-    it.  Ranges number some thousand rows each, so what reaches the driver is one row a range.
+    Ids, which are numbers, are dealt into ranges of about equal size by their quantiles, each a window of its own; the first
+    row of a range is repeated at the end of the range before it.  There are two ranges a shuffle partition, so what reaches
+    the driver depends on the session's setting alone.  Rows move once, before they are derived from.
     """
     spark = rows.sparkSession
-    n, lo, hi = rows.agg(F.count("*"), F.min(id_col), F.max(id_col)).first()
-    ranges = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), n // 4096)
-    width = max(1, ((hi or 0) - (lo or 0) + ranges) // ranges)
-    rows = rows.withColumn("_range", F.coalesce(F.floor((F.col(id_col) - F.lit(lo)) / F.lit(width)), F.lit(0)).cast("long"))
+    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    points = rows.agg(F.percentile_approx(id_col, [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
+    bounds = spark.createDataFrame([(sorted(set(points)),)], "b array<bigint>").scalar()
+    rows = rows.withColumn("_bounds", bounds).withColumn("_range", F.when(F.col(id_col).isNull(), -1).otherwise(cut_at(F.col(id_col), F.col("_bounds"), len(set(points))))).drop("_bounds")
     # nulls come first in Spark's order; min() would pass over them
     key = F.struct(F.col(id_col).isNotNull().alias("some"), F.col(id_col).alias("id"), F.col("_mark").alias("mark"))
-    firsts = sorted(rows.groupBy("_range").agg(F.min(key).alias("k")).collect(), key=lambda r: r["_range"])
+    firsts = sorted(rows.groupBy("_range").agg(F.min(key).alias("k")).collect(), key=lambda r: r["_range"])  # one row a range
     before = [(r["_range"], r.k.id, r.k.mark, firsts[i - 1]["_range"]) for i, r in enumerate(firsts)]
-    heads = spark.createDataFrame(before, "_r long, _i long, _m long, _to long")
-    tails = rows.join(heads, (rows["_range"] == heads["_r"]) & (rows["_mark"] == heads["_m"]) & rows[id_col].eqNullSafe(heads["_i"]))
-    tails = tails.withColumn("_range", F.col("_to")).drop("_r", "_i", "_m", "_to").withColumn("_tail", F.lit(1))
-    both = derive(rows.withColumn("_tail", F.lit(0)).unionByName(tails))
+    heads = F.broadcast(spark.createDataFrame(before, "_r int, _i long, _m long, _to int"))
+    tails = rows.join(heads, (rows["_range"] == F.col("_r")) & rows[id_col].eqNullSafe(F.col("_i")) & (rows["_mark"] == F.col("_m")))
+    tails = tails.withColumn("_range", F.col("_to")).drop("_r", "_i", "_m", "_to").dropDuplicates(["_range"]).withColumn("_tail", F.lit(1))
+    both = derive(rows.withColumn("_tail", F.lit(0)).unionByName(tails).repartition(ranges, "_range"))
     order = Window.partitionBy("_range").orderBy("_tail", F.col(id_col).asc_nulls_first(), "_mark")
     return both.withColumn("_next", F.lead(F.struct(*columns)).over(order)).filter("_tail = 0").drop("_tail", "_range")
 
@@ -131,9 +152,9 @@ def edited(text: Column, following: Column) -> Column:
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    flags = band(docs)
+    terms, slots = table(lexicon(docs))
     rows = docs.select("doc_id", row_mark("doc_id", "text").alias("_mark"), text_of("text").alias("text"))
-    marked = lambda df, name, text: df.withColumn("_flags", flags).withColumn(name, fingerprint(F.col(text), F.col("_flags"))).drop("_flags")
+    marked = lambda df, name, text: df.withColumn("_lexicon", terms).withColumn(name, fingerprint(F.col(text), F.col("_lexicon"), slots)).drop("_lexicon")
     out = with_next(rows, "doc_id", ["text", "fingerprint"], lambda df: marked(df, "fingerprint", "text")).withColumn("_edited", edited(F.col("text"), F.col("_next.text")))
     out = marked(out, "edited_fingerprint", "_edited")
     return out.select(

@@ -148,6 +148,24 @@ def test_fingerprints(spark, folder, texts):
     assert all(len(p) == 1 for p in prints.values())
     real = [got[k] for k in ids if k < 10**6]
     assert sum(r.near_edited for r in real) > 5 * sum(r.near_next for r in real)
+    of = brute.fingerprints(texts.values())
+    for i, k in enumerate(ids):
+        t, follow = texts[k], texts[ids[(i + 1) % len(ids)]]
+        q = len(t) // 4
+        e = t[: len(t) - q] + follow[:q]
+        assert (got[k].fingerprint, got[k].edited_fingerprint) == (of(t), of(e))
+        assert got[k].near_edited == pytest.approx(brute.likeness(of(t), of(e), t == e))
+        assert got[k].near_next == pytest.approx(brute.likeness(of(t), of(follow), t == follow))
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_next_rows_of_uneven_repeated_and_missing_ids(spark, ranges):
+    ids = [None, None, 1, 1, 1, 2, 10**12, 10**12 + 1, *range(-5, 0), *range(50, 90)]
+    rows = [(k, i, f"t{i}-{n % 2}") for n, (k, i) in enumerate((x, x) for x in ids)]
+    df = spark.createDataFrame(rows, "doc_id long, x long, text string").withColumn("_mark", shared.row_mark("doc_id", "text"))
+    got = [(r.doc_id, r._mark, r._next._mark) for r in imatch.with_next(df, "doc_id", ["_mark"], lambda d: d, ranges).collect()]
+    order = sorted(((r.doc_id, r._mark) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(got, key=str) == sorted(((i, m, order[(k + 1) % len(order)][1]) for k, (i, m) in enumerate(order)), key=str)
 
 
 def test_archives_round_trip(spark, tmp_path):
