@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import documents
+from lexloom.llm.shared import documents, lean, pieces
 
 BUCKETS = 1 << 16
 PENALTY = 12.0
@@ -73,7 +73,7 @@ def _count(langs: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {x: k for k, x in enumerate(langs)}
         found, scripts = np.zeros((len(langs), BUCKETS), np.int64), np.zeros((len(langs), len(SCRIPTS)), np.int64)
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, 0)):
             by: dict[int, list[str]] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(index[lang], []).append(text)
@@ -91,7 +91,7 @@ def _count(langs: list[str]):
             if len(slot):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), k)), pa.array(slot), pa.array(np.concatenate((found[k][at], scripts[k][s])))], names=["lang", "slot", "n"])
 
-    return run
+    return lean(run)
 
 
 def slices(texts: list[str]) -> Iterator[range]:
@@ -226,13 +226,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.loads(raw.value)
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, at)):
             got = m.predict(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     from pyspark.sql.types import DoubleType, StringType
 
-    return docs.mapInArrow(run, type(schema)([*schema.fields]).add("lang_pred", StringType()).add("score", DoubleType()))
+    return docs.mapInArrow(lean(run), type(schema)([*schema.fields]).add("lang_pred", StringType()).add("score", DoubleType()))
 
 
 def fold(id_col: str = "doc_id") -> Column:

@@ -9,7 +9,7 @@ fill, so only the last of a group is padded.
 Packing needs the rests' ids only for their checksums, and they move as 16-bit integers (32-bit for larger vocabularies).
 
 Defined results: a null text is empty, that is the end id alone; repeated rows are packed as rows of their own with equal
-ids; groups depend on id and text only, so results are the same for any partitioning; an empty table gives an empty
+ids, and a row that a thousandth of all rows repeats is dealt over many groups; groups depend on id and text only, so results are the same for any partitioning; an empty table gives an empty
 result.
 """
 
@@ -18,13 +18,12 @@ from __future__ import annotations
 import heapq
 import zlib
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import documents
+from lexloom.llm.shared import documents, heavy, row_mark, scratch, written
 from lexloom.llm.tokens import default_path, encode
 
 SIZE = 2048
@@ -148,9 +147,19 @@ def _pack(key: tuple, table: pa.Table) -> pa.Table:
 
 def pack_documents(docs: DataFrame, path: str | None = None, text_col: str = "text") -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = encode(docs, "doc_id", _cut, "doc_id long, _mark long, doc_tokens long, _crcs array<long>, _rest binary, _wide int", CUT, path or default_path(), text_col)
-    groups = max(1, docs.count() // GROUP)
-    return cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "_mark"), F.lit(groups))).groupBy("_group").applyInArrow(_pack, PIECE)
+    coded = lambda rows: encode(rows, "doc_id", _cut, "doc_id long, _mark long, doc_tokens long, _crcs array<long>, _rest binary, _wide int", CUT, path or default_path(), text_col)
+    rows = docs.select("doc_id", F.col(text_col).alias(text_col), row_mark("doc_id", text_col).alias("_mark"))
+    cut, groups = coded(docs).withColumn("_copy", F.lit(0).cast("long")), max(1, docs.count() // GROUP)
+    # a row that one in HEAVY rows equals is encoded once, and its copies are dealt over the groups
+    often = written(heavy(rows, "doc_id", "_mark"), f"{scratch(docs.sparkSession, 'packing')}/often")
+    if often.limit(1).count():
+        known = F.broadcast(often.select(F.col("doc_id").alias("_i"), F.col("_mark").alias("_m"), "_held"))
+        same = lambda df: df["doc_id"].eqNullSafe(F.col("_i")) & (df["_mark"] == F.col("_m"))
+        cold = coded(rows.join(known, same(rows), "left_anti")).withColumn("_copy", F.lit(0).cast("long"))
+        once = coded(rows.join(known, same(rows), "left_semi").dropDuplicates(["doc_id", "_mark"]))
+        copies = once.join(known, same(once)).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_held")))).drop("_i", "_m", "_held")
+        cut = cold.unionByName(copies)
+    return cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "_mark", "_copy"), F.lit(groups))).groupBy("_group").applyInArrow(_pack, PIECE)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

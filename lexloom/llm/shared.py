@@ -141,10 +141,11 @@ HEAVY = 1000
 
 
 def heavy(rows: DataFrame, *keys: str, share: int = HEAVY) -> DataFrame:
-    """The keys that more than one row in ``share`` holds: at most ``share`` rows, so they may be broadcast."""
+    """The keys that more than one row in ``share`` holds, and how many hold them (_held): at most ``share`` rows, so they may
+    be broadcast."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_held"))
     total = rows.count()
-    return counts.filter(F.col("_held") > F.lit(max(total // share, share))).select(*keys)
+    return counts.filter(F.col("_held") > F.lit(max(total // share, share)))
 
 
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, how: str = "left") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import bpe
-from lexloom.llm.shared import documents, row_mark, text_of
+from lexloom.llm.shared import documents, lean, row_mark, text_of
 
 VOCABULARY = "word_bpe_49k.json"
 #: Texts that are encoded at once, in code points: bounds a worker's memory.
@@ -63,7 +63,7 @@ def encode_rows(path: str, emit: Callable, schema: pa.Schema) -> Callable:
                 keys = [c.slice(first, len(texts)) for c in batch.columns[:-1]]
                 yield pa.RecordBatch.from_arrays(emit(enc, keys, ids), schema=schema)
 
-    return run
+    return lean(run)
 
 
 def _leaf(path: str) -> Callable:
@@ -79,7 +79,7 @@ def _leaf(path: str) -> Callable:
             kinds = (pa.binary(), pa.binary(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([g[i] for g in got], k) for i, k in enumerate(kinds))], names=[*batch.schema.names, "_spans", "_ids", "_heads", "_middle"])
 
-    return run
+    return lean(run)
 
 
 def rope_of(row: dict) -> bpe.Rope:
@@ -90,12 +90,14 @@ def rope_of(row: dict) -> bpe.Rope:
     return bpe.Rope(at, at + len(row["_leaf"]), atoms[: row["_heads"]], row["_middle"], atoms[row["_heads"] :])
 
 
-def _joined(path: str, key: str) -> Callable:
-    """Leaves of one text, joined: (key, at, text, rope) -> (key, ids).  One text is held at a time."""
+def _joined(path: str, key: str, emit: Callable, schema: pa.Schema) -> Callable:
+    """Leaves of one text, joined: (key, at, text, rope) -> emit's row, once a copy.  One text is held at a time, by one task."""
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["_at"])
-        ids = bpe.tree(encoder(path), "".join(r["_leaf"] for r in rows), [rope_of(r) for r in rows])
-        return pa.table({key: [rows[0][key]], "_mark": pa.array([rows[0]["_mark"]], pa.int64()), "_ids": pa.array([ids], pa.binary())}, schema=pa.schema([(key, table.schema.field(key).type), ("_mark", pa.int64()), ("_ids", pa.binary())]))
+        enc, rows = encoder(path), sorted(table.to_pylist(), key=lambda r: r["_at"])
+        ids = bpe.tree(enc, "".join(r["_leaf"] for r in rows), [rope_of(r) for r in rows])
+        keys = [pa.array([rows[0][key]], table.schema.field(key).type), pa.array([rows[0]["_mark"]], pa.int64())]
+        one = pa.Table.from_arrays(emit(enc, keys, [ids]), schema=schema)
+        return one.take(pa.array([0] * rows[0]["_copies"]))
 
     return run
 
@@ -107,19 +109,13 @@ def encode(docs: DataFrame, key: str, emit: Callable, out_schema: str, arrow_sch
     short = rows.filter(~long).mapInArrow(encode_rows(path, emit, arrow_schema), out_schema)
     cuts = F.transform(F.sequence(F.lit(0), F.floor((F.char_length("_text") - 1) / bpe.LEAF).cast("int")), lambda k: F.substring("_text", k * bpe.LEAF + 1, F.lit(bpe.LEAF)))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a row of its own even among equal rows
-    leaves = rows.filter(long).withColumn("_row", F.monotonically_increasing_id()).select(key, "_mark", "_row", F.posexplode(cuts).alias("_at", "_leaf"))
-    leaves = leaves.repartition(n, F.xxhash64("_row", "_at"))
+    # equal rows are encoded once, and counted
+    leaves = rows.filter(long).select(key, "_mark", F.posexplode(cuts).alias("_at", "_leaf")).repartition(n, key, "_mark", "_at")
+    leaves = leaves.groupBy(key, "_mark", "_at").agg(F.first("_leaf").alias("_leaf"), F.count("*").alias("_copies"))
     kind = docs.schema[key].dataType.simpleString()
-    coded = leaves.mapInArrow(_leaf(path), f"{key} {kind}, _mark long, _row long, _at int, _leaf string, _spans binary, _ids binary, _heads int, _middle binary")
-    whole = coded.groupBy("_row").applyInArrow(_joined(path, key), f"{key} {kind}, _mark long, _ids binary")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(emit(enc, [b.column(0), b.column(1)], b.column(2).to_pylist()), schema=arrow_schema)
-
-    return short.unionByName(whole.mapInArrow(finish, out_schema))
+    coded = leaves.mapInArrow(_leaf(path), f"{key} {kind}, _mark long, _at int, _leaf string, _copies long, _spans binary, _ids binary, _heads int, _middle binary")
+    whole = coded.groupBy(key, "_mark").applyInArrow(_joined(path, key, emit, arrow_schema), out_schema)
+    return short.unionByName(whole)
 
 
 def digests(enc: bpe.Encoder, keys: list[pa.Array], ids: list[bytes]) -> list[pa.Array]:

@@ -83,6 +83,17 @@ def test_packing_holds_every_id_once(spark, folder, texts, library):
     assert sum(2048 - s for s in sizes) < 2048 * (1 + len(texts) // packing.GROUP) + 1
 
 
+def test_many_copies_of_a_row_are_dealt_over_groups(spark, monkeypatch, library):
+    monkeypatch.setattr(shared.heavy, "__kwdefaults__", {"share": 4})
+    monkeypatch.setattr(packing, "GROUP", 10)
+    rows = [(1, "the same text")] * 60 + [(None, "a b")] * 30 + [(k, f"text {k}") for k in range(100, 110)]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    ids = {k: len(library.encode(t, add_special_tokens=False).ids) + 1 for k, t in rows}
+    assert sum(r.length for r in got) == sum(ids[k] for k, _ in rows)
+    assert {r.doc_id: r.doc_tokens for r in got} == ids
+    assert len({r.sequence_id >> 32 for r in got if r.doc_id == 1}) > 3
+
+
 def test_balanced_costs():
     rng = random.Random(1)
     sizes = sorted((rng.randint(1, 2047) for _ in range(300)), reverse=True)
