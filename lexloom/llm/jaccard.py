@@ -33,7 +33,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +77,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 SPACE = np.zeros(256, bool)
 SPACE[list(b" \t\n\x0b\x0c\r")] = True
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[ord("A") : ord("Z") + 1] += ord("a") - ord("A")
 
 
 def hashed(texts: pa.Array, words: int) -> Iterator[tuple[np.ndarray, int]]:
@@ -88,10 +89,12 @@ def hashed(texts: pa.Array, words: int) -> Iterator[tuple[np.ndarray, int]]:
     """
     from xxhash import xxh3_64_intdigest as hash64
 
-    texts = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    if texts.null_count:
+        texts = pa.array([t or "" for t in texts.to_pylist()], pa.string())
+    texts = texts.cast(pa.large_string())
     _, offsets, data = texts.buffers()
     edges = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data is not None else np.zeros(0, np.uint8)
+    raw = LOWERED[np.frombuffer(data, np.uint8)[edges[0] : edges[-1]]] if data is not None else np.zeros(0, np.uint8)
     edges = edges - edges[0]
     ink = ~SPACE[raw]
     begins = ink.copy()

@@ -277,7 +277,10 @@ def test_sets_whose_hashes_are_equal_by_chance(spark):
 def test_hashed_shingles_equal_sets():
     rng = random.Random(2)
     texts = ["", " \t", "One two", "one TWO", "a b c d e", "É é a b c d", None, *(" ".join(rng.choice("abcé") for _ in range(rng.randrange(60))) for _ in range(80))]
-    got = [(set(h.tolist()), n) for h, n in jaccard.hashed(jaccard.pa.array(["skipped", *texts], jaccard.pa.string()).slice(1), 5)]
+    batch = jaccard.pa.RecordBatch.from_arrays([jaccard.pa.array(["skipped", *texts], jaccard.pa.string())], names=["t"]).slice(1)
+    parts = list(shared.pieces(batch, 0, 50))
+    assert len(parts) > 20
+    got = [(set(h.tolist()), n) for p in parts for h, n in jaccard.hashed(p.column(0), 5)]
     sets = [set(jaccard.shingles(t or "")) for t in texts]
     assert [n for _, n in got] == [len(s) for s in sets] == [len(h) for h, _ in got]
     for a in range(len(texts)):
