@@ -45,15 +45,6 @@ DOC = b"""<r:regulation xmlns:r="urn:r" xmlns:x="urn:x"><title>Harbour</title><c
 </content></r:regulation>"""
 
 
-def test_markup_to_units():
-    u = {x[0]: x for x in markup.parse(DOC)}
-    assert list(u) == ["s. 13", "s. 12", "s. 15", "s. 30-31", "Sch. A, s. 1"]
-    assert u["s. 13"][2] == "Part 2 Care > Division 1 Safety" and u["s. 13"][5] == "[en. 2022]" and u["s. 13"][8] == [("/legislation/a_01", "once a month")]
-    assert u["s. 12"][4] == "(2) A person must\n(a) give access" and "(1) Repealed" in u["s. 12"][5] and not u["s. 12"][6]
-    assert not u["s. 15"][7] and not u["s. 15"][6] and u["s. 30-31"][6]
-    assert u["Sch. A, s. 1"][4] == "Item: 1 | Persons: 1 to 10"
-
-
 def test_silver_load_is_incremental(spark, tmp_path):
     store = TableStore(spark, f"file://{tmp_path}/lake")
     sources = spark.createDataFrame([("a", "Harbour Regulation", "XX")], "source_id string, title string, jurisdiction string")
