@@ -54,9 +54,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHAR
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("_text"), term_hashes(text_of(text_col)).alias("_terms")).dropDuplicates(["_text"])
     counts = texts.select(F.explode("_terms").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
     low = min(n, max(min_docs, math.ceil(min_share * n)))
-    out = written(counts.filter(F.col("n").between(low, max(low, int(max_share * n)))).select("h"), f"{scratch(spark, 'lexicon')}/terms")
-    release(spark)
-    return out
+    return written(counts.filter(F.col("n").between(low, max(low, int(max_share * n)))).select("h"), f"{scratch(spark, 'lexicon')}/terms")
 
 
 def table(terms: DataFrame) -> tuple[Column, int]:
@@ -153,6 +151,7 @@ def edited(text: Column, following: Column) -> Column:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     terms, slots = table(lexicon(docs))
+    release(spark)  # what was shuffled to count terms may go, now that nothing refers to it
     rows = docs.select("doc_id", row_mark("doc_id", "text").alias("_mark"), text_of("text").alias("text"))
     marked = lambda df, name, text: df.withColumn("_lexicon", terms).withColumn(name, fingerprint(F.col(text), F.col("_lexicon"), slots)).drop("_lexicon")
     out = with_next(rows, "doc_id", ["text", "fingerprint"], lambda df: marked(df, "fingerprint", "text")).withColumn("_edited", edited(F.col("text"), F.col("_next.text")))
