@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import components, documents, lean, pieces, release, row_mark, scratch, text_of, written
+from lexloom.llm.shared import components, delete, documents, lean, pieces, release, row_mark, scratch, text_of, written
 
 WORDS, THRESHOLD = 5, 75
 #: Share of the hash space whose tokens are counted, and the count beyond which a token is frequent.
@@ -244,6 +244,7 @@ class Join:
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: int = THRESHOLD):
         self.spark, self.words, self.threshold = docs.sparkSession, words, threshold
         self.base, self.k = scratch(self.spark, "jaccard"), 0
+        self.kept: list[str] = []
         #: sets of n and size are near enough in size to link
         self.alike = (100 * F.col("n") >= threshold * F.col("size")) & (100 * F.col("size") >= threshold * F.col("n"))
         self.rows = docs.select(F.col(id_col).cast("long").alias("_id"), row_mark(id_col, text_col).alias("_mark"), text_of(text_col).alias("_text"))
@@ -254,10 +255,17 @@ class Join:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """df written; what its stages shuffled may go."""
         self.k += 1
-        out = written(df, f"{self.base}/{self.k}-{name}")
+        self.kept.append(f"{self.base}/{self.k}-{name}")
+        out = written(df, self.kept[-1])
         release(self.spark)
         return out
 
+    def done(self, *names: str) -> None:
+        """Tables that nothing reads any more go, so that disk holds what the next steps need."""
+        for path in [p for p in self.kept if p.rsplit("/", 1)[-1].split("-", 1)[-1] in names]:
+            delete(self.spark, path)
+            self.kept.remove(path)
+
     def renamed(self, sketch: DataFrame) -> DataFrame:
         """sketch, with other class ids for different sets whose ids are equal by chance (some in 10^11 rows)."""
         clash = self.keep(sketch.groupBy("cls").agg(F.min("check").alias("low"), F.max("check").alias("high")).filter("low <> high").select(F.col("cls").alias("was")), "clashes")
@@ -283,7 +291,9 @@ class Join:
         need = both.select("lo", "hi", F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls", "t"), "cls")
         rows = both.withColumn("t", F.lit(None).cast("string")).unionByName(need.select("lo", "hi", F.col("cls").alias("a"), F.lit(None).cast("long").alias("b"), "t"))
         rows = rows.repartition("lo", "hi").sortWithinPartitions("lo", "hi", F.col("b").isNotNull())
-        return self.keep(rows.mapInArrow(_linked(self.words, self.threshold), "a long, b long, links boolean"), f"{name}-links")
+        links = self.keep(rows.mapInArrow(_linked(self.words, self.threshold), "a long, b long, links boolean"), f"{name}-links")
+        self.done(*(f"{name}-{x}" for x in ("pairs", "texts", "tiles", "dealt")))
+        return links
 
     def texts(self, wanted: DataFrame, groups: DataFrame | None = None) -> DataFrame:
         """(cls, n, block, t): a text of each wanted class; its block is its group, or else its first minimum."""
@@ -358,6 +368,7 @@ class Join:
     def rest(self, groups: DataFrame, comps: DataFrame) -> DataFrame:
         """Step 4: links between members of opened groups."""
         opened = self.opened(self.matrix(), groups)
+        self.done("tokens", "matrix", "prefixes", "met", "weighed", "candidates", "wide")
         several = groups.select(F.col("component").alias("group")).distinct()
         single = opened.join(several, "group", "left_anti").join(self.classes.select(F.col("cls").alias("group"), F.col("n").alias("size")), "group").filter(self.alike)
         links = self.linked(single.select(F.col("cls").alias("a"), F.col("group").alias("b")), "rest", groups).filter("links").select("a", "b")
@@ -391,7 +402,9 @@ class Join:
         dealt = dealt.select("group", F.when(F.col("asks") == 0, F.col("own")).otherwise(F.col("other")).alias("i"), F.when(F.col("asks") == 0, F.col("other")).otherwise(F.col("own")).alias("k"), "asks", "cls", "part")
         texts = self.keep(self.texts(sides.select("cls").distinct()).select("cls", "t"), "asked-texts")
         rows = dealt.join(texts, "cls").select("group", "i", "k", "asks", "cls", "part", "t").repartition("group", "i", "k").sortWithinPartitions("group", "i", "k", "asks", "cls")
-        return self.keep(rows.mapInArrow(_asked(self.words, self.threshold), "a long, b long"), "asked-links")
+        links = self.keep(rows.mapInArrow(_asked(self.words, self.threshold), "a long, b long"), "asked-links")
+        self.done("sides", "asking", "asked-texts")
+        return links
 
     @staticmethod
     def outer(nodes: DataFrame, inner: DataFrame, outer: DataFrame) -> DataFrame:
