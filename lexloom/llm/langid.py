@@ -32,7 +32,7 @@ PENALTY = 12.0
 #: A language may write in a script if at least this share of its training letters does.
 LEAST_SCRIPT = 0.01
 #: Code points that one array step works on.
-STEP = 1 << 20
+STEP = 1 << 18
 #: First code points of script ranges; a range reaches to the next (fixed values of the Unicode blocks).
 SCRIPTS = (0x0, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xA00, 0xB80, 0xE00, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x2E80, 0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0x10000)
 MIX = np.uint64(0x9E3779B97F4A7C15)
