@@ -2,17 +2,21 @@
 
 Vectors are normalised in double precision, equal ones of a label made one class, and rotated onto the principal axes of
 the whole table (one bounded covariance matrix, summed on the executors).  Within a label the classes are sorted along the
-leading axis and cut into tiles.  Two tiles are compared only if their leading coordinates and residual norms allow the
-threshold; within a pair of tiles the products of the leading dimensions are accumulated block by block, the rest is bounded
-by the product of the suffix norms, and a pair stops as soon as that bound falls below the threshold.  What is left
-is checked with the exact cosine.
+leading axis and cut into tiles, and GROUP tiles that follow each other make a group.  Two groups, and two tiles in them, are
+compared only if their leading coordinates allow the threshold; a tile travels once for each group that its group meets, not
+once for each tile.  Within a pair of tiles the products of the leading dimensions are accumulated block by block, the rest
+is bounded by the product of the suffix norms, and a pair stops as soon as that bound falls below the threshold.  What is
+left is checked with the exact cosine.
 
 A pair of tiles gives link counts and a spanning forest of its links, never all pairs, so a group of near copies costs its
-size in output; components come from the forests.
+size in output; components come from the forests.  Where the axes can't part a label's vectors, every pair of its tiles has
+its leading products formed: that is the price of an exact result.
 
 Defined results: null, zero, empty or non-finite vectors, vectors of another length than the table's most common one when
-its label has none like it, and rows without a label link with nothing and are components of their own; repeated vec_ids
-are told apart by their vectors; a null vec_id counts as none and gets null as its component unless it is linked.
+its label has none like it, and rows without a label link with nothing and are components of their own; vectors are scaled by
+powers of two, so that no square of a component vanishes or overflows; repeated vec_ids
+are told apart by their vectors; a null vec_id counts as none and gets null as its component unless it is linked; classes are
+named by 64-bit hashes, and those of different vectors that agree by chance are renamed; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,15 +25,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import components, scratch, written
+from lexloom.llm.shared import components, lean, scratch, written
 
 THRESHOLD = 0.93
 #: Classes in a tile, and dimensions accumulated before bounds are checked.
 TILE, BLOCK = 512, 8
+#: Tiles of a group.
+GROUP = 16
 SLACK = 1e-9
+#: Cut points of a label, at most.
+SKETCH = 1024
 TILES = "label int, tile long, dim int, n int, keys binary, counts binary, vectors binary, low double, high double"
 
 
@@ -41,13 +49,18 @@ def _covariance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["dim", "cov"])
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length one, scaled by a power of two first."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def by_dimension(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     by: dict[int, list] = {}
     for v in column.to_pylist():
         by.setdefault(len(v), []).append(v)
     for dim, vs in by.items():
-        x = np.array(vs, np.float64)
-        yield dim, x / np.linalg.norm(x, axis=1, keepdims=True)
+        yield dim, unit(np.array(vs, np.float64))
 
 
 def axes(classes: DataFrame) -> dict[int, np.ndarray]:
@@ -109,50 +122,80 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _compare_tiles(threshold: float, rotations: dict[int, np.ndarray]):
+class Tile:
+    """A tile in the worker that compares it."""
+
+    def __init__(self, row: dict, rotations: dict[int, np.ndarray]):
+        self.number, self.low, self.high = row["tile"], row["low"], row["high"]
+        self.keys, self.counts = (np.frombuffer(row[c], "<i8") for c in ("keys", "counts"))
+        self.x = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
+        self.rotated = self.x @ rotations[row["dim"]]
+
+
+def linked(a: Tile, b: Tile, threshold: float) -> pa.RecordBatch | None:
+    """Link counts of the classes of two tiles, and a forest of their links."""
+    same = a.number == b.number
+    i, j = compare(a.rotated, b.rotated, threshold)
+    if same:
+        i, j = i[i < j], j[i < j]
+    exact = np.empty(len(i))
+    for k in range(0, len(i), 65536):
+        exact[k : k + 65536] = np.einsum("nd,nd->n", a.x[i[k : k + 65536]], b.x[j[k : k + 65536]])
+    i, j = i[exact >= threshold], j[exact >= threshold]
+    if not len(i):
+        return None
+    na = np.bincount(i, b.counts[j], len(a.keys)).astype(np.int64)
+    nb = np.bincount(j, a.counts[i], len(b.keys)).astype(np.int64)
+    edges = forest(len(a.keys) + (0 if same else len(b.keys)), i, j if same else j + len(a.keys))
+    keys = a.keys if same else np.concatenate((a.keys, b.keys))
+    links = na + nb if same else np.concatenate((na, nb))
+    at = np.flatnonzero(links)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate((keys[at], keys[[e[0] for e in edges]]))), pa.array(np.concatenate((links[at], np.zeros(len(edges), np.int64)))), pa.array([None] * len(at) + keys[[e[1] for e in edges]].tolist(), pa.int64())],
+        names=["a", "links", "b"],
+    )
+
+
+def _compare_groups(threshold: float, reach: float, rotations: dict[int, np.ndarray]):
+    """Rows sorted by cell (a pair of groups), the tiles of the first group before those of the other: one group is held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                dim, same = r["dim"], r["tile"] == r["tile2"]
-                a, b = (np.frombuffer(r[c], np.float64).reshape(-1, dim) for c in ("vectors", "vectors2"))
-                ka, kb = (np.frombuffer(r[c], "<i8") for c in ("keys", "keys2"))
-                ca, cb = (np.frombuffer(r[c], "<i8") for c in ("counts", "counts2"))
-                rot = rotations[dim]
-                i, j = compare(a @ rot, b @ rot, threshold)
-                if same:
-                    i, j = i[i < j], j[i < j]
-                exact = np.empty(len(i))
-                for k in range(0, len(i), 65536):
-                    exact[k : k + 65536] = np.einsum("nd,nd->n", a[i[k : k + 65536]], b[j[k : k + 65536]])
-                keep = exact >= threshold
-                i, j = i[keep], j[keep]
-                if not len(i):
-                    continue
-                na = np.bincount(i, cb[j], len(ka)).astype(np.int64)
-                nb = np.bincount(j, ca[i], len(kb)).astype(np.int64)
-                edges = forest(len(ka) + (0 if same else len(kb)), i, j if same else j + len(ka))
-                keys = ka if same else np.concatenate((ka, kb))
-                links = na + nb if same else np.concatenate((na, nb))
-                at = np.flatnonzero(links)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((keys[at], keys[[e[0] for e in edges]]))), pa.array(np.concatenate((links[at], np.zeros(len(edges), np.int64)))), pa.array([None] * len(at) + keys[[e[1] for e in edges]].tolist(), pa.int64())],
-                    names=["a", "links", "b"],
-                )
-
-    return run
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                cell = (row["label"], row["dim"], row["g1"], row["g2"])
+                if cell != last:
+                    last, held = cell, []
+                b = Tile(row, rotations)
+                if not row["side"]:
+                    held.append(b)
+                if row["side"] or row["g1"] == row["g2"]:
+                    for a in held:
+                        if a.low <= b.high + reach and b.low <= a.high + reach and (found := linked(a, b, threshold)) is not None:
+                            yield found
+
+    return lean(run)
 
 
 def _tile(key: tuple, table: pa.Table) -> pa.Table:
     """One tile of a label: its classes in the order of the leading axis."""
     t = table.sort_by([("_lead", "ascending"), ("_class", "ascending")])
-    x = np.array(t.column("v").to_pylist(), np.float64)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(np.array(t.column("v").to_pylist(), np.float64))
     lead = t.column("_lead").to_numpy()
     row = [key[0].as_py(), key[2].as_py(), key[1].as_py(), len(x), t.column("_class").to_numpy().astype("<i8").tobytes(), t.column("_count").to_numpy().astype("<i8").tobytes(), x.tobytes(), float(lead.min()), float(lead.max())]
     types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
     return pa.table({c.split()[0]: pa.array([v], ty) for c, v, ty in zip(TILES.split(", "), row, types, strict=True)})
 
 
+def renamed(rows: DataFrame, sums: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """rows and sums, with other numbers for classes of different vectors that share one by chance."""
+    clash = written(sums.groupBy("_class").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("_class").alias("_was")), f"{base}/clashes")
+    if not clash.limit(1).count():
+        return rows, sums
+    other = lambda df: df.join(F.broadcast(clash), F.col("_class") == F.col("_was"), "left").withColumn("_class", F.when(F.col("_was").isNotNull(), F.xxhash64("_class", "_check")).otherwise(F.col("_class"))).drop("_was")
+    return other(rows), written(other(sums), f"{base}/renamed")
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row a vector: id_col, n_links, component_id, kept."""
     spark = vectors.sparkSession
@@ -161,36 +204,43 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     sound = F.coalesce(F.col(label_col).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col(id_col), F.col(label_col).alias("_label"), F.when(sound, v).alias("_v"))
     # a class is every row of a label with the same vector; its number names it
-    rows = rows.withColumn("_class", F.when(F.col("_v").isNotNull(), F.xxhash64("_label", F.transform("_v", lambda x: x + 0.0))))
-    sums = written(rows.filter("_class is not null").groupBy("_class").agg(F.first("_label").cast("int").alias("label"), F.first("_v").alias("v"), F.count("*").alias("_count"), F.min(id_col).alias("_low")), f"{base}/classes")
+    plain = F.transform("_v", lambda x: x + 0.0)
+    rows = rows.withColumn("_class", F.when(F.col("_v").isNotNull(), F.xxhash64("_label", plain))).withColumn("_check", F.when(F.col("_v").isNotNull(), F.xxhash64(F.lit(1), "_label", plain)))
+    sums = written(rows.filter("_class is not null").groupBy("_class", "_check").agg(F.first("_label").cast("int").alias("label"), F.first("_v").alias("v"), F.count("*").alias("_count"), F.min(id_col).alias("_low")), f"{base}/classes")
+    rows, sums = renamed(rows, sums, base)
     rotations = axes(sums)
+    # the leading coordinate, by the same scaling
+    scaled = F.transform("v", lambda x: x * F.col("_scale"))
     lead = F.lit(None).cast("double")
     for dim, rot in rotations.items():
-        lead = F.when(F.size("v") == dim, F.aggregate(F.zip_with("v", F.array(*map(F.lit, rot[:, 0].tolist())), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) / F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).otherwise(lead)
-    placed = sums.withColumn("_lead", lead).withColumn("_dim", F.size("v"))
-    # tiles: equal shares of a label along the leading axis, by the cut points of its sketch
-    sizes = {(r.label, r._dim): (max(1, -(-r.n // TILE)), r.q) for r in placed.groupBy("label", "_dim").agg(F.count("*").alias("n"), F.percentile_approx("_lead", [k / 1024 for k in range(1, 1024)], 20000).alias("q")).collect()}
-    cuts = [(a, d, [float(q[k * 1024 // n - 1]) for k in range(1, n)] if n <= 1024 else [float(x) for x in q]) for (a, d), (n, q) in sizes.items()]
-    table = spark.createDataFrame(cuts, "_l int, _d int, _cuts array<double>")  # at most 1,024 numbers a label
-    placed = placed.join(F.broadcast(table), (F.col("label") == F.col("_l")) & (F.col("_dim") == F.col("_d")))
+        lead = F.when(F.size("v") == dim, F.aggregate(F.zip_with(scaled, F.array(*map(F.lit, rot[:, 0].tolist())), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) / F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))).otherwise(lead)
+    power = F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), -F.floor(F.log2(F.array_max(F.transform("v", F.abs)))).cast("double")))
+    placed = sums.withColumn("_scale", F.pow(F.lit(2.0), power)).withColumn("_lead", lead).withColumn("_dim", F.size("v")).drop("_scale")
+    # tiles: equal shares of a label along the leading axis, by the cut points of its sketch (at most SKETCH of them)
+    sizes = placed.groupBy(F.col("label").alias("_l"), F.col("_dim").alias("_d")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("_n"), F.percentile_approx("_lead", [k / SKETCH for k in range(1, SKETCH)], 20 * SKETCH).alias("_q"))
+    cuts = F.when(F.col("_n") < 2, F.array().cast("array<double>")).when(F.col("_n") <= SKETCH, F.transform(F.sequence(F.lit(1), F.col("_n") - 1), lambda k: F.get("_q", F.floor(k * SKETCH / F.col("_n")).cast("int") - 1))).otherwise(F.col("_q"))
+    placed = placed.join(sizes.withColumn("_cuts", cuts).select("_l", "_d", "_cuts"), (F.col("label") == F.col("_l")) & (F.col("_dim") == F.col("_d")))
     placed = placed.withColumn("_tile", F.size(F.filter("_cuts", lambda c: c <= F.col("_lead"))).cast("long")).drop("_l", "_d", "_cuts")
-    # values that tie on the axis may overfill a tile: it is split by number
+    # values that tie on the axis, or a label of more tiles than cuts, may overfill a tile: it is split by number
     fill = placed.groupBy("label", "_dim", "_tile").agg(F.count("*").alias("_n"))
     fill = fill.select(F.col("label").alias("_l"), F.col("_dim").alias("_d"), F.col("_tile").alias("_t"), F.ceil(F.col("_n") / (2 * TILE)).alias("_parts"))
     placed = placed.join(fill, (F.col("label") == F.col("_l")) & (F.col("_dim") == F.col("_d")) & (F.col("_tile") == F.col("_t")))
     placed = placed.withColumn("_tile", F.col("_tile") * (1 << 20) + F.pmod("_class", F.col("_parts"))).select("label", "_dim", "_tile", "_lead", "_class", "_count", "v")
     tiles = written(placed.groupBy("label", "_dim", "_tile").applyInArrow(_tile, TILES), f"{base}/tiles")
-    # pairs of tiles that can link: |x - y|^2 = 2 - 2 cos bounds how far apart the leading coordinates may be
+    # pairs of groups that can link: |x - y|^2 = 2 - 2 cos bounds how far apart the leading coordinates may be
     reach = float(np.sqrt(2 - 2 * threshold)) + SLACK
-    heads = tiles.select("label", "dim", "tile", "low", "high")
-    other = heads.select(F.col("label").alias("l2"), F.col("dim").alias("d2"), F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    pairs = heads.join(other, (F.col("label") == F.col("l2")) & (F.col("dim") == F.col("d2")) & (F.col("tile") <= F.col("tile2")) & (F.col("low2") <= F.col("high") + reach) & (F.col("low") <= F.col("high2") + reach))
-    pairs = pairs.select("label", "dim", "tile", "tile2")
-    left = tiles.select("label", "dim", "tile", "keys", "counts", "vectors")
-    right = tiles.select("label", "dim", F.col("tile").alias("tile2"), F.col("keys").alias("keys2"), F.col("counts").alias("counts2"), F.col("vectors").alias("vectors2"))
+    order = Window.partitionBy("label", "dim").orderBy("low", "tile")  # a row a tile
+    grouped = written(tiles.select("label", "dim", "tile", "low", "high").withColumn("g", F.floor((F.row_number().over(order) - 1) / GROUP).cast("long")), f"{base}/groups")
+    heads = grouped.groupBy("label", "dim", "g").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    other = heads.select(F.col("label").alias("l2"), F.col("dim").alias("d2"), F.col("g").alias("g2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    meet = (F.col("label") == F.col("l2")) & (F.col("dim") == F.col("d2")) & (F.col("g") <= F.col("g2")) & (F.col("low2") <= F.col("high") + reach) & (F.col("low") <= F.col("high2") + reach)
+    cells = heads.join(other, meet).select("label", "dim", F.col("g").alias("g1"), "g2")
+    sides = cells.select("label", "dim", "g1", "g2", F.col("g1").alias("g"), F.lit(0).alias("side")).unionByName(cells.filter("g1 < g2").select("label", "dim", "g1", "g2", F.col("g2").alias("g"), F.lit(1).alias("side")))
+    dealt = sides.join(grouped.select("label", "dim", "g", "tile"), ["label", "dim", "g"]).join(tiles, ["label", "dim", "tile"])
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    work = pairs.repartition(4 * n, F.xxhash64("label", "tile", "tile2")).join(left, ["label", "dim", "tile"]).join(right, ["label", "dim", "tile2"])
-    found = written(work.select("dim", "tile", "tile2", "keys", "counts", "vectors", "keys2", "counts2", "vectors2").mapInArrow(_compare_tiles(threshold, rotations), "a long, links long, b long"), f"{base}/links")
+    work = dealt.repartition(n, "label", "dim", "g1", "g2").sortWithinPartitions("label", "dim", "g1", "g2", "side", "tile")
+    work = work.select("label", "dim", "g1", "g2", "side", "tile", "low", "high", "keys", "counts", "vectors")
+    found = written(work.mapInArrow(_compare_groups(threshold, reach, rotations), "a long, links long, b long"), f"{base}/links")
     links = found.filter("b is null").groupBy(F.col("a").alias("_c")).agg(F.sum("links").alias("_links"))
     comps = components(found.filter("b is not null").select("a", "b"))
     # components of classes, then the smallest id of each

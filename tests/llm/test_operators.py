@@ -147,6 +147,26 @@ def test_embeddings_equal_brute_force(spark, tmp_path):
     assert got == {k: (n[k], comp[k], comp[k] == k) for k, _, _ in rows}
 
 
+def test_vectors_of_any_scale_and_many_tiles(spark, monkeypatch):
+    """Components whose squares vanish or overflow, small tiles in small groups, and class numbers that agree."""
+    monkeypatch.setattr(embeddings, "TILE", 4)
+    monkeypatch.setattr(embeddings, "GROUP", 2)
+    monkeypatch.setattr(embeddings, "SKETCH", 8)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 6))
+    x = np.concatenate([base[rng.integers(0, 12, 150)] + 0.12 * rng.normal(size=(150, 6)), [[1e-200, 2e-200, 0, 0, 0, 0], [1e200, 2e200, 0, 0, 0, 0], [5e-324, 1e-323, 0, 0, 0, 0]]])
+    rows = [(k, v.tolist(), int(k % 2) if k < 150 else 7) for k, v in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    u = embeddings.unit(x)
+    label = np.array([r[2] for r in rows])
+    link = (u @ u.T >= 0.93) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    want = components(range(len(x)), zip(*map(list, np.nonzero(link)), strict=True))
+    assert got == {k: (int(link[k].sum()), want[k]) for k in range(len(x))} and got[150][0] == 2
+    rows_ = spark.createDataFrame([(1, 5), (1, 6), (2, 7)], "_class long, _check long")
+    a, b = embeddings.renamed(rows_, rows_, shared.scratch(spark, "test"))
+    assert len({r._class for r in b.collect()}) == 3 and sorted(a.collect()) == sorted(b.collect())
+
+
 def test_fingerprints(spark, folder, texts):
     got = {r.doc_id: r for r in imatch.op5_fingerprints(spark, folder).collect()}
     ids, prints = sorted(texts), defaultdict(set)
