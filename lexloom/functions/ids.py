@@ -97,7 +97,11 @@ def cost_usd(prompt: Column, completion: Column, price_in: Column, price_out: Co
     return F.round(part(prompt, price_in) + part(completion, price_out), 8)
 
 
-MIME = {"xml": "application/xml", "html": "text/html", "htm": "text/html", "pdf": "application/pdf", "txt": "text/plain", "json": "application/json", "csv": "text/csv", "md": "text/markdown"}
+MIME = {
+    "xml": "application/xml", "html": "text/html", "htm": "text/html", "pdf": "application/pdf", "txt": "text/plain", "json": "application/json", "csv": "text/csv", "md": "text/markdown",
+    "png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "svg": "image/svg+xml", "zip": "application/zip", "doc": "application/msword", "rtf": "application/rtf",
+    "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", "css": "text/css", "js": "text/javascript",
+}
 
 
 def mime_type(name: Column) -> Column:
@@ -107,15 +111,22 @@ def mime_type(name: Column) -> Column:
     return out
 
 
-def retry_wait(status: Column, attempt: Column, retry_after: Column, remaining: Column, reset_in: Column, base: float = 1.0, longest: int = 900) -> Column:
+#: What is decided about a failed attempt, by its status, in this order: a spent rate limit, and answers worth another try.
+LIMITED, BUSY = (403, 429), (429, 500, 502, 503, 504)
+LONGEST_WAIT = 900
+
+
+def retry_wait(status: Column, attempt: Column, retry_after: Column, remaining: Column, reset_in: Column, base: float = 1.0, longest: float = LONGEST_WAIT) -> Column:
     """Seconds that a client waits before the next attempt, without jitter; NULL: it doesn't try again.
 
-    No status: a connection error.  A spent rate limit waits for its reset unless that is too far off.
+    No status: a connection error.  A spent rate limit waits for its reset (at once, if none is given) and a second more,
+    unless that is too long.
     """
     backoff = base * F.pow(F.lit(2.0), attempt - 1)
-    limited = (remaining == 0) & status.isin(403, 429) & reset_in.isNotNull()
+    reset = F.greatest(F.coalesce(reset_in, F.lit(0)), F.lit(0)).cast("double") + 1
+    after = F.regexp_extract(text(retry_after), "^[0-9]+$", 0)
     return (
         F.when(status.isNull(), backoff)
-        .when(limited, F.when(reset_in <= longest, (reset_in + 1).cast("double")))
-        .when((status == 429) | (status >= 500), F.coalesce(F.try_to_number(F.regexp_extract(text(retry_after), "^[0-9]{1,9}$", 0), F.lit("999999999")).cast("double"), backoff))
+        .when((remaining == 0) & status.isin(*LIMITED), F.when(reset <= longest, reset))
+        .when(status.isin(*BUSY), F.when(after != "", after.try_cast("double")).otherwise(backoff))
     )

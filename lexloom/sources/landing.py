@@ -18,11 +18,29 @@ def gate(sources: DataFrame, system: str) -> DataFrame:
     return sources.filter(F.col("connector") == system).withColumn("approved", F.coalesce(F.col("status") == "approved", F.lit(False)))
 
 
+#: Rows that a register (sources, law names) may have to be sent to every task.
+REGISTER = 100_000
+
+
+def register(rows: DataFrame, what: str) -> DataFrame:
+    """rows for a broadcast, once their number is checked."""
+    if rows.limit(REGISTER + 1).count() > REGISTER:
+        raise ValueError(f"the register of {what} has more than {REGISTER} rows")
+    return F.broadcast(rows)
+
+
 def longest_prefix(files: DataFrame, sources: DataFrame, path: str = "path", prefix: str = "repo_path") -> DataFrame:
-    """Each file with the source of the longest prefix of its path, or NULLs.  Sources are a register of bounded size."""
-    both = files.join(F.broadcast(sources), files[path].startswith(sources[prefix]), "left")
-    w = Window.partitionBy(*files.columns).orderBy(F.char_length(prefix).desc_nulls_last(), prefix)
-    return both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """Each file with the source of the longest prefix of its path, or NULLs; repeated files stay.
+
+    A path is cut at each length that a prefix has, so files meet the register by equality, longest first.
+    """
+    named = sources.dropDuplicates([prefix])
+    lengths = sorted((r[0] for r in register(sources.select(F.char_length(prefix).alias("n")).distinct(), "prefix lengths").collect() if r[0] is not None), reverse=True)
+    cuts = F.array(*(F.when(F.char_length(path) >= n, F.substring(path, 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>")
+    known = register(named.select(F.col(prefix).alias("_p")), "sources").agg(F.collect_set("_p").alias("_all"))
+    found = F.get(F.filter(cuts, lambda c: c.isNotNull() & F.array_contains("_all", c)), F.lit(0))
+    cut = files.join(F.broadcast(known)).withColumn("_cut", found).drop("_all")  # the register is one row
+    return cut.join(register(named, "sources"), F.col("_cut") == F.col(prefix), "left").drop("_cut")
 
 
 def skip_reason(path: Column, registered: Column, approved: Column, size: Column, known: Column, extensions: tuple[str, ...], max_bytes: int) -> Column:
@@ -48,7 +66,22 @@ def first_wins(rows: DataFrame, known: DataFrame, key: str, *order: Column) -> D
     return both.withColumn("reason", F.when(F.col("_known").isNull() & (F.col("_rn") == 1), "loaded").otherwise("duplicate_content")).drop("_known", "_rn")
 
 
-def write_batch(out: str, connector: str, load_id: str, files: list[dict], api_calls: list[dict] | None = None, skipped: dict | None = None) -> Path:
+def landing_path(system: str, source_id: str, doc_id: str, file_name: str) -> str:
+    """Where a file lies below the landing root."""
+    return f"{system}/{source_id}/{doc_id[:12]}/{file_name}"
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A file on any file system that Spark reaches; an old one is replaced."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def write_batch(out: str, connector: str, load_id: str, files: list[dict], api_calls: list[dict] | None = None, skipped: dict | None = None, commit: str | None = None) -> Path:
     """Files of a batch, and its manifest last: a batch without one doesn't count.  For the machine at the edge."""
     now = datetime.now(UTC)
     folder = Path(out) / "incoming" / connector / now.strftime("%Y-%m-%d") / load_id
@@ -57,34 +90,47 @@ def write_batch(out: str, connector: str, load_id: str, files: list[dict], api_c
     for f in files:
         (folder / f["file_name"]).write_bytes(f["content"])
         listed.append({k: v for k, v in f.items() if k != "content"} | {"sha256": hashlib.sha256(f["content"]).hexdigest(), "size_bytes": len(f["content"])})
-    body = {"manifest_version": 1, "load_id": load_id, "connector": connector, "fetched_at": now.isoformat(), "files": listed, "skipped": skipped or {}, "api_calls": api_calls or []}
-    (folder / "_manifest.json").write_text(json.dumps(body))
+    body = {"manifest_version": 1, "load_id": load_id, "connector": connector, "fetched_at": now.isoformat(), "git_commit": commit, "files": listed, "skipped": skipped or {}, "api_calls": api_calls or []}
+    (folder / "_manifest.json").write_text(json.dumps(body, default=str))
     return folder
 
 
-MANIFEST = "manifest_version int, load_id string, connector string, fetched_at string, files array<struct<source_id:string,file_name:string,sha256:string,size_bytes:bigint,source_ref:string,source_url:string,source_version:string>>, api_calls array<struct<call_id:string,method:string,endpoint:string,status_code:int,attempt:int,latency_ms:int,called_at:string>>"
+MANIFEST = "manifest_version int, load_id string, connector string, fetched_at string, files array<struct<source_id:string,file_name:string,sha256:string,size_bytes:bigint,source_ref:string,source_url:string,source_version:string>>, api_calls array<struct<call_id:string,method:string,endpoint:string,status_code:int,attempt:int,latency_ms:int,response_bytes:bigint,rate_limit_remaining:int,error_type:string,called_at:string>>"
 
 
 def pending(spark: SparkSession, root: str, connector: str, mark: str | None) -> DataFrame:
     """Manifests after the mark, with their folder, oldest first.
 
     Spark's readers pass over names that start with an underscore, so the driver reads these control files, one small
-    file a batch, by Hadoop's file system.
+    file a batch, by Hadoop's file system; folders of days before the mark's aren't opened.
     """
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/incoming/{connector}/*/*/_manifest.json")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     rows = []
     for status in fs.globStatus(p) or []:
+        folder = status.getPath().getParent()
+        if mark and folder.getParent().getName() < mark[:10]:
+            continue
         stream = fs.open(status.getPath())
-        rows.append((str(status.getPath().getParent()), bytes(stream.readAllBytes()).decode()))
+        rows.append((str(folder), bytes(stream.readAllBytes()).decode()))
         stream.close()
     df = spark.createDataFrame(rows, "folder string, body string").select("folder", F.from_json("body", MANIFEST).alias("m")).select("folder", "m.*")
     return (df.filter(F.col("fetched_at") > mark) if mark else df).orderBy("fetched_at")
 
 
+def plain(path: Column) -> Column:
+    """A path without its scheme."""
+    return F.regexp_replace(path, "^[a-z][a-z0-9+.-]*:/+", "/")
+
+
+def checked(listed: DataFrame, content: Column, declared: str = "sha256") -> DataFrame:
+    """Listed files with the hash of what was found (doc_id, NULL if nothing was) and whether it is the declared one."""
+    return listed.withColumn("doc_id", F.when(content.isNotNull(), ids.content_hash(content))).withColumn("intact", F.coalesce(F.col("doc_id") == F.col(declared), F.lit(False)))
+
+
 def verified(spark: SparkSession, manifests: DataFrame, root: str, connector: str) -> DataFrame:
-    """Files of the manifests with their content hash and whether it is the declared one."""
-    listed = manifests.select("load_id", "fetched_at", "folder", F.explode("files").alias("f")).select("load_id", "fetched_at", F.concat_ws("/", "folder", "f.file_name").alias("path"), "f.*")
-    found = spark.read.format("binaryFile").load(f"{root}/incoming/{connector}/*/*/*").select(F.col("path").alias("_path"), "content")
-    both = listed.join(found, F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace("_path", "^file:/+", "/"), "left")
-    return both.withColumn("doc_id", ids.content_hash(F.col("content"))).withColumn("intact", F.coalesce(F.col("doc_id") == F.col("sha256"), F.lit(False))).drop("_path")
+    """Files of the manifests, with their place in the manifest (position), content, hash and whether it is the declared one."""
+    listed = manifests.select("load_id", "fetched_at", "folder", F.posexplode("files").alias("position", "f")).select("load_id", "fetched_at", "position", F.concat_ws("/", "folder", "f.file_name").alias("path"), "f.*")
+    found = spark.read.format("binaryFile").option("ignoreCorruptFiles", "true").load(f"{root}/incoming/{connector}/*/*/*").select(F.col("path").alias("_path"), "content")
+    both = listed.join(found, plain(F.col("path")) == plain(F.col("_path")), "left").drop("_path")
+    return checked(both, F.col("content"))
