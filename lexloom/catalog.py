@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 #: Declared types and their Spark names.
 TYPES = {"string": "STRING", "int": "INT", "long": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "array<string>": "ARRAY<STRING>", "array<float>": "ARRAY<FLOAT>"}
-CLASSIFICATIONS, LAYERS = ("Public", "Internal", "Confidential"), ("bronze", "silver", "gold", "ops")
+CLASSIFICATIONS, LAYERS = ("Public", "Internal", "Confidential", "Restricted"), ("bronze", "silver", "gold", "ops")
 #: Tables that need no load_id.
 NO_LOAD_ID = ("gold.llm_call_log", "gold.eval_questions", "gold.eval_results")
 
@@ -84,28 +84,6 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], spec(name).schema())
 
 
-def problems(tables: dict[str, Table], rules: list, checks_need_column: tuple[str, ...] = ("unique", "not_null", "min_value", "max_value", "allowed_values", "foreign_key")) -> list[str]:
-    """What is wrong with a catalog and its rules, in words."""
-    out, seen = [], set()
-    for t in tables.values():
-        names = [n for n, _, _ in t.fields()]
-        out += [f"{t.name}: unknown layer"] * (t.layer not in LAYERS) + [f"{t.name}: unknown classification {t.classification}"] * (t.classification not in CLASSIFICATIONS)
-        out += [f"{t.name}: key column {k} isn't declared" for k in t.key if k not in names]
-        out += [f"{t.name}: load_id is missing"] * (t.layer != "ops" and t.name not in NO_LOAD_ID and "load_id" not in names)
-        out += [f"{t.name}: type {ty} of {n} is unknown" for n, ty, _ in t.fields() if ty not in TYPES]
-    for table, r in rules:
-        out += [f"{r.rule_id}: declared twice"] * (r.rule_id in seen)
-        seen.add(r.rule_id)
-        if table not in tables:
-            out.append(f"{r.rule_id}: unknown table {table}")
-        elif r.check in checks_need_column and not r.columns and r.column not in [n for n, _, _ in tables[table].fields()]:
-            out.append(f"{r.rule_id}: unknown column {r.column}")
-        if r.check == "foreign_key" and (r.references or "").rpartition(".")[0] not in tables:
-            out.append(f"{r.rule_id}: unknown reference {r.references}")
-    out += [f"{t}: no rule" for t in tables if t not in {x for x, _ in rules}] if rules else []
-    return out
-
-
 def markdown(tables: dict[str, Table], rules: list) -> str:
     """The catalog as Markdown, with the number of rules of each table."""
     lines = ["# Data catalog", ""]
@@ -114,3 +92,12 @@ def markdown(tables: dict[str, Table], rules: list) -> str:
         lines += [f"## {t.name}", "", f"Key: {', '.join(t.key)}. Mode: {t.mode}. Classification: {t.classification}. Rules: {n}.", "", "| column | type | nullable |", "|-|-|-|"]
         lines += [f"| {c} | {ty} | {'yes' if null else 'no'} |" for c, ty, null in t.fields()] + [""]
     return "\n".join(lines)
+
+
+def described(tables: list[dict]) -> dict[str, Table]:
+    """Tables from the entries of a catalog file: name, primary_key, write_mode, columns and governance fields."""
+    out = {}
+    for e in tables:
+        columns = ", ".join(f"{c['name']} {c['type']}{'?' if c['nullable'] else ''}" for c in e["columns"])
+        out[e["name"]] = Table(e["name"], tuple(e["primary_key"]), e["write_mode"], columns, e["classification"], e["domain"], e["retention_days"])
+    return out

@@ -6,7 +6,8 @@ An outcome is (rule_id, passed, observed_value, threshold, failed_rows).  NULLs
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +31,29 @@ class Rule:
     columns: tuple[str, ...] = field(default=())
 
 
-_custom: dict[str, Callable[[DataFrame, Rule], DataFrame]] = {}
+@dataclass(frozen=True)
+class Context:
+    """What checks of their own may look at besides their table."""
+
+    tables: Callable[[str], DataFrame] | None = None
+    #: The source register, as a frame of source_id and status.
+    sources: DataFrame | None = None
+    landing_root: str | None = None
+    rule_ids: tuple[str, ...] = ()
+    #: The classes that each chat model may see.
+    models: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    vector_length: int = 1024
+    chunker_version: str = "1"
+    now: datetime | None = None
+
+
+Check = Callable[[DataFrame, Rule, Context], DataFrame]
+_custom: dict[str, Check] = {}
 
 
 def custom(rule_id: str):
-    """Registers a check (df, rule) -> one outcome row."""
-    def add(f: Callable[[DataFrame, Rule], DataFrame]):
+    """Registers a check (df, rule, context) -> one outcome row."""
+    def add(f: Check) -> Check:
         _custom[rule_id] = f
         return f
 
@@ -92,8 +110,9 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFram
     return df.join(keys, df[column].eqNullSafe(keys["_key"]), "left_anti")
 
 
-def check_rules(df: DataFrame, rules: list[Rule], tables: Callable[[str], DataFrame] | None = None) -> DataFrame:
-    """Outcomes of all rules of one table."""
+def check_rules(df: DataFrame, rules: list[Rule], tables: Callable[[str], DataFrame] | None = None, context: Context | None = None) -> DataFrame:
+    """Outcomes of all rules of one table; a custom rule's check goes by its id, or by its expression if it has one."""
+    context = replace(context or Context(), tables=tables) if tables else context or Context()
     scalar = [(r, s) for r in rules if (s := _scalar(r)) is not None]
     out: list[DataFrame] = []
     if scalar:
@@ -108,12 +127,13 @@ def check_rules(df: DataFrame, rules: list[Rule], tables: Callable[[str], DataFr
             out.append(_outcome(d, r, F.col("n") == 0, F.col("n"), F.lit(0.0), F.col("n")))
         elif r.check == "foreign_key":
             table, _, key = r.references.rpartition(".")
-            d = orphans(df, r.column, tables(table), key).agg(F.count("*").alias("n"))
+            d = orphans(df, r.column, context.tables(table), key).agg(F.count("*").alias("n"))
             out.append(_outcome(d, r, F.col("n") == 0, F.col("n"), F.lit(0.0), F.col("n")))
         elif r.check == "custom":
-            if r.rule_id not in _custom:
-                raise NotImplementedError(f"no check is registered for {r.rule_id}")
-            out.append(_custom[r.rule_id](df, r))
+            name = r.expression or r.rule_id
+            if name not in _custom:
+                raise NotImplementedError(f"no check is registered for {name}")
+            out.append(_custom[name](df, r, context))
     if not out:
         return df.sparkSession.createDataFrame([], OUTCOME)
     total = out[0]
@@ -155,9 +175,10 @@ def report(res: DataFrame) -> Report:
     return Report(sorted(r.rule_id for r in bad if r.severity == "critical"), sorted(r.rule_id for r in bad if r.severity != "critical"), sorted(r.rule_id for r in rows if r.status == "pass"))
 
 
-def run_checks(table: str, df: DataFrame, rules: list[Rule], run_id: str, store=None) -> Report:
+def run_checks(table: str, df: DataFrame, rules: list[Rule], run_id: str, store=None, context: Context | None = None) -> Report:
     """Checks a candidate image and appends the results, also when it fails; the caller gates on the report."""
-    res = results(check_rules(df, rules, store.read if store else None), rules, table, run_id).cache()
+    tables = context.tables if context and context.tables else store.read if store else None
+    res = results(check_rules(df, rules, tables, context), rules, table, run_id).cache()
     if store is not None:
         store.append("ops.dq_results", res)
     out = report(res)
