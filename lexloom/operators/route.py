@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions import ids
+from lexloom.sources import landing
 
 NOT_FOUND = "NOT_FOUND"
 
@@ -13,29 +14,53 @@ NOT_FOUND = "NOT_FOUND"
 def find_law(questions: DataFrame, laws: DataFrame, question: str = "question") -> DataFrame:
     """questions with law: the source of the longest law name (source_id, name, position) that a question holds as whole words.
 
-    Law names are a register of bounded size; of equal lengths the first in the register wins.
+    Law names are a register of bounded size, sent as one row in the order in which they are tried: longest first, and of
+    equal lengths the first in the register.  Repeated questions stay.
     """
-    pattern = F.concat(F.lit("(?<![a-z0-9])\\Q"), F.lower("name"), F.lit("\\E(?![a-z0-9])"))
-    named = F.broadcast(laws.select("source_id", "name", "position"))
-    both = questions.join(named, F.regexp_like(F.lower(question), pattern), "left")
-    w = Window.partitionBy(*questions.columns).orderBy(F.char_length("name").desc_nulls_last(), "position")
-    return both.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*questions.columns, F.col("source_id").alias("law"))
+    named = landing.register(laws.select("source_id", F.lower("name").alias("name"), "position"), "law names")
+    order = F.struct((-F.char_length("name")).alias("rank"), "position", "name", "source_id")
+    one = F.broadcast(named.agg(F.array_sort(F.collect_list(order)).alias("_laws")))
+    text = F.lower(question)
+    whole = lambda x: text.contains(x["name"]) & F.regexp_like(text, F.concat(F.lit("(?<![a-z0-9])\\Q"), x["name"], F.lit("\\E(?![a-z0-9])")))
+    first = F.get(F.filter("_laws", whole), F.lit(0))
+    return questions.join(one).withColumn("law", first["source_id"]).select(*questions.columns, "law")
+
+
+#: A range of sections is spelled out up to this many; a wider one is compared by its ends.
+SPELLED = 1000
 
 
 def lookup(refs: DataFrame, units: DataFrame) -> DataFrame:
-    """Current main-body units that (number, law) refs name: exactly, or by a range like "s. 30-31"; any law if none is named."""
-    u = units.filter("is_current").withColumn("_lo", F.regexp_extract("unit_ref", r"^s\. ([0-9]{1,9})-([0-9]{1,9})$", 1)).withColumn("_hi", F.regexp_extract("unit_ref", r"^s\. ([0-9]{1,9})-([0-9]{1,9})$", 2))
-    exact = F.col("unit_ref") == F.concat(F.lit("s. "), F.col("number"))
-    n = F.expr("try_cast(CASE WHEN number RLIKE '^[0-9]{1,9}$' THEN number END AS int)")
-    within = (F.col("_lo") != "") & n.between(F.expr("try_cast(_lo AS int)"), F.expr("try_cast(_hi AS int)"))
-    both = refs.join(u, (F.col("law").isNull() | (F.col("source_id") == F.col("law"))) & (exact | within))
-    return both.drop("_lo", "_hi")
+    """Current main-body units that (number, law) refs name, in order of source and place: exactly, or by a range like
+    "s. 30-31"; any law if none is named.
+
+    A unit answers to its own number and, if it is a range, to every number in it, so units and refs meet by equality.
+    """
+    ends = lambda k: F.expr(f"try_cast(regexp_extract(unit_ref, '^s\\\\. ([0-9]{{1,9}})-([0-9]{{1,9}})$', {k}) AS int)")
+    u = units.filter("is_current").withColumns({"_lo": ends(1), "_hi": ends(2)})
+    named = F.regexp_extract("unit_ref", r"(?s)^s\. (.*)$", 1)
+    ranged = F.col("_hi") >= F.col("_lo")
+    inside = F.transform(F.sequence("_lo", F.least("_hi", F.col("_lo") + SPELLED - 1)), lambda n: n.cast("string"))
+    names = F.array_distinct(F.concat(F.array(named), F.when(ranged, inside).otherwise(F.array().cast("array<string>"))))
+    spelled = u.withColumn("_name", F.explode(names)).filter("_name <> ''")
+    plain = F.when(F.col("number").rlike("^[0-9]{1,9}$"), F.col("number").cast("int").cast("string"))
+    asked = refs.withColumn("_name", F.explode(F.array_distinct(F.array_compact(F.array("number", plain)))))
+    # a number with leading zeros names ranges only
+    exact = (F.col("_name") == F.col("number")) | (ranged & F.col("_name").rlike("^[0-9]+$"))
+    both = asked.join(spelled, "_name").filter((F.col("law").isNull() | (F.col("source_id") == F.col("law"))) & exact)
+    wide = u.filter(ranged & (F.col("_hi") - F.col("_lo") >= SPELLED))
+    if wide.limit(1).count():  # a register of its own: hardly any unit spans so many
+        n = F.when(F.col("number").rlike("^[0-9]{1,9}$"), F.col("number").cast("int"))
+        far = refs.join(landing.register(wide, "wide ranges"), n.between(F.col("_lo") + SPELLED, F.col("_hi")) & (F.col("law").isNull() | (F.col("source_id") == F.col("law"))))
+        both = both.drop("_name").unionByName(far.select(*both.drop("_name").columns))
+    return both.drop("_lo", "_hi", "_name").orderBy("source_id", *(["unit_order"] if "unit_order" in units.columns else ["unit_ref"]))
 
 
 def status_of(repealed: Column, in_force: Column) -> Column:
     return F.when(repealed, "repealed").when(~in_force, "not in force").otherwise("in force")
 
 
+# Fixed sentences of the answer about a section that doesn't apply.
 def status_note(law: Column, ref: Column, heading: Column, status: Column, history: Column) -> Column:
     """One sentence that says why a section doesn't apply."""
     head = F.when((ids.text(heading) == "") | (F.lower(heading) == status) | (F.lower(heading) == "repealed"), F.lit("")).otherwise(F.concat(F.lit(" ("), heading, F.lit(")")))

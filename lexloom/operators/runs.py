@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 import contextlib
+import os
+import time
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom import catalog
+from lexloom import catalog, config
 from lexloom.functions import ids
 from lexloom.operators import dq, silver
-from lexloom.sources import markup
+from lexloom.sources import landing, markup
 from lexloom.tables import TableStore
 
 
 @dataclass
 class Run:
+    """A run's receipt."""
+
     run_id: str
     pipeline: str
     started_at: datetime
@@ -27,23 +33,25 @@ class Run:
     ended_at: datetime | None = None
     rows_in: int | None = None
     rows_out: int | None = None
+    git_commit: str | None = None
+    config_hash: str = ""
     error_message: str | None = None
 
-    def save(self, store: TableStore, config_hash: str = "") -> None:
-        row = (self.run_id, self.pipeline, self.started_at, self.ended_at, self.status, self.rows_in, self.rows_out, None, config_hash, self.error_message)
+    def save(self, store: TableStore) -> None:
+        row = tuple(getattr(self, n) for n, _, _ in catalog.spec("ops.run_log").fields())
         store.upsert("ops.run_log", store.spark.createDataFrame([row], catalog.spec("ops.run_log").schema()))
 
 
 @contextlib.contextmanager
-def start_run(store: TableStore, pipeline: str) -> Iterator[Run]:
+def start_run(store: TableStore, pipeline: str, settings: config.Config | None = None) -> Iterator[Run]:
     """A receipt that is RUNNING inside, then SUCCEEDED, or FAILED with the first 2,000 characters of the error."""
-    run = Run(uuid.uuid4().hex, pipeline, datetime.now(UTC))
+    run = Run(str(uuid.uuid4()), pipeline, datetime.now(UTC), git_commit=config.commit_id(), config_hash=(settings or config.Config(os.environ.get("LEXLOOM_CONFIG_DIR"))).hash())
     run.save(store)
     try:
         yield run
         run.status = "SUCCEEDED"
     except Exception as e:
-        run.status, run.error_message = "FAILED", str(e)[:2000]
+        run.status, run.error_message = "FAILED", f"{type(e).__name__}: {e}"[:2000]
         raise
     finally:
         run.ended_at = datetime.now(UTC)
@@ -55,94 +63,202 @@ def mark(store: TableStore, system: str, scope: str) -> str | None:
     return row[0] if row else None
 
 
+def set_marks(store: TableStore, marks: list[tuple[str, str, str]] | DataFrame, run_id: str) -> None:
+    """Saves positions (source_system, scope, watermark_value), all in one write."""
+    if isinstance(marks, list):
+        if not marks:
+            return
+        marks = store.spark.createDataFrame(marks, "source_system string, scope string, watermark_value string")
+    store.upsert("ops.watermarks", marks.withColumns({"updated_at": _now(), "load_id": F.lit(run_id)}))
+
+
 def set_mark(store: TableStore, system: str, scope: str, value: str, run_id: str) -> None:
-    store.upsert("ops.watermarks", store.spark.createDataFrame([(system, scope, value, datetime.now(UTC), run_id)], catalog.spec("ops.watermarks").schema()))
+    set_marks(store, [(system, scope, value)], run_id)
 
 
 def _now() -> Column:
     return F.lit(datetime.now(UTC)).cast("timestamp")
 
 
-def build_silver(store: TableStore, contents: DataFrame, sources: DataFrame, rules: dict[str, list[dq.Rule]] | None = None, version: str = "1", max_tokens: int = 1200, target_tokens: int = 800) -> dict[str, int]:
+Rules = dict[str, list[dq.Rule]]
+
+
+def latest_documents(store: TableStore, system: str, landing_root: str) -> DataFrame:
+    """(source_id, doc_id, content): of each source of a system the newest registered file, with its bytes.
+
+    Only those files are read: sources are a register of bounded size, so their paths may pass through the driver.
+    """
+    docs = store.read("bronze.raw_documents").filter(F.col("source_system") == system)
+    newest = silver.latest(docs, ["source_id"], F.col("ingested_at").desc(), F.col("doc_id").desc()).select("source_id", "doc_id", "landing_path")
+    root, rows = landing_root.rstrip("/"), newest.limit(landing.REGISTER + 1).collect()
+    if len(rows) > landing.REGISTER:
+        raise ValueError(f"{system} has more than {landing.REGISTER} sources")
+    if not rows:
+        return store.spark.createDataFrame([], "source_id string, doc_id string, content binary")
+    files = store.spark.read.format("binaryFile").load([f"{root}/{r.landing_path}" for r in rows]).select(landing.plain(F.col("path")).alias("_path"), "content")
+    return newest.join(files, landing.plain(F.concat(F.lit(f"{root}/"), F.col("landing_path"))) == F.col("_path")).select("source_id", "doc_id", "content")
+
+
+def parsed_units(todo: DataFrame, run_id: str, per_token: int = 4) -> DataFrame:
+    """Unit rows of documents, with their links."""
+    found = markup.units(todo).withColumn("text_hash", ids.sha(F.col("text"))).withColumn("unit_id", ids.sha(F.col("source_id"), F.col("unit_ref"), F.col("text_hash")))
+    return found.select(
+        "unit_id", "source_id", "doc_id", F.lit("section").alias("unit_type"), "unit_ref", "unit_order", "context_path", "heading", "text", F.char_length("text").alias("char_count"),
+        ids.estimate_tokens(F.col("text"), per_token).alias("token_estimate"), "text_hash", "history_note", "is_repealed", "in_force", F.lit("xml").alias("extraction_method"),
+        F.lit(None).cast("timestamp").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"), F.lit(run_id).alias("load_id"), "links",
+    )
+
+
+class Staged:
+    """Rows to merge into tables, kept until every table has passed its gate; then written in the order they came."""
+
+    def __init__(self, store: TableStore, run: Run, rules: Rules, context: dq.Context | None):
+        self.store, self.run, self.rules, self.context = store, run, rules, context
+        self.rows: list[tuple[str, DataFrame]] = []
+        self.images: dict[str, DataFrame] = {}
+        self.dq: dict[str, str] = {}
+
+    def image(self, table: str) -> DataFrame:
+        """A table as it will be."""
+        return self.images[table] if table in self.images else self.store.read(table)
+
+    def add(self, table: str, merged: DataFrame, look_at: Callable[[DataFrame], DataFrame] = lambda df: df) -> int:
+        """Stages rows and gates on what look_at takes of the table as it will be; rules see other tables so, too."""
+        merged = merged.select(*(n for n, _, _ in catalog.spec(table).fields())).cache()
+        self.images[table] = silver.apply_merge(self.store.read(table), merged, list(catalog.spec(table).key))
+        rep = dq.run_checks(table, look_at(self.images[table]), self.rules.get(table, []), self.run.run_id, self.store, replace(self.context or dq.Context(), tables=self.image))
+        self.dq[table] = rep.summary
+        dq.gate(rep, table)
+        self.rows.append((table, merged))
+        return merged.count()
+
+    def write(self) -> None:
+        for table, merged in self.rows:
+            if merged.limit(1).count():
+                self.store.upsert(table, merged)
+
+
+def build_silver(store: TableStore, contents: DataFrame, sources: DataFrame, rules: Rules | None = None, version: str = "1", max_tokens: int = 1200, target_tokens: int = 600, context: dq.Context | None = None, settings: config.Config | None = None) -> dict[str, int]:
     """contents (source_id, doc_id, content), one row a source, to units, references and chunks.
 
-    All three are staged and gated before any is written, and an unchanged document isn't parsed again.
+    All three are staged and gated before any is written, an unchanged document isn't parsed again, and the positions move
+    last.  After a failure between two writes the same call completes them: links are those of current units that the
+    table lacks, and chunks are compared with what the units ask for.
     """
-    rules = rules or {}
-    with start_run(store, "silver") as run:
+    with start_run(store, "silver", settings) as run:
         done = store.read("ops.watermarks").filter("source_system = 'silver'").select(F.col("scope").alias("_s"), F.col("watermark_value").alias("_w"))
         todo = contents.join(done, (F.col("source_id") == F.col("_s")) & (F.col("doc_id") == F.col("_w")), "left_anti").cache()
-        stats: dict[str, int] = {"documents_up_to_date": contents.count() - todo.count()}
-        existing = store.read("silver.document_units")
-        if todo.limit(1).count():
-            parsed = markup.units(todo).withColumn("text_hash", ids.sha(F.col("text"))).withColumn("unit_id", ids.sha(F.col("source_id"), F.col("unit_ref"), F.col("text_hash"))).cache()
-            full = parsed.select(
-                "unit_id", "source_id", "doc_id", F.lit("section").alias("unit_type"), "unit_ref", "unit_order", "context_path", "heading", "text", F.char_length("text").alias("char_count"),
-                ids.estimate_tokens(F.col("text")).alias("token_estimate"), "text_hash", "history_note", "is_repealed", "in_force", F.lit("xml").alias("extraction_method"),
-                F.lit(None).cast("timestamp").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"), F.lit(run.run_id).alias("load_id"),
-            )
-            mine = existing.join(todo.select("source_id"), "source_id", "left_semi").select(*existing.columns)
-            key = ["source_id", "unit_ref"]
-            for r in silver.scd2_compare(mine.filter("is_current"), full, key).groupBy("change").count().collect():
+        total, fresh = contents.count(), todo.count()
+        stats: dict[str, int] = {"documents_up_to_date": total - fresh, "documents_parsed": fresh}
+        staged = Staged(store, run, rules or {}, context)
+        if fresh:
+            parsed, existing = parsed_units(todo, run.run_id).cache(), store.read("silver.document_units")
+            mine, key = existing.join(todo.select("source_id"), "source_id", "left_semi").select(*existing.columns), ["source_id", "unit_ref"]
+            for r in silver.scd2_compare(mine.filter("is_current"), silver.latest(parsed, key, F.col("unit_order").desc()), key).groupBy("change").count().collect():
                 stats[r.change] = r["count"]
-            merged = silver.scd2(mine, full, key, _now()).withColumn("load_id", F.lit(run.run_id)).cache()
-            image = silver.apply_merge(existing, merged, ["unit_id"])
-            fresh = merged.filter("is_current").select("unit_id")
-            refs = parsed.select("unit_id", "source_id", "unit_ref", F.posexplode("links").alias("pos", "link")).join(fresh, "unit_id", "left_semi").select(
-                ids.sha(F.col("unit_id"), F.col("pos")).alias("ref_id"), "unit_id", "source_id", "unit_ref", F.col("link.href").alias("target_href"), ids.target_document(F.col("link.href")).alias("target_doc_id"), F.col("link.label").alias("target_text"), F.lit(run.run_id).alias("load_id"),
-            )
-            dq.gate(dq.run_checks("silver.document_units", image, rules.get("silver.document_units", []), run.run_id, store), "silver.document_units")
-            store.upsert("silver.document_units", merged)
-            if refs.limit(1).count():
-                store.upsert("silver.cross_references", refs.dropDuplicates(["ref_id"]))
-        units = store.read("silver.document_units").join(F.broadcast(sources.select("source_id", "title", "jurisdiction")), "source_id", "left")
-        stats |= sync_chunks(store, units, run.run_id, rules, version, max_tokens, target_tokens)
-        for r in todo.select("source_id", "doc_id").collect():  # one a changed source
-            set_mark(store, "silver", r.source_id, r.doc_id, run.run_id)
+            stats["repeated_refs"] = parsed.count() - parsed.select(*key).distinct().count()
+            merged = silver.scd2(mine, parsed.drop("links"), key, _now())
+            staged.add("silver.document_units", merged.withColumn("load_id", F.lit(run.run_id)))
+            current = staged.image("silver.document_units").filter("is_current").select("unit_id")
+            refs = markup.references(parsed.join(current, "unit_id", "left_semi")).dropDuplicates(["ref_id"]).withColumn("load_id", F.lit(run.run_id))
+            refs = refs.join(store.read("silver.cross_references").select("ref_id"), "ref_id", "left_anti")
+            stats["cross_references_added"] = staged.add("silver.cross_references", refs)
+        units = staged.image("silver.document_units").join(landing.register(sources.select("source_id", "title", "jurisdiction"), "sources"), "source_id", "left")
+        stats |= sync_chunks(staged, units, version, max_tokens, target_tokens)
+        staged.write()
+        set_marks(store, todo.select(F.lit("silver").alias("source_system"), F.col("source_id").alias("scope"), F.col("doc_id").alias("watermark_value")), run.run_id)
+        run.rows_in, run.rows_out = total, stats["inserted"] + stats["retired"]
         return stats
 
 
-def sync_chunks(store: TableStore, units: DataFrame, run_id: str, rules: dict[str, list[dq.Rule]], version: str, max_tokens: int, target_tokens: int) -> dict[str, int]:
-    existing = store.read("silver.chunks")
+def sync_chunks(staged: Staged, units: DataFrame, version: str, max_tokens: int, target_tokens: int) -> dict[str, int]:
+    """Stages the chunks that units ask for; rules look at active ones."""
+    existing = staged.store.read("silver.chunks")
     desired = silver.build_chunks(units, max_tokens, target_tokens, version).cache()
     actions = silver.sync(existing, desired).cache()
     stats = {"inserted": 0, "retired": 0, "unchanged": 0} | {r.action: r["count"] for r in actions.groupBy("action").count().collect()}
-    new = desired.join(actions.filter("action = 'inserted'").select("chunk_id"), "chunk_id", "left_semi").withColumns({"is_active": F.lit(True), "retired_at": F.lit(None).cast("timestamp"), "load_id": F.lit(run_id)})
+    new = desired.join(actions.filter("action = 'inserted'").select("chunk_id"), "chunk_id", "left_semi").withColumns({"is_active": F.lit(True), "retired_at": F.lit(None).cast("timestamp"), "load_id": F.lit(staged.run.run_id)})
     old = existing.filter("is_active").join(actions.filter("action = 'retired'").select("chunk_id"), "chunk_id", "left_semi").withColumns({"is_active": F.lit(False), "retired_at": _now()})
-    merged = new.select(*existing.columns).unionByName(old.select(*existing.columns))
-    dq.gate(dq.run_checks("silver.chunks", silver.apply_merge(existing, merged, ["chunk_id"]), rules.get("silver.chunks", []), run_id, store), "silver.chunks")
-    if stats["inserted"] or stats["retired"]:
-        store.upsert("silver.chunks", merged)
+    staged.add("silver.chunks", new.select(*existing.columns).unionByName(old.select(*existing.columns)), lambda df: df.filter("is_active"))
     return stats
 
 
-def embed_chunks(store: TableStore, embed: Callable[[DataFrame], DataFrame], model: str, dim: int, rules: list[dq.Rule] | None = None) -> dict[str, int]:
-    """Vectors in step with chunks: embed(df of chunk_id, text) gives chunk_id and vector; retired and private chunks lose theirs."""
-    with start_run(store, "embed") as run:
+Embed = Callable[[DataFrame], DataFrame]
+
+
+def embed_chunks(store: TableStore, embed: Embed, model: str, dim: int, rules: list[dq.Rule] | None = None, context: dq.Context | None = None, settings: config.Config | None = None) -> dict[str, int]:
+    """Vectors in step with chunks: embed(df of chunk_id, text) gives chunk_id and vector; retired and private chunks lose theirs.
+
+    Rules look at active vectors.
+    """
+    with start_run(store, "gold_embeddings", settings) as run:
         chunks, vectors = store.read("silver.chunks"), store.read("gold.chunk_embeddings")
         todo = silver.embed_todo(chunks, vectors, model).cache()
         stats = {"inserted": 0, "retired": 0, "unchanged": 0} | {r.action: r["count"] for r in todo.groupBy("action").count().collect()}
         new = embed(chunks.join(todo.filter("action = 'inserted'"), "chunk_id", "left_semi").select("chunk_id", "text"))
-        new = new.select("chunk_id", F.lit(model).alias("embedding_model"), F.lit(dim).alias("embedding_dim"), "vector", F.lit(True).alias("is_active"), F.lit(None).cast("timestamp").alias("retired_at"), F.lit(run.run_id).alias("load_id")).cache()
+        new = new.select("chunk_id", F.lit(model).alias("embedding_model"), F.size("vector").alias("embedding_dim"), "vector", F.lit(True).alias("is_active"), F.lit(None).cast("timestamp").alias("retired_at"), F.lit(run.run_id).alias("load_id")).cache()
         if new.count() != stats["inserted"]:
-            raise RuntimeError("the embedder left out or repeated chunks")
+            raise RuntimeError("the embedder left out or repeated chunks; nothing written")
         wrong = new.filter(F.size("vector") != dim).count()
         if wrong:
             raise dq.GateFailed(f"gold.chunk_embeddings: {wrong} vectors aren't {dim} long")
         old = vectors.filter((F.col("embedding_model") == model) & F.col("is_active")).join(todo.filter("action = 'retired'"), "chunk_id", "left_semi").withColumns({"is_active": F.lit(False), "retired_at": _now()})
-        merged = new.unionByName(old.select(*new.columns))
-        dq.gate(dq.run_checks("gold.chunk_embeddings", silver.apply_merge(vectors, merged, ["chunk_id", "embedding_model"]), rules or [], run.run_id, store), "gold.chunk_embeddings")
-        if stats["inserted"] or stats["retired"]:
-            store.upsert("gold.chunk_embeddings", merged)
+        staged = Staged(store, run, {"gold.chunk_embeddings": rules or []}, context)
+        staged.add("gold.chunk_embeddings", new.unionByName(old.select(*new.columns)), lambda df: df.filter("is_active"))
+        staged.write()
+        run.rows_in, run.rows_out = stats["inserted"] + stats["unchanged"], stats["inserted"] + stats["retired"]
         return stats
 
 
-def hash_embedder(dim: int = 1024) -> Callable[[DataFrame], DataFrame]:
-    """A deterministic stand-in for a model: words hashed to slots and counted, of length one."""
+def batches(rows: DataFrame, size: int, lanes: int = 1) -> DataFrame:
+    """rows (chunk_id, ...) with lane and batch: size rows a batch, in the order of chunk_id within a lane."""
+    lane = F.pmod(F.xxhash64("chunk_id"), F.lit(lanes)).cast("int")
+    order = Window.partitionBy("lane").orderBy("chunk_id")
+    return rows.withColumn("lane", lane).withColumn("batch", F.floor((F.row_number().over(order) - 1) / size).cast("long"))
+
+
+def in_order(reply: list[dict]) -> list[list[float]]:
+    """The vectors of a service's reply in the order of what was sent, whatever the order in which they come."""
+    return [d["embedding"] for d in sorted(reply, key=lambda d: d.get("index", 0))]
+
+
+def batched_embedder(send: Callable[[list[str]], list[dict]], size: int = 8, pause: float = 1.0, lanes: int = 1, sleep: Callable[[float], None] = time.sleep) -> Embed:
+    """An embedder over a service that takes size texts a call: send(texts) gives {index, embedding} entries.
+
+    Calls of a lane follow each other after a pause; lanes are as many calls at once as the service allows.
+    """
+    def lane(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, out = rows.sort_values("chunk_id"), []
+        for k in range(0, len(rows), size):
+            if k:
+                sleep(pause)
+            texts = list(rows["text"][k : k + size])
+            got = in_order(send(texts))
+            if len(got) != len(texts):
+                raise RuntimeError(f"asked for {len(texts)} vectors, got {len(got)}")
+            out += [[float(x) for x in v] for v in got]
+        return pd.DataFrame({"chunk_id": rows["chunk_id"], "vector": out})
+
     def embed(df: DataFrame) -> DataFrame:
-        slots = F.transform(ids.words(F.col("text")), lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(dim)))
-        raw = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda k: F.size(F.filter(F.col("_s"), lambda s: s == k)).cast("double"))
-        out = df.withColumn("_s", slots).withColumn("_v", raw).withColumn("_n", ids.norm(F.col("_v")))
-        return out.select("chunk_id", F.transform("_v", lambda x: (x / F.col("_n")).cast("float")).alias("vector"))
+        dealt = df.select("chunk_id", "text", F.pmod(F.xxhash64("chunk_id"), F.lit(lanes)).alias("lane"))
+        return dealt.groupBy("lane").applyInPandas(lane, "chunk_id string, vector array<float>")
 
     return embed
+
+
+def word_slots(text: Column, dim: int) -> Column:
+    """A slot for each word of a text, by its hash."""
+    return F.transform(ids.words(text), lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int"))
+
+
+def hash_embedder(dim: int = 1024) -> Embed:
+    """A deterministic stand-in for a model: words hashed to slots and counted, of length one."""
+    @F.pandas_udf("array<float>")
+    def counted(slots: pd.Series) -> pd.Series:
+        def one(x):
+            v = np.bincount(x, minlength=dim).astype(np.float64) if len(x) else np.zeros(dim)
+            return (v / (np.linalg.norm(v) or 1.0)).astype(np.float32)
+
+        return slots.map(one)
+
+    return lambda df: df.select("chunk_id", counted(word_slots(F.col("text"), dim)).alias("vector"))

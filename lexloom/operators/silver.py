@@ -101,7 +101,11 @@ def sync(existing: DataFrame, desired: DataFrame, key: str = "chunk_id") -> Data
     return both.select(F.coalesce("_new", "_old").alias(key), action.alias("action"))
 
 
+def wanted(chunks: DataFrame) -> DataFrame:
+    """Chunks that must be searchable: active, and without personal data."""
+    return chunks.filter("is_active AND NOT pii_flag")
+
+
 def embed_todo(chunks: DataFrame, vectors: DataFrame, model: str) -> DataFrame:
     """chunk_id and action for wanted chunks (active, without personal data) against active vectors of a model."""
-    wanted = chunks.filter("is_active AND NOT pii_flag")
-    return sync(vectors.filter(F.col("embedding_model") == model), wanted)
+    return sync(vectors.filter(F.col("embedding_model") == model), wanted(chunks))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,25 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def shared(self) -> str:
+        """A folder that driver and executors share."""
+        base = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.sparkContext.getCheckpointDir()
+        if not base:
+            if not self.spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            base = "file://" + tempfile.mkdtemp(prefix="lexloom-")
+            self.spark.sparkContext.setCheckpointDir(base)
+        return base.rstrip("/")
+
+    def state(self, *names: str) -> str:
+        """What changes with the files of tables: their names, sizes and times, hashed."""
+        seen = []
+        for name in names:
+            p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{name}.parquet")
+            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            seen += sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))
+        return hashlib.sha256(repr(seen).encode()).hexdigest()[:24]
+
     def values(self, rows: list[tuple], schema: str) -> DataFrame:
         return self.spark.createDataFrame(rows, schema)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from lexloom.functions import ids
 from lexloom.operators import silver
 from lexloom.plans.common import Registry, Tables
 from lexloom.sources import landing, markup
+from lexloom.streaming import ingest
+from lexloom.tables import TableStore
 
 R = Registry()
 
@@ -58,9 +62,11 @@ def longest_prefix_source(t: Tables):
     return landing.longest_prefix(files, t.documents.select(F.col("source").alias("repo_path")).distinct())
 
 
-@R.add("manifest_integrity", "SELECT doc_id, n_chars AS declared, length(text) AS found, n_chars = length(text) AS intact FROM documents")
+@R.add("manifest_integrity", """SELECT doc_id::VARCHAR AS file, CASE WHEN doc_id % 13 <> 0 THEN sha256(text) END AS doc_id, doc_id % 13 <> 0 AND doc_id % 7 <> 0 AS intact FROM documents""")
 def manifest_integrity(t: Tables):
-    return t.documents.select("doc_id", F.col("n_chars").alias("declared"), F.char_length("text").cast("long").alias("found"), (F.col("n_chars") == F.char_length("text")).alias("intact"))
+    """Documents as files of a manifest: every seventh hash is a wrong one, and every thirteenth file is missing."""
+    listed = t.documents.select(F.col("doc_id").cast("string").alias("file"), F.when(F.col("doc_id") % 13 != 0, F.col("text").cast("binary")).alias("content"), F.when(F.col("doc_id") % 7 == 0, F.lit("none")).otherwise(F.sha2("text", 256)).alias("sha256"))
+    return landing.checked(listed, F.col("content")).select("file", "doc_id", "intact")
 
 
 @R.add("latest_per_key", "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
@@ -147,16 +153,31 @@ R.add("html_links", """SELECT page_id, i - 1 AS pos, l[i] AS href FROM (SELECT p
 R.add("link_targets", """SELECT page_id, nullif(regexp_extract('/legislation' || regexp_extract(url, '//[^/]*(/[^?#]*)', 1), '/legislation/([^/?#]+)', 1), '') AS target FROM pages""")(lambda t: t.pages.select("page_id", ids.target_document(F.concat(F.lit("/legislation"), F.regexp_extract("url", "//[^/]*(/[^?#]*)", 1))).alias("target")))
 
 
-@R.add("stream_available_now", None)
+@R.add("stream_available_now", "SELECT event_id, user_id FROM events")
 def stream_available_now(t: Tables):
-    """All events, delivered once by a stream and upserted by key into a written table."""
-    import os
-    import tempfile
-
-    from lexloom.streaming import ingest
-
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lexloom-stream-")
-    base = f"{base.rstrip('/')}/stream-{os.urandom(8).hex()}"
-    path, schema = f"{base}/out", t.events.schema
-    ingest.available_now(t.spark, f"{t.sf_dir}/events.parquet*", schema, f"{base}/position", ["event_id"], lambda df, _: df.write.mode("append").parquet(path))
-    return t.spark.read.schema(schema).parquet(path)
+    """All events, delivered by a stream and merged by key, twice over: what comes again changes nothing."""
+    base = f"{t.shared()}/stream-{os.urandom(8).hex()}"
+    store, schema = TableStore(t.spark, f"{base}/lake"), t.events.schema
+    sink = lambda df, k: ingest.into(store, "ops.watermarks")(df.select(F.lit("events").alias("source_system"), F.col("event_id").cast("string").alias("scope"), F.col("user_id").cast("string").alias("watermark_value"), F.lit("2024-01-01").cast("timestamp").alias("updated_at"), F.lit("stream").alias("load_id")), k)
+    for position in ("first", "again"):
+        ingest.available_now(t.spark, f"{t.sf_dir}/events.parquet*", schema, f"{base}/{position}", ["event_id"], sink)
+    return store.read("ops.watermarks").select(F.col("scope").cast("long").alias("event_id"), F.col("watermark_value").cast("long").alias("user_id"))
+
+
+MARKUP = b"""<r:act xmlns:r="urn:r" xmlns:x="urn:x"><part><num>2</num><text>Care</text><division><num>1</num><title>Safety</title>
+<section><marginalnote>Drills</marginalnote><num>13</num><text>Held <link x:href="/legislation/a_01?x">once</link> a month.</text><hnote>[en. 2022]</hnote></section>
+<section><marginalnote>Access</marginalnote><num>12</num><subsection><num>1</num><text>Repealed. [2001]</text></subsection><subsection><num>2</num><text>A person must</text><paragraph><num>a</num><text>give access</text></paragraph></subsection></section>
+</division></part><section><marginalnote>Not in force</marginalnote><num>15</num><text>[Not in force.]</text></section><section><num>30-31</num><hnote>[rep. 2001]</hnote></section>
+<conseqhead><section><num>99</num></section></conseqhead><schedule><scheduletitle>Schedule A</scheduletitle><section><num>1</num>
+<table><trow><entry>Item</entry><entry>Persons</entry></trow><trow><entry>1</entry><entry/></trow></table></section></schedule></r:act>"""
+
+
+@R.add("parsed_units", """SELECT * FROM (VALUES
+(1, 's. 13', 'Part 2 Care > Division 1 Safety', 'Drills', 'Held once a month.', '[en. 2022]', false, true, 'a_01'),
+(2, 's. 12', 'Part 2 Care > Division 1 Safety', 'Access', '(2) A person must' || chr(10) || '(a) give access', '(1) Repealed. [2001]', false, true, NULL),
+(3, 's. 15', NULL, 'Not in force', '[Not in force.]', NULL, false, false, NULL), (4, 's. 30-31', NULL, NULL, '', '[rep. 2001]', true, true, NULL),
+(5, 'Sch. A, s. 1', 'Sch. A', NULL, 'Item: 1 | Persons: ', NULL, false, true, NULL)) v(unit_order, unit_ref, context_path, heading, text, history_note, is_repealed, in_force, target)""")
+def parsed_units(t: Tables):
+    """The markup's rules on a document that uses them."""
+    u = markup.units(t.values([("a", "1", bytearray(MARKUP))], "source_id string, doc_id string, content binary"))
+    return u.select("unit_order", "unit_ref", "context_path", "heading", "text", "history_note", "is_repealed", "in_force", ids.target_document(F.get("links.href", F.lit(0))).alias("target"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
-from lexloom import catalog
+from lexloom import catalog, governance, rules, tables
 from lexloom.operators import dq, silver
 from lexloom.operators.dq import Rule
 from lexloom.plans.common import Registry, Tables
@@ -36,57 +38,92 @@ for _name, (_table, _rule, _query) in SIMPLE.items():
     R.add(_name, _query)(lambda t, table=_table, rule=_rule: dq.check_rules(getattr(t, table), [rule], lambda n: getattr(t, n)))
 
 
-def outcome(df, rule: str, passed, observed, threshold, failed):
-    return df.select(F.lit(rule).alias("rule_id"), passed.alias("passed"), observed.cast("double").alias("observed_value"), F.lit(threshold).cast("double").alias("threshold"), failed.cast("long").alias("failed_rows"))
+def _checked(name: str, check: str, sql: str, threshold: float | None = None, observed: str = "n", passed: str = "n = 0", failed: str = "n"):
+    """Registers the outcome of a shipped rule's own check; the function gives its frame and what else it may look at."""
+    def add(f):
+        rule = Rule(name, "custom", threshold=threshold, expression=check)
+        shown = 0 if threshold is None else threshold
 
+        def run(t: Tables):
+            df, context = f(t)
+            return dq.check_rules(df, [rule], context=context)
 
-def _bad(name: str, sql: str, threshold: float = 0):
-    """Registers a rule that counts bad rows."""
-    def add(f):
-        R.add(name, _sql(name, f"({sql})", "n = 0", "n", str(threshold), "n"))(lambda t: outcome(f(t).agg(F.count("*").alias("n")), name, F.col("n") == 0, F.col("n"), threshold, F.col("n")))
+        R.add(name, _sql(name, f"({sql})", passed, observed, str(shown), failed))(run)
         return f
 
     return add
 
 
+def _chunks(t: Tables):
+    """Documents as chunks, toxic ones private."""
+    toxic = t.labels.filter("toxic = 1").select("doc_id", F.lit(True).alias("_toxic")).distinct()
+    return t.documents.join(toxic, "doc_id", "left").select(F.col("doc_id").alias("chunk_id"), F.lit(True).alias("is_active"), F.coalesce("_toxic", F.lit(False)).alias("pii_flag"))
+
+
+@_checked("dq_source_approved", "DQ-B-004", "SELECT count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def _approved(t: Tables):
-    return t.labels.filter("quality = 1").select("doc_id")
+    sources = t.labels.select(F.col("doc_id").alias("source_id"), F.when(F.col("quality") == 1, "approved").otherwise("pending").alias("status"))
+    return t.documents.select(F.col("doc_id").alias("source_id")), dq.Context(sources=sources)
 
 
-_bad("dq_source_approved", "SELECT count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")(lambda t: t.documents.join(_approved(t), "doc_id", "left_anti"))
-_bad("dq_stuck_runs", "SELECT count(*) AS n FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-20' - INTERVAL 2 HOUR")(lambda t: t.events.filter("event_type = 'view' AND ts < TIMESTAMP_NTZ '2024-01-20' - INTERVAL 2 HOURS"))
-_bad("dq_rule_known", "SELECT count(*) AS n FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)")(lambda t: t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left_anti"))
-_bad("dq_live_units", "SELECT count(*) AS n FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents WHERE lang IN ('en', 'fr'))")(lambda t: t.embeddings.join(t.documents.filter("lang IN ('en', 'fr')"), F.col("vec_id") == F.col("doc_id"), "left_anti"))
-_bad("dq_version", "SELECT count(*) AS n FROM part WHERE p_brand <> 'Brand#11'")(lambda t: t.part.filter("p_brand <> 'Brand#11'"))
-_bad("dq_vector_len", "SELECT count(*) AS n FROM embeddings WHERE len(embedding) <> 64")(lambda t: t.embeddings.filter(F.size("embedding") != 64))
-_bad("dq_no_orphan_vector", "SELECT count(*) AS n FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")(lambda t: t.embeddings.join(t.labels.filter("toxic = 1"), F.col("vec_id") == F.col("doc_id"), "left_semi"))
-_bad("dq_has_source", "SELECT count(*) AS n FROM conversations WHERE text IS NULL OR length(text) = 0")(lambda t: t.conversations.filter("text IS NULL OR length(text) = 0"))
+@_checked("dq_stuck_runs", "DQ-O-001", "SELECT count(*) AS n FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-20' - INTERVAL 2 HOUR")
+def _stuck(t: Tables):
+    at = F.expr("CAST(convert_timezone('UTC', current_timezone(), ts) AS TIMESTAMP)")
+    return t.events.select(F.when(F.col("event_type") == "view", "RUNNING").otherwise("SUCCEEDED").alias("status"), at.alias("started_at")), dq.Context(now=datetime(2024, 1, 20, tzinfo=UTC))
 
 
-@_bad("dq_class_allowed", "SELECT count(*) AS n FROM events e LEFT JOIN (VALUES ('view', ['a', 'e']), ('click', ['c']), ('error', ['x'])) m(model, allowed) ON event_type = model WHERE NOT coalesce(list_contains(allowed, event_type[1]), false)")
-def _classes(t: Tables):
-    m = t.values([("view", ["a", "e"]), ("click", ["c"]), ("error", ["x"])], "model string, allowed array<string>")
-    return t.events.join(F.broadcast(m), F.col("event_type") == F.col("model"), "left").filter(~F.coalesce(F.array_contains("allowed", F.substring("event_type", 1, 1)), F.lit(False)))
+@_checked("dq_rule_known", "DQ-O-002", "SELECT count(*) AS n FROM events WHERE event_type NOT IN ('view', 'click')")
+def _known(t: Tables):
+    return t.events.select(F.col("event_type").alias("rule_id")), dq.Context(rule_ids=("view", "click"))
+
+
+@_checked("dq_dup_share", "DQ-S-005", "SELECT *, coalesce(n / nullif(total, 0), 0) AS share FROM " + _dup("documents", "sha256(text)"), 0.05, "round(share, 4)", "share <= 0.05")
+def _repeats(t: Tables):
+    return t.documents.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_hash")), None
+
+
+@_checked("dq_one_current", "DQ-S-007", "SELECT * FROM " + _dup("(SELECT * FROM lineitem WHERE l_returnflag <> 'R') x", "l_orderkey, l_linestatus"))
+def _current(t: Tables):
+    return t.lineitem.select(F.col("l_orderkey").alias("source_id"), F.col("l_linestatus").alias("unit_ref"), (F.col("l_returnflag") != "R").alias("is_current")), None
 
 
-@R.add("dq_dup_share", _sql("dq_dup_share", _dup("documents", "sha256(text)"), "CASE WHEN total = 0 THEN true ELSE n / total <= 0.05 END", "CASE WHEN total = 0 THEN 0 ELSE round(n / total, 4) END", "0.05", "n"))
-def dq_dup_share(t: Tables):
-    d = dq.duplicates(t.documents.select(F.sha2(F.col("text").cast("binary"), 256).alias("h")), ["h"])
-    share = F.when(F.col("total") == 0, F.lit(0.0)).otherwise(F.col("n") / F.col("total"))
-    return outcome(d, "dq_dup_share", share <= 0.05, F.round(share, 4), 0.05, F.col("n"))
+@_checked("dq_live_units", "DQ-S-008", "SELECT count(*) AS n FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents WHERE lang IN ('en', 'fr'))")
+def _live(t: Tables):
+    units = t.documents.select(F.col("doc_id").alias("unit_id"), F.lit(True).alias("is_current"), (F.col("lang") == "de").alias("is_repealed"), (F.col("lang") != "es").alias("in_force"))
+    return t.embeddings.select(F.col("vec_id").alias("unit_id")), dq.Context({"silver.document_units": units}.__getitem__)
 
 
-@R.add("dq_one_current", _sql("dq_one_current", _dup("lineitem", "l_orderkey, l_linenumber"), "n = 0", "n", "0", "n"))
-def dq_one_current(t: Tables):
-    return outcome(dq.duplicates(t.lineitem, ["l_orderkey", "l_linenumber"]), "dq_one_current", F.col("n") == 0, F.col("n"), 0, F.col("n"))
+@_checked("dq_version", "DQ-S-010", "SELECT count(*) AS n FROM part WHERE p_brand <> 'Brand#11'")
+def _version(t: Tables):
+    return t.part.select(F.col("p_brand").alias("chunker_version")), dq.Context(chunker_version="Brand#11")
 
 
-@R.add("dq_coverage", _sql("dq_coverage", "(SELECT count(*) AS n, count(*) FILTER (doc_id NOT IN (SELECT vec_id FROM embeddings)) AS miss FROM documents)", "miss = 0", "CASE WHEN n = 0 THEN 1 ELSE round(1 - miss / n, 4) END", "1", "miss"))
-def dq_coverage(t: Tables):
-    wanted = t.documents.select("doc_id").distinct()
-    miss = wanted.join(t.embeddings.select(F.col("vec_id").alias("doc_id")), "doc_id", "left_anti").agg(F.count("*").alias("miss"))
-    both = wanted.agg(F.count("*").alias("n")).join(miss)  # one row each
-    return outcome(both, "dq_coverage", F.col("miss") == 0, F.when(F.col("n") == 0, F.lit(1.0)).otherwise(F.round(1 - F.col("miss") / F.col("n"), 4)), 1, F.col("miss"))
+@_checked("dq_coverage", "DQ-G-001", "SELECT count(*) AS n, count(*) FILTER (doc_id NOT IN (SELECT vec_id FROM embeddings)) AS miss FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)", 1.0, "round(1 - miss / n, 4)", "miss = 0", "miss")
+def _coverage(t: Tables):
+    return t.embeddings.select(F.col("vec_id").alias("chunk_id")), dq.Context({"silver.chunks": _chunks(t)}.__getitem__)
+
+
+@_checked("dq_vector_len", "DQ-G-002", "SELECT count(*) AS n FROM embeddings WHERE len(embedding) <> 64 OR vec_id % 5 = 0", 64)
+def _length(t: Tables):
+    declared = F.when(F.col("vec_id") % 5 == 0, 32).otherwise(64).alias("embedding_dim")
+    return t.embeddings.select(declared, F.col("embedding").alias("vector")), dq.Context(vector_length=64)
+
+
+@_checked("dq_has_source", "DQ-G-007", "SELECT count(*) AS n FROM conversations WHERE role = 'user' OR text IS NULL")
+def _sourced(t: Tables):
+    return t.conversations.select(F.when(F.col("role") != "user", F.array("text")).when(F.col("text").isNotNull(), F.array().cast("array<string>")).alias("expected_sources")).select(F.when(F.get("expected_sources", F.lit(0)).isNotNull(), F.col("expected_sources")).alias("expected_sources")), None
+
+
+@_checked("dq_no_orphan_vector", "DQ-G-010", "SELECT count(*) AS n FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels WHERE toxic = 1) OR vec_id NOT IN (SELECT doc_id FROM documents)")
+def _orphan(t: Tables):
+    return t.embeddings.select(F.col("vec_id").alias("chunk_id")), dq.Context({"silver.chunks": _chunks(t)}.__getitem__)
+
+
+@_checked("dq_class_allowed", "DQ-G-011", "SELECT count(*) AS n FROM events e LEFT JOIN (VALUES ('view', ['public', 'internal']), ('click', ['public', 'internal', 'confidential']), ('error', ['public'])) m(model, allowed) ON event_type = model WHERE NOT coalesce(list_contains(allowed, ['public', 'internal', 'confidential', 'restricted'][user_id % 4 + 1]), false)")
+def _classes(t: Tables):
+    level = F.get(F.array(*map(F.lit, ("public", "internal", "confidential", "restricted"))), (F.col("user_id") % 4).cast("int"))
+    models = {"view": ("public", "internal"), "click": ("public", "internal", "confidential", "restricted"), "error": ("public",)}
+    return t.events.select(F.col("event_type").alias("model"), level.alias("data_classification")), dq.Context(models=models)
 
 
 RULES = [
@@ -120,8 +157,7 @@ def dq_gate(t: Tables):
 
 @R.add("table_counts", "SELECT 'documents' AS table_name, count(*) AS rows FROM documents UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count(*) FROM events")
 def table_counts(t: Tables):
-    frames = [getattr(t, n).agg(F.lit(n).alias("table_name"), F.count("*").alias("rows")) for n in ("documents", "orders", "events")]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    return tables.counted(t.spark, {n: getattr(t, n) for n in ("documents", "orders", "events")})
 
 
 @R.add("adhoc_limit", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
@@ -130,17 +166,17 @@ def adhoc_limit(t: Tables):
     return t.spark.sql("SELECT o_orderkey, o_totalprice FROM adhoc_orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 
 
-@R.add("catalog_rule_counts", "SELECT * FROM (VALUES ('customer', 5), ('orders', 0)) v(table_name, rules)")
+@R.add("catalog_rule_counts", """SELECT table_name, rules, critical FROM (VALUES ('bronze.raw_documents', 8, 8), ('silver.document_units', 2, 2), ('silver.chunks', 7, 4), ('silver.cross_references', 1, 1), ('gold.chunk_embeddings', 3, 3),
+('gold.entities', 1, 1), ('gold.relationships', 2, 2), ('gold.llm_call_log', 2, 1), ('gold.eval_questions', 1, 1), ('gold.eval_results', 2, 2), ('ops.run_log', 1, 0), ('ops.dq_results', 1, 1), ('ops.api_call_log', 1, 0), ('ops.watermarks', 1, 1)) v(table_name, rules, critical)""")
 def catalog_rule_counts(t: Tables):
-    names = t.values([("customer",), ("orders",)], "table_name string")
-    rules = t.values([("customer", r.rule_id) for r in RULES], "table_name string, rule_id string")
-    return names.join(rules, "table_name", "left").groupBy("table_name").agg(F.count("rule_id").alias("rules"))
+    names = t.values([(n,) for n in catalog.TABLES], "table_name string")
+    each = t.values([(table, r.rule_id, r.severity) for table, r in rules.SHIPPED], "table_name string, rule_id string, severity string")
+    return names.join(each, "table_name", "left").groupBy("table_name").agg(F.count("rule_id").alias("rules"), F.count_if(F.col("severity") == "critical").alias("critical"))
 
 
 @R.add("layer_classification", "SELECT * FROM (VALUES ('bronze', 'Public'), ('silver', 'Public'), ('gold', 'Mixed'), ('ops', 'Internal')) v(layer, classification)")
 def layer_classification(t: Tables):
-    rows = t.values([(x.layer, x.classification) for x in catalog.TABLES.values()], "layer string, c string")
-    return rows.groupBy("layer").agg(F.collect_set("c").alias("cs")).select("layer", F.when(F.size("cs") == 1, F.get("cs", F.lit(0))).otherwise("Mixed").alias("classification"))
+    return t.values(list(governance.layer_classes(list(catalog.TABLES.values())).items()), "layer string, classification string")
 
 
 @R.add("embed_todo_retire", """WITH w AS (SELECT doc_id::VARCHAR AS c FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)), v AS (SELECT vec_id::VARCHAR AS c FROM embeddings)

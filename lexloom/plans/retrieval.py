@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexloom.functions import ids
-from lexloom.operators import route, search
+from lexloom.operators import gateway, route, runs, search
 from lexloom.plans.common import Registry, Tables
 
 R = Registry()
@@ -27,21 +27,22 @@ h AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY fused DESC, ar
 """
 
 
-def _corpus(t: Tables):
-    return t.documents.join(t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id")
+def _index(t: Tables) -> search.SearchIndex:
+    """The index of the searchable documents, written once for each state of their files."""
+    corpus = t.documents.join(t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id")
+    return search.SearchIndex.open(corpus, t.shared(), "doc_id", "text", "embedding", t.state("documents", "embeddings"))
 
 
-def _kw(t: Tables):
-    return search.keyword_scores(_corpus(t), t.benchmark, "doc_id", "text", "item_id", "text")
+def _asked(t: Tables):
+    return t.benchmark.join(t.embeddings, F.col("item_id") == F.col("vec_id")).select("item_id", F.col("embedding").alias("q"))
 
 
-def _vec(t: Tables):
-    asked = t.benchmark.join(t.embeddings, F.col("item_id") == F.col("vec_id")).select("item_id", F.col("embedding").alias("q"))
-    return search.vector_scores(_corpus(t), asked, "doc_id", "embedding", "item_id", "q")
+def _kw(t: Tables):
+    return _index(t).keyword_scores(t.benchmark, "item_id", "text")
 
 
 def _hybrid(t: Tables):
-    return search.hybrid(_vec(t), _kw(t), "item_id", "doc_id")
+    return _index(t).search(t.benchmark, _asked(t), "item_id", "text", "q").drop("kw")
 
 
 R.add("tokens", f"WITH {WORDS} SELECT doc_id, len(ws) AS n, sha256(array_to_string(ws, ' ')) AS h FROM w")(lambda t: t.documents.select("doc_id", ids.words(F.col("text")).alias("w")).select("doc_id", F.size("w").cast("long").alias("n"), F.sha2(F.array_join("w", " "), 256).alias("h")))
@@ -50,11 +51,11 @@ R.add("term_freq", f"WITH {WORDS} SELECT doc_id, word, count(*) AS tf FROM (SELE
 
 @R.add("doc_freq_idf", f"WITH {WORDS}, d AS (SELECT word, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(ws) AS word FROM w) GROUP BY word) SELECT word, df, round(ln(1 + ((SELECT count(*) FROM documents) - df + 0.5) / (df + 0.5)), 9) AS idf FROM d")
 def doc_freq_idf(t: Tables):
-    return search.postings(t.documents, "doc_id", "text")[1].select("word", "df", F.round(ids.idf(F.col("n"), F.col("df")), 9).alias("idf"))
+    return search.document_frequencies(t.documents, "doc_id", "text").select("word", "df", F.round(ids.idf(F.col("n"), F.col("df")), 9).alias("idf"))
 
 
 R.add("bm25_topk", BM25 + "SELECT item_id, doc_id, kw, r AS rank FROM kr WHERE r <= 10")(lambda t: search.top(_kw(t).filter("kw > 0"), "item_id", "doc_id", "kw", 10))
-R.add("vector_topk", BM25 + "SELECT item_id, doc_id, vec, r AS rank FROM vr WHERE r <= 10")(lambda t: search.top(_vec(t), "item_id", "doc_id", "vec", 10))
+R.add("vector_topk", BM25 + "SELECT item_id, doc_id, vec, r AS rank FROM vr WHERE r <= 10")(lambda t: _index(t).vector_top(_asked(t), "item_id", "q", 10))
 R.add("rrf_hybrid", BM25 + "SELECT item_id, doc_id, fused, vec, rank FROM h WHERE rank <= 5")(_hybrid)
 R.add("offtopic_gate", BM25 + "SELECT item_id, max(vec) AS best, coalesce(max(vec), 0) < 0.55 AS off_topic FROM h WHERE rank <= 5 GROUP BY item_id")(lambda t: _hybrid(t).groupBy("item_id").agg(F.max("vec").alias("best")).withColumn("off_topic", F.coalesce("best", F.lit(0.0)) < 0.55))
 R.add("batch_hybrid", BM25 + "SELECT doc_id, count(*) AS questions, max(fused) AS best FROM h WHERE rank <= 5 GROUP BY doc_id")(lambda t: _hybrid(t).groupBy("doc_id").agg(F.count("*").alias("questions"), F.max("fused").alias("best")))
@@ -122,21 +123,44 @@ def _priced(t: Tables):
 
 R.add("cost_by_model", f"SELECT event_type, round(sum({COST}), 4) AS cost, count(*) AS calls {PRICED} GROUP BY event_type")(lambda t: _priced(t).groupBy("event_type").agg(F.round(F.sum("cost"), 4).alias("cost"), F.count("*").alias("calls")))
 R.add("cost_per_1000", f"SELECT ts::DATE AS day, round(1000 * sum({COST}) / count(*), 4) AS cost {PRICED} GROUP BY 1")(lambda t: _priced(t).groupBy(F.to_date("ts").alias("day")).agg(F.round(1000 * F.sum("cost") / F.count("*"), 4).alias("cost")))
-R.add("tokens_today", "SELECT sum(coalesce(event_id, 0) + coalesce(user_id, 0)) AS used, sum(coalesce(event_id, 0) + coalesce(user_id, 0)) >= 200000 AS spent FROM events WHERE ts::DATE = DATE '2024-01-10'")(lambda t: t.events.filter("to_date(ts) = DATE '2024-01-10'").agg(F.sum(F.coalesce("event_id", F.lit(0)) + F.coalesce("user_id", F.lit(0))).alias("used")).withColumn("spent", F.col("used") >= 200000))
+R.add("tokens_today", "SELECT coalesce(sum(coalesce(event_id, 0) + coalesce(user_id, 0)), 0) AS used FROM events WHERE ts::DATE = DATE '2024-01-10'")(lambda t: gateway.used_on(t.events, F.lit("2024-01-10").cast("date"), "event_id", "user_id", "ts"))
 
 
-@R.add("failover_chain", "SELECT user_id, event_id, rn - 1 AS retry_count, rn > 1 AS fallback_used FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY ts, event_id) AS rn FROM events)")
+@R.add("failover_chain", """SELECT * FROM (VALUES (1, 'a', 'error', 'TimeoutError', false, 0), (2, 'c', 'ok', NULL, true, 2), (3, 'a', 'ok', NULL, false, 0), (4, 'c', 'ok', NULL, false, 2), (5, 'a', 'error', 'EmptyAnswer', false, 0), (6, 'c', 'ok', NULL, true, 2))
+v(step, model, status, error_type, fallback_used, retry_count)""")
 def failover_chain(t: Tables):
-    w = Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
-    return t.events.withColumn("rn", F.row_number().over(w)).select("user_id", "event_id", (F.col("rn") - 1).alias("retry_count"), (F.col("rn") > 1).alias("fallback_used"))
+    """The log of a gateway over three models: the first fails, answers, and says nothing; the second has no key."""
+    said = iter([TimeoutError(), "fine", ""])
+
+    def ask(m, _):
+        if m.name == "b":
+            raise gateway.Unavailable("no key")
+        text = next(said) if m.name == "a" else "well"
+        if isinstance(text, Exception):
+            raise text
+        return (text, 10, 5, 0 if m.name == "a" else 2)
+
+    g = gateway.Gateway([gateway.Model("a", "p", ("public", "internal")), gateway.Model("b", "q", ("public", "confidential")), gateway.Model("c", "p", ("public", "confidential"))], ask, "run")
+    for level in ("public", "internal", "confidential", "public"):
+        g.chat([{"role": "user", "content": "x"}], "test", level)
+    return t.values([(k, r["model"], r["status"], r["error_type"], r["fallback_used"], r["retry_count"]) for k, r in enumerate(g.rows, 1)], "step int, model string, status string, error_type string, fallback_used boolean, retry_count int")
 
 
 R.add("api_error_ratio", "SELECT user_id, avg(CASE WHEN event_type = 'error' THEN 1.0::DOUBLE ELSE 0 END) AS ratio FROM events GROUP BY user_id")(lambda t: t.events.groupBy("user_id").agg(F.avg(F.when(F.col("event_type") == "error", F.lit(1.0)).otherwise(F.lit(0.0))).alias("ratio")))
 
-TRIES = [(1, 503, 1, None, None, None), (2, 502, 2, "x", 5, None), (3, 429, 1, "7", 5, None), (4, 403, 1, None, 0, 60), (5, 403, 1, None, 0, 5000), (6, 404, 1, None, 9, None), (7, None, 3, None, None, None), (8, 403, 1, None, 4, 10)]
-R.add("retry_waits", f"""SELECT id, CASE WHEN status IS NULL THEN 2.0 ** (attempt - 1) WHEN remaining = 0 AND status IN (403, 429) AND reset_in IS NOT NULL THEN CASE WHEN reset_in <= 900 THEN reset_in + 1 END
-WHEN status = 429 OR status >= 500 THEN coalesce(TRY_CAST(after AS DOUBLE), 2.0 ** (attempt - 1)) END::DOUBLE AS wait FROM {_values(TRIES, 'id, status, attempt, after, remaining, reset_in')}""")(
-    lambda t: t.values(TRIES, "id int, status int, attempt int, after string, remaining int, reset_in int").select("id", ids.retry_wait(F.col("status"), F.col("attempt"), F.col("after"), F.col("remaining"), F.col("reset_in")).alias("wait")))
+#: Attempts, and the waits that the rules give them (None: no other attempt).
+TRIES = [
+    (1, 503, 1, None, None, None, 1.0), (2, 502, 2, "x", 5, None, 2.0), (3, 429, 1, "7", 5, None, 7.0), (4, 403, 1, None, 0, 60, 61.0), (5, 403, 1, None, 0, 5000, None), (6, 404, 1, None, 9, None, None),
+    (7, None, 3, None, None, None, 4.0), (8, 403, 1, None, 4, 10, None), (9, 501, 1, None, None, None, None), (10, 505, 1, "3", None, None, None), (11, 429, 2, None, 0, None, 1.0), (12, 403, 1, None, 0, 899, 900.0),
+    (13, 403, 1, None, 0, 900, None), (14, 503, 4, "12", 0, 60, 12.0), (15, 429, 1, "9", 0, -5, 1.0), (16, 500, 3, "", None, None, 4.0), (17, 504, 1, "1.5", None, None, 1.0),
+]
+
+
+@R.add("retry_waits", f"SELECT id, wait::DOUBLE AS wait FROM {_values([(r[0], None if r[6] is None else str(r[6])) for r in TRIES], 'id, wait')}")
+def retry_waits(t: Tables):
+    tries = t.values([r[:6] for r in TRIES], "id int, status int, attempt int, after string, remaining int, reset_in int")
+    return tries.select("id", ids.retry_wait(F.col("status"), F.col("attempt"), F.col("after"), F.col("remaining"), F.col("reset_in")).alias("wait"))
+
 
 R.add("lineage_trace", """SELECT l_orderkey, l_linenumber, o_custkey, c_name, n_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderpriority = '1-URGENT'""")(
     lambda t: t.lineitem.join(t.orders.filter("o_orderpriority = '1-URGENT'"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("l_orderkey", "l_linenumber", "o_custkey", "c_name", "n_name"))
@@ -162,5 +186,7 @@ R.add("retention_expired", "SELECT o_orderkey FROM orders WHERE o_orderdate < TI
 R.add("failed_rules_for_run", "SELECT event_id, value FROM events WHERE user_id = 7 AND event_type = 'error' ORDER BY event_id")(lambda t: t.spark.sql("SELECT event_id, value FROM {e} WHERE user_id = :run AND event_type = :status ORDER BY event_id", args={"run": 7, "status": "error"}, e=t.events))
 R.add("calls_by_status", "SELECT event_type, user_id, count(*) AS calls FROM events GROUP BY ALL")(lambda t: t.events.groupBy("event_type", "user_id").agg(F.count("*").alias("calls")))
 R.add("newest_runs", "SELECT event_id, user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 50")(lambda t: t.events.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(50).select("event_id", "user_id"))
-R.add("embed_batches", "SELECT (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 8 AS batch, source, doc_id FROM documents")(
-    lambda t: t.documents.select(F.floor((F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1) / 8).cast("long").alias("batch"), "source", "doc_id"))
+R.add("embed_batches", "SELECT doc_id::VARCHAR AS chunk_id, (row_number() OVER (ORDER BY doc_id::VARCHAR) - 1) // 8 AS batch FROM documents WHERE lang = 'de'")(
+    lambda t: runs.batches(t.documents.filter("lang = 'de'").select(F.col("doc_id").cast("string").alias("chunk_id")), 8).select("chunk_id", "batch"))
+R.add("loaded_on", "SELECT source, strftime(max(TIMESTAMP '2024-01-01' + to_days((doc_id % 300)::INT)), '%Y-%m-%d') AS day FROM documents GROUP BY source")(
+    lambda t: t.documents.groupBy("source").agg(F.date_format(F.max(F.expr("DATE '2024-01-01' + CAST(doc_id % 300 AS INT)")), "yyyy-MM-dd").alias("day")))

@@ -1,12 +1,11 @@
-"""The document engine: SQL counterparts of its queries, parser, versions, store, rules, routing, gateway, client."""
+"""The document engine: SQL counterparts of its queries, versions, store and rules."""
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom import catalog, plans
-from lexloom.operators import dq, gateway, runs, silver
-from lexloom.sources import http, landing, markup
+from lexloom import plans
+from lexloom.operators import dq, runs, silver
 from lexloom.tables import TableStore
 
 
@@ -45,26 +44,6 @@ DOC = b"""<r:regulation xmlns:r="urn:r" xmlns:x="urn:x"><title>Harbour</title><c
 </content></r:regulation>"""
 
 
-def test_silver_load_is_incremental(spark, tmp_path):
-    store = TableStore(spark, f"file://{tmp_path}/lake")
-    sources = spark.createDataFrame([("a", "Harbour Regulation", "XX")], "source_id string, title string, jurisdiction string")
-    load = lambda doc, k: runs.build_silver(store, spark.createDataFrame([("a", k, bytearray(doc))], "source_id string, doc_id string, content binary"), sources)
-    first = load(DOC, "1")
-    assert first["added"] == 5 and first["inserted"] == 3
-    assert load(DOC, "1") == {"documents_up_to_date": 1, "inserted": 0, "retired": 0, "unchanged": 3}
-    third = load(DOC.replace(b"once a month", b"every week"), "2")
-    assert (third["changed"], third["unchanged"], third["inserted"], third["retired"]) == (1, 2, 1, 1)
-    rows = store.read("silver.document_units").filter("unit_ref = 's. 13'").collect()
-    assert sorted(r.is_current for r in rows) == [False, True] and all((r.valid_to is None) == r.is_current for r in rows)
-    assert "[XX | Harbour Regulation | Part 2 Care > Division 1 Safety | s. 13 Drills]" in {r.context_header for r in store.read("silver.chunks").collect()}
-    done = runs.embed_chunks(store, runs.hash_embedder(64), "m", 64)
-    assert done == {"inserted": 3, "retired": 0, "unchanged": 0}
-    assert runs.embed_chunks(store, runs.hash_embedder(64), "m", 64) == {"inserted": 0, "retired": 0, "unchanged": 3}
-    with pytest.raises(dq.GateFailed):
-        runs.embed_chunks(store, runs.hash_embedder(32), "n", 64)
-    assert {r.status for r in store.read("ops.run_log").collect()} == {"SUCCEEDED", "FAILED"}
-
-
 def test_store_conforms_and_merges(spark, tmp_path):
     store = TableStore(spark, f"file://{tmp_path}/lake")
     assert store.read("ops.watermarks").count() == 0
@@ -93,67 +72,3 @@ def test_rules_on_an_empty_table(spark):
     none = spark.createDataFrame([], "a int")
     out = {r.rule_id: r.passed for r in dq.check_rules(none, [dq.Rule("lo", "ratio_min", threshold=1.0, expression="a > 0"), dq.Rule("hi", "ratio_max", threshold=0.1, expression="a > 0"), dq.Rule("u", "unique", "a")]).collect()}
     assert out == {"lo": True, "hi": False, "u": True}
-
-
-def test_batches_without_a_manifest_do_not_count(spark, tmp_path):
-    landing.write_batch(str(tmp_path), "c", "l1", [{"source_id": "a", "file_name": "x.xml", "content": b"<a/>", "source_ref": "r", "source_url": "u"}])
-    (tmp_path / "incoming/c/2024-01-01/half").mkdir(parents=True)
-    files = landing.verified(spark, landing.pending(spark, f"file://{tmp_path}", "c", None), f"file://{tmp_path}", "c").collect()
-    assert [(f.file_name, f.intact) for f in files] == [("x.xml", True)]
-
-
-class Reply:
-    def __init__(self, status, headers=None, content=b""):
-        self.status_code, self.headers, self.content = status, headers or {}, content
-
-
-def client(replies, waits):
-    it = iter(replies)
-
-    def send(*_):
-        r = next(it)
-        if isinstance(r, Exception):
-            raise r
-        return r
-
-    return http.ApiClient(send, "c", "r", sleep=waits.append, now=lambda: 1000.0)
-
-
-def test_client_waits_and_gives_up():
-    waits: list[float] = []
-    assert client([Reply(503), Reply(502), Reply(200)], waits).get("http://h/p").status_code == 200
-    assert 1 <= waits[0] <= 1.5 and 2 <= waits[1] <= 2.5
-    waits.clear()
-    client([Reply(429, {"Retry-After": "7"}), Reply(200)], waits).get("http://h/p")
-    client([Reply(403, {"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": "1060"}), Reply(200)], waits).get("http://h/p")
-    assert waits == [7.0, 61.0]
-    for bad in ([Reply(404)], [ConnectionError()] * 6, [Reply(403, {"X-RateLimit-Remaining": "0", "X-RateLimit-Reset": "9999"})]):
-        with pytest.raises(http.RequestFailed):
-            client(bad, []).get("http://h/p")
-    pages = [Reply(200, {"Link": '<http://h/2>; rel="next"'}), Reply(200)]
-    assert len(list(client(pages, []).paginate("http://h/1"))) == 2
-
-
-def test_gateway_failover_class_and_budget():
-    models = [gateway.Model("m1", "p", ("Public",), 1.0, 2.0), gateway.Model("m2", "p", ("Public", "Internal"))]
-
-    def ask(m, _):
-        if m.name == "m1":
-            raise TimeoutError
-        return "fine", 10, 5
-
-    g = gateway.Gateway(models, ask, "r", daily_tokens=30)
-    assert g.chat([{"role": "user", "content": "x"}], "t").model == "m2"
-    assert [(r["retry_count"], r["fallback_used"], r["status"]) for r in g.rows] == [(0, False, "error"), (1, True, "ok")]
-    g.chat([], "t", "Internal")
-    with pytest.raises(gateway.Refused):
-        g.chat([], "t")
-    with pytest.raises(gateway.Refused):
-        gateway.Gateway(models, ask, "r").chat([], "t", "Confidential")
-
-
-def test_catalog_problems_are_found():
-    assert catalog.problems(catalog.TABLES, []) == []
-    bad = catalog.Table("silver.x", ("id",), "merge", "id2 string", "Secret")
-    assert len(catalog.problems({"silver.x": bad}, [("none", dq.Rule("r", "unique", "a"))])) == 5
-    assert "bronze.raw_documents" in catalog.markdown(catalog.TABLES, [])
