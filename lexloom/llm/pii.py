@@ -7,7 +7,8 @@ the base spans among them, estimates how reliable each labeler is; its posterior
 votes and shape, which decides about the further candidates.  The counts that reach the driver are bounded by the number
 of vote and shape patterns (fewer than 3,000), whatever the input.
 
-Defined results: a null text counts as empty; equal rows get equal results; an accepted candidate that overlaps a base
+Defined results: a null text counts as empty; equal rows get equal results; input columns named like the results (_base, _spans,
+_n_<kind>) or what leads to them (_f_<kind>, _seen, _more) are replaced, all others stay; an accepted candidate that overlaps a base
 span is left out; with no candidates the classifier accepts nothing; an empty table gives an empty result.
 """
 
@@ -40,8 +41,17 @@ MORE = {
     "account_like": ("[A-Z]{2}[0-9]{2}(?<![A-Z0-9][A-Z0-9]{4})(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", "(?:DE|FR|ES|GB|IT|NL|BE|AT|CH|PT|IE|PL)[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}.*"),
     "name_like": ("\\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?", "(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]+ [A-Z][a-z]+"),
 }
-#: Gazetteer: mail providers and top-level names, dialling prefixes, bank countries, given names.
-GAZETTEER = "(?i)(?:gmail|yahoo|hotmail|outlook|proton|example)|\\.(?:com|org|net|edu|de|fr|es)$|^\\(?(?:212|310|312|415|499|617|646|718|800|888)|^(?:DE|FR|ES|GB|IT|NL)[0-9]|\\b(?:Anna|Carlos|David|Emma|Hans|James|Jean|John|Laura|Luis|Maria|Marie|Mary|Michael|Paul|Peter|Robert|Sarah|Thomas)\\b"
+# The gazetteers, as lists of what a labeler knows.
+DOMAINS = ("com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "eu", "uk", "de", "fr", "es", "it", "nl", "be", "at", "ch", "pt", "pl", "ie", "se", "no", "dk", "fi", "ca", "au", "us", "mx", "br", "ar", "jp", "cn", "in")
+PROVIDERS = ("gmail", "googlemail", "yahoo", "hotmail", "outlook", "live", "icloud", "proton", "protonmail", "aol", "gmx", "web", "orange", "laposte", "free", "telefonica")
+#: Bank countries and the length of their account numbers.
+ACCOUNTS = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+NAMES = (
+    "Alice", "Andrea", "Andrew", "Anna", "Anne", "Antonio", "Barbara", "Carlos", "Carmen", "Charles", "Christian", "Claire", "Claudia", "Daniel", "David", "Elena", "Elizabeth", "Emily", "Emma", "Eric", "Eva",
+    "Francisco", "Frank", "George", "Hans", "Helen", "Henry", "Isabel", "Jack", "James", "Jan", "Jane", "Javier", "Jean", "John", "Jose", "Juan", "Julia", "Julie", "Karl", "Katharina", "Klaus", "Laura", "Linda", "Louis",
+    "Lucas", "Lucia", "Luis", "Manuel", "Maria", "Marie", "Mark", "Martin", "Mary", "Max", "Michael", "Miguel", "Monika", "Nicolas", "Nina", "Olivia", "Patrick", "Paul", "Pedro", "Peter", "Petra", "Philippe", "Pierre",
+    "Richard", "Robert", "Rosa", "Sabine", "Sandra", "Sarah", "Sofia", "Sophie", "Stefan", "Stephen", "Susan", "Thomas", "Ursula", "Victoria", "William", "Wolfgang",
+)
 #: Words before a candidate that speak for it, and words that speak against it.
 CONTEXT = "(?i)(?:phone|tel|call|mobile|fax|contact|mail|write|reach|ssn|social|iban|account|konto|name|dear|sincerely|telefon|correo|courriel)[^\\n]{0,16}$"
 AGAINST = "(?i)(?:version|isbn|order|invoice|part|page|figure|table|section|serial)[^\\n]{0,8}$"
@@ -50,6 +60,28 @@ SHAPE = ("length", "separators", "share")
 PRIOR = 0.5
 
 
+def known(s: Column) -> Column:
+    """Whether a span's gazetteer has it: a domain or mail provider, an area code that a numbering plan may give, an issued
+    identity number's area, a bank country and its length, a given name."""
+    value, number = s["value"], digits(s["value"])
+    flat = F.regexp_replace(value, "[ -]", "")
+    domain, provider = F.lower(F.regexp_extract(value, "([A-Za-z]+)[^A-Za-z]*$", 1)), F.lower(F.regexp_extract(value, "(?i)(?:@|\\bat[\\])]) ?([a-z0-9-]+)", 1))
+    area = F.regexp_extract(number, "^1?([2-9][0-8][0-9])[2-9][0-9]{6}$", 1)
+    length = F.lit(None).cast("int")
+    for country, n in ACCOUNTS.items():
+        length = F.when(F.left(flat, F.lit(2)) == country, F.lit(n)).otherwise(length)
+    names = F.split(value, "[^\\p{L}]+")
+    return F.coalesce(
+        F.when(s["kind"].isin("email", "email_like"), domain.isin(*DOMAINS) | provider.isin(*PROVIDERS))
+        .when(s["kind"].isin("phone", "phone_like"), (area != "") & ~area.rlike("11$"))
+        .when(s["kind"] == "id_like", ~F.left(number, F.lit(3)).isin("000", "666") & ~number.startswith("9"))
+        .when(s["kind"] == "account_like", F.char_length(flat) == length)
+        .when(s["kind"] == "name_like", F.arrays_overlap(names, F.array(*map(F.lit, NAMES))))
+        .when(s["kind"] == "card", F.left(number, F.lit(1)).isin("2", "3", "4", "5", "6")),
+        F.lit(False),
+    )
+
+
 def base_spans(text: Column) -> dict[str, Column]:
     """The fixed kinds: leftmost matches, those that fail their test dropped without another try."""
     ok = {
@@ -71,7 +103,7 @@ def _voted(text: Column, spans: Column, strict: str | None) -> Column:
         return F.struct(
             s["start"], s["rank"], s["end"], s["kind"],
             (F.lit(1) if strict is None else F.when(s["value"].rlike(f"^(?:{strict})$"), 1).otherwise(-1)).alias("strict"),
-            F.when(s["value"].rlike(GAZETTEER), 1).otherwise(0).alias("gazetteer"),
+            F.when(known(s), 1).otherwise(0).alias("gazetteer"),
             F.when(before.rlike(AGAINST), -1).when(before.rlike(CONTEXT), 1).otherwise(0).alias("context"),
             F.least(F.length(s["value"]) / 8, F.lit(4)).cast("int").alias("length"),
             F.least(F.length(F.regexp_replace(s["value"], "[A-Za-z0-9]", "")), F.lit(4)).alias("separators"),

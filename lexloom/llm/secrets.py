@@ -8,8 +8,10 @@ varied enough looks live.  Further candidates become spans only if they look liv
 Each (hash, owner, repository) is made distinct before it is counted, so a value that fills a third of the corpus reaches
 the last count as a few partial sums.
 
+A document is a repository of its own unless a column names its repository, so ``n_repos`` then counts different documents.
+
 Defined results: a null text counts as empty; a null owner or repository is one of its own; equal rows get equal
-results; an empty table gives an empty result.
+results; extra columns are ignored, or stay as they are where texts are redacted; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import documents, row_mark, scratch, text_of, written
+from lexloom.llm.shared import documents, fresh, row_mark, scratch, text_of, written
 from lexloom.llm.spans import find, joined, ranked
 
 KINDS = ("assign", "access", "hex")
@@ -102,8 +104,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", mark: str = "[SECRET]") -> DataFrame:
     """docs with the live-looking values in text_col replaced by mark; copied examples stay."""
     live = find_secrets(docs, id_col, text_col, owner_col).filter(F.size("_live") > 0).groupBy(F.col(id_col).alias("_id"), F.col("_mark").alias("_hit")).agg(F.first("_live").alias("_live"))
-    base = docs.withColumn("_mark", row_mark(id_col, text_col))
-    both = base.join(live, (base["_mark"] == live["_hit"]) & base[id_col].eqNullSafe(live["_id"]), "left")
+    mark_, id_, hit_, live_ = fresh(docs, "_mark", "_id", "_hit", "_live")
+    live = live.toDF(id_, hit_, live_)
+    base = docs.withColumn(mark_, row_mark(id_col, text_col))
+    both = base.join(live, (base[mark_] == live[hit_]) & base[id_col].eqNullSafe(live[id_]), "left")
     # the pieces between the secrets; overlapping spans (an assigned hex value) merge because a later start never goes back
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -112,8 +116,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         gap = F.substring(text_col, acc["at"] + 1, begin - acc["at"])
         return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.when((begin == acc["at"]) & (begin > 0), F.lit("")).otherwise(F.lit(mark))).alias("out")))
 
-    done = F.aggregate("_live", zero, step, lambda acc: F.concat(acc["out"], F.substring(text_col, acc["at"] + 1, F.char_length(text_col))))
-    return both.withColumn(text_col, F.when(F.col("_live").isNull(), F.col(text_col)).otherwise(done)).select(*docs.columns)
+    done = F.aggregate(live_, zero, step, lambda acc: F.concat(acc["out"], F.substring(text_col, acc["at"] + 1, F.char_length(text_col))))
+    return both.withColumn(text_col, F.when(F.col(live_).isNull(), F.col(text_col)).otherwise(done)).select(*docs.columns)
 
 
 QUERIES = {"op7_secrets": op7_secrets}

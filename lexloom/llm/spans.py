@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
+#: Matches whose places are summed up at once; a text's blocks are joined afterwards.
+BLOCK = 64
+
+
 def find(text: Column, pattern: str, needs: Column | None = None) -> Column:
     """Leftmost non-overlapping matches of a Java pattern with their code points [start, end).
 
     split() with no limit gives the text between the matches that regexp_extract_all() gives, so the positions are running
-    sums of both lengths.  Patterns must not match the empty string, and should be selective: the array is built by
-    appending.  needs, a cheap test of the text, spares texts that can hold no match the search.
+    sums of both lengths.  Arrays grow by copying, so sums are formed block by block and then over blocks, which keeps a text
+    of very many matches cheap.  Patterns must not match the empty string.  needs, a cheap test of the text, spares texts that
+    can hold no match the search.
     """
     hits, none = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.array().cast(SPAN)
     zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
@@ -23,9 +28,19 @@ def find(text: Column, pattern: str, needs: Column | None = None) -> Column:
         end = start + F.char_length(x["value"])
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
 
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
     pairs = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("value")))
+
+    def placed(all_: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda k: F.aggregate(F.slice(all_, k * BLOCK + 1, F.lit(BLOCK)), zero, step))
+        sums = lambda bs: F.aggregate(bs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")), lambda acc, b: F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")), lambda acc: acc["starts"])
+        moved = lambda b, at: F.transform(b["out"], lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["value"].alias("value")))
+        return once(blocks, lambda bs: F.flatten(F.zip_with(bs, sums(bs), moved)))
+
+    few = F.aggregate(pairs, zero, step, lambda acc: acc["out"])
     nothing = F.size(hits) == 0
-    return F.when(nothing if needs is None else F.when(needs, nothing).otherwise(True), none).otherwise(F.aggregate(pairs, zero, step, lambda acc: acc["out"]))
+    nothing = nothing if needs is None else F.when(needs, nothing).otherwise(True)
+    return F.when(nothing, none).when(F.size(hits) <= BLOCK, few).otherwise(once(pairs, placed))
 
 
 def digits(value: Column) -> Column:
