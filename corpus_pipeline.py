@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import jaccard, langid, lines, packing, secrets
-from lexloom.llm.shared import documents, row_mark, scratch, written
+from lexloom.llm.shared import documents, fresh, row_mark, scratch, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +40,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = found.filter("_id = component_id").groupBy(F.col("_id").alias("_i"), F.col("_group").alias("_g")).agg(F.min("_mark").alias("_first"), F.count("*").alias("_rows"))
     lost = found.join(first, (found["_id"] == first["_i"]) & (found["_group"] == first["_g"]), "left").filter(F.col("_id").isNotNull() & (F.col("_first").isNull() | (F.col("_mark") != F.col("_first"))))
     lost = lost.select("_id", F.col("_mark").alias("_m")).distinct()
-    marked = docs.withColumn("_mark", row_mark("doc_id", "text"))
-    kept = marked.join(lost, (marked["_mark"] == lost["_m"]) & (marked["doc_id"] == lost["_id"]), "left_anti")
+    (mark,) = fresh(docs, "_mark")
+    marked = docs.withColumn(mark, row_mark("doc_id", "text"))
+    kept = marked.join(lost, (marked[mark] == lost["_m"]) & (marked["doc_id"] == lost["_id"]), "left_anti")
     if first.filter("_rows > 1").limit(1).count():  # repeated rows of a document that stays
-        kept = kept.filter("doc_id is null").unionByName(kept.filter("doc_id is not null").dropDuplicates(["doc_id", "_mark"]))
+        kept = kept.filter("doc_id is null").unionByName(kept.filter("doc_id is not null").dropDuplicates(["doc_id", mark]))
     return kept.select(*docs.columns)
 
 
