@@ -119,3 +119,60 @@ def likeness(a, b, same):
         if len(met) >= 4 or s == 0 and met:
             share = sum(x == y for x, y in met) / len(met)
     return share
+
+
+def languages(train, texts, penalty=12.0, buckets=1 << 16):
+    """Trigram language ID in plain Python: learnt from (text, language) pairs, (language, score) of each text."""
+    import math
+    from bisect import bisect_right
+
+    starts = [0x0, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xA00, 0xB80, 0xE00, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x2E80, 0x3040, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0x10000]
+
+    def words(t):
+        out, cur = [], ""
+        for c in (t or "").lower() + " ":
+            if c.isalpha():
+                cur += c
+            elif cur:
+                out.append(cur)
+                cur = ""
+        return out
+
+    def slots(w):
+        p = [32, *map(ord, w), 32]
+        return [((((p[i - 1] << 21) + p[i] << 21) + p[i + 1]) * 0x9E3779B97F4A7C15 % 2**64) >> 48 for i in range(1, len(p) - 1)]
+
+    script = lambda c: bisect_right(starts, ord(c)) - 1
+    langs = sorted({x for _, x in train})
+    grams, letters = {x: {} for x in langs}, {x: {} for x in langs}
+    for t, x in train:
+        for w in words(t):
+            for s in slots(w):
+                grams[x][s] = grams[x].get(s, 0) + 1
+            for c in w:
+                letters[x][script(c)] = letters[x].get(script(c), 0) + 1
+    total = {x: sum(grams[x].values()) for x in langs}
+    writes = {x: {s for s, n in letters[x].items() if n >= 0.01 * sum(letters[x].values())} for x in langs}
+
+    def score(w, x):
+        s = sum(math.log((grams[x].get(k, 0) + 0.5) / (total[x] + 0.5 * buckets)) for k in slots(w))
+        may = [y for y in langs if script(w[0]) in writes[y]]
+        return s if not may or x in may else s - 1e4
+
+    out = []
+    for t in texts:
+        ws = words(t)
+        if not ws or not langs:
+            out.append(("und", 0.0))
+            continue
+        best = [{x: (score(ws[0], x), [x]) for x in langs}]
+        now = best[0]
+        for w in ws[1:]:
+            top = max(langs, key=lambda x: (now[x][0], -langs.index(x)))
+            now = {x: ((now[x][0], now[x][1]) if now[x][0] >= now[top][0] - penalty else (now[top][0] - penalty, now[top][1])) for x in langs}
+            now = {x: (s + score(w, x), [*path, x]) for x, (s, path) in now.items()}
+        path = max(langs, key=lambda x: (now[x][0], -langs.index(x)))
+        weight = {x: sum(len(w) for w, y in zip(ws, now[path][1], strict=True) if y == x) for x in langs}
+        top = max(langs, key=lambda x: (weight[x], -langs.index(x)))
+        out.append((top, weight[top] / sum(weight.values())))
+    return out

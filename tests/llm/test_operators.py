@@ -479,3 +479,63 @@ def test_payloads_are_not_dealt_by_digest_alone(spark):
     assert "page_id" in top and "_digest" in top
     want = [(k, 1 if k > 1 else None) for k in (*range(30), 1, 2) if k % 3] + [(99, 1)]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_decoding_and_word_parts_hold_for_the_whole_vocabulary(library):
+    """Every token alone and in pairs: names joined by blanks are what the library decodes, and parts give its ids."""
+    enc, rng = bpe.Encoder(tokens.default_path()), random.Random(8)
+    n = len(enc.names)
+    lists = [[i] for i in range(n) if enc.names[i]] + [[rng.randrange(n), rng.randrange(n)] for _ in range(n)]
+    lists = [x for x in lists if all(enc.names[i] for i in x)]
+    assert library.decode_batch(lists, skip_special_tokens=False) == [" ".join(enc.names[i] for i in x) for x in lists]
+    plain = [t for t in (x.removesuffix("</w>") for x in enc.names) if t and bpe.SAFE_TEXT.fullmatch(t) and t not in enc.special]
+    assert len(plain) > 20_000
+    texts = plain + [f"{a}{gap}{b}" for a, b, gap in zip(plain, rng.sample(plain, len(plain)), [rng.choice([" ", "", "  ", "'", "1", "-"]) for _ in plain], strict=True)]
+    texts = [t for t in texts if not any(x in t for x in enc.special)]
+    want = library.encode_batch(texts, add_special_tokens=False)
+    assert [list(bpe.unpack(i)) for i in enc.encode_batch(texts)] == [w.ids for w in want]
+
+
+def test_language_equals_plain_python(spark, sf):
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    docs = [(k, (t or "")[:900], x) for k, t, x in docs]
+    docs += [(1000, docs[0][1][:200] + " " + docs[5][1][:200] + " " + docs[9][1][:200], None), (1001, None, "en"), (1002, "12 34", "de"), (1003, "привет мир", None), (1004, "", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, langid.train(df)).collect()}
+    want = brute.languages([(t, x) for _, t, x in docs if t is not None and x is not None], [t for _, t, _ in docs])
+    for (k, _, _), (x, s) in zip(docs, want, strict=True):
+        assert got[k][0] == x and got[k][1] == pytest.approx(s), k
+
+
+def ops(spark, folder):
+    """Every operator's rows, as sorted tuples, by its query's name."""
+    from lexloom.llm import queries
+
+    return {name: sorted(map(str, q(spark, folder).collect())) for name, q in queries.QUERIES.items()}
+
+
+def test_every_query_on_empty_tables_and_on_repeated_rows(spark, tmp_path):
+    texts = [(1, "alpha beta gamma delta epsilon zeta", "en", "s", 1), (2, None, None, None, None), (3, "Mail a@b.com password=hunter22 eta\nalpha", "de", "s", 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    pages, vectors = [(1, "u", "x" * 200), (2, None, None)], [(1, [1.0, 0.0], 1), (2, None, 1), (3, [0.9, 0.1], 1)]
+    for name, times in (("empty", 0), ("once", 1), ("twice", 2)):
+        d = f"{tmp_path}/{name}"
+        spark.createDataFrame(texts * times, schema).write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame(pages * times, "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
+        spark.createDataFrame(vectors * times, "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
+    assert all(rows == [] for rows in ops(spark, f"{tmp_path}/empty").values())
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    once, twice = ops(spark, f"{tmp_path}/once"), ops(spark, f"{tmp_path}/twice")
+    for name in once:
+        if name not in ("op5_fingerprints", "op9_packing", "op10_embedding_near_dedup"):  # whose rows look at others
+            assert sorted(set(twice[name])) == sorted(set(once[name])) and len(twice[name]) == 2 * len(once[name]), name
+        else:
+            assert len(twice[name]) >= 2 * len(once[name]) - 2, name
+
+
+def test_clashing_names_are_left_alone(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "x" * 200, "d", 1, "o")], "page_id long, url string, html string, _digest string, _bytes int, _original string")
+    warc.write_archives(df, f"{tmp_path}/a")
+    assert [(r.id, r.type, bytes(r.payload)) for r in warc.read_archives(spark, f"file://{tmp_path}/a").collect()] == [("1", "response", b"x" * 200)]
+    v = spark.createDataFrame([(1, [1.0], 1, 5, 5, 5), (2, [2.0], 1, 6, 6, 6)], "vec_id long, embedding array<double>, label int, _class int, _lead int, n_links int")
+    assert sorted(tuple(r) for r in embeddings.near_duplicates(v).collect()) == [(1, 1, 1, True), (2, 1, 1, False)]
