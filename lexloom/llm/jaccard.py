@@ -33,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import components, delete, documents, lean, pieces, release, row_mark, scratch, text_of, written
+from lexloom.llm.shared import components, delete, documents, heavy, lean, pieces, release, row_mark, scratch, split_join, text_of, written
 
 WORDS, THRESHOLD = 5, 75
 #: Share of the hash space whose tokens are counted, and the count beyond which a token is frequent.
@@ -158,6 +159,25 @@ def _sketch(words: int, threshold: int):
     return lean(run)
 
 
+def _prefixes(threshold: int):
+    """Rows (cls, n, inside, line of (r, tok, hot) by rank) to the tokens of their prefixes, a batch at a time as flat arrays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cls, n, inside = (c.to_numpy() for c in batch.columns[:3])
+            each = pc.list_value_length(batch.column(3)).to_numpy()
+            r, tok, hot = (c.to_numpy(zero_copy_only=False) for c in batch.column(3).flatten().flatten())
+            row = np.repeat(np.arange(len(each)), each)
+            frequent = hot & (r < inside[row])
+            sums = np.concatenate(([0], np.cumsum(frequent)))
+            first = np.cumsum(each) - each
+            before, total = sums[:-1] - sums[first][row], (sums[first + each] - sums[first])[row]
+            place = np.where(frequent, inside[row] - total + before, np.where(r < inside[row], r - before, r))
+            keep = place < (n - -(-threshold * n // 100) + 1)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep], t) for x, t in ((cls[row], pa.int64()), (n[row], pa.int64()), (tok, pa.int32()), (place, pa.int64()))], names=["cls", "n", "tok", "place"])
+
+    return lean(run)
+
+
 def _linked(words: int, threshold: int):
     """Rows sorted by (lo, hi), the texts of a pair of tiles before its pairs; the sets of one pair of tiles are held.
 
@@ -327,15 +347,7 @@ class Join:
         The order: light tokens of the counted region, its frequent ones, all others, each by hash.  A light token's place is
         its rank less the frequent ones before it, which is how far the filter moved it.
         """
-        size = F.col("n") - F.ceil(F.col("n") * self.threshold / 100).cast("long") + 1
-        counted = lambda x: x["r"] < F.col("inside")
-        placed = lambda hot: F.filter(F.transform(F.filter("line", counted), lambda x, i: F.struct(x["tok"].alias("tok"), x["r"].cast("long").alias("r"), i.alias("i"), x["hot"].alias("hot"))), lambda x: x["hot"] == hot)
-        light = F.transform(placed(False), lambda x, j: F.struct(x["tok"].alias("tok"), (x["r"] - (x["i"] - j)).alias("place")))
-        hots = F.size(F.filter("line", lambda x: counted(x) & x["hot"]))
-        hot = F.transform(placed(True), lambda x, j: F.struct(x["tok"].alias("tok"), (F.col("inside") - hots + j).alias("place")))
-        beyond = F.transform(F.filter("line", lambda x: ~counted(x)), lambda x: F.struct(x["tok"].alias("tok"), x["r"].cast("long").alias("place")))
-        at = matrix.select("cls", "n", F.explode(F.concat(light, hot, beyond)).alias("x"))
-        return at.filter(F.col("x.place") < size).select("cls", "n", "x.tok", "x.place")
+        return matrix.select("cls", "n", "inside", "line").mapInArrow(_prefixes(self.threshold), "cls long, n long, tok int, place long")
 
     def opened(self, matrix: DataFrame, groups: DataFrame) -> DataFrame:
         """Step 3: (cls, group) of the groups that a class has to open."""
@@ -344,7 +356,7 @@ class Join:
         several = prefix.groupBy("tok").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo <> hi").select("tok")
         prefix = self.keep(prefix.join(several, "tok", "left_semi"), "met")
         # of two groups the smaller one's classes ask, so the members of a large group never ask its stragglers
-        prefix = self.keep(prefix.join(prefix.groupBy("g").agg(F.count("*").alias("w")), "g"), "weighed")
+        prefix = self.keep(split_join(prefix, prefix.groupBy("g").agg(F.count("*").alias("w")), ["g"], heavy(prefix, "g"), "inner"), "weighed")
         # all that two sets share comes at their first common token or later, so their places there bound the overlap: with
         # c of n and d of m tokens before it, it is at most n - c and m - d, and a link takes t (n + m) / (100 + t)
         t = self.threshold
