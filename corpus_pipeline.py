@@ -15,7 +15,10 @@ from lexloom.llm.shared import documents, fresh, row_mark, scratch, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: those with no text or no letter in it.  lang stays as the source gave it."""
+    """Documents without a language go: those with no text or no letter in it.  lang stays as the source gave it.
+
+    Repeated rows share their fate; with nothing to learn from, a letter is enough; an empty table stays empty.
+    """
     model = langid.train(docs.filter(~F.coalesce(langid.fold() == 1, F.lit(False))))
     if not model.langs:  # nothing to learn from
         return docs.filter(F.col("text").rlike("\\p{L}"))
@@ -23,7 +26,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more are cut out of every text."""
+    """Lines found in ten documents or more are cut out of every text; no row goes, even if nothing of its text is left.
+
+    A null text stays null; rows of one id count as one document; n_chars follows a text that changed.
+    """
     out = lines.dedup_lines(docs)
     text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
     n = F.when(F.col("n_dropped") > 0, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars"))
@@ -49,13 +55,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Credentials that look live are blanked out; examples that many owners copied stay, and so do all documents."""
+    """Credentials that look live are blanked out; examples that many owners copied stay, and so do all documents.
+
+    A null text stays null, a null source is an owner like any other, equal rows change alike; n_chars is the new text's.
+    """
     out = secrets.redact(docs)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2,048 tokens of balanced cost, one row a piece."""
+    """Sequences of 2,048 tokens of balanced cost, one row a piece.
+
+    A null text is the end id alone; repeated rows are packed each; an empty table gives no piece.
+    """
     return packing.pack_documents(docs)
 
 
