@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from lexloom.functions import ids
-from lexloom.operators import silver
+from lexloom.operators import bronze, runs, silver
 from lexloom.plans.common import Registry, Tables
 from lexloom.sources import landing, markup
 from lexloom.streaming import ingest
@@ -181,3 +182,45 @@ def parsed_units(t: Tables):
     """The markup's rules on a document that uses them."""
     u = markup.units(t.values([("a", "1", bytearray(MARKUP))], "source_id string, doc_id string, content binary"))
     return u.select("unit_order", "unit_ref", "context_path", "heading", "text", "history_note", "is_repealed", "in_force", ids.target_document(F.get("links.href", F.lit(0))).alias("target"))
+
+
+def _store(t: Tables) -> TableStore:
+    return TableStore(t.spark, f"{t.shared()}/lake-{uuid.uuid4().hex}")
+
+
+@R.add("silver_load", """SELECT * FROM (VALUES ('unit', 's. 12', 'open', 1), ('unit', 's. 13', 'closed', 1), ('unit', 's. 13', 'open', 1), ('unit', 's. 15', 'open', 1), ('unit', 's. 30-31', 'open', 1), ('unit', 'Sch. A, s. 1', 'open', 1),
+('chunk', 's. 12', 'open', 1), ('chunk', 's. 13', 'closed', 1), ('chunk', 's. 13', 'open', 1), ('chunk', 'Sch. A, s. 1', 'open', 1), ('vector', 'm', 'open', 3), ('vector', 'm', 'closed', 1), ('link', 's. 13', 'a_01', 2),
+('mark', 'a', 'second', 1), ('run', 'silver', 'SUCCEEDED', 2), ('run', 'gold_embeddings', 'SUCCEEDED', 2)) v(kind, name, state, n)""")
+def silver_load(t: Tables):
+    """A document, then the same with one section changed: versions, chunks, vectors, links, positions and receipts."""
+    store, sources = _store(t), t.values([("a", "Act", "XX")], "source_id string, title string, jurisdiction string")
+    for version, doc in (("first", MARKUP), ("second", MARKUP.replace(b"a month", b"a week"))):
+        runs.build_silver(store, t.values([("a", version, bytearray(doc))], "source_id string, doc_id string, content binary"), sources)
+        runs.embed_chunks(store, runs.hash_embedder(32), "m", 32)
+    state = lambda is_open: F.when(F.col(is_open), "open").otherwise("closed")
+    rows = [
+        store.read("silver.document_units").select(F.lit("unit").alias("kind"), F.col("unit_ref").alias("name"), state("is_current").alias("state")),
+        store.read("silver.chunks").select(F.lit("chunk"), "unit_ref", state("is_active")),
+        store.read("gold.chunk_embeddings").select(F.lit("vector"), "embedding_model", state("is_active")),
+        store.read("silver.cross_references").select(F.lit("link"), "unit_ref", "target_doc_id"),
+        store.read("ops.watermarks").select(F.lit("mark"), "scope", "watermark_value"),
+        store.read("ops.run_log").select(F.lit("run"), "pipeline", "status"),
+    ]
+    total = rows[0]
+    for r in rows[1:]:
+        total = total.union(r)
+    return total.groupBy("kind", "name", "state").agg(F.count("*").alias("n"))
+
+
+@R.add("register_run", """SELECT item_id::VARCHAR || '.xml' AS file_name, sha256(text) AS doc_id, octet_length(encode(text)) AS file_size_bytes, 'application/xml' AS mime_type, 'act' AS doc_type, 'landing' AS scope
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY item_id) AS rn FROM benchmark) WHERE rn = 1""")
+def register_run(t: Tables):
+    """The benchmark's items, landed as one batch twice and registered: content that is known doesn't come again."""
+    store, source = _store(t), {"source_id": "s", "connector": "bclaws", "status": "approved", "doc_type": "act", "jurisdiction": "BC"}
+    root = f"{store.root}/landing"
+    for load in ("one", "two"):
+        files = [{"source_id": "s", "file_name": f"{r.item_id}.xml", "source_ref": str(r.item_id), "source_url": "u", "source_version": load, "content": r.text.encode()} for r in t.benchmark.orderBy("item_id").collect()]  # some dozen items
+        landing.write_batch(root, "bclaws", load, files, spark=t.spark)
+        bronze.register(store, "bclaws", [source], root)
+    mark = store.read("ops.watermarks").select("scope")  # one row
+    return store.read("bronze.raw_documents").select("file_name", "doc_id", "file_size_bytes", "mime_type", "doc_type").join(F.broadcast(mark))

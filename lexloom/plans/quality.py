@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from lexloom import catalog, governance, rules, tables
 from lexloom.operators import dq, silver
 from lexloom.operators.dq import Rule
 from lexloom.plans.common import Registry, Tables
+from lexloom.sources import landing
 
 R = Registry()
 
@@ -66,6 +68,17 @@ def _approved(t: Tables):
     return t.documents.select(F.col("doc_id").alias("source_id")), dq.Context(sources=sources)
 
 
+@_checked("dq_landed_intact", "DQ-B-005", "SELECT count(*) AS n FROM benchmark WHERE item_id % 3 = 0 OR item_id % 5 = 0")
+def _landed(t: Tables):
+    """The benchmark's items as landed files: every third holds other bytes, every fifth is missing."""
+    root = f"{t.shared()}/landed-{uuid.uuid4().hex}"
+    for r in t.benchmark.collect():  # some dozen items
+        if r.item_id % 5:
+            landing.write_bytes(t.spark, f"{root}/bench/{r.item_id}.txt", r.text.encode() if r.item_id % 3 else b"other")
+    files = t.benchmark.select(F.concat(F.lit("bench/"), F.col("item_id").cast("string"), F.lit(".txt")).alias("landing_path"), F.sha2("text", 256).alias("doc_id"))
+    return files, dq.Context(landing_root=root)
+
+
 @_checked("dq_stuck_runs", "DQ-O-001", "SELECT count(*) AS n FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-20' - INTERVAL 2 HOUR")
 def _stuck(t: Tables):
     at = F.expr("CAST(convert_timezone('UTC', current_timezone(), ts) AS TIMESTAMP)")

@@ -81,18 +81,21 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
-def write_batch(out: str, connector: str, load_id: str, files: list[dict], api_calls: list[dict] | None = None, skipped: dict | None = None, commit: str | None = None) -> Path:
-    """Files of a batch, and its manifest last: a batch without one doesn't count.  For the machine at the edge."""
+def write_batch(out: str, connector: str, load_id: str, files: list[dict], api_calls: list[dict] | None = None, skipped: dict | None = None, commit: str | None = None, spark: SparkSession | None = None) -> Path | str:
+    """Files of a batch, and its manifest last: a batch without one doesn't count.  For the machine at the edge, or with a
+    session for any file system that Spark reaches."""
     now = datetime.now(UTC)
-    folder = Path(out) / "incoming" / connector / now.strftime("%Y-%m-%d") / load_id
-    folder.mkdir(parents=True)
+    folder = f"{out.rstrip('/')}/incoming/{connector}/{now.strftime('%Y-%m-%d')}/{load_id}"
+    if spark is None:
+        Path(folder).mkdir(parents=True)
+    put = (lambda name, content: Path(folder, name).write_bytes(content)) if spark is None else (lambda name, content: write_bytes(spark, f"{folder}/{name}", content))
     listed = []
     for f in files:
-        (folder / f["file_name"]).write_bytes(f["content"])
+        put(f["file_name"], f["content"])
         listed.append({k: v for k, v in f.items() if k != "content"} | {"sha256": hashlib.sha256(f["content"]).hexdigest(), "size_bytes": len(f["content"])})
     body = {"manifest_version": 1, "load_id": load_id, "connector": connector, "fetched_at": now.isoformat(), "git_commit": commit, "files": listed, "skipped": skipped or {}, "api_calls": api_calls or []}
-    (folder / "_manifest.json").write_text(json.dumps(body, default=str))
-    return folder
+    put("_manifest.json", json.dumps(body, default=str).encode())
+    return Path(folder) if spark is None else folder
 
 
 MANIFEST = "manifest_version int, load_id string, connector string, fetched_at string, files array<struct<source_id:string,file_name:string,sha256:string,size_bytes:bigint,source_ref:string,source_url:string,source_version:string>>, api_calls array<struct<call_id:string,method:string,endpoint:string,status_code:int,attempt:int,latency_ms:int,response_bytes:bigint,rate_limit_remaining:int,error_type:string,called_at:string>>"
