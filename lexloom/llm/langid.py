@@ -3,7 +3,8 @@
 Training counts, per language, the hashed character trigrams of all labelled training texts (no sample) and how often
 letters of each script occur; both are bounded tables (``BUCKETS`` x languages, scripts x languages), summed on the
 executors before they reach the driver.  A word's score for a language is the sum of its trigrams' log-probabilities; its
-script leaves only the languages that write in it as candidates.  Viterbi over a text's words, with ``PENALTY`` for every
+script leaves only the languages that write in it as candidates: the others lose 10,000, more than any text's trigrams could
+make up for within a word.  Viterbi over a text's words, with ``PENALTY`` for every
 change of language, labels its spans; the text gets the language of most letters, and the share of those letters as score.
 
 Viterbi runs over whole batches of texts with array operations: one language for the whole text is the best path if no

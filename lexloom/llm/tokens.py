@@ -2,7 +2,8 @@
 
 Texts of up to ``LEAF`` code points are encoded where they lie.  Longer ones are cut into leaves that are dealt over the
 cluster, encoded independently, and joined up the tree in the task that gathers the text's leaves; a text's leaves spread
-by a hash of text and position, so one very long text doesn't burden one encoder.
+by a hash of text and position, so one very long text doesn't burden one encoder.  One task holds one text, its leaves and
+its ids while it joins them, as a row that comes out holds them anyway; equal rows are encoded once.
 
 Defined results as in ``bpe``; the tokenizer's path is a parameter and must be readable on every executor.
 """
