@@ -86,3 +86,8 @@ def answer_route(lookup_hits: Column, inactive_hits: Column, best: Column, reply
         .when(F.coalesce(best, F.lit(0.0)) < least, "not_found")
         .otherwise(F.coalesce(end, F.lit("search")))
     )
+
+
+def refusals(answers: DataFrame) -> DataFrame:
+    """One row: the share of answers (route) that gave nothing, and their number."""
+    return answers.agg(F.avg(F.when(F.col("route").isin("not_found", "ungrounded"), F.lit(1.0)).otherwise(F.lit(0.0))).alias("refused"), F.count("*").alias("answers"))

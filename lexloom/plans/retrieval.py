@@ -106,6 +106,8 @@ CITED = "list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(r
 R.add("citations_valid", f"SELECT id, array_to_string({CITED}, ',') AS cited FROM {REPLY}")(lambda t: t.values(REPLIES, "id int, reply string, n int, hits int, inactive int, best double").select("id", F.array_join(F.transform(ids.citations(F.col("reply"), F.col("n")), lambda x: x.cast("string")), ",").alias("cited")))
 R.add("answer_route", f"""SELECT id, CASE WHEN hits > 0 AND inactive = hits THEN 'status' WHEN hits > 0 THEN coalesce(e, 'lookup') WHEN best::DOUBLE < 0.55 THEN 'not_found' ELSE coalesce(e, 'search') END AS route
 FROM (SELECT *, CASE WHEN contains(reply, 'NOT_FOUND') THEN 'not_found' WHEN len({CITED}) = 0 THEN 'ungrounded' END AS e FROM {REPLY})""")(lambda t: t.values(REPLIES, "id int, reply string, n int, hits int, inactive int, best double").select("id", route.answer_route(F.col("hits"), F.col("inactive"), F.col("best"), F.col("reply"), F.col("n")).alias("route")))
+R.add("refusal_rate", f"""SELECT avg(CASE WHEN route IN ('not_found', 'ungrounded') THEN 1.0::DOUBLE ELSE 0 END) AS refused, count(*) AS answers FROM (SELECT CASE WHEN hits > 0 AND inactive = hits THEN 'status' WHEN hits > 0 THEN coalesce(e, 'lookup') WHEN best::DOUBLE < 0.55 THEN 'not_found' ELSE coalesce(e, 'search') END AS route
+FROM (SELECT *, CASE WHEN contains(reply, 'NOT_FOUND') THEN 'not_found' WHEN len({CITED}) = 0 THEN 'ungrounded' END AS e FROM {REPLY}))""")(lambda t: route.refusals(t.values(REPLIES, "id int, reply string, n int, hits int, inactive int, best double").select(route.answer_route(F.col("hits"), F.col("inactive"), F.col("best"), F.col("reply"), F.col("n")).alias("route"))))
 R.add("prompt_blocks", "SELECT conv_id, array_to_string(list_transform(range(1, len(b) + 1), lambda i: '[' || i || '] ' || substring(b[i], 1, 2000 // len(b))), chr(10) || chr(10)) AS prompt FROM (SELECT conv_id, list(text ORDER BY turn, text) AS b FROM conversations GROUP BY conv_id)")(
     lambda t: t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("b")).select("conv_id", route.prompt_blocks(F.transform("b", lambda x: x["text"]), 2000).alias("prompt")))
 R.add("request_hash", "SELECT conv_id, sha256(string_agg(role || chr(31) || text, chr(31) ORDER BY turn, text)) AS h FROM conversations GROUP BY conv_id")(
