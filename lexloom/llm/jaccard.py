@@ -270,7 +270,7 @@ class Join:
         self.rows = docs.select(F.col(id_col).cast("long").alias("_id"), row_mark(id_col, text_col).alias("_mark"), text_of(text_col).alias("_text"))
         self.sketch = self.renamed(self.keep(self.rows.mapInArrow(_sketch(words, threshold), "_id long, _mark long, n long, cls long, check long, mins array<long>, toks array<int>, inside long"), "sketch"))
         best = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_mark")).alias("rep")
-        self.classes = self.keep(self.sketch.filter("cls is not null").groupBy("cls").agg(best, F.first("n").alias("n"), F.first("mins").alias("mins"), F.count("*").alias("rows")), "classes")
+        self.classes = self.keep(self.sketch.filter("cls is not null").groupBy("cls").agg(best, F.first("n").alias("n"), F.first("inside").alias("inside"), F.first("mins").alias("mins")), "classes")
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """df written; what its stages shuffled may go."""
@@ -332,10 +332,14 @@ class Join:
         return self.linked(pairs.filter(F.col("a") != F.col("b")).filter(self.alike).select("a", "b"), "stars")
 
     def matrix(self) -> DataFrame:
-        """(cls, n, m, line): tokens that occur in more than one row, by class, as (rank, token, frequent) in rank order."""
-        each = self.sketch.filter("cls is not null").select("cls", "n", "inside", F.size("toks").alias("m"), F.posexplode("toks").alias("r", "tok"))
+        """(cls, n, inside, line): tokens that occur in more than one row, by class, as (rank, token, frequent) in rank order.
+
+        Only (class, rank, token) moves; what else is known of a class joins its line.
+        """
+        each = self.sketch.filter("cls is not null").select("cls", F.posexplode("toks").alias("r", "tok"))
         shared = self.keep(each.groupBy("tok").agg(F.count("*").alias("c")).filter("c > 1").select("tok", (F.col("c") > FREQUENT).alias("hot")), "tokens")
-        line = each.join(shared, "tok").groupBy("cls").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("inside").alias("inside"), F.array_sort(F.collect_set(F.struct("r", "tok", "hot"))).alias("line"))
+        line = each.join(shared, "tok").groupBy("cls").agg(F.array_sort(F.collect_set(F.struct("r", "tok", "hot"))).alias("line"))
+        line = line.join(self.classes.select("cls", "n", "inside"), "cls")
         # a class whose tokens are too few of them shared can't reach the overlap with any set: no group holds it, none opens
         # (others keep all their tokens of the counted region, so only there it shows that a token isn't shared)
         shared_inside = F.size(F.filter("line", lambda x: x["r"] < F.col("inside")))
