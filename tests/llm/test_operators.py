@@ -268,12 +268,12 @@ def test_jaccard_join_of_a_loose_group(spark):
     assert got == want and 1 < len(set(want.values())) < 80
 
 
-@pytest.mark.parametrize("rate", [0.01, 0.02, 0.035])
+@pytest.mark.parametrize("rate", [0.015, 0.035])
 def test_jaccard_join_of_a_large_loose_group(spark, rate):
-    """Two thousand copies of one text, from hardly to much changed: most pairs don't link, and many copies link with none."""
+    """Many copies of one text, from hardly to much changed: most pairs don't link, and many copies link with none."""
     rng = random.Random(17)
     base = [f"w{rng.randrange(400)}" for _ in range(120)]
-    rows = [(k, " ".join(f"x{rng.randrange(9**6)}" if rng.random() < rate * (k % 4) else w for w in base)) for k in range(2000)]
+    rows = [(k, " ".join(f"x{rng.randrange(9**6)}" if rng.random() < rate * (k % 4) else w for w in base)) for k in range(1200)]
     got = {r.doc_id: r.component_id for r in jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     names: dict = {}
     x = np.zeros((len(rows), 120 * 800), np.float32)
