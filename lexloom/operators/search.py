@@ -1,34 +1,20 @@
 """Keyword, vector and hybrid ranking for batches of questions, over an index that is written once a corpus.
 
-The index holds postings sorted by word, so that a batch of questions reads only the row groups of its words, the corpus's
-totals, and vectors of length one.  Questions are the stated, small side: their words and vectors are counted before they are
-sent to tasks, and more than a block of them are taken block by block.
+Keyword ranking opens only the blocks of postings that can hold one of the best (``postings``), vector ranking only the cells that
+can (``cells``).  Both give the same rows as scoring everything.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from lexloom.functions import ids
-
-#: Questions that one pass over the vectors carries, and distinct words that a filter on postings lists.
-BLOCK, LISTED = 4096, 10_000
-
-
-def tokens(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """(keep..., length, word): one row a word, with the number of the text's words; texts without words give no row."""
-    each = docs.select(*keep, F.regexp_extract_all(F.lower(ids.text(F.col(text_col))), F.lit("[a-z0-9]+"), F.lit(0)).alias("_w"))
-    return each.select(*keep, F.explode("_w").alias("word")).filter(~F.col("word").isin(*ids.STOP))
-
-
-def term_frequencies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return tokens(docs, text_col, id_col).groupBy(id_col, "word").agg(F.count("*").alias("tf"))
+from lexloom.operators import cells, postings
+from lexloom.operators.postings import term_frequencies, tokens  # noqa: F401
+from lexloom.scratch import hadoop, publish
 
 
 def document_frequencies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -38,114 +24,49 @@ def document_frequencies(docs: DataFrame, id_col: str, text_col: str) -> DataFra
 
 
 class SearchIndex:
-    """Postings (id, word, tf, length), totals and unit vectors of a corpus, as tables below a folder."""
+    """Blocks of postings and cells of unit vectors of a corpus, as tables below a folder."""
 
     def __init__(self, spark: SparkSession, path: str, id_col: str):
         self.spark, self.path, self.id_col = spark, path.rstrip("/"), id_col
+        self.postings = postings.Postings(spark, f"{self.path}/postings", id_col)
+        self.cells = cells.Cells(spark, f"{self.path}/vectors", id_col)
 
     @classmethod
     def build(cls, corpus: DataFrame, path: str, id_col: str, text_col: str, vector_col: str) -> SearchIndex:
-        """Statistics are those of the whole corpus; texts without words count in them."""
-        out = cls(corpus.sparkSession, path, id_col)
-        tf = term_frequencies(corpus, id_col, text_col)
-        # a document's words lie in one task, so its length needs no second reading
-        length = F.sum("tf").over(Window.partitionBy(id_col))
-        tf.withColumn("length", length).repartitionByRange("word").sortWithinPartitions("word", id_col).write.mode("overwrite").parquet(f"{out.path}/postings")
-        n = corpus.count()
-        total = out.postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
-        total.select(F.lit(n).alias("n"), (F.col("total") / F.greatest(F.lit(n), F.lit(1))).alias("mean_length")).write.mode("overwrite").parquet(f"{out.path}/totals")
-        vector = F.col(vector_col).cast("array<double>")
-        size = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x))
-        unit = F.when(size == 0, vector).otherwise(F.transform(vector, lambda x: x / size))
-        corpus.select(id_col, unit.alias("vector")).write.mode("overwrite").parquet(f"{out.path}/vectors")
-        return out
+        postings.Postings.build(corpus, f"{path.rstrip('/')}/postings", id_col, text_col)
+        cells.Cells.build(corpus, f"{path.rstrip('/')}/vectors", id_col, vector_col)
+        return cls(corpus.sparkSession, path, id_col)
 
     @classmethod
     def open(cls, corpus: DataFrame, base: str, id_col: str, text_col: str, vector_col: str, key: str) -> SearchIndex:
-        """The index of a corpus, built if none is there for its key (what names its snapshot)."""
-        path = f"{base.rstrip('/')}/index-{key}"
-        out = cls(corpus.sparkSession, path, id_col)
-        p = out.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/vectors/_SUCCESS")  # written last
-        return out if p.getFileSystem(out.spark.sparkContext._jsc.hadoopConfiguration()).exists(p) else cls.build(corpus, path, id_col, text_col, vector_col)
-
-    @property
-    def postings(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/postings")
-
-    @property
-    def totals(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/totals")
-
-    @property
-    def vectors(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/vectors")
+        """The index of a corpus, built if none is there for its key (what names its snapshot).  It appears whole, by a rename;
+        of two that build it at once, the first wins."""
+        spark, path = corpus.sparkSession, f"{base.rstrip('/')}/index-{key}"
+        p, fs = hadoop(spark, path)
+        if not fs.exists(p):
+            draft = f"{base.rstrip('/')}/_index-{uuid.uuid4().hex}"
+            cls.build(corpus, draft, id_col, text_col, vector_col)
+            publish(spark, draft, path)
+        return cls(spark, path, id_col)
 
     def keyword_scores(self, questions: DataFrame, question_id: str, question_col: str) -> DataFrame:
-        """(question_id, id, kw): BM25 of documents that share a word with the question; each question word counts once."""
-        asked = tokens(questions, question_col, question_id).distinct()
-        words = [r[0] for r in asked.select("word").distinct().limit(LISTED + 1).collect()]
-        mine = self.postings.filter(F.col("word").isin(*words)) if len(words) <= LISTED else self.postings.join(asked.select("word").distinct(), "word", "left_semi")
-        found = mine.groupBy("word").agg(F.count("*").alias("df"))
-        n, mean = self.totals.first()
-        hits = asked.join(found, "word").join(mine, "word")
-        score = ids.bm25(ids.idf(F.lit(n), F.col("df")), F.col("tf"), F.col("length"), F.lit(mean))
-        return hits.groupBy(question_id, self.id_col).agg(F.round(F.sum(score), 9).alias("kw"))
+        """(question_id, id, kw): BM25 of all documents that share a word with the question; each question word counts once."""
+        return self.postings.scores(questions, question_id, question_col)
+
+    def keyword_top(self, questions: DataFrame, question_id: str, question_col: str, n: int) -> DataFrame:
+        """(question_id, id, kw, rank) of the n best, ties by id."""
+        return self.postings.top(questions, question_id, question_col, n)
 
     def vector_top(self, asked: DataFrame, question_id: str, asked_col: str, n: int) -> DataFrame:
         """(question_id, id, vec, rank): the n vectors of the highest cosine with each question's, ties by id."""
-        return vector_top(self.vectors, asked, self.id_col, "vector", question_id, asked_col, n, unit=True)
+        return self.cells.top(asked, question_id, asked_col, n)
 
     def search(self, questions: DataFrame, asked: DataFrame, question_id: str, question_col: str, asked_col: str, k: int = 5, candidates: int = 20, rrf: int = 60) -> DataFrame:
         """question_id, id, fused, vec, kw, rank of the k best of each question."""
-        kw = top(self.keyword_scores(questions, question_id, question_col).filter("kw > 0"), question_id, self.id_col, "kw", candidates, "kr")
+        kw = self.keyword_top(questions, question_id, question_col, candidates).withColumnRenamed("rank", "kr")
         return fuse(self.vector_top(asked, question_id, asked_col, candidates).withColumnRenamed("rank", "vr"), kw, question_id, self.id_col, k, rrf)
 
 
-def vector_top(vectors: DataFrame, asked: DataFrame, id_col: str, vector_col: str, question_id: str, asked_col: str, n: int, unit: bool = False) -> DataFrame:
-    """(question_id, id, vec, rank) of the n highest cosines (rounded to 9 places) of each question, ties by id.
-
-    Each Arrow batch of vectors is one matrix product, of which only every question's n best leave the task.  A vector of
-    another length than the question's isn't comparable; a zero vector has cosine 0; unit tells that vectors have length 1.
-    """
-    spark, total = vectors.sparkSession, None
-    q = asked.select(F.col(question_id), F.col(asked_col).cast("array<double>").alias("_q")).filter("_q is not null")
-    blocks = max(1, -(-q.count() // BLOCK))
-    kinds = f"{question_id} {asked.schema[question_id].dataType.simpleString()}, {id_col} {vectors.schema[id_col].dataType.simpleString()}, vec double"
-    for k in range(blocks):
-        part = q if blocks == 1 else q.filter(F.pmod(F.xxhash64(question_id), F.lit(blocks)) == k)
-        rows = part.collect()  # at most about BLOCK
-        sent = spark.sparkContext.broadcast([(r[0], list(r[1])) for r in rows])
-        kind = to_arrow_type(asked.schema[question_id].dataType)
-
-        def best(batches: Iterator[pa.RecordBatch], sent=sent, kind=kind) -> Iterator[pa.RecordBatch]:
-            by_size: dict[int, tuple[list, np.ndarray]] = {}
-            for size in {len(v) for _, v in sent.value}:
-                mine = [(i, v) for i, v in sent.value if len(v) == size]
-                m = np.array([v for _, v in mine], np.float64).reshape(len(mine), size)
-                norm = np.linalg.norm(m, axis=1, keepdims=True)
-                by_size[size] = [i for i, _ in mine], m / np.where(norm == 0, 1, norm)
-            for batch in batches:
-                key, vector = batch.column(0), batch.column(1)
-                sizes = np.array([len(v) if v.is_valid else -1 for v in vector])
-                for size, (names, m) in by_size.items():
-                    at = np.flatnonzero(sizes == size)
-                    if not len(at):
-                        continue
-                    own = np.array(vector.take(pa.array(at)).flatten(), np.float64).reshape(len(at), size)
-                    if not unit:
-                        norm = np.linalg.norm(own, axis=1, keepdims=True)
-                        own = own / np.where(norm == 0, 1, norm)
-                    cosine = np.round(m @ own.T, 9) + 0.0
-                    order = np.argsort(np.array(key.take(pa.array(at)).to_pylist(), object), kind="stable")
-                    ranked = order[np.argsort(-cosine[:, order], axis=1, kind="stable")[:, :n]]
-                    for j, name in enumerate(names):
-                        yield pa.RecordBatch.from_arrays([pa.array([name] * ranked.shape[1], kind), key.take(pa.array(at[ranked[j]])), pa.array(cosine[j, ranked[j]])], names=[question_id, id_col, "vec"])
-
-        one = vectors.select(id_col, F.col(vector_col).alias("_v")).mapInArrow(best, kinds)
-        total = one if total is None else total.unionByName(one)
-    return top(total, question_id, id_col, "vec", n)
-
-
 def top(scores: DataFrame, question_id: str, id_col: str, score: str, n: int, rank: str = "rank") -> DataFrame:
     """The n best of each question, ranked from 1; ties by id."""
     w = Window.partitionBy(question_id).orderBy(F.col(score).desc(), id_col)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexloom import scratch
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,14 +20,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def shared(self) -> str:
-        """A folder that driver and executors share."""
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.sparkContext.getCheckpointDir()
-        if not base:
-            if not self.spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-            base = "file://" + tempfile.mkdtemp(prefix="lexloom-")
-            self.spark.sparkContext.setCheckpointDir(base)
-        return base.rstrip("/")
+        """A folder that driver and executors share; what plans write there goes at the session's end."""
+        return scratch.owned(self.spark, f"{scratch.shared_dir(self.spark)}/lexloom-plans-{self.spark.sparkContext.applicationId}")
 
     def state(self, *names: str) -> str:
         """What changes with the files of tables: their names, sizes and times, hashed."""

@@ -37,10 +37,6 @@ def _asked(t: Tables):
     return t.benchmark.join(t.embeddings, F.col("item_id") == F.col("vec_id")).select("item_id", F.col("embedding").alias("q"))
 
 
-def _kw(t: Tables):
-    return _index(t).keyword_scores(t.benchmark, "item_id", "text")
-
-
 def _hybrid(t: Tables):
     return _index(t).search(t.benchmark, _asked(t), "item_id", "text", "q").drop("kw")
 
@@ -54,7 +50,7 @@ def doc_freq_idf(t: Tables):
     return search.document_frequencies(t.documents, "doc_id", "text").select("word", "df", F.round(ids.idf(F.col("n"), F.col("df")), 9).alias("idf"))
 
 
-R.add("bm25_topk", BM25 + "SELECT item_id, doc_id, kw, r AS rank FROM kr WHERE r <= 10")(lambda t: search.top(_kw(t).filter("kw > 0"), "item_id", "doc_id", "kw", 10))
+R.add("bm25_topk", BM25 + "SELECT item_id, doc_id, kw, r AS rank FROM kr WHERE r <= 10")(lambda t: _index(t).keyword_top(t.benchmark, "item_id", "text", 10))
 R.add("vector_topk", BM25 + "SELECT item_id, doc_id, vec, r AS rank FROM vr WHERE r <= 10")(lambda t: _index(t).vector_top(_asked(t), "item_id", "q", 10))
 R.add("rrf_hybrid", BM25 + "SELECT item_id, doc_id, fused, vec, rank FROM h WHERE rank <= 5")(_hybrid)
 R.add("offtopic_gate", BM25 + "SELECT item_id, max(vec) AS best, coalesce(max(vec), 0) < 0.55 AS off_topic FROM h WHERE rank <= 5 GROUP BY item_id")(lambda t: _hybrid(t).groupBy("item_id").agg(F.max("vec").alias("best")).withColumn("off_topic", F.coalesce("best", F.lit(0.0)) < 0.55))
@@ -177,7 +173,7 @@ def scorecard_30(t: Tables):
 @R.add("recall_at_k", BM25 + """, e AS (SELECT item_id, list(doc_id) AS expected FROM kr WHERE r <= 3 GROUP BY item_id), g AS (SELECT item_id, list(doc_id) AS got FROM h WHERE rank <= 5 GROUP BY item_id)
 SELECT item_id, len(list_intersect(expected, got)) / len(expected) AS recall FROM e JOIN g USING (item_id)""")
 def recall_at_k(t: Tables):
-    e = search.top(_kw(t).filter("kw > 0"), "item_id", "doc_id", "kw", 3).groupBy("item_id").agg(F.collect_set("doc_id").alias("e"))
+    e = _index(t).keyword_top(t.benchmark, "item_id", "text", 3).groupBy("item_id").agg(F.collect_set("doc_id").alias("e"))
     g = _hybrid(t).groupBy("item_id").agg(F.collect_set("doc_id").alias("g"))
     return e.join(g, "item_id").select("item_id", (F.size(F.array_intersect("e", "g")) / F.size("e")).alias("recall"))
 
