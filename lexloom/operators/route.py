@@ -12,18 +12,26 @@ NOT_FOUND = "NOT_FOUND"
 
 
 def find_law(questions: DataFrame, laws: DataFrame, question: str = "question") -> DataFrame:
-    """questions with law: the source of the longest law name (source_id, name, position) that a question holds as whole words.
+    """questions with law: the source of the longest law name (source_id, name, position) that a question holds as whole words;
+    of equal lengths the first in the register.  Repeated questions stay.
 
-    Law names are a register of bounded size, sent as one row in the order in which they are tried: longest first, and of
-    equal lengths the first in the register.  Repeated questions stay.
+    A name stands under the rarest of its words, by the names that have it, and a question meets only names whose word it holds;
+    what is met is compared letter by letter.  Names without a letter or digit, hardly any, are tried for every question.
     """
-    named = landing.register(laws.select("source_id", F.lower("name").alias("name"), "position"), "law names")
-    order = F.struct((-F.char_length("name")).alias("rank"), "position", "name", "source_id")
-    one = F.broadcast(named.agg(F.array_sort(F.collect_list(order)).alias("_laws")))
-    text = F.lower(question)
-    whole = lambda x: text.contains(x["name"]) & F.regexp_like(text, F.concat(F.lit("(?<![a-z0-9])\\Q"), x["name"], F.lit("\\E(?![a-z0-9])")))
-    first = F.get(F.filter("_laws", whole), F.lit(0))
-    return questions.join(one).withColumn("law", first["source_id"]).select(*questions.columns, "law")
+    names = laws.select("source_id", F.lower("name").alias("_name"), "position").filter("_name <> ''").withColumn("_words", F.array_distinct(F.regexp_extract_all("_name", F.lit("[a-z0-9]+"), F.lit(0))))
+    common = names.select(F.explode("_words").alias("_word")).groupBy("_word").agg(F.count("*").alias("_n"))
+    keyed = names.withColumn("_word", F.explode("_words")).join(common, "_word").groupBy("source_id", "_name", "position").agg(F.min(F.struct("_n", "_word"))["_word"].alias("_word"))
+    asked = questions.select(F.col(question).alias("_asked")).distinct().withColumn("_text", F.lower("_asked"))
+    each = asked.withColumn("_word", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit("[a-z0-9]+"), F.lit(0)))))
+    met = each.join(keyed, "_word").select("_asked", "_text", "_name", "position", "source_id")
+    bare = names.filter(F.size("_words") == 0)
+    if bare.limit(1).count():
+        met = met.unionByName(asked.join(landing.register(bare, "names without words"), F.col("_text").contains(F.col("_name"))).select(*met.columns))
+    # whole words: what stands before and behind is no letter or digit
+    quoted = F.concat(F.lit("\\Q"), F.replace(F.col("_name"), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    held = met.filter(F.col("_text").contains(F.col("_name")) & F.regexp_like("_text", F.concat(F.lit("(?<![a-z0-9])"), quoted, F.lit("(?![a-z0-9])"))))
+    best = held.groupBy("_asked").agg(F.min(F.struct((-F.char_length("_name")).alias("n"), "position", "_name", "source_id"))["source_id"].alias("law"))
+    return questions.join(best, questions[question] == best["_asked"], "left").select(*questions.columns, "law")
 
 
 #: A range of sections is spelled out up to this many; a wider one is compared by its ends.

@@ -241,3 +241,62 @@ def test_the_command_line(spark, tmp_path, capsys):
     assert cli.main(["bronze", *where], spark) == 0
     with pytest.raises(SystemExit):
         cli.main(["nonsense"], spark)
+
+
+def standing_in(m, messages):
+    """A provider for executors: cites the block that the message's length names; one model never answers."""
+    if m.name == "down":
+        raise TimeoutError
+    said = messages[1]["content"]
+    return (f"As [{1 + len(said) % 4}] says." if len(said) % 5 == 0 else f"As [1] and [{1 + len(said) % 4}] say."), len(said.encode()) // 2, 7
+
+
+def test_answers_of_a_table_equal_one_by_one(spark, library):
+    models = [gateway.Model("down", "p", ("confidential",)), gateway.Model("m", "p", ("confidential",), 1.0, 1.0)]
+    settings = config.Config(over={"rag": config.SETTINGS["rag"] | {"min_vector_score": 0.2, "laws": {"a": ["harbour regulation"]}}})
+    asked = ["What does section 13 of the Harbour Regulation say?", "what does s. 12 say", "section 30-31", "How often is a drill held?", "bicycle taxation", "section 99: how often is a drill held", "How often is a drill held?", "access to the harbour"]
+    embed = embed_with(spark)
+    rows = spark.createDataFrame([(k, q, [float(x) for x in embed(q)]) for k, q in enumerate(asked)], "qid int, question string, q array<double>")
+    got = {r.qid: r for r in answer.answers(rows, library, models, standing_in, "run", 10**9, settings).collect()}
+    assert sorted(got) == list(range(len(asked)))
+    for k, q in enumerate(asked):
+        g = gateway.Gateway(models, standing_in, "run")
+        one, r = answer.ask(q, library, g, embed, settings), got[k]
+        assert (r.text, r.route, tuple(r.notes), r.model) == (one.text, one.route, one.notes, one.model), q
+        assert [tuple(s) for s in r.sources] == [(s.n, s.source_id, s.law, s.unit_ref, s.status, s.score) for s in one.sources]
+        assert [(c.model, c.status, c.error_type, c.fallback_used, c.prompt_tokens, c.cost_usd, c.request_hash) for c in r.calls] == [(c["model"], c["status"], c["error_type"], c["fallback_used"], c["prompt_tokens"], c["cost_usd"], c["request_hash"]) for c in g.rows]
+    assert {"lookup", "status", "search", "not_found"} <= {r.route for r in got.values()}
+
+
+def test_lanes_never_spend_more_than_is_left(spark, library):
+    models = [gateway.Model("m", "p", ("confidential",))]
+    settings = config.Config(over={"rag": config.SETTINGS["rag"] | {"min_vector_score": 0.0}})
+    embed = embed_with(spark)
+    vector = [float(x) for x in embed("drill")]
+    rows = spark.createDataFrame([(k, f"How often is drill {k} held?", vector) for k in range(24)], "qid int, question string, q array<double>")
+    whole = answer.answers(rows, library, models, standing_in, "run", 10**9, settings, lanes=4).collect()
+    spent = sum(c.prompt_tokens + c.completion_tokens for r in whole for c in r.calls)
+    sent = []
+    for left in (0, spent // 3, spent, 3 * spent):
+        got = answer.answers(rows, library, models, standing_in, "run", left, settings, lanes=4).collect()
+        assert len(got) == 24 and sum(c.prompt_tokens + c.completion_tokens for r in got for c in r.calls) <= left
+        assert all((r.route == "budget") == (not r.calls) for r in got)
+        sent.append(sum(bool(r.calls) for r in got))
+    assert sent[0] == 0 < sent[1] <= sent[2] <= sent[3]
+
+
+def test_many_names_meet_questions_by_their_rarest_word(spark):
+    import random
+    import re
+
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(60)] + ["act", "of", "the", "(no.", "2)", "é", "c++", "\\E"]
+    laws = [(f"s{k}", " ".join(rng.choices(words, k=rng.randrange(1, 5))), k % 700) for k in range(3000)] + [("x", "§", 1), ("y", "", 2)]
+    asked = [" ".join(rng.choices(words, k=rng.randrange(1, 14))).replace("w1", rng.choice(["W1", "w1", "xw1"])) for _ in range(300)] + ["", "§ 4", None]
+    asked += asked[:5]
+    got = sorted((r.question or "", r.law or "") for r in route.find_law(spark.createDataFrame([(q,) for q in asked], "question string"), spark.createDataFrame(laws, "source_id string, name string, position int")).collect())
+    want = []
+    for q in asked:
+        fit = [(-len(n), p, n.lower(), s) for s, n, p in laws if n and re.search(rf"(?<![a-z0-9]){re.escape(n.lower())}(?![a-z0-9])", (q or "").lower())]
+        want.append((q or "", min(fit)[3] if fit else ""))
+    assert got == sorted(want)
