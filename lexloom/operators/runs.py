@@ -109,6 +109,24 @@ def parsed_units(todo: DataFrame, run_id: str, per_token: int = 4) -> DataFrame:
     )
 
 
+def build_history(store: TableStore, contents: DataFrame, settings: config.Config | None = None) -> int:
+    """silver.document_units rebuilt from all registered versions: contents (source_id, doc_id, at, content), in any order.
+
+    Each content is parsed once, however often it was registered.  A text that comes back is a version of its own, so ids hold the
+    time from which a version counts.  Of a reference that a document repeats the last counts, as in ``build_silver``.
+    """
+    key = ["source_id", "unit_ref"]
+    with start_run(store, "silver_history", settings) as run:
+        parsed = parsed_units(contents.dropDuplicates(["source_id", "doc_id"]).drop("at"), run.run_id).drop("links", "valid_from", "valid_to", "is_current")
+        parsed = silver.latest(parsed, [*key, "doc_id"], F.col("unit_order").desc())
+        times = contents.select("source_id", "doc_id", "at").distinct()
+        found = silver.history(times.select("source_id", "at"), parsed.join(times, ["source_id", "doc_id"]), ["source_id"], key)
+        found = found.withColumn("unit_id", ids.sha(*map(F.col, key), F.col("text_hash"), F.col("valid_from").cast("string")))
+        store.overwrite("silver.document_units", found.select(*(n for n, _, _ in catalog.spec("silver.document_units").fields())))
+        run.rows_out = store.read("silver.document_units").count()
+        return run.rows_out
+
+
 class Staged:
     """Rows to merge into tables, kept until every table has passed its gate; then written in the order they came."""
 

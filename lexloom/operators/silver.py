@@ -14,6 +14,42 @@ def latest(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+#: Snapshots of a source that one task folds.
+STRETCH = 4096
+
+
+def history(snapshots: DataFrame, rows: DataFrame, source: list[str], key: list[str], at: str = "at", hash_col: str = "text_hash") -> DataFrame:
+    """All versions of all keys at once: rows with valid_from, valid_to and is_current, one for each stretch of snapshots of its
+    source in which a key has the same hash.
+
+    snapshots (source..., at) are the registered versions of each source, in any order, late ones included; rows (source...,
+    key..., at, hash, ...) say what each holds.  A key that a snapshot lacks ends there; one whose hash comes back begins a version of its own.
+    Of a key that a snapshot repeats the row of the least hash counts, and of equal ones any.  A version has the other columns of its first row.
+
+    Stretches are folded in pieces of at most STRETCH snapshots, so a key of very many versions is no single task; pieces meet
+    at their ends only.
+    """
+    seen = snapshots.select(*source, at).distinct()
+    number = Window.partitionBy(*source).orderBy(at)
+    numbered = seen.withColumns({"_n": F.row_number().over(number) - 1, "_next": F.lead(at).over(number)})
+    own = rows.join(numbered.select(*(F.col(c).alias(f"_s{i}") for i, c in enumerate([*source, at])), "_n", "_next"), [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate([*source, at])]).drop(*(f"_s{i}" for i in range(len(source) + 1)))
+    whole = list(dict.fromkeys([*source, *key]))
+    rest = [c for c in rows.columns if c not in (*whole, at, hash_col)]
+    once = own.groupBy(*whole, "_n").agg(F.min_by(F.struct(F.col(hash_col).alias("hash"), F.struct(at, "_next", *rest).alias("row")), F.coalesce(hash_col, F.lit(""))).alias("_r"))
+    once = once.select(*whole, "_n", F.col("_r.hash").alias("_h"), F.col("_r.row").alias("_row"), F.floor(F.col("_n") / STRETCH).alias("_p"))
+    w = Window.partitionBy(*whole, "_p").orderBy("_n")
+    begins = ~F.coalesce((F.lag("_n").over(w) == F.col("_n") - 1) & F.lag("_h").over(w).eqNullSafe(F.col("_h")), F.lit(False))
+    island = once.withColumn("_begins", begins.cast("int")).withColumn("_i", F.sum("_begins").over(w))
+    pieces = island.groupBy(*whole, "_p", "_i").agg(F.min("_n").alias("_from"), F.max("_n").alias("_to"), F.first("_h").alias("_h"), F.min_by("_row", "_n").alias("_first"), F.max_by("_row", "_n").alias("_last"))
+    edge = (F.col("_from") % STRETCH == 0) | (F.col("_to") % STRETCH == STRETCH - 1)
+    v = Window.partitionBy(*whole).orderBy("_from")
+    goes_on = F.coalesce((F.lag("_to").over(v) == F.col("_from") - 1) & F.lag("_h").over(v).eqNullSafe(F.col("_h")), F.lit(False))
+    met = pieces.filter(edge).withColumn("_i", F.when(goes_on, 0).otherwise(1)).withColumn("_i", F.sum("_i").over(v))
+    met = met.groupBy(*whole, "_i").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.first("_h").alias("_h"), F.min_by("_first", "_from").alias("_first"), F.max_by("_last", "_to").alias("_last"))
+    both = pieces.filter(~edge).select(*whole, "_h", "_first", "_last").unionByName(met.select(*whole, "_h", "_first", "_last"))
+    return both.select(*whole, F.col("_h").alias(hash_col), *(F.col(f"_first.{c}").alias(c) for c in rest), F.col(f"_first.{at}").alias("valid_from"), F.col("_last._next").alias("valid_to"), F.col("_last._next").isNull().alias("is_current"))
+
+
 def live(units: DataFrame) -> DataFrame:
     return units.filter("is_current AND NOT is_repealed AND in_force")
 

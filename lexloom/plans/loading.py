@@ -119,6 +119,16 @@ R.add("scd2_rows", SCD2 + """SELECT k, old_hash AS text_hash, false AS is_curren
 UNION ALL SELECT k, new_hash, true, false FROM c WHERE change IN ('changed', 'added')""")(lambda t: _merged(t)[1].select("k", "text_hash", "is_current", F.col("valid_to").isNotNull().alias("closed")))
 R.add("scd2_current", SCD2 + "SELECT k, new_hash AS text_hash FROM c WHERE new_hash IS NOT NULL")(lambda t: silver.apply_merge(*_merged(t), ["unit_id"]).filter("is_current").select("k", "text_hash"))
 
+@R.add("versions_of_history", """WITH e AS (SELECT user_id % 7 AS source, user_id AS k, ts::DATE AS day, arg_max(event_type, event_id) AS h FROM events GROUP BY ALL),
+s AS (SELECT source, day, row_number() OVER (PARTITION BY source ORDER BY day) AS n, lead(day) OVER (PARTITION BY source ORDER BY day) AS nxt FROM (SELECT DISTINCT source, day FROM e)),
+r AS (SELECT e.*, n, nxt, n - row_number() OVER (PARTITION BY e.source, k, h ORDER BY n) AS g FROM e JOIN s ON s.source = e.source AND s.day = e.day)
+SELECT source, k, h, min(day)::VARCHAR AS valid_from, CASE WHEN count(*) FILTER (WHERE nxt IS NULL) = 0 THEN max(nxt)::VARCHAR END AS valid_to, count(*) FILTER (WHERE nxt IS NULL) > 0 AS is_current FROM r GROUP BY source, k, h, g""")
+def versions_of_history(t: Tables):
+    """Each user's last event type of every day of a group of users: all intervals at once, days without a user are gaps."""
+    days = t.events.groupBy((F.col("user_id") % 7).alias("source"), F.col("user_id").alias("k"), F.to_date("ts").alias("day")).agg(F.max_by("event_type", "event_id").alias("h"))
+    return silver.history(days, days, ["source"], ["k"], "day", "h").withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
+
+
 R.add("unit_ids", "SELECT doc_id, sha256(source || chr(31) || doc_id || chr(31) || sha256(text)) AS unit_id FROM documents")(lambda t: t.documents.select("doc_id", ids.sha(F.col("source"), F.col("doc_id"), ids.content_hash(F.col("text"))).alias("unit_id")))
 R.add("text_hashes", "SELECT doc_id, sha256(text) AS text_hash FROM documents")(lambda t: t.documents.select("doc_id", ids.sha(F.col("text")).alias("text_hash")))
 R.add("token_estimates", "SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE greatest(1, length(text) // 4) END AS tokens FROM documents")(lambda t: t.documents.select("doc_id", ids.estimate_tokens(F.col("text")).alias("tokens")))

@@ -7,8 +7,8 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
-from lexloom import catalog, governance, rules, tables
-from lexloom.operators import dq, silver
+from lexloom import catalog, governance, rules, scratch, tables
+from lexloom.operators import carried, dq, silver
 from lexloom.operators.dq import Rule
 from lexloom.plans.common import Registry, Tables
 from lexloom.sources import landing
@@ -199,3 +199,30 @@ def embed_todo_retire(t: Tables):
     chunks = t.documents.join(toxic, "doc_id", "left").select(F.col("doc_id").cast("string").alias("chunk_id"), F.lit(True).alias("is_active"), F.coalesce("pii_flag", F.lit(False)).alias("pii_flag"))
     vectors = t.embeddings.select(F.col("vec_id").cast("string").alias("chunk_id"), F.lit("m").alias("embedding_model"), F.lit(True).alias("is_active"))
     return silver.embed_todo(chunks, vectors, "m")
+
+
+#: Orders arrive in four loads, customers in three (the last brings none); the rules are looked at after each load.
+CARRIED_RULES = [
+    dq.Rule("R1", "unique", "o_orderkey"), dq.Rule("R2", "unique", columns=("o_custkey", "o_orderpriority")), dq.Rule("R3", "foreign_key", "o_custkey", references="customer.c_custkey"), dq.Rule("R4", "min_value", "o_totalprice", 2000.0),
+    dq.Rule("R5", "max_value", "o_totalprice", 300000.0), dq.Rule("R6", "allowed_values", "o_orderstatus", values=("F", "O")), dq.Rule("R7", "row_count_min", threshold=100.0), dq.Rule("R8", "ratio_min", expression="o_totalprice > 50000", threshold=0.8), dq.Rule("R9", "not_null", "o_orderpriority"),
+]
+CARRIED = """WITH n AS (SELECT unnest(range(4)) AS load), o AS (SELECT n.load, orders.* FROM n, orders WHERE o_orderkey % 4 <= load), c AS (SELECT n.load, c_custkey FROM n, customer WHERE c_custkey % 3 <= load),
+k AS (SELECT load, o_custkey, o_orderpriority, count(*) AS c FROM o GROUP BY ALL), u AS (SELECT load, o_orderkey, count(*) AS c FROM o GROUP BY ALL), s AS (SELECT load, count(*) AS n, min(o_totalprice)::DOUBLE AS low, max(o_totalprice)::DOUBLE AS high, count(*) FILTER (WHERE o_totalprice < 2000) AS b4,
+  count(*) FILTER (WHERE o_totalprice > 300000) AS b5, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O') OR o_orderstatus IS NULL) AS b6, avg(CASE WHEN o_totalprice > 50000 THEN 1.0::DOUBLE ELSE 0 END) AS r, count(*) FILTER (WHERE trim(coalesce(o_orderpriority, '')) = '') AS b9 FROM o GROUP BY load),
+f AS (SELECT 'R1' AS rule_id, load, coalesce(sum(c) FILTER (WHERE c > 1), 0)::BIGINT AS b FROM u GROUP BY load UNION ALL SELECT 'R2', load, coalesce(sum(c) FILTER (WHERE c > 1), 0)::BIGINT FROM k GROUP BY load
+  UNION ALL SELECT 'R3', o.load, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.load = o.load AND c.c_custkey = o.o_custkey)) FROM o GROUP BY o.load)
+SELECT load, rule_id, b = 0 AS passed, b::DOUBLE AS observed_value, b AS failed_rows FROM f UNION ALL SELECT load, 'R4', b4 = 0, low, b4 FROM s UNION ALL SELECT load, 'R5', b5 = 0, high, b5 FROM s UNION ALL SELECT load, 'R6', b6 = 0, b6::DOUBLE, b6 FROM s
+UNION ALL SELECT load, 'R7', n >= 100, n::DOUBLE, NULL FROM s UNION ALL SELECT load, 'R8', r >= 0.8, r, NULL FROM s UNION ALL SELECT load, 'R9', b9 = 0, b9::DOUBLE, b9 FROM s"""
+
+
+@R.add("dq_carried", CARRIED)
+def dq_carried(t: Tables):
+    """Outcomes after each of four loads of orders, each from the load and what the loads before have left."""
+    state, total = carried.Carried(t.spark, scratch.folder(t.spark, "rules"), CARRIED_RULES, buckets=64), None
+    for k in range(4):
+        new = t.customer.filter(F.col("c_custkey") % 3 == k) if k < 3 else t.customer.limit(0)
+        draft = state.draft(t.orders.filter(F.col("o_orderkey") % 4 == k), parents={"customer": (new, None)})
+        one = draft.outcomes.select(F.lit(k).cast("long").alias("load"), "rule_id", "passed", F.col("observed_value"), "failed_rows")
+        draft.commit()
+        total = one if total is None else total.unionByName(one)
+    return total

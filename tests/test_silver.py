@@ -1,8 +1,9 @@
 """Silver and gold loads: incremental, gated on active rows, staged, and whole after a failure between any two writes."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from lexloom.operators import dq, runs
+from lexloom.operators import dq, runs, silver
 from lexloom.tables import TableStore
 from tests.test_engine import DOC
 
@@ -123,3 +124,55 @@ def test_a_service_is_called_in_batches_and_its_order_restored(spark, tmp_path):
 def test_the_stand_in_counts_words(spark):
     v = runs.hash_embedder(16)(spark.createDataFrame([("a", "drill drill access"), ("b", "")], "chunk_id string, text string")).collect()
     assert sorted(round(x, 4) for x in v[0].vector if x) in ([0.4472, 0.8944], [1.0]) and not any(v[1].vector)
+
+
+def test_a_history_at_once_equals_its_loads(spark, monkeypatch):
+    """Snapshots of two sources in any order: the fold gives what one load after the other gives, reverts as versions of their own."""
+    import random
+
+    monkeypatch.setattr(silver, "STRETCH", 3)
+    rng = random.Random(4)
+    snapshots, rows = [], []
+    for source in ("a", None):
+        for at in rng.sample(range(100), 13):
+            snapshots.append((source, at))
+            rows += [(source, k, at, rng.choice("AB"), f"{k}{at}") for k in range(5) if rng.random() < 0.8]
+    rows += [("a", 9, a, "A", "always") for s, a in snapshots if s == "a"]
+    made = spark.createDataFrame(snapshots, "source_id string, at int")
+    got = silver.history(made, spark.createDataFrame(rows, "source_id string, unit_ref int, at int, text_hash string, note string"), ["source_id"], ["source_id", "unit_ref"]).collect()
+    want = []
+    for source in ("a", None):
+        open_ = {}
+        for at in sorted(a for s, a in snapshots if s == source):
+            now = {k: (h, note) for s, k, a, h, note in rows if (s, a) == (source, at)}
+            for k in [k for k, v in open_.items() if k not in now or now[k][0] != v[0]]:
+                want.append((source, k, *open_.pop(k), at, False))
+            open_ |= {k: (*v, at) for k, v in now.items() if k not in open_}
+        want += [(source, k, *v, None, True) for k, v in open_.items()]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.source_id, r.unit_ref, r.text_hash, r.note, r.valid_from, r.valid_to, r.is_current) for r in got), key=key) == sorted(want, key=key)
+    assert sum(r.unit_ref == 9 for r in got) == 1
+    # the same by loads, a version's id made of its start
+    loads = None
+    for at in sorted(a for s, a in snapshots if s == "a"):
+        parsed = spark.createDataFrame([(f"{k}-{h}", k, h) for s, k, a, h, _ in rows if (s, a) == ("a", at)], "unit_id string, unit_ref int, text_hash string")
+        old = loads if loads is not None else spark.createDataFrame([], "unit_id string, unit_ref int, text_hash string, valid_from timestamp, valid_to timestamp, is_current boolean")
+        now = F.timestamp_seconds(F.lit(at))
+        merged = silver.scd2(old, parsed, ["unit_ref"], now, F.concat("unit_id", F.lit(f"@{at}")))
+        loads = spark.createDataFrame(silver.apply_merge(old, merged, ["unit_id"]).collect(), old.schema)
+    by_loads = sorted(map(tuple, loads.selectExpr("unit_ref", "text_hash", "int(unix_timestamp(valid_from))", "int(unix_timestamp(valid_to))", "is_current").collect()), key=key)
+    assert by_loads == sorted(((r.unit_ref, r.text_hash, r.valid_from, r.valid_to, r.is_current) for r in got if r.source_id == "a"), key=key)
+
+
+def test_units_of_all_registered_versions(spark, tmp_path):
+    """Contents A, B and A again, the late one given first: three versions of the section that changed, with ids of their own."""
+    store, changed = TableStore(spark, f"file://{tmp_path}/lake"), DOC.replace(b"month", b"week")
+    assert changed != DOC
+    rows = [("a", "two", "2024-02-01 00:00:00", bytearray(changed)), ("a", "one", "2024-01-01 00:00:00", bytearray(DOC)), ("a", "one", "2024-03-01 00:00:00", bytearray(DOC))]
+    contents = spark.createDataFrame(rows, "source_id string, doc_id string, at string, content binary").withColumn("at", F.to_timestamp("at"))
+    n = runs.build_history(store, contents)
+    units = store.read("silver.document_units")
+    assert n == units.count() and units.select("unit_id").distinct().count() == n
+    drills = units.filter("unit_ref = 's. 13'").orderBy("valid_from").collect()
+    assert [(str(r.valid_from)[:7], str(r.valid_to)[:7], r.is_current, r.doc_id) for r in drills] == [("2024-01", "2024-02", False, "one"), ("2024-02", "2024-03", False, "two"), ("2024-03", "None", True, "one")]
+    assert units.filter("unit_ref <> 's. 13' AND (NOT is_current OR valid_from <> TIMESTAMP '2024-01-01')").count() == 0
