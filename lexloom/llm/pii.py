@@ -2,13 +2,14 @@
 
 Base spans (e-mail, IP, card and phone numbers) follow fixed rules and always stay.  Further candidates (obfuscated
 e-mails, national phone numbers, account and identity numbers, names after a salutation) get votes of three labelers: a
-strict pattern, a gazetteer and the words before them.  Expectation-maximisation over the counts of vote patterns, with
-the base spans among them, estimates how reliable each labeler is; its posteriors train a naive Bayes span classifier over
-votes and shape, which decides about the further candidates.  The counts that reach the driver are bounded by the number
-of vote and shape patterns (fewer than 3,000), whatever the input.
+strict pattern, a gazetteer and the words before them.  Expectation-maximisation over the counts of their vote patterns estimates
+how reliable each labeler is; its posteriors train a naive Bayes span classifier over votes and shape, which decides about them.
+Base spans take no part, as their rule is certain.  What the corpus never showed counts neither way, and a vote for a span never
+counts against it, nor the other way round.  The counts that reach the driver are bounded by the number of vote and shape patterns
+(fewer than 3,000), whatever the input.  Further candidates have no limit of length but an account number's own (15 to 34 characters).
 
 Defined results: a null text counts as empty; equal rows get equal results; input columns named like the results (_base, _spans,
-_n_<kind>) or what leads to them (_f_<kind>, _seen, _more) are replaced, all others stay; an accepted candidate that overlaps a base
+_n_<kind>) or what leads to them (_f_<kind>, _more) are replaced, all others stay; an accepted candidate that overlaps a base
 span is left out; with no candidates the classifier accepts nothing; an empty table gives an empty result.
 """
 
@@ -35,11 +36,11 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 #: Further candidates by kind, with the labeler that knows their strict form.
 MORE = {
-    "email_like": ("(?i)[a-z0-9._%+-]{1,64} ?(?:\\[at\\]|\\(at\\)) ?[a-z0-9-]{1,64}(?: ?(?:\\.|\\[dot\\]|\\(dot\\)) ?[a-z0-9-]{1,64}){1,5}", "(?i).*(?:at\\]|at\\)) ?[a-z0-9-]+ ?(?:\\[dot\\]|\\(dot\\)|\\.) ?[a-z]{2,}"),
+    "email_like": (f"(?:(?<![{LOCAL}])|\\G)[{LOCAL}]++ ?(?i:\\[at\\]|\\(at\\)) ?[A-Za-z0-9-]++(?: ?(?:\\.|(?i:\\[dot\\]|\\(dot\\))) ?[A-Za-z0-9-]++)++", "(?i).*(?:at\\]|at\\)) ?[a-z0-9-]+ ?(?:\\[dot\\]|\\(dot\\)|\\.) ?[a-z]{2,}"),
     "phone_like": ("(?:\\([0-9]|[0-9])(?<![0-9+.-]\\(?[0-9])[0-9]{2}\\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])", "\\([2-9][0-9]{2}\\) [2-9][0-9]{2}-[0-9]{4}|[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}"),
     "id_like": ("[0-9](?<![0-9-][0-9])[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])", "(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"),
     "account_like": ("[A-Z]{2}[0-9]{2}(?<![A-Z0-9][A-Z0-9]{4})(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])", "(?:DE|FR|ES|GB|IT|NL|BE|AT|CH|PT|IE|PL)[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}.*"),
-    "name_like": ("\\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]{1,20}(?: [A-Z][a-z]{1,20})?", "(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]+ [A-Z][a-z]+"),
+    "name_like": ("\\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]++(?: [A-Z][a-z]++)?+", "(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Mlle|Sr|Sra)\\.? [A-Z][a-z]+ [A-Z][a-z]+"),
 }
 # The gazetteers, as lists of what a labeler knows.
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "eu", "uk", "de", "fr", "es", "it", "nl", "be", "at", "ch", "pt", "pl", "ie", "se", "no", "dk", "fi", "ca", "au", "us", "mx", "br", "ar", "jp", "cn", "in")
@@ -95,14 +96,14 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {k: F.filter(find(text, patterns[k], needs.get(k)), ok[k]) for k in KINDS}
 
 
-def _voted(text: Column, spans: Column, strict: str | None) -> Column:
-    """Votes (1 for, 0 none, -1 against) and shape of each span; strict is None for base spans, which passed their rule."""
+def _voted(text: Column, spans: Column, strict: str) -> Column:
+    """Votes (1 for, 0 none, -1 against) and shape of each span."""
     def one(s: Column) -> Column:
         before = F.substring(text, F.greatest(s["start"] - 31, F.lit(1)), F.least(s["start"], F.lit(32)))
         n_digits = F.length(digits(s["value"]))
         return F.struct(
             s["start"], s["rank"], s["end"], s["kind"],
-            (F.lit(1) if strict is None else F.when(s["value"].rlike(f"^(?:{strict})$"), 1).otherwise(-1)).alias("strict"),
+            F.when(s["value"].rlike(f"^(?:{strict})$"), 1).otherwise(-1).alias("strict"),
             F.when(known(s), 1).otherwise(0).alias("gazetteer"),
             F.when(before.rlike(AGAINST), -1).when(before.rlike(CONTEXT), 1).otherwise(0).alias("context"),
             F.least(F.length(s["value"]) / 8, F.lit(4)).cast("int").alias("length"),
@@ -114,14 +115,15 @@ def _voted(text: Column, spans: Column, strict: str | None) -> Column:
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with _base (sorted base spans), _n_<kind>, _seen (voted base spans) and _more (voted further candidates)."""
+    """docs with _base (sorted base spans), _n_<kind> and _more (voted further candidates that overlap no base span)."""
     text = text_of(text_col)
     found = base_spans(text)
     out = docs.withColumns({f"_f_{k}": v for k, v in found.items()})
     out = out.withColumns({f"_n_{k}": F.size(f"_f_{k}").cast("long") for k in KINDS})
     out = out.withColumn("_base", F.array_sort(F.concat(*(ranked(F.col(f"_f_{k}"), r, k) for r, k in enumerate(KINDS)))))
     more = [_voted(text, ranked(find(text, p, text.rlike("(?i)[\\[(]at[\\])]") if k == "email_like" else None), len(KINDS) + r, k), strict) for r, (k, (p, strict)) in enumerate(MORE.items())]
-    return out.withColumn("_seen", _voted(text, F.col("_base"), None)).withColumn("_more", F.concat(*more)).drop(*(f"_f_{k}" for k in KINDS))
+    apart = F.filter(F.concat(*more), lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return out.withColumn("_more", apart).drop(*(f"_f_{k}" for k in KINDS))
 
 
 def fit(counts: list[Row], rounds: int = 40) -> dict[str, dict[int, float]]:
@@ -147,12 +149,14 @@ def fit(counts: list[Row], rounds: int = 40) -> dict[str, dict[int, float]]:
     a, b = sum(p * r["n"] for p, r in zip(post, counts, strict=True)), sum((1 - p) * r["n"] for p, r in zip(post, counts, strict=True))
     model: dict[str, dict[int, float]] = {"bias": {0: math.log((a + 1) / (b + 1))}}
     for f in (*VOTES, *SHAPE):
-        seen = sorted({r[f] for r in counts} | ({-1, 0, 1} if f in VOTES else set()))
+        seen = sorted({r[f] for r in counts})
         model[f] = {
             x: math.log((1 + sum(p * r["n"] for p, r in zip(post, counts, strict=True) if r[f] == x)) / (a + len(seen)))
             - math.log((1 + sum((1 - p) * r["n"] for p, r in zip(post, counts, strict=True) if r[f] == x)) / (b + len(seen)))
             for x in seen
         }
+        if f in VOTES:  # a vote for never counts against
+            model[f] = {x: max(w, 0.0) if x > 0 else min(w, 0.0) if x < 0 else w for x, w in model[f].items()}
     return model
 
 
@@ -171,11 +175,11 @@ def find_private(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs without their text, with _n_<kind>, _base and _spans: arrays of (start, rank, end, kind, value), code points,
     end exclusive.  The texts are scanned once; what was found is written to the shared folder and read twice."""
     cand = written(candidates(docs, text_col).drop(text_col), f"{scratch(docs.sparkSession, 'pii')}/found")
-    votes = cand.select(F.explode(F.concat("_seen", "_more")).alias("s")).select(*(F.col(f"s.{f}").alias(f) for f in (*VOTES, *SHAPE)))
+    votes = cand.select(F.explode("_more").alias("s")).select(*(F.col(f"s.{f}").alias(f) for f in (*VOTES, *SHAPE)))
     model = fit(votes.groupBy(*VOTES, *SHAPE).agg(F.count("*").alias("n")).collect())  # at most 3^3 * 5 * 5 * 4 rows
-    extra = F.filter("_more", lambda s: (score(s, model) > 0) & ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    extra = F.filter("_more", lambda s: score(s, model) > 0)
     plain = F.transform(extra, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"], F.lit(None).cast("string").alias("value")))
-    return cand.withColumn("_spans", F.array_sort(F.concat("_base", plain))).drop("_seen", "_more")
+    return cand.withColumn("_spans", F.array_sort(F.concat("_base", plain))).drop("_more")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
