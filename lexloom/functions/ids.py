@@ -111,22 +111,29 @@ def mime_type(name: Column) -> Column:
     return out
 
 
-#: What is decided about a failed attempt, by its status, in this order: a spent rate limit, and answers worth another try.
+# Statuses of a spent rate limit, statuses worth another try, and the longest wait for a limit's reset.
 LIMITED, BUSY = (403, 429), (429, 500, 502, 503, 504)
 LONGEST_WAIT = 900
+#: What is decided about a failed attempt: the first row that fits tells what the next one waits for (None: there is none).  A row
+#: has the statuses it is for (None among them: no reply), what else it needs, and the wait: the limit's reset and a
+#: second, what the reply asks for, or a backoff.
+WAITS: tuple[tuple[tuple, str, str | None], ...] = (
+    (LIMITED, "spent", "reset"),
+    (LIMITED, "spent for long", None),
+    (BUSY, "after", "after"),
+    ((None, *BUSY), "", "backoff"),
+)
 
 
 def retry_wait(status: Column, attempt: Column, retry_after: Column, remaining: Column, reset_in: Column, base: float = 1.0, longest: float = LONGEST_WAIT) -> Column:
-    """Seconds that a client waits before the next attempt, without jitter; NULL: it doesn't try again.
-
-    No status: a connection error.  A spent rate limit waits for its reset (at once, if none is given) and a second more,
-    unless that is too long.
-    """
-    backoff = base * F.pow(F.lit(2.0), attempt - 1)
+    """Seconds that a client waits before the next attempt, without jitter, by WAITS; NULL: it doesn't try again."""
+    seconds = F.regexp_extract(text(retry_after), "^[0-9]+$", 0)
     reset = F.greatest(F.coalesce(reset_in, F.lit(0)), F.lit(0)).cast("double") + 1
-    after = F.regexp_extract(text(retry_after), "^[0-9]+$", 0)
-    return (
-        F.when(status.isNull(), backoff)
-        .when((remaining == 0) & status.isin(*LIMITED), F.when(reset <= longest, reset))
-        .when(status.isin(*BUSY), F.when(after != "", after.try_cast("double")).otherwise(backoff))
-    )
+    spent = F.coalesce(remaining == 0, F.lit(False))
+    needs = {"": F.lit(True), "spent": spent & (reset <= longest), "spent for long": spent, "after": seconds != ""}
+    waits = {"reset": reset, "after": seconds.try_cast("double"), "backoff": base * F.pow(F.lit(2.0), attempt - 1), None: F.lit(None).cast("double")}
+    out = F.lit(None).cast("double")
+    for statuses, need, wait in reversed(WAITS):
+        of = F.coalesce(status.isin(*(s for s in statuses if s is not None)), F.lit(False)) | (status.isNull() if None in statuses else F.lit(False))
+        out = F.when(of & needs[need], waits[wait]).otherwise(out)
+    return out

@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from lexloom.functions import ids
 from lexloom.operators import bronze, dq, runs
 from lexloom.sources import connectors, datasource, http, landing
 from lexloom.sources.http import Reply
@@ -69,12 +70,18 @@ def test_client_waits_and_gives_up():
 
 
 def test_the_client_and_the_column_decide_alike(spark):
-    """Every attempt of the registered query, by the client too; without its jitter."""
-    from lexloom.plans.retrieval import TRIES
-
-    for _, status, attempt, after, remaining, reset, wait in TRIES:
+    """Every attempt by the table of waits, as a column and by the client; without its jitter."""
+    tries = [
+        (503, 1, None, None, None, 1.0), (502, 2, "x", 5, None, 2.0), (429, 1, "7", 5, None, 7.0), (403, 1, None, 0, 60, 61.0), (403, 1, None, 0, 5000, None), (404, 1, None, 9, None, None), (None, 3, None, None, None, 4.0), (403, 1, None, 4, 10, None), (501, 1, None, None, None, None),
+        (505, 1, "3", None, None, None), (429, 2, None, 0, None, 1.0), (403, 1, None, 0, 899, 900.0), (403, 1, None, 0, 900, None), (503, 4, "12", 0, 60, 12.0), (429, 1, "9", 0, -5, 1.0), (500, 3, "", None, None, 4.0), (504, 1, "1.5", None, None, 1.0),
+    ]
+    f = landing.F
+    df = spark.createDataFrame([(k, *t) for k, t in enumerate(tries)], "k int, status int, attempt int, after string, remaining int, reset int, wait double")
+    got = df.select("k", "wait", ids.retry_wait(*map(f.col, ("status", "attempt", "after", "remaining", "reset"))).alias("got")).collect()
+    assert [r.got for r in got] == [r.wait for r in got]
+    for status, attempt, after, remaining, reset, wait in tries:
         heads = {"Retry-After": after, "X-RateLimit-Remaining": None if remaining is None else str(remaining), "X-RateLimit-Reset": None if reset is None else str(1000 + reset)}
-        got = client([], []).wait(None if status is None else Reply(status, {k: v for k, v in heads.items() if v is not None}), attempt)
+        got = client([], []).decision(None if status is None else Reply(status, {k: v for k, v in heads.items() if v is not None}), attempt)
         assert (got is None) == (wait is None) and (wait is None or wait <= got <= wait + 0.5), (status, got, wait)
 
 
@@ -149,8 +156,11 @@ def test_a_repository_is_listed_only_if_its_head_moved(spark, store, tmp_path):
     row = store.read("bronze.raw_documents").filter("file_name = 'new.txt'").first()
     assert (row.remote_hash, row.source_version, row.source_url) == ("s9", "c2", "https://github.com/o/r/blob/c2/regs/new.txt")
     truncated = connectors.build("github", SETTINGS, "", Web({"https://api.github.com/repos/o/r/git/trees/c": Reply(200, {}, b'{"tree": [], "truncated": true}')}))
+    truncated.client.send.pages["https://api.github.com/repos/o/r/commits/main"] = Reply(200, {}, b'{"sha": "c"}')
     with pytest.raises(http.RequestFailed, match="truncated"):
-        truncated.listing("c")
+        truncated.fetch(SOURCES, lambda _: set(), lambda *_: None)
+    commits = http.ApiClient(Web({"https://api.github.com/repos/o/r/commits": Reply(200, {"Link": '<https://api.github.com/next>; rel="next"'}, b'[{"sha": "a"}]'), "https://api.github.com/next": Reply(200, {}, b'[{"sha": "b"}]')}), "github", "r", "https://api.github.com")
+    assert [x["sha"] for x in connectors.history(commits, SETTINGS, "regs/a.txt")] == ["a", "b"] and commits.send.calls[0][2] == {"sha": "main", "per_page": 100, "path": "regs/a.txt"}
 
 
 def test_one_connector_that_fails_does_not_stop_the_others(spark, store, tmp_path):
@@ -162,13 +172,14 @@ def test_one_connector_that_fails_does_not_stop_the_others(spark, store, tmp_pat
         connectors.build("none", SETTINGS, "")
 
 
-def test_reasons_of_driver_and_column_agree(spark):
-    sources, known = [s for s in SOURCES if s["connector"] == "github"], {"s1"}
-    rows = [(*b, *(lambda w, s: (w, s is not None, bool(s) and s["status"] == "approved"))(*connectors.reason(connectors.Blob(*b), sources, known, (".txt", ".xml"), 1 << 20))) for b in BLOBS]
-    df = spark.createDataFrame(rows, "path string, sha string, size long, want string, registered boolean, approved boolean")
-    f = landing.F
-    got = df.select("want", landing.skip_reason(f.col("path"), f.col("registered"), f.col("approved"), f.col("size"), f.col("sha") == "s1", (".txt", ".xml"), 1 << 20).alias("got")).collect()
-    assert all(r.want == r.got for r in got)
+def test_a_listing_is_judged_by_the_table_rule(spark):
+    sources = [s for s in SOURCES if s["connector"] == "github"]
+    items = [connectors.Item(p, p.rsplit("/", 1)[-1], "u", hash=s, size=n) for p, s, n in BLOBS]
+    got = {i.ref: (why, i.source and i.source["source_id"]) for i, why in connectors.judged(items, sources, {"s1"}, (".txt", ".XML"), 1 << 20)}
+    assert got == {
+        "regs/a.txt": ("unchanged", "g"), "regs/b.xml": ("take", "g"), "regs/README.md": ("housekeeping", "g"), "regs/.x": ("housekeeping", "g"), "regs/x/c.txt": ("source_not_approved", "gx"),
+        "regs/d.pdf": ("extension_not_allowed", "g"), "regs/e.txt": ("too_large", "g"), "other/f.txt": ("unregistered_path", None),
+    }
 
 
 def test_landed_batches_are_registered_whole_or_not_at_all(spark, store, tmp_path):
