@@ -135,7 +135,7 @@ def publish_(s: Session) -> list[str]:
 def validate_(s: Session) -> list[str]:
     tables = list(s.config.tables.values())
     ruled = [(t, r) for t, rs in s.config.rules.items() for r in rs]
-    found = governance.catalog_problems(tables) + governance.rule_problems(ruled, tables) + governance.source_problems(s.config.sources)
+    found = governance.catalog_problems(s.spark, tables) + governance.rule_problems(s.spark, ruled, tables) + governance.source_problems(s.spark, s.config.sources)
     s.failed = bool(found)
     return found or ["no problems"]
 

@@ -1,10 +1,13 @@
-"""Governance as code: what is wrong with a catalog, its rules and its sources, and what the metastore is told of them."""
+"""Governance as code: what is wrong with a catalog, its rules and its sources, and what the metastore is told of them.
 
-from __future__ import annotations
+What is declared becomes frames (tables, columns, keys, rules, needs, sources, fields), and what must hold of them is a list of
+constraints: a key is unique, a value is a member of a register, a condition holds.  Each constraint is a query for its
+violations; all of a list run as one.
+"""
 
-from collections import Counter
+from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lexloom import catalog, rules
 from lexloom.catalog import CLASSIFICATIONS, LAYERS, NO_LOAD_ID, TYPES, Table
@@ -19,67 +22,107 @@ PLACE = {"github": "repo_path", "bclaws": "document_id"}
 KINDS, JURISDICTIONS = ("act", "regulation", "inspection_report"), ("ON", "BC")
 
 
-def repeated(values) -> list:
-    return [v for v, n in Counter(values).items() if n > 1]
-
-
-def catalog_problems(tables: list[Table]) -> list[str]:
-    out = [f"{n}: defined twice" for n in repeated(t.name for t in tables)]
-    for t in tables:
-        columns = [n for n, _, _ in t.fields()]
-        tests = (
-            (t.layer in LAYERS, f"unknown layer {t.layer}"),
-            (t.classification in CLASSIFICATIONS, f"unknown classification {t.classification}"),
-            (t.domain in OWNERS, f"domain {t.domain} has no owner"),
-            (isinstance(t.retention_days, int) and t.retention_days > 0, "retention_days must be a positive number"),
-            (t.mode in ("append", "merge"), f"unknown write mode {t.mode}"),
-            (bool(t.key), "no key"),
-            (t.layer not in ("bronze", "silver", "gold") or t.name in NO_LOAD_ID or "load_id" in columns, "load_id is missing"),
-        )
-        out += [f"{t.name}: {what}" for holds, what in tests if not holds]
-        out += [f"{t.name}: key column {k} isn't declared" for k in t.key if k not in columns]
-        out += [f"{t.name}: column {c} is declared twice" for c in repeated(columns)]
-        out += [f"{t.name}: type {ty} of {n} is unknown" for n, ty, _ in t.fields() if ty not in TYPES]
-    return out
-
-
-def rule_problems(ruled: list[tuple[str, Rule]], tables: list[Table]) -> list[str]:
-    columns = {t.name: {n for n, _, _ in t.fields()} for t in tables}
-    out = [f"{i}: declared twice" for i in repeated(r.rule_id for _, r in ruled)]
-    for table, r in ruled:
-        missing = [n for n in rules.NEEDS.get(r.check, ()) if getattr(r, n) in (None, ()) and not (n == "column" and r.columns)]
-        target, _, key = (r.references or "").rpartition(".")
-        tests = (
-            (r.check in rules.NEEDS, f"unknown check {r.check}"),
-            (r.severity in rules.SEVERITIES, f"unknown severity {r.severity}"),
-            (r.dimension in rules.DIMENSIONS, f"unknown dimension {r.dimension}"),
-            (table in columns, f"unknown table {table}"),
-            (table not in columns or r.column is None or r.column in columns[table], f"unknown column {r.column}"),
-            (r.check != "foreign_key" or key in columns.get(target, ()), f"unknown reference {r.references}"),
-        )
-        out += [f"{r.rule_id}: {what}" for holds, what in tests if not holds] + [f"{r.rule_id}: check {r.check} needs {n}" for n in missing]
-    return out + [f"{t}: no rule" for t in columns if t not in {x for x, _ in ruled}]
-
-
-def source_problems(sources: list[dict], root: str = "regulations/") -> list[str]:
+def unique(frame: str, key: str, what: str, subject: str = "") -> str:
+    """Violations: keys that more than one row has."""
+    return f"SELECT concat({subject or key}, ': {what}') AS problem FROM {{{frame}}} WHERE {key} IS NOT NULL GROUP BY {subject + ', ' if subject and subject != key else ''}{key} HAVING count(*) > 1"
+
+
+def member(frame: str, column: str, register: str, what: str, subject: str = "name") -> str:
+    """Violations: rows whose column a register lacks; NULLs are no concern of it."""
+    return f"SELECT concat({subject}, ': {what} ', {column}) FROM {{{frame}}} x WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {{registers}} r WHERE r.register = '{register}' AND r.value = x.{column})"
+
+
+def holds(frame: str, condition: str, what: str, subject: str = "name") -> str:
+    """Violations: rows that don't meet a condition; NULL is unmet.  what is an SQL expression."""
+    return f"SELECT concat({subject}, ': ', {what}) FROM {{{frame}}} WHERE NOT coalesce({condition}, false)"
+
+
+CATALOG = (
+    unique("tables", "name", "defined twice"),
+    unique("columns", "concat(name, ': column ', column)", "is declared twice"),
+    member("tables", "layer", "layer", "unknown layer"),
+    member("tables", "classification", "classification", "unknown classification"),
+    holds("tables", "domain IN (SELECT value FROM {registers} WHERE register = 'domain')", "concat('domain ', domain, ' has no owner')"),
+    holds("tables", "retention_days > 0", "'retention_days must be a positive number'"),
+    member("tables", "mode", "mode", "unknown write mode"),
+    holds("tables", "keys > 0", "'no key'"),
+    "SELECT concat(k.name, ': key column ', k.column, ' is not declared') FROM {keys} k LEFT ANTI JOIN {columns} c ON k.name = c.name AND k.column = c.column",
+    "SELECT concat(name, ': type ', type, ' of ', column, ' is unknown') FROM {columns} LEFT ANTI JOIN {registers} r ON r.register = 'type' AND r.value = type",
+    "SELECT concat(t.name, ': load_id is missing') FROM {tables} t LEFT ANTI JOIN {columns} c ON t.name = c.name AND c.column = 'load_id' WHERE layer IN ('bronze', 'silver', 'gold') AND t.name NOT IN (SELECT value FROM {registers} WHERE register = 'no load_id')",
+)
+RULES = (
+    unique("rules", "rule_id", "declared twice"),
+    member("rules", "check", "check", "unknown check", "rule_id"),
+    member("rules", "severity", "severity", "unknown severity", "rule_id"),
+    member("rules", "dimension", "dimension", "unknown dimension", "rule_id"),
+    "SELECT concat(rule_id, ': unknown table ', r.name) FROM {rules} r LEFT ANTI JOIN {tables} t ON t.name = r.name",
+    "SELECT concat(rule_id, ': unknown column ', r.column) FROM {rules} r LEFT SEMI JOIN {tables} t ON t.name = r.name LEFT ANTI JOIN {columns} c ON c.name = r.name AND c.column = r.column WHERE r.column IS NOT NULL",
+    "SELECT concat(rule_id, ': unknown reference ', coalesce(target, ''), '.', coalesce(target_column, '')) FROM {rules} r LEFT ANTI JOIN {columns} c ON c.name = r.target AND c.column = r.target_column WHERE r.check = 'foreign_key'",
+    "SELECT concat(rule_id, ': check ', check, ' needs ', need) FROM {needs} WHERE NOT given",
+    "SELECT concat(t.name, ': no rule') FROM {tables} t LEFT ANTI JOIN {rules} r ON r.name = t.name",
+)
+SOURCES = (
+    unique("sources", "name", "duplicate source_id"),
+    unique("sources", "place", "used by more than one source"),
+    "SELECT concat(name, ': missing ', value) FROM {sources} s JOIN {registers} r ON r.register = 'field' LEFT ANTI JOIN {fields} f ON f.k = s.k AND f.field = r.value",
+    "SELECT concat(name, ': ', field, ' must be a string, not ', shown) FROM {fields} JOIN {registers} r ON r.register = 'text' AND r.value = field WHERE NOT is_text",
+    holds("sources", "connector IN (SELECT value FROM {registers} WHERE register = 'connector')", "concat('unknown connector ', coalesce(connector, ''))"),
+    "SELECT concat(name, ': connector ', connector, ' needs ', r.other) FROM {sources} s JOIN {registers} r ON r.register = 'connector' AND r.value = s.connector LEFT ANTI JOIN {fields} f ON f.k = s.k AND f.field = r.other AND f.given",
+    holds("sources", "connector <> 'github' OR connector IS NULL OR startswith(repo_path, {root}) AND endswith(repo_path, '/')", "concat('repo_path must be below ', {root}, ' and end with /')"),
+    holds("sources", "doc_type IN (SELECT value FROM {registers} WHERE register = 'doc_type')", "concat('doc_type ', coalesce(doc_type, ''), ' is not allowed')"),
+    holds("sources", "jurisdiction IN (SELECT value FROM {registers} WHERE register = 'jurisdiction')", "concat('jurisdiction ', coalesce(jurisdiction, ''), ' is not allowed')"),
+    holds("sources", "classification = 'Public'", "'only public sources may be loaded'"),
+    holds("sources", "status <> 'approved' OR status IS NULL OR approved", "'an approval needs approved_by and approved_on'"),
+)
+REGISTERS: dict[str, tuple] = {
+    "layer": LAYERS, "classification": CLASSIFICATIONS, "domain": tuple(OWNERS), "mode": ("append", "merge"), "type": tuple(TYPES), "no load_id": NO_LOAD_ID, "check": tuple(rules.NEEDS), "severity": rules.SEVERITIES, "dimension": rules.DIMENSIONS,
+    "field": SOURCE_FIELDS, "text": TEXTS, "doc_type": KINDS, "jurisdiction": JURISDICTIONS,
+}
+
+
+def violations(spark: SparkSession, constraints: tuple[str, ...], **frames: DataFrame | str) -> list[str]:
+    """The problems that constraints find in frames, sorted."""
+    known = [(name, str(v), None) for name, values in REGISTERS.items() for v in values] + [("connector", k, v) for k, v in PLACE.items()]
+    registers = spark.createDataFrame(known, "register string, value string, other string")
+    found = spark.sql("\nUNION ALL\n".join(f"({c})" for c in constraints), registers=registers, **frames)
+    return sorted(r[0] for r in found.collect())  # what is declared is small
+
+
+def declared(spark: SparkSession, tables: list[Table]) -> dict[str, DataFrame]:
+    rows = [(t.name, t.layer, t.classification, t.domain, t.retention_days if isinstance(t.retention_days, int) else 0, t.mode, len(t.key)) for t in tables]
+    first = {t.name: t for t in tables}.values()
+    return {
+        "tables": spark.createDataFrame(rows, "name string, layer string, classification string, domain string, retention_days long, mode string, keys int"),
+        "columns": spark.createDataFrame([(t.name, n, ty) for t in first for n, ty, _ in t.fields()], "name string, column string, type string"),
+        "keys": spark.createDataFrame([(t.name, k) for t in first for k in t.key], "name string, column string"),
+    }
+
+
+def catalog_problems(spark: SparkSession, tables: list[Table]) -> list[str]:
+    return violations(spark, CATALOG, **declared(spark, tables))
+
+
+def rule_problems(spark: SparkSession, ruled: list[tuple[str, Rule]], tables: list[Table]) -> list[str]:
+    rows = [(t, r.rule_id, r.check, r.column, r.severity, r.dimension, *(r.references or "").rpartition(".")[::2]) for t, r in ruled]
+    needs = [(r.rule_id, r.check, n, getattr(r, n) not in (None, ()) or n == "column" and bool(r.columns)) for _, r in ruled for n in rules.NEEDS.get(r.check, ())]
+    frames = declared(spark, tables)
+    return violations(
+        spark, RULES, tables=frames["tables"], columns=frames["columns"], needs=spark.createDataFrame(needs, "rule_id string, check string, need string, given boolean"),
+        rules=spark.createDataFrame(rows, "name string, rule_id string, check string, column string, severity string, dimension string, target string, target_column string"),
+    )
+
+
+def source_problems(spark: SparkSession, sources: list[dict], root: str = "regulations/") -> list[str]:
     """A bare ON is a boolean in YAML, so every text has to be one."""
-    place = lambda s: s.get("repo_path") or s.get("document_id")
-    out = [f"{i}: duplicate source_id" for i in repeated(s.get("source_id") for s in sources)] + [f"{p}: used by more than one source" for p in repeated(filter(None, map(place, sources)))]
-    for s in sources:
-        name = s.get("source_id", "a source without id")
-        out += [f"{name}: missing {f}" for f in SOURCE_FIELDS if f not in s] + [f"{name}: {f} must be a string, not {s[f]!r}" for f in TEXTS if f in s and not isinstance(s[f], str)]
-        kind, path = s.get("connector"), s.get("repo_path")
-        tests = (
-            (kind in PLACE, f"unknown connector {kind!r}"),
-            (kind not in PLACE or bool(s.get(PLACE[kind])), f"connector {kind} needs {PLACE.get(kind)}"),
-            (kind != "github" or isinstance(path, str) and path.startswith(root) and path.endswith("/"), f"repo_path must be below {root} and end with /"),
-            (s.get("doc_type") in KINDS, f"doc_type {s.get('doc_type')!r} isn't allowed"),
-            (s.get("jurisdiction") in JURISDICTIONS, f"jurisdiction {s.get('jurisdiction')!r} isn't allowed"),
-            (s.get("classification") == "Public", "only public sources may be loaded"),
-            (s.get("status") != "approved" or bool(s.get("approved_by") and s.get("approved_on")), "an approval needs approved_by and approved_on"),
-        )
-        out += [f"{name}: {what}" for holds, what in tests if not holds]
-    return out
+    text = lambda s, f: s[f] if isinstance(s.get(f), str) else None
+    named = [text(s, "source_id") or "a source without id" for s in sources]
+    own = ("connector", "repo_path", "doc_type", "jurisdiction", "classification", "status")
+    rows = [(k, named[k], *(text(s, f) for f in own), text(s, "repo_path") or text(s, "document_id"), bool(s.get("approved_by") and s.get("approved_on"))) for k, s in enumerate(sources)]
+    fields = [(k, named[k], f, isinstance(v, str), bool(v), repr(v)) for k, s in enumerate(sources) for f, v in s.items()]
+    return violations(
+        spark, SOURCES, root=root, fields=spark.createDataFrame(fields, "k int, name string, field string, is_text boolean, given boolean, shown string"),
+        sources=spark.createDataFrame(rows, "k int, name string, " + ", ".join(f"{f} string" for f in own) + ", place string, approved boolean"),
+    )
 
 
 def quote_name(name: str) -> str:

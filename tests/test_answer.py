@@ -133,26 +133,26 @@ def test_a_provider_counts_its_retries_and_drops_reasoning():
         ask(gateway.Model("m", "q", ("public",)), [])
 
 
-def test_shipped_governance_is_sound_and_faults_are_found():
+def test_shipped_governance_is_sound_and_faults_are_found(spark):
     tables, ruled = list(catalog.TABLES.values()), list(rules.SHIPPED)
-    assert governance.catalog_problems(tables) == governance.rule_problems(ruled, tables) == []
+    assert governance.catalog_problems(spark, tables) == governance.rule_problems(spark, ruled, tables) == []
     assert len(ruled) == 33 and {k: sum(r.rule_id[3] == k for _, r in ruled) for k in "BSGO"} == {"B": 8, "S": 10, "G": 11, "O": 4} and sum(r.severity == "critical" for _, r in ruled) == 27
     bad = catalog.Table("silver.x", ("id",), "merge", "id2 string, id2 thing", "Secret", "nobody", 0)
-    found = governance.catalog_problems([*tables, bad, bad])
+    found = governance.catalog_problems(spark, [*tables, bad, bad])
     assert all(any(x in f for f in found) for x in ("defined twice", "unknown classification", "no owner", "positive number", "load_id is missing", "key column id", "declared twice", "type thing"))
     odd = [("none", dq.Rule("r", "unique", "a")), ("silver.chunks", dq.Rule("r", "guess", "nope", severity="mild", dimension="taste")), ("silver.chunks", dq.Rule("f", "foreign_key", "doc_id", references="silver.none.id")), ("silver.chunks", dq.Rule("m", "min_value", "text"))]
-    found = governance.rule_problems([*ruled, *odd], tables)
+    found = governance.rule_problems(spark, [*ruled, *odd], tables)
     assert all(any(x in f for f in found) for x in ("r: declared twice", "unknown table none", "unknown check guess", "unknown severity", "unknown dimension", "unknown column nope", "unknown reference", "m: check min_value needs threshold"))
-    assert governance.rule_problems([], tables[:1]) == ["bronze.raw_documents: no rule"]
+    assert governance.rule_problems(spark, [], tables[:1]) == ["bronze.raw_documents: no rule"]
 
 
-def test_sources_are_checked():
+def test_sources_are_checked(spark):
     good = dict(source_id="s", connector="bclaws", document_id="1", title="t", publisher="p", url="u", doc_type="act", jurisdiction="ON", classification="Public", license_note="n", redistribute_raw=False, status="approved", approved_by="x", approved_on="2026-01-01")
-    assert governance.source_problems([good]) == []
-    for change, said in (({"jurisdiction": True}, "must be a string"), ({"document_id": None}, "needs document_id"), ({"connector": "ftp"}, "unknown connector"), ({"classification": "Internal"}, "only public"), ({"approved_by": ""}, "approval needs"), ({"doc_type": "memo"}, "isn't allowed"), ({"connector": "github", "repo_path": "x/"}, "must be below")):
-        assert any(said in p for p in governance.source_problems([good | change])), change
-    assert any("missing title" in p for p in governance.source_problems([{k: v for k, v in good.items() if k != "title"}]))
-    twice = governance.source_problems([good, good])
+    assert governance.source_problems(spark, [good]) == []
+    for change, said in (({"jurisdiction": True}, "must be a string"), ({"document_id": None}, "needs document_id"), ({"connector": "ftp"}, "unknown connector"), ({"classification": "Internal"}, "only public"), ({"approved_by": ""}, "approval needs"), ({"doc_type": "memo"}, "not allowed"), ({"connector": "github", "repo_path": "x/"}, "must be below")):
+        assert any(said in p for p in governance.source_problems(spark, [good | change])), change
+    assert any("missing title" in p for p in governance.source_problems(spark, [{k: v for k, v in good.items() if k != "title"}]))
+    twice = governance.source_problems(spark, [good, good])
     assert any("duplicate source_id" in p for p in twice) and any("more than one source" in p for p in twice)
 
 
