@@ -209,6 +209,29 @@ def test_archives_round_trip(spark, tmp_path):
         assert (got[k].payload_bytes, got[k].payload_digest) == (len((html or "").encode()), brute.sha(html or ""))
 
 
+def test_a_record_is_fetched_by_its_offset_alone(spark, tmp_path):
+    """One gzip member a record, whatever its size; standard gzip reads the file whole; revisits name their original fully."""
+    import gzip
+
+    body, huge = "b" * 300, "é" * (9 << 20)
+    rows = [(k, f"http://h/{k}", body if k % 2 else f"own {k}" * 30) for k in range(12)] + [(90, "http://big", huge), (91, "http://big2", huge)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{tmp_path}/a")
+    found = warc.index(spark, f"file://{tmp_path}/a").collect()
+    assert sorted(int(r.id) for r in found) == sorted(r[0] for r in rows)
+    for r in found:
+        head, block = warc.fetch(spark, r.file, r.offset, r.length)
+        assert (head["warc-record-id"], head["warc-type"]) == (f"<urn:page:{r.id}>", r.type)
+        first = {91: 90}.get(int(r.id), 1)
+        if r.type == "revisit":
+            assert block == b"" and head["warc-refers-to"] == f"<urn:page:{first}>" and head["warc-refers-to-target-uri"] == dict((k, u) for k, u, _ in rows)[first] and head["warc-refers-to-date"] == warc.DATE
+        else:
+            assert block.decode() == next(t for k, _, t in rows if k == int(r.id))
+    for file in {r.file for r in found}:
+        records = list(warc.parse(gzip.open(file.removeprefix("file:")).read()))
+        assert records[0][0]["warc-type"] == "warcinfo" and len(records) == 1 + sum(r.file == file for r in found)
+    assert {r.id: bytes(r.payload) for r in warc.read_archives(spark, f"file://{tmp_path}/a").collect()} == {str(k): t.encode() for k, _, t in rows}
+
+
 def test_language_of_held_out_and_mixed_texts(spark, folder, sf):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = [r for r in langid.op8_language_id(spark, folder).collect() if r.doc_id < 10**6]
@@ -470,7 +493,7 @@ def test_popular_payloads_are_resolved_by_their_heads(spark, monkeypatch, share)
     monkeypatch.setattr(shared.heavy, "__kwdefaults__", {"share": share})
     body = "x" * 200
     pages = spark.createDataFrame([(k, "u", body if k % 3 else f"{body}{k}") for k in range(30)] + [(1, "u", body), (2, "u", body), (None, "u", body)], "page_id long, url string, html string")
-    heads = pages.select(*warc._keyed("page_id", "html")).select("_id", "_key", "_digest", "_bytes")
+    heads = pages.select(pages["url"].alias("_uri"), *warc._keyed("page_id", "html")).select("_id", "_key", "_uri", "_digest", "_bytes")
     got = sorted((r._key, r._original) for r in warc.resolve(heads).collect())
     assert got == sorted([(f"i{k}", 1) for k in range(2, 30) if k % 3] + [("n", 1)])
 
@@ -521,7 +544,7 @@ def test_every_query_on_empty_tables_and_on_repeated_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
     once, twice = ops(spark, f"{tmp_path}/once"), ops(spark, f"{tmp_path}/twice")
     for name in once:
-        if name not in ("op5_fingerprints", "op9_packing", "op10_embedding_near_dedup"):  # whose rows look at others
+        if name not in ("op5_fingerprints", "op9_packing", "op10_embedding_near_dedup", "op13_mixing"):  # whose rows look at others
             assert sorted(set(twice[name])) == sorted(set(once[name])) and len(twice[name]) == 2 * len(once[name]), name
         else:
             assert len(twice[name]) >= 2 * len(once[name]) - 2, name
