@@ -12,8 +12,8 @@ task as one sorted array; all others, which only few texts hold, are joined by p
 
 A corpus of S different pairs gives S rows of counts; the driver holds at most HOT of them.
 
-Defined results: each row is a text of its own, whatever its id (repeated rows count as often as they come); a text that is
-null, empty, or that one of the tokenizers doesn't give back byte for byte has no tokens, and zeros; other columns are ignored;
+Defined results: each row has a result of its own, but rows that share an id are one document when documents are counted, and rows
+without an id are one document for each text; a text that is null, empty, or that one of the tokenizers doesn't give back byte for byte has no tokens, and zeros; other columns are ignored;
 an empty table gives an empty result.  One task holds one text and its tokens while it aligns them.
 """
 
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm.shared import documents, lean, scratch, written
+from lexloom.llm.shared import documents, lean, row_mark, scratch, written
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pairs whose counts go to every task, at most: 12 bytes each.
@@ -126,11 +126,11 @@ class Aligned:
         return hashlib.sha256("".join(map(shown.__getitem__, codes.tolist()))[:-1].encode()).hexdigest()
 
 
-TEXTS = "_row long, _id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, _pairs binary, _times binary"
+TEXTS = "_row long, _id {kind}, _doc string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, _pairs binary, _times binary"
 
 
 def _align(byte_level: str, pieces: str):
-    """(id, text) -> a row of TEXTS: counts, digest, different pairs (A's id * 2^32 + B's, ascending) and their links."""
+    """(id, doc, text) -> a row of TEXTS: counts, digest, different pairs (A's id * 2^32 + B's, ascending) and their links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -139,12 +139,12 @@ def _align(byte_level: str, pieces: str):
         none = (0, 0, 0, 0, "", b"", b"")
         for batch in batches:
             first = size = 0
-            lengths = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
+            lengths = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
             for k, n in enumerate([*lengths, 0]):
                 if k < len(lengths) and (not size or size + n <= BATCH):
                     size += n
                     continue
-                texts = [x or "" for x in batch.column(1).slice(first, k - first).to_pylist()]
+                texts = [x or "" for x in batch.column(2).slice(first, k - first).to_pylist()]
                 out = []
                 for text, b in zip(texts, t.b.encode(texts, num_threads=1) if texts else [], strict=True):
                     a, b = np.array(t.a.encode_ordinary(" " + text) if text else [], np.int64), np.array(b, np.int64)
@@ -157,9 +157,9 @@ def _align(byte_level: str, pieces: str):
                     out.append((len(a), len(b), len(both.cuts), len(both.link_a), both.digest(a, b, t.shown, sizes), pairs.astype("<u8").tobytes(), times.astype("<u4").tobytes()))
                 if out:
                     kinds = (pa.int64(),) * 4 + (pa.string(), pa.binary(), pa.binary())
-                    columns = [pa.array(np.arange(number, number + len(out))), batch.column(0).slice(first, k - first), *(pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds))]
+                    columns = [pa.array(np.arange(number, number + len(out))), *(batch.column(c).slice(first, k - first) for c in range(2)), *(pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds))]
                     number += len(out)
-                    yield pa.RecordBatch.from_arrays(columns, names=["_row", "_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_pairs", "_times"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["_row", "_id", "_doc", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_pairs", "_times"])
                 first, size = k, n
 
     return lean(run)
@@ -221,12 +221,18 @@ class Alignment:
             byte_level, pieces = byte_level or public_tokenizers.path(BYTE_LEVEL), pieces or public_tokenizers.path(PIECES)
         self.spark, self.hot, self.base = docs.sparkSession, hot, scratch(docs.sparkSession, "alignment")
         schema = TEXTS.format(kind=docs.schema[id_col].dataType.simpleString())
-        self.texts = written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(_align(byte_level, pieces), schema), f"{self.base}/texts")
+        self.texts = written(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.concat(F.lit("t"), row_mark(id_col, text_col))).alias("_doc"), F.col(text_col).alias("_text")).mapInArrow(_align(byte_level, pieces), schema), f"{self.base}/texts")
         self.counts = self._counts()
 
     def _counts(self) -> DataFrame:
         """(pair, docs, best): how many texts hold a pair, and whether no pair of its A id is held by more."""
-        own = self.texts.filter("n_links > 0").select("_pairs").mapInArrow(_count(HELD), "pair long, docs long")
+        linked = self.texts.filter("n_links > 0")
+        again = written(linked.groupBy("_doc").count().filter("count > 1").select("_doc"), f"{self.base}/again")
+        several = bool(again.limit(1).count())
+        own = (linked.join(again, "_doc", "left_anti") if several else linked).select("_pairs").mapInArrow(_count(HELD), "pair long, docs long")
+        if several:  # rows of one id are one document
+            rows = linked.join(again, "_doc", "left_semi").select("_doc", "_row", "_pairs", "_times").mapInArrow(_exploded, "_id string, _row long, pair long, links long")
+            own = own.unionByName(rows.select("_id", "pair").distinct().groupBy("pair").agg(F.count("*").alias("docs")))
         salted = own.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))).groupBy("pair", "salt").agg(F.sum("docs").alias("docs"))
         counts = written(salted.groupBy("pair").agg(F.sum("docs").alias("docs")), f"{self.base}/counts")
         a = F.shiftright("pair", 32)
@@ -261,7 +267,7 @@ class Alignment:
             cold = met.select("_r", F.explode(F.arrays_zip("_cold", "_n")).alias("x")).select("_r", F.col("x._cold").alias("pair"), F.col("x._n").alias("n"))
             cold = cold.join(self.counts.filter(F.col("docs") < least), "pair").select("_r", (F.col("docs") * F.col("n")).alias("_sum"), F.when(F.col("best"), F.col("n")).otherwise(0).alias("_best"))
             sums = met.select("_r", "_sum", "_best").unionByName(cold).groupBy("_r").agg(F.sum("_sum").alias("_sum"), F.sum("_best").alias("_best"))
-        out = self.texts.drop("_pairs", "_times").join(sums, F.col("_row") == F.col("_r"), "left")
+        out = self.texts.drop("_pairs", "_times", "_doc").join(sums, F.col("_row") == F.col("_r"), "left")
         return out.select("_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("_best", F.lit(0)).cast("long").alias("n_best"), F.coalesce("_sum", F.lit(0)).cast("long").alias("count_sum"), "groups_sha256")
 
 

@@ -25,8 +25,8 @@ def pair():
     return a, b, letters
 
 
-def plain(texts, pair):
-    """Rows of the contract, token by token."""
+def plain(texts, pair, names=None):
+    """Rows of the contract, token by token; names: the documents of texts, each its own by default."""
     a, b, letters = pair
     found = []
     for text in texts:
@@ -65,7 +65,8 @@ def plain(texts, pair):
                     k += 1
             row = (ia, ib, groups, links)
         found.append(row)
-    count = Counter(p for r in found for p in set(r[3]))
+    held = {(k if names is None else names[n], p) for n, (k, r) in enumerate(enumerate(found)) for p in r[3]}
+    count = Counter(p for _, p in held)
     best = defaultdict(int)
     for (x, _), n in count.items():
         best[x] = max(best[x], n)
@@ -87,7 +88,7 @@ def test_alignment_equals_loops_over_tokens(spark, rows, pair, hot, monkeypatch)
     if hot == 40:
         monkeypatch.setattr(alignment, "HELD", 50)
         monkeypatch.setattr(alignment, "BATCH", 1000)
-    want = Counter((k, *r) for (k, _), r in zip(rows, plain([t for _, t in rows], pair), strict=True))
+    want = Counter((k, *r) for (k, _), r in zip(rows, plain([t for _, t in rows], pair, [t if k is None else k for k, t in rows]), strict=True))
     docs = spark.createDataFrame([(k, t, 1, 2, "c", 3) for k, t in rows], "doc_id long, text string, pair int, _row int, _id string, n_a int")
     got = alignment.Alignment(docs, hot=hot).rows().collect()
     assert Counter((r._id, *(r[c] for c in COLUMNS)) for r in got) == want
