@@ -224,3 +224,39 @@ def test_a_connector_as_a_data_source(spark):
     spark.dataSource.register(datasource.ConnectorSource)
     df = spark.read.format("lexloom_connector").option("connector", "tests_fixed").option("module", "tests.fixed").option("settings", "{}").option("sources", json.dumps([{"source_id": "z", "connector": "tests_fixed", "status": "approved"}, {"source_id": "y", "connector": "tests_fixed", "status": "pending"}])).load()
     assert [(r.source_id, r.file_name, bytes(r.content)) for r in df.collect()] == [("z", "z.txt", b"z")]
+
+
+def test_a_connector_as_a_stream_goes_on_from_its_positions(spark, tmp_path):
+    """Three fetches with a change between; a batch that failed comes again, and a merge by content keeps nothing twice."""
+    root, sources = tmp_path / "service", [{"source_id": n, "connector": "tests_folder", "status": "approved" if n != "p" else "pending"} for n in ("a", "b", "p")]
+    root.mkdir()
+    for n in ("a", "b", "p"):
+        (root / n).write_text(f"{n} one")
+    spark.dataSource.register(datasource.ConnectorSource)
+    seen, fail = [], []
+
+    def batch(df, number):
+        found = sorted((r.source_id, bytes(r.content).decode()) for r in df.collect())
+        seen.append((number, found))
+        if fail:
+            raise RuntimeError(fail.pop())
+
+    def run():
+        stream = spark.readStream.format("lexloom_connector").option("connector", "tests_folder").option("module", "tests.fixed").option("settings", json.dumps({"root": str(root)})).option("sources", json.dumps(sources)).load()
+        query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"file://{tmp_path}/checkpoint").trigger(processingTime="0 seconds").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    run()
+    (root / "b").write_text("b two")
+    fail.append("lost")
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    (root / "a").write_text("a three")
+    run()
+    told = [x for _, x in seen if x]
+    assert told == [[("a", "a one"), ("b", "b one")], [("b", "b two")], [("b", "b two")], [("a", "a three")]]
+    assert len({tuple(x) for x in told}) == 3 and seen[-1][1] == [("a", "a three")]
