@@ -28,7 +28,7 @@ h AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY fused DESC, ar
 """
 
 
-def _index(t: Tables) -> search.SearchIndex:
+def search_index(t: Tables) -> search.SearchIndex:
     """The index of the searchable documents, written once for each state of their files."""
     corpus = t.documents.join(t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id")
     return search.SearchIndex.open(corpus, t.shared(), "doc_id", "text", "embedding", t.state("documents", "embeddings"))
@@ -39,7 +39,7 @@ def _asked(t: Tables):
 
 
 def _hybrid(t: Tables):
-    return _index(t).search(t.benchmark, _asked(t), "item_id", "text", "q").drop("kw")
+    return search_index(t).search(t.benchmark, _asked(t), "item_id", "text", "q").drop("kw")
 
 
 R.add("tokens", f"WITH {WORDS} SELECT doc_id, len(ws) AS n, sha256(array_to_string(ws, ' ')) AS h FROM w")(lambda t: t.documents.select("doc_id", ids.words(F.col("text")).alias("w")).select("doc_id", F.size("w").cast("long").alias("n"), F.sha2(F.array_join("w", " "), 256).alias("h")))
@@ -51,8 +51,8 @@ def doc_freq_idf(t: Tables):
     return search.document_frequencies(t.documents, "doc_id", "text").select("word", "df", F.round(ids.idf(F.col("n"), F.col("df")), 9).alias("idf"))
 
 
-R.add("bm25_topk", BM25 + "SELECT item_id, doc_id, kw, r AS rank FROM kr WHERE r <= 10")(lambda t: _index(t).keyword_top(t.benchmark, "item_id", "text", 10))
-R.add("vector_topk", BM25 + "SELECT item_id, doc_id, vec, r AS rank FROM vr WHERE r <= 10")(lambda t: _index(t).vector_top(_asked(t), "item_id", "q", 10))
+R.add("bm25_topk", BM25 + "SELECT item_id, doc_id, kw, r AS rank FROM kr WHERE r <= 10")(lambda t: search_index(t).keyword_top(t.benchmark, "item_id", "text", 10))
+R.add("vector_topk", BM25 + "SELECT item_id, doc_id, vec, r AS rank FROM vr WHERE r <= 10")(lambda t: search_index(t).vector_top(_asked(t), "item_id", "q", 10))
 R.add("rrf_hybrid", BM25 + "SELECT item_id, doc_id, fused, vec, rank FROM h WHERE rank <= 5")(_hybrid)
 R.add("offtopic_gate", BM25 + "SELECT item_id, max(vec) AS best, coalesce(max(vec), 0) < 0.55 AS off_topic FROM h WHERE rank <= 5 GROUP BY item_id")(lambda t: _hybrid(t).groupBy("item_id").agg(F.max("vec").alias("best")).withColumn("off_topic", F.coalesce("best", F.lit(0.0)) < 0.55))
 R.add("batch_hybrid", BM25 + "SELECT doc_id, count(*) AS questions, max(fused) AS best FROM h WHERE rank <= 5 GROUP BY doc_id")(lambda t: _hybrid(t).groupBy("doc_id").agg(F.count("*").alias("questions"), F.max("fused").alias("best")))
@@ -173,7 +173,7 @@ def _answers(t: Tables):
     q = t.benchmark.join(t.embeddings, n == F.col("vec_id")).select(n.alias("qid"), number.alias("question"), F.col("embedding").alias("q"))
     d = F.col("doc_id")
     sections = t.documents.select(d.alias("chunk_id"), F.lit("src").alias("source_id"), F.concat(F.lit("s. "), d).alias("unit_ref"), (d % 5 == 0).alias("is_repealed"), (d % 7 != 6).alias("in_force"), "text", F.col("lang").alias("heading"), F.lit(None).cast("string").alias("history_note"), F.lit(True).alias("is_current"))
-    index = _index(t)
+    index = search_index(t)
     library = answer.Library(sections.select("chunk_id", "source_id", "unit_ref", "text"), sections.drop("chunk_id"), _Named(index))
     settings = config.Config(over={"rag": config.SETTINGS["rag"] | {"min_vector_score": 0.9, "max_context_chars": 3000, "top_k": 5, "candidates": 20, "rrf_k": 60, "laws": {}}})
     models = [gateway.Model("first", "p", ("confidential",)), gateway.Model("second", "q", ("confidential",), 1.0, 2.0)]
@@ -225,7 +225,7 @@ def scorecard_30(t: Tables):
 @R.add("recall_at_k", BM25 + """, e AS (SELECT item_id, list(doc_id) AS expected FROM kr WHERE r <= 3 GROUP BY item_id), g AS (SELECT item_id, list(doc_id) AS got FROM h WHERE rank <= 5 GROUP BY item_id)
 SELECT item_id, len(list_intersect(expected, got)) / len(expected) AS recall FROM e JOIN g USING (item_id)""")
 def recall_at_k(t: Tables):
-    e = _index(t).keyword_top(t.benchmark, "item_id", "text", 3).groupBy("item_id").agg(F.collect_set("doc_id").alias("e"))
+    e = search_index(t).keyword_top(t.benchmark, "item_id", "text", 3).groupBy("item_id").agg(F.collect_set("doc_id").alias("e"))
     g = _hybrid(t).groupBy("item_id").agg(F.collect_set("doc_id").alias("g"))
     return e.join(g, "item_id").select("item_id", (F.size(F.array_intersect("e", "g")) / F.size("e")).alias("recall"))
 
