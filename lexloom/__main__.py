@@ -35,7 +35,7 @@ class Session:
 
     @property
     def store(self) -> TableStore:
-        return TableStore(self.spark, self.runtime.root)
+        return TableStore(self.spark, self.runtime.shared(self.spark).root)
 
     def connector(self, name: str) -> connectors.Connector:
         more = {"token": token} if name == "github" and (token := secret("GITHUB_TOKEN")) else {}

@@ -154,3 +154,11 @@ class Runtime:
         if own.git_commit:
             os.environ[f"{PREFIX}GIT_COMMIT"] = own.git_commit
         return own
+
+    def shared(self, spark) -> Runtime:
+        """Itself, if what a cluster writes to isn't a folder of each machine's own."""
+        if not spark.sparkContext.master.startswith("local"):
+            for f in ("root", "landing"):
+                if getattr(self, f) == getattr(Runtime, f):
+                    raise RuntimeError(f"on a cluster --{f} has to name a folder that driver and executors share")
+        return self

@@ -12,6 +12,7 @@ from datetime import UTC, datetime
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -243,23 +244,34 @@ def in_order(reply: list[dict]) -> list[list[float]]:
 def batched_embedder(send: Callable[[list[str]], list[dict]], size: int = 8, pause: float = 1.0, lanes: int = 1, sleep: Callable[[float], None] = time.sleep) -> Embed:
     """An embedder over a service that takes size texts a call: send(texts) gives {index, embedding} entries.
 
-    Calls of a lane follow each other after a pause; lanes are as many calls at once as the service allows.
+    Calls of a lane follow each other after a pause; lanes are as many calls at once as the service allows.  A lane passes by in
+    the order of chunk_id, and only the texts of one call are held.
     """
-    def lane(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, out = rows.sort_values("chunk_id"), []
-        for k in range(0, len(rows), size):
-            if k:
+    def called(ids_: list[str], texts: list[str]) -> pa.RecordBatch:
+        got = in_order(send(texts))
+        if len(got) != len(texts):
+            raise RuntimeError(f"asked for {len(texts)} vectors, got {len(got)}")
+        return pa.RecordBatch.from_arrays([pa.array(ids_, pa.string()), pa.array([[float(x) for x in v] for v in got], pa.list_(pa.float32()))], names=["chunk_id", "vector"])
+
+    def lane(arrived: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now, calls = [], None, 0
+        for chunk, text, number in (row for batch in arrived for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+            if held and (len(held) == size or number != now):
+                if calls:
+                    sleep(pause)
+                yield called(*map(list, zip(*held, strict=True)))
+                held, calls = [], calls + 1
+            if number != now:
+                now, calls = number, 0
+            held.append((chunk, text))
+        if held:
+            if calls:
                 sleep(pause)
-            texts = list(rows["text"][k : k + size])
-            got = in_order(send(texts))
-            if len(got) != len(texts):
-                raise RuntimeError(f"asked for {len(texts)} vectors, got {len(got)}")
-            out += [[float(x) for x in v] for v in got]
-        return pd.DataFrame({"chunk_id": rows["chunk_id"], "vector": out})
+            yield called(*map(list, zip(*held, strict=True)))
 
     def embed(df: DataFrame) -> DataFrame:
         dealt = df.select("chunk_id", "text", F.pmod(F.xxhash64("chunk_id"), F.lit(lanes)).alias("lane"))
-        return dealt.groupBy("lane").applyInPandas(lane, "chunk_id string, vector array<float>")
+        return dealt.repartition(lanes, "lane").sortWithinPartitions("lane", "chunk_id").mapInArrow(lane, "chunk_id string, vector array<float>")
 
     return embed
 
