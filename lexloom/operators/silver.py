@@ -88,20 +88,12 @@ def apply_merge(existing: DataFrame, merged: DataFrame, key: list[str]) -> DataF
 
 
 def pack_lines(text: Column, target_chars: int) -> Column:
-    """Pieces of whole lines, each closed before it would exceed target_chars; a longer line is a piece alone."""
-    line_break = F.lit("\n")
-    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"), F.lit(0).alias("size"), F.lit(0).alias("lines"))
-
-    def step(acc: Column, ln: Column) -> Column:
-        close = (acc["lines"] > 0) & (acc["size"] + F.char_length(ln) > target_chars)
-        return F.struct(
-            F.when(close, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]).alias("done"),
-            F.when(close | (acc["lines"] == 0), ln).otherwise(F.concat(acc["cur"], line_break, ln)).alias("cur"),
-            (F.when(close, F.lit(0)).otherwise(acc["size"]) + F.char_length(ln) + 1).alias("size"),
-            (F.when(close, F.lit(0)).otherwise(acc["lines"]) + 1).alias("lines"),
-        )
-
-    return F.aggregate(F.split(text, "\n", -1), zero, step, lambda acc: F.when(acc["lines"] > 0, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]))
+    """Pieces of whole lines, each as long as target_chars (code points) allows; a longer line is a piece alone.
+
+    One search from left to right: a piece is the longest run that ends with a line, so a text costs its length.
+    """
+    fits = f"(?s)(.{{0,{max(target_chars, 0)}}}|[^\n]*)\n"
+    return F.regexp_extract_all(F.concat(text, F.lit("\n")), F.lit(fits), F.lit(1))
 
 
 def header(jurisdiction: Column, title: Column, context: Column, ref: Column, heading: Column, part: Column) -> Column:
