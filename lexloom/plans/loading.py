@@ -11,7 +11,7 @@ from lexloom.functions import ids
 from lexloom.operators import bronze, runs, silver
 from lexloom.plans.common import Registry, Tables
 from lexloom.sources import landing, markup
-from lexloom.streaming import ingest
+from lexloom.streaming import ingest, registration
 from lexloom.tables import TableStore
 
 R = Registry()
@@ -175,6 +175,19 @@ def stream_available_now(t: Tables):
     return store.read("ops.watermarks").select(F.col("scope").cast("long").alias("event_id"), F.col("watermark_value").cast("long").alias("user_id"))
 
 
+@R.add("stream_register", DEDUP + "SELECT * FROM r")
+def stream_register(t: Tables):
+    """Documents arrive shuffled, in four batches; the first of each content by id is loaded, as one look at all of them would say."""
+    base = f"{t.shared()}/register-{uuid.uuid4().hex}"
+    rows = t.documents.select("doc_id", ids.content_hash(F.col("text")).alias("h"))
+    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(files, F.xxhash64("doc_id")).write.parquet(f"{base}/landed")
+    arriving = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // 4)).parquet(f"{base}/landed")
+    known = t.benchmark.select(ids.content_hash(F.col("text")).alias("h"))
+    registration.deliver(registration.outcomes(arriving, known, "h", "doc_id", "doc_id"), f"{base}/outcomes", f"{base}/position")
+    return registration.settled(t.spark, f"{base}/outcomes", "long").select(F.col("id").alias("doc_id"), "reason")
+
+
 MARKUP = b"""<r:act xmlns:r="urn:r" xmlns:x="urn:x"><part><num>2</num><text>Care</text><division><num>1</num><title>Safety</title>
 <section><marginalnote>Drills</marginalnote><num>13</num><text>Held <link x:href="/legislation/a_01?x">once</link> a month.</text><hnote>[en. 2022]</hnote></section>
 <section><marginalnote>Access</marginalnote><num>12</num><subsection><num>1</num><text>Repealed. [2001]</text></subsection><subsection><num>2</num><text>A person must</text><paragraph><num>a</num><text>give access</text></paragraph></subsection></section>
