@@ -207,6 +207,20 @@ def parsed_units(t: Tables):
     return u.select("unit_order", "unit_ref", "context_path", "heading", "text", "history_note", "is_repealed", "in_force", ids.target_document(F.get("links.href", F.lit(0))).alias("target"))
 
 
+@R.add("parsed_documents", r"""WITH l AS (SELECT doc_id, lang, string_split(regexp_replace(text, '[^A-Za-z0-9 \n]+', ' ', 'g'), chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, lang, i, trim(regexp_replace(ls[i], ' +', ' ', 'g')) AS x FROM (SELECT doc_id, lang, ls, unnest(range(1, len(ls) + 1)) AS i FROM l))
+SELECT doc_id, i::INT AS unit_order, 's. ' || i AS unit_ref, 'Part ' || doc_id || ' Docs' AS context_path, lang AS heading, x AS text, regexp_matches(x, '(?i)^repealed\b') AS is_repealed FROM s""")
+def parsed_documents(t: Tables):
+    """Documents as markup, a section for each line, cut into pieces of 4,096 bytes and parsed by the table function from SQL."""
+    lines = F.split(F.regexp_replace("text", "[^A-Za-z0-9 \n]+", " "), "\n", -1)
+    section = lambda x, i: F.concat(F.lit("<section><num>"), i + 1, F.lit("</num><marginalnote>"), F.coalesce("lang", F.lit("")), F.lit("</marginalnote><text>"), x, F.lit("</text></section>"))
+    body = F.concat(F.lit("<act><part><num>"), F.col("doc_id"), F.lit("</num><title>Docs</title>"), F.array_join(F.transform(lines, section), ""), F.lit("</part></act>"))
+    docs = t.documents.filter("text is not null").select(F.lit("d").alias("source_id"), F.col("doc_id").cast("string").alias("doc_id"), body.cast("binary").alias("content"))
+    markup.register_functions(t.spark)
+    found = t.spark.sql("SELECT * FROM sections(TABLE({pieces}) PARTITION BY (source_id, doc_id) ORDER BY piece)", pieces=markup.in_pieces(docs, 4096))
+    return markup.meaning(found).select(F.col("doc_id").cast("long").alias("doc_id"), "unit_order", "unit_ref", "context_path", "heading", "text", "is_repealed")
+
+
 def _store(t: Tables) -> TableStore:
     return TableStore(t.spark, f"{t.shared()}/lake-{uuid.uuid4().hex}")
 
