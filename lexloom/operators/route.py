@@ -23,6 +23,8 @@ def find_law(questions: DataFrame, laws: DataFrame, question: str = "question")
     keyed = names.withColumn("_word", F.explode("_words")).join(common, "_word").groupBy("source_id", "_name", "position").agg(F.min(F.struct("_n", "_word"))["_word"].alias("_word"))
     asked = questions.select(F.col(question).alias("_asked")).distinct().withColumn("_text", F.lower("_asked"))
     each = asked.withColumn("_word", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit("[a-z0-9]+"), F.lit(0)))))
+    if laws.limit(landing.REGISTER + 1).count() <= landing.REGISTER:  # names go to the questions, whose texts are not dealt by word
+        keyed = F.broadcast(keyed)
     met = each.join(keyed, "_word").select("_asked", "_text", "_name", "position", "source_id")
     bare = names.filter(F.size("_words") == 0)
     if bare.limit(1).count():
@@ -36,32 +38,47 @@ def find_law(questions: DataFrame, laws: DataFrame, question: str = "question")
 
 #: A range of sections is spelled out up to this many; a wider one is compared by its ends.
 SPELLED = 1000
+#: Tasks that the units of one law and number are dealt among; refs, which are narrow, go to all of them.
+SLOTS = 8
 
 
 def lookup(refs: DataFrame, units: DataFrame) -> DataFrame:
-    """Current main-body units that (number, law) refs name, in order of source and place: exactly, or by a range like
-    "s. 30-31"; any law if none is named.
+    """What ``named`` gives, in order of source and place."""
+    return named(refs, units).orderBy("source_id", *(["unit_order"] if "unit_order" in units.columns else ["unit_ref"]))
 
-    A unit answers to its own number and, if it is a range, to every number in it, so units and refs meet by equality.
+
+def named(refs: DataFrame, units: DataFrame, few: bool = False) -> DataFrame:
+    """Current main-body units that (number, law) refs name, in no order: exactly, or by a range like "s. 30-31"; any law if none
+    is named.
+
+    A unit answers to its own number and, if it is a range, to every number in it, under its law and under none, so units
+    and refs meet by equality.  All pairs are asked for, and their number is the product of both sides: only the sides are moved, never pairs.
+    Few refs (the caller has counted them) go to the units instead.
     """
     ends = lambda k: F.expr(f"try_cast(regexp_extract(unit_ref, '^s\\\\. ([0-9]{{1,9}})-([0-9]{{1,9}})$', {k}) AS int)")
     u = units.filter("is_current").withColumns({"_lo": ends(1), "_hi": ends(2)})
-    named = F.regexp_extract("unit_ref", r"(?s)^s\. (.*)$", 1)
+    own = F.regexp_extract("unit_ref", r"(?s)^s\. (.*)$", 1)
     ranged = F.col("_hi") >= F.col("_lo")
     inside = F.transform(F.sequence("_lo", F.least("_hi", F.col("_lo") + SPELLED - 1)), lambda n: n.cast("string"))
-    names = F.array_distinct(F.concat(F.array(named), F.when(ranged, inside).otherwise(F.array().cast("array<string>"))))
+    names = F.array_distinct(F.concat(F.array(own), F.when(ranged, inside).otherwise(F.array().cast("array<string>"))))
     spelled = u.withColumn("_name", F.explode(names)).filter("_name <> ''")
     plain = F.when(F.col("number").rlike("^[0-9]{1,9}$"), F.col("number").cast("int").cast("string"))
     asked = refs.withColumn("_name", F.explode(F.array_distinct(F.array_compact(F.array("number", plain)))))
     # a number with leading zeros names ranges only
     exact = (F.col("_name") == F.col("number")) | (ranged & F.col("_name").rlike("^[0-9]+$"))
-    both = asked.join(spelled, "_name").filter((F.col("law").isNull() | (F.col("source_id") == F.col("law"))) & exact)
+    if few:
+        both = F.broadcast(asked).join(spelled, "_name").filter((F.col("law").isNull() | (F.col("source_id") == F.col("law"))) & exact)
+    else:
+        dealt = spelled.withColumn("_slot", F.pmod(F.xxhash64(*units.columns), F.lit(SLOTS)).cast("int")).withColumn("_law", F.explode(F.array_distinct(F.array(F.col("source_id").cast("string"), F.lit(None).cast("string")))))
+        sent = asked.withColumn("_slot", F.explode(F.array(*map(F.lit, range(SLOTS))))).withColumn("_for", F.col("law").cast("string"))
+        both = sent.join(dealt.withColumnsRenamed({"_name": "_key", "_slot": "_part"}), (F.col("_name") == F.col("_key")) & (F.col("_slot") == F.col("_part")) & F.col("_for").eqNullSafe(F.col("_law")))
+        both = both.filter(exact).drop("_key", "_slot", "_part", "_for", "_law")
     wide = u.filter(ranged & (F.col("_hi") - F.col("_lo") >= SPELLED))
     if wide.limit(1).count():  # a register of its own: hardly any unit spans so many
         n = F.when(F.col("number").rlike("^[0-9]{1,9}$"), F.col("number").cast("int"))
         far = refs.join(landing.register(wide, "wide ranges"), n.between(F.col("_lo") + SPELLED, F.col("_hi")) & (F.col("law").isNull() | (F.col("source_id") == F.col("law"))))
         both = both.drop("_name").unionByName(far.select(*both.drop("_name").columns))
-    return both.drop("_lo", "_hi", "_name").orderBy("source_id", *(["unit_order"] if "unit_order" in units.columns else ["unit_ref"]))
+    return both.drop("_lo", "_hi", "_name")
 
 
 def status_of(repealed: Column, in_force: Column) -> Column:

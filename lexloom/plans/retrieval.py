@@ -97,7 +97,7 @@ def _sections(t: Tables):
 
 
 def _hits(t: Tables):
-    return route.lookup(_refs(t).filter("number IS NOT NULL"), _sections(t)).withColumn("status", route.status_of(F.col("is_repealed"), F.col("in_force")))
+    return route.named(_refs(t).filter("number IS NOT NULL"), _sections(t)).withColumn("status", route.status_of(F.col("is_repealed"), F.col("in_force")))
 
 
 R.add("route_section", ROUTED + "SELECT id, number FROM q")(lambda t: _refs(t).select("id", "number"))

@@ -1,5 +1,6 @@
 """What grows with the tables isn't held to the bounds of small registers, nor moved more often than needed."""
 
+from lexloom.operators import route
 from lexloom.plans import QUERIES
 from lexloom.sources import landing
 
@@ -9,3 +10,21 @@ def test_more_approved_sources_than_a_register_holds(spark, sf, monkeypatch):
     monkeypatch.setattr(landing, "REGISTER", 3)
     assert QUERIES["dq_source_approved"](spark, sf).collect() == want
     assert spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").count() > landing.REGISTER
+
+
+def _exchanges(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_refs_and_sections_are_not_moved(spark, sf):
+    for name in ("section_status", "section_lookup_range"):
+        assert "rangepartitioning" not in _exchanges(QUERIES[name](spark, sf))  # a sort of all pairs
+
+
+def test_sections_are_found_however_they_meet(spark):
+    units = spark.createDataFrame([(k, s, f"s. {n}", True) for k, (s, n) in enumerate((s, n) for s in ("a", "b", None) for n in ("3", "2-4", "3-3", "4-2", "x", "03") for _ in range(3))], "k int, source_id string, unit_ref string, is_current boolean")
+    refs = spark.createDataFrame([(i, n, law) for i, (n, law) in enumerate((n, law) for n in ("3", "2", "03", "2-4", "x", "9") for law in ("a", None, "c", "a"))], "id int, number string, law string")
+    rows = lambda df: sorted(map(tuple, df.select("id", "k", "law", "source_id").collect()), key=repr)
+    inside = {"3": ("3", "2-4", "3-3"), "2": ("2-4",), "03": ("03", "2-4", "3-3"), "2-4": ("2-4",), "x": ("x",), "9": ()}
+    want = sorted(((r.id, u.k, r.law, u.source_id) for r in refs.collect() for u in units.collect() if r.law in (None, u.source_id) and u.unit_ref[3:] in inside[r.number]), key=repr)
+    assert rows(route.named(refs, units)) == want == rows(route.named(refs, units, few=True)) == rows(route.lookup(refs, units))
