@@ -1,6 +1,7 @@
 """Registration by content as a stream: of equal contents the first by event time is loaded, in whatever order rows arrive.
 
-State is one (time, id) a content.  A row that comes before the one held takes its place, and the one held becomes a duplicate.
+State is one (time, id, when last seen) a content, kept by buckets of contents' hashes, so Python is called once a bucket and batch and not
+once a content; a batch rewrites the buckets that it touches.  A row that comes before the one held takes its place, and the one held becomes a duplicate.
 So an outcome can change once, from loaded to duplicate_content, and never back: outcomes of any batches, delivered in any order
 and any number of times, fold to the same result (``settled``).
 
@@ -30,6 +31,9 @@ NEVER = 2**63 - 1
 LOADED, DUPLICATE = "loaded", "duplicate_content"
 #: Tasks among which rows that have lost are dealt.
 SLOTS = 256
+#: Buckets that contents are kept in: some hundred contents each where there are millions.
+BUCKETS = 1 << 14
+HELD = "content array<string>, at array<long>, id array<string>, seen array<long>"
 FOUND = "id string, content string, reason string"
 
 
@@ -52,27 +56,36 @@ def _first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, keep_m
     if state.hasTimedOut:
         state.remove()
         return
-    if key[0]:  # rows that have lost already
+    if key[0] < 0:  # rows that have lost already
         for df in frames:
             yield df[["id", "content"]].assign(reason=DUPLICATE)
         return
-    best, seen = (tuple(state.get) if state.exists else None), False
-    content = key[1]
+    now = state.getCurrentProcessingTimeMs()
+    best = {c: (at, row_id, seen) for c, at, row_id, seen in zip(*state.get, strict=True) if seen + keep_ms > now} if state.exists else {}
+    came = {}
     for df in frames:
         lost = []
-        for at, row_id in zip(df["at"].tolist(), df["id"].tolist(), strict=True):
-            if best is None or _order(at, row_id) < _order(*best):
-                lost += [best[1]] if best is not None and best[1] != row_id else []
-                best, seen = (at, row_id), True
-            elif row_id != best[1]:
-                lost.append(row_id)
+        for content, at, row_id in zip(df["content"].tolist(), df["at"].tolist(), df["id"].tolist(), strict=True):
+            one = best.get(content)
+            if one is None or _order(at, row_id) < _order(*one[:2]):
+                lost += [(one[1], content)] if one is not None and one[1] != row_id else []
+                best[content], came[content] = (at, row_id, now), True
+                continue
+            best[content] = (*one[:2], now)
+            if row_id != one[1]:
+                lost.append((row_id, content))
             else:
-                seen = True
-        yield pd.DataFrame({"id": lost, "content": [content] * len(lost), "reason": [DUPLICATE] * len(lost)}, dtype=object)
-    state.update(best)
+                came[content] = True
+        if lost:
+            yield _rows(lost, DUPLICATE)
+    state.update((list(best), *(list(x) for x in zip(*best.values(), strict=True))))
     state.setTimeoutDuration(keep_ms)
-    if seen:
-        yield pd.DataFrame({"id": [best[1]], "content": [content], "reason": [LOADED]}, dtype=object)
+    if came:
+        yield _rows([(best[c][1], c) for c in came], LOADED)
+
+
+def _rows(rows: list[tuple], reason: str) -> pd.DataFrame:
+    return pd.DataFrame({"id": [r[0] for r in rows], "content": [r[1] for r in rows], "reason": [reason] * len(rows)}, dtype=object)
 
 
 def _time(rows: DataFrame, at: str) -> Column:
@@ -80,20 +93,21 @@ def _time(rows: DataFrame, at: str) -> Column:
     return F.coalesce(F.col(at).cast("long") if whole else F.unix_micros(F.col(at).cast("timestamp")), F.lit(NEVER))
 
 
-def outcomes(rows: DataFrame, known: DataFrame, key: str, at: str, row_id: str, keep: timedelta = timedelta(days=30)) -> DataFrame:
+def outcomes(rows: DataFrame, known: DataFrame, key: str, at: str, row_id: str, keep: timedelta = timedelta(days=30), buckets: int = BUCKETS) -> DataFrame:
     """Changes (id, content, reason) of a stream's rows, in update mode; known has contents registered elsewhere (key).
 
     A content that no row had for as long as keep (processing time) is forgotten; the registry that the stream feeds still
-    knows it and has to be among the known ones.
+    knows it and has to be among the known ones.  The number of buckets stays as it is while a checkpoint is in use; more of them
+    hold fewer contents each.
     """
     keep_ms = int(keep / timedelta(milliseconds=1))
     old = known.select(F.col(key).alias("_known")).distinct()
     asked = rows.select(F.col(key).cast("string").alias("content"), _time(rows, at).alias("at"), F.col(row_id).cast("string").alias("id"))
     asked = asked.join(old, F.col("content") == F.col("_known"), "left").select("content", "at", "id", F.col("_known").isNotNull().alias("lost"))
     thin = asked.mapInPandas(_beaten, asked.schema)
-    slot = F.when(F.col("lost"), 1 + F.pmod(F.xxhash64("id"), F.lit(SLOTS))).otherwise(0).cast("int")
-    dealt = thin.select(slot.alias("slot"), F.when(~F.col("lost"), F.col("content")).alias("held"), "content", "at", "id")
-    return dealt.groupBy("slot", "held").applyInPandasWithState(lambda k, frames, state: _first(k, frames, state, keep_ms), FOUND, "at long, id string", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    slot = F.when(F.col("lost"), -1 - F.pmod(F.xxhash64("id"), F.lit(SLOTS))).otherwise(F.pmod(F.xxhash64("content"), F.lit(buckets))).cast("int")
+    dealt = thin.select(slot.alias("slot"), "content", "at", "id")
+    return dealt.groupBy("slot").applyInPandasWithState(lambda k, frames, state: _first(k, frames, state, keep_ms), FOUND, HELD, "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def deliver(changes: DataFrame, out: str, checkpoint: str) -> int:

@@ -85,3 +85,18 @@ def test_nothing_arrives(spark, tmp_path):
 def test_the_query_equals_one_look(spark, sf):
     stream = {tuple(r) for r in QUERIES["stream_register"](spark, sf).select("doc_id", "reason").collect()}
     assert stream == {tuple(r) for r in QUERIES["bronze_dedup_first_wins"](spark, sf).select("doc_id", "reason").collect()}
+
+
+def test_contents_share_buckets(spark, tmp_path):
+    """Python is called once a bucket, not once a content, with the same outcomes."""
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice(["hot", "known", None, f"own{i}", f"pair{i // 2}"]), rnd.randrange(40)) for i in range(200)]
+    base = f"file://{tmp_path}"
+    for k in range(0, 200, 50):
+        spark.createDataFrame(rows[k : k + 50], "doc_id long, h string, at long").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema("doc_id long, h string, at long").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    changes = registration.outcomes(stream, spark.createDataFrame([("known",)], "h string"), "h", "at", "doc_id", buckets=3)
+    assert registration.deliver(changes, f"{base}/out", f"{base}/position") == 4
+    assert {(r.id, r.content): r.reason for r in registration.settled(spark, f"{base}/out", "long").collect()} == expected(rows, {"known"})
+    state = spark.read.format("statestore").load(f"{base}/position")
+    assert state.filter("key.slot >= 0").count() <= 3
