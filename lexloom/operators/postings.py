@@ -2,8 +2,9 @@
 
 Documents of about one length (within a tenth) are dealt into ranges of at most about RANGE documents by a hash of their ids.  A
 word's postings are stored in blocks, one for each range that holds it, with the highest part that any posting of the block adds to
-a score: documents of one length have parts close to it.  Blocks are sorted by word, so a batch of questions reads only
-those of its words, and they meet by range, so a frequent word is many rows of many tasks.
+a score: documents of one length have parts close to it.  Each file of blocks is sorted by word, so a batch of questions reads little
+but those of its words, and they meet by range, so a frequent word is many rows of many tasks.  An index moves its texts' words
+once, as lists, to the tasks that count them, and nothing after that.
 
 A batch of questions is sent to the tasks with their words' weights.  Each question's floor, a lower bound of its n-th best score, comes from the
 ranges that promise most.  Then every range is gone through: a question whose words' highest parts together stay below its floor
@@ -51,14 +52,18 @@ def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(edges), [pa.py_buffer(bits.tobytes()), pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
 
 
-def _blocks(kind: pa.DataType):
-    """A range's postings (word, range, id, part) -> its blocks, and a row with its ids, whose order numbers its documents."""
+def _blocks(kind: pa.DataType, mean: float):
+    """A range's texts (range, id, words, length), one an id -> its blocks, and a row with its ids, whose order numbers its documents."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        names = pa.array(table.column("id").combine_chunks().unique(), kind)
+        names = pa.array(table.column("id").combine_chunks(), kind)
         names = names.take(pc.sort_indices(names))
-        table = table.append_column("slot", pc.index_in(table.column("id"), value_set=names)).sort_by([("word", "ascending"), ("slot", "ascending")])
-        words = table.column("word").combine_chunks().dictionary_encode()
-        codes, slots, parts = words.indices.to_numpy(), table.column("slot").to_numpy().astype("<i4"), table.column("part").to_numpy()
+        slot, lists = pc.index_in(table.column("id").combine_chunks(), value_set=names).to_numpy(), table.column("words").combine_chunks()
+        words = lists.flatten().dictionary_encode()
+        length = np.zeros(len(names))
+        length[slot] = table.column("length").to_numpy()
+        each, tf = np.unique(words.indices.to_numpy().astype(np.int64) * len(names) + slot[pc.list_parent_indices(lists).to_numpy()], return_counts=True)
+        codes, slots = each // len(names), (each % len(names)).astype("<i4")
+        parts = ids.bm25(1.0, tf, length[slots], mean)
         starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
         edges = np.append(starts, len(codes))
         columns = {
@@ -146,31 +151,34 @@ class Postings:
     def build(cls, corpus: DataFrame, path: str, id_col: str, text_col: str) -> Postings:
         """Statistics are those of the whole corpus; texts without words count in them."""
         out, flat = cls(corpus.sparkSession, path, id_col), f"{path}/flat"
-        tf = term_frequencies(corpus, id_col, text_col)
-        tf = written(tf.withColumn("length", F.sum("tf").over(Window.partitionBy(id_col))), flat)  # a document's words lie in one task
-        n = corpus.count()
-        total = tf.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))
-        total.select(F.lit(n).alias("n"), (F.col("total") / F.greatest(F.lit(n), F.lit(1))).alias("mean_length")).write.mode("overwrite").parquet(f"{path}/totals")
-        part = ids.bm25(F.lit(1.0), F.col("tf"), F.col("length"), F.lit(out.totals.first().mean_length))
+        kind, words = corpus.schema[id_col].dataType, ids.words(F.col(text_col))
+        texts = written(corpus.select(F.col(id_col).alias("id"), words.alias("words")).withColumn("length", F.size("words").cast("long")), flat)
+        lengths = texts.groupBy("id").agg(F.sum("length").alias("length"), F.count("*").alias("rows"))
+        seen = lengths.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("total"), F.max("rows").alias("most")).first()
+        mean = seen.total / max(1, seen.n)
+        out.spark.range(1).select(F.lit(seen.n).cast("long").alias("n"), F.lit(mean).cast("double").alias("mean_length")).coalesce(1).write.mode("overwrite").parquet(f"{path}/totals")
+        if (seen.most or 0) > 1:  # rows of one id are one document
+            texts = texts.groupBy("id").agg(F.flatten(F.collect_list("words")).alias("words"), F.sum("length").alias("length"))
         size = F.floor(F.log("length") / math.log(1.1)).cast("long")  # some hundred of them
-        sizes = tf.groupBy(id_col).agg(F.first("length").alias("length")).groupBy(size.alias("size"))
+        sizes = lengths.filter("length > 0").groupBy(size.alias("size"))
         sizes = sizes.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / RANGE), F.ceil(F.sum("length") / WORDS)).cast("long").alias("ranges"))
-        placed = tf.withColumn("size", size).join(F.broadcast(sizes), "size")
-        rows = placed.select("word", (F.col("size") * (1 << 40) + F.pmod(F.xxhash64(id_col), F.col("ranges"))).alias("range"), F.col(id_col).alias("id"), part.alias("part"))
-        kind = corpus.schema[id_col].dataType
-        stored = written(rows.groupBy("range").applyInArrow(_blocks(to_arrow_type(kind)), f"word string, range long, top double, n int, slots binary, parts binary, ids array<{kind.simpleString()}>"), f"{path}/ranges")
-        blocks = stored.filter("word is not null").drop("ids")
-        blocks.repartitionByRange("word", "range").sortWithinPartitions("word", "range").write.mode("overwrite").parquet(f"{path}/blocks")
-        stored.filter("word is null").select("range", "ids").write.mode("overwrite").parquet(f"{path}/ids")
+        placed = texts.filter("length > 0").withColumn("size", size).join(F.broadcast(sizes), "size")
+        rows = placed.select((F.col("size") * (1 << 40) + F.pmod(F.xxhash64("id"), F.col("ranges"))).alias("range"), "id", "words", "length")
+        stored = rows.groupBy("range").applyInArrow(_blocks(to_arrow_type(kind), mean), f"word string, range long, top double, n int, slots binary, parts binary, ids array<{kind.simpleString()}>")
+        stored.sortWithinPartitions("word", "range").write.mode("overwrite").parquet(f"{path}/blocks")
         words = out.blocks.groupBy("word").agg(F.sum("n").alias("df"))
         words.repartitionByRange("word").sortWithinPartitions("word").write.mode("overwrite").parquet(f"{path}/words")
         delete(out.spark, flat)
-        delete(out.spark, f"{path}/ranges")
         return out
 
     @property
     def blocks(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/blocks")
+        return self.spark.read.parquet(f"{self.path}/blocks").filter("word is not null").drop("ids")
+
+    @property
+    def ids(self) -> DataFrame:
+        """(range, ids) of each range."""
+        return self.spark.read.parquet(f"{self.path}/blocks").filter("word is null").select("range", "ids")
 
     @property
     def words(self) -> DataFrame:
@@ -204,8 +212,7 @@ class Postings:
             own = asked if batches == 1 else asked.filter(F.pmod(F.xxhash64("_q"), F.lit(batches)) == k)
             one = self._batch(own, n, f"{base}/{k}")
             total = one if total is None else total.unionByName(one)
-        stored = self.spark.read.parquet(f"{self.path}/ids")
-        out = total.join(stored, "range").select(F.col("_q").alias(question_id), F.get("ids", F.col("slot")).alias(self.id_col), "kw")
+        out = total.join(self.ids, "range").select(F.col("_q").alias(question_id), F.get("ids", F.col("slot")).alias(self.id_col), "kw")
         return out
 
     def _batch(self, asked: DataFrame, n: int | None, base: str) -> DataFrame:

@@ -1,6 +1,10 @@
 """What grows with the tables isn't held to the bounds of small registers, nor moved more often than needed."""
 
-from lexloom.operators import route
+import math
+
+from pyspark.sql import functions as F
+
+from lexloom.operators import postings, route
 from lexloom.plans import QUERIES
 from lexloom.sources import landing
 
@@ -28,3 +32,16 @@ def test_sections_are_found_however_they_meet(spark):
     inside = {"3": ("3", "2-4", "3-3"), "2": ("2-4",), "03": ("03", "2-4", "3-3"), "2-4": ("2-4",), "x": ("x",), "9": ()}
     want = sorted(((r.id, u.k, r.law, u.source_id) for r in refs.collect() for u in units.collect() if r.law in (None, u.source_id) and u.unit_ref[3:] in inside[r.number]), key=repr)
     assert rows(route.named(refs, units)) == want == rows(route.named(refs, units, few=True)) == rows(route.lookup(refs, units))
+
+
+def test_an_index_moves_words_once_and_merges_rows_of_an_id(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(1, "a1 b2 b2"), (2, "b2 the c3"), (1, "c3 a1"), (3, None), (4, "B2!")], "id long, text string")
+    monkeypatch.setattr(postings, "term_frequencies", None)  # no row a word and text
+    p = postings.Postings.build(docs, f"file://{tmp_path}/p", "id", "text")
+    assert {(r.word, r.df) for r in p.words.collect()} == {("a1", 1), ("b2", 3), ("c3", 2)}
+    assert p.totals.first().n == 5 and p.totals.first().mean_length == 8 / 5
+    assert sorted(i for r in p.ids.collect() for i in r.ids) == [1, 2, 4]
+    assert p.blocks.agg(F.sum("n")).first()[0] == 6
+    one = {r.id: r.kw for r in p.scores(spark.createDataFrame([(0, "b2")], "q long, question string"), "q", "question").collect()}
+    weight = math.log(1 + (5 - 3 + 0.5) / (3 + 0.5))
+    assert one == {i: round(weight * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * n / 1.6)), 9) for i, tf, n in ((1, 2, 5), (2, 1, 2), (4, 1, 1))}
