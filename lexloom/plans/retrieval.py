@@ -225,8 +225,11 @@ def scorecard_30(t: Tables):
 @R.add("recall_at_k", BM25 + """, e AS (SELECT item_id, list(doc_id) AS expected FROM kr WHERE r <= 3 GROUP BY item_id), g AS (SELECT item_id, list(doc_id) AS got FROM h WHERE rank <= 5 GROUP BY item_id)
 SELECT item_id, len(list_intersect(expected, got)) / len(expected) AS recall FROM e JOIN g USING (item_id)""")
 def recall_at_k(t: Tables):
-    e = search_index(t).keyword_top(t.benchmark, "item_id", "text", 3).groupBy("item_id").agg(F.collect_set("doc_id").alias("e"))
-    g = _hybrid(t).groupBy("item_id").agg(F.collect_set("doc_id").alias("g"))
+    index = search_index(t)
+    kw = index.keyword_top(t.benchmark, "item_id", "text", 20)  # its first three are what is expected
+    e = kw.filter("rank <= 3").groupBy("item_id").agg(F.collect_set("doc_id").alias("e"))
+    found = search.fuse(index.vector_top(_asked(t), "item_id", "q", 20).withColumnRenamed("rank", "vr"), kw.withColumnRenamed("rank", "kr"), "item_id", "doc_id")
+    g = found.groupBy("item_id").agg(F.collect_set("doc_id").alias("g"))
     return e.join(g, "item_id").select("item_id", (F.size(F.array_intersect("e", "g")) / F.size("e")).alias("recall"))
 
 

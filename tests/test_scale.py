@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from lexloom.operators import postings, route
+from lexloom.operators import postings, route, search
 from lexloom.plans import QUERIES
 from lexloom.sources import landing
 
@@ -45,3 +45,10 @@ def test_an_index_moves_words_once_and_merges_rows_of_an_id(spark, tmp_path, mon
     one = {r.id: r.kw for r in p.scores(spark.createDataFrame([(0, "b2")], "q long, question string"), "q", "question").collect()}
     weight = math.log(1 + (5 - 3 + 0.5) / (3 + 0.5))
     assert one == {i: round(weight * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * n / 1.6)), 9) for i, tf, n in ((1, 2, 5), (2, 1, 2), (4, 1, 1))}
+
+
+def test_recall_searches_words_once(spark, sf, monkeypatch):
+    asked, plain = [], search.SearchIndex.keyword_top
+    monkeypatch.setattr(search.SearchIndex, "keyword_top", lambda self, *a: asked.append(a[-1]) or plain(self, *a))
+    QUERIES["recall_at_k"](spark, sf)
+    assert asked == [20]
