@@ -50,8 +50,7 @@ def has_private_data(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Lower-case ASCII words without stop words, repeats kept."""
-    stop = F.array(*map(F.lit, STOP))
-    return F.filter(F.regexp_extract_all(F.lower(text(c)), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: ~F.array_contains(stop, w))
+    return F.filter(F.regexp_extract_all(F.lower(text(c)), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: ~w.isin(*STOP))
 
 
 def idf(n: Column, df: Column) -> Column:

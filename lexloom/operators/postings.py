@@ -75,18 +75,32 @@ def _blocks(kind: pa.DataType, mean: float):
     return run
 
 
+def _stretches(column: pa.Array, kind: str) -> list[np.ndarray]:
+    """Each row's bytes as numbers, views of the column's one buffer."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], "<i8")[column.offset : column.offset + len(column) + 1]
+    first, size = int(ends[0]), np.dtype(kind).itemsize
+    values = np.frombuffer(column.buffers()[2], kind, (int(ends[-1]) - first) // size, first) if ends[-1] > first else np.zeros(0, kind)
+    edges = ((ends - first) // size).tolist()
+    return [values[i:j] for i, j in zip(edges, edges[1:], strict=False)]
+
+
 def _scored(sent, n: int | None, kind: pa.DataType):
     """Blocks in the order of ranges -> (_q, range, slot, kw): the n best of each question in each range, as far as its floor
     admits them (None: all), and a row without a question that has the number of postings added."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, words, floors, only = sent.value
         floor, best, added = floors.copy(), np.full((len(names), n or 1), -np.inf), 0
+        code, asking, idf = {w: k for k, w in enumerate(words)}, [qs for qs, _ in words.values()], np.array([x for _, x in words.values()])
+        asked, labels = np.array([len(qs) for qs in asking], np.int64), pa.array(names, kind)
 
         def flush(number: int, rows: list) -> pa.RecordBatch | None:
             nonlocal added
-            bound = np.zeros(len(names))
-            for word, top, *_ in rows:
-                bound[words[word][0]] += words[word][1] * top
+            codes, tops, slots, parts = zip(*rows, strict=True)
+            codes = np.array(codes)
+            value, who = idf[codes] * np.array(tops), np.concatenate([asking[c] for c in codes.tolist()])  # a pair of a question and a row each
+            row = np.repeat(np.arange(len(rows)), asked[codes])
+            bound = np.bincount(who, value[row], len(names))
             open_ = bound >= np.maximum(floor, 1e-300)
             if only is not None:
                 mine = np.zeros(len(names), bool)
@@ -94,44 +108,58 @@ def _scored(sent, n: int | None, kind: pa.DataType):
                 open_ &= mine
             if not open_.any():
                 return None
-            own: dict[int, list] = {}
-            for word, top, slots, parts in rows:
-                weight = words[word][1]
-                for q in words[word][0][open_[words[word][0]]].tolist():
-                    own.setdefault(q, []).append((weight * top, weight, slots, parts))
-            size = max(int(r[2][-1]) for r in rows) + 1
+            who, row = who[open_[who]], row[open_[who]]
+            order = np.lexsort((-value[row], who))
+            who, row = who[order], row[order]
+            edges = np.append(np.flatnonzero(np.append(True, who[1:] != who[:-1])), len(who)).tolist()
+            size = max(int(x[-1]) for x in slots) + 1
             out = []
-            for q, mine in own.items():
-                mine.sort(key=lambda r: -r[0])
-                score, left, alive = np.zeros(size), bound[q], None
-                for top, weight, slots, parts in mine:
+            for i, j in zip(edges, edges[1:], strict=False):
+                q, own = int(who[i]), row[i:j]
+                weights = idf[codes[own]]
+                left = np.subtract.accumulate(np.append(bound[q], value[own]))[1:]
+                whole = int(np.count_nonzero(left >= floor[q]))  # up to here no document can drop out: their postings are added at once
+                score, alive = np.zeros(size), None
+                if whole:
+                    some = own[:whole].tolist()
+                    at = [slots[r] for r in some]
+                    score = np.bincount(np.concatenate(at), np.repeat(weights[:whole], list(map(len, at))) * np.concatenate([parts[r] for r in some]), size)
+                    added += sum(map(len, at))
+                for k in range(whole, len(own)):
+                    at, part = slots[own[k]], parts[own[k]]
                     if alive is not None:
-                        keep = alive[slots]
-                        slots, parts = slots[keep], parts[keep]
-                    score[slots] += weight * parts
-                    added += len(slots)
-                    left -= top
-                    alive = score + left >= floor[q]
+                        keep = alive[at]
+                        at, part = at[keep], part[keep]
+                    score[at] += weights[k] * part
+                    added += len(at)
+                    alive = score + left[k] >= floor[q]
                     if not alive.any():
                         break
-                at = np.flatnonzero(alive & (score > 0))
-                value = np.round(score[at], 9)
+                at = np.flatnonzero((score > 0) if alive is None else alive & (score > 0))
+                if not len(at):
+                    continue
+                kw = np.round(score[at], 9)
                 if n is not None:
-                    order = np.argsort(-value, kind="stable")[:n]  # ties by id, as slots are
-                    at, value = at[order], value[order]
-                    best[q] = -np.sort(-np.concatenate((best[q], value)))[:n]
+                    order = np.argsort(-kw, kind="stable")[:n]  # ties by id, as slots are
+                    at, kw = at[order], kw[order]
+                    best[q] = -np.sort(-np.concatenate((best[q], kw)))[:n]
                     floor[q] = max(floor[q], best[q][-1] - MARGIN)
-                out += [(names[q], s, v) for s, v in zip(at.tolist(), value.tolist(), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], kind), pa.array([number] * len(out), pa.int64()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.float64())], names=["_q", "range", "slot", "kw"]) if out else None
+                out.append((q, at, kw))
+            if not out:
+                return None
+            counts = [len(at) for _, at, _ in out]
+            return pa.RecordBatch.from_arrays([labels.take(pa.array(np.repeat([q for q, _, _ in out], counts))), pa.array(np.full(sum(counts), number, np.int64)), pa.array(np.concatenate([at for _, at, _ in out]).astype(np.int32)), pa.array(np.concatenate([kw for _, _, kw in out]))], names=["_q", "range", "slot", "kw"])
 
         last, held = None, []
         for batch in batches:
-            for word, number, top, slots, parts in zip(*(batch.column(k) for k in range(5)), strict=True):
-                if number.as_py() != last:
+            spelled = batch.column(0).dictionary_encode()
+            codes = np.array([code[w] for w in spelled.dictionary.to_pylist()], np.int64)[spelled.indices.to_numpy()]
+            for c, number, *rest in zip(codes.tolist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), _stretches(batch.column(3), "<i4"), _stretches(batch.column(4), "<f8"), strict=True):
+                if number != last:
                     if held and (found := flush(last, held)) is not None:
                         yield found
-                    last, held = number.as_py(), []
-                held.append((word.as_py(), top.as_py(), np.frombuffer(slots.as_buffer(), "<i4"), np.frombuffer(parts.as_buffer())))
+                    last, held = number, []
+                held.append((c, *rest))
         if held and (found := flush(last, held)) is not None:
             yield found
         yield pa.RecordBatch.from_arrays([pa.array([None], kind), pa.array([-1], pa.int64()), pa.array([-1], pa.int32()), pa.array([float(added)])], names=["_q", "range", "slot", "kw"])

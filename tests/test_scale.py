@@ -1,7 +1,11 @@
 """What grows with the tables isn't held to the bounds of small registers, nor moved more often than needed."""
 
 import math
+import sys
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexloom.operators import postings, route, search
@@ -47,6 +51,23 @@ def test_an_index_moves_words_once_and_merges_rows_of_an_id(spark, tmp_path, mon
     assert one == {i: round(weight * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * n / 1.6)), 9) for i, tf, n in ((1, 2, 5), (2, 1, 2), (4, 1, 1))}
 
 
+def test_postings_of_a_question_are_added_at_once():
+    asked, words, docs, steps = 20, 200, 64, []
+    parts, idf = np.random.default_rng(1).random((words, docs)) + 0.1, np.linspace(1, 2, words)
+    sent = SimpleNamespace(value=(list(range(asked)), {f"w{k}": (np.arange(asked), idf[k]) for k in range(words)}, np.zeros(asked), None))
+    slots = np.arange(docs, dtype="<i4").tobytes()
+    rows = pa.RecordBatch.from_arrays([pa.array([f"w{k}" for k in range(words)]), pa.array([7] * words), pa.array(parts.max(axis=1)), pa.array([slots] * words), pa.array([p.tobytes() for p in parts])], names=["word", "range", "top", "slots", "parts"])
+    sys.setprofile(lambda frame, event, arg: steps.append(event) if event in ("call", "c_call") else None)
+    try:
+        found = list(postings._scored(sent, None, pa.int64())(iter([rows.slice(0, 90), rows.slice(90)])))
+    finally:
+        sys.setprofile(None)
+    got, ended = pa.Table.from_batches(found[:-1]).to_pydict(), found[-1].to_pydict()
+    assert got["_q"] == [q for q in range(asked) for _ in range(docs)] and got["slot"] == list(range(docs)) * asked and set(got["range"]) == {7}
+    assert np.allclose(np.array(got["kw"]).reshape(asked, docs), idf @ parts, rtol=0, atol=1e-8) and ended["kw"] == [asked * words * docs]
+    assert len(steps) < asked * words  # no step a question and word
+
+
 def test_recall_searches_words_once(spark, sf, monkeypatch):
     asked, plain = [], search.SearchIndex.keyword_top
     monkeypatch.setattr(search.SearchIndex, "keyword_top", lambda self, *a: asked.append(a[-1]) or plain(self, *a))
