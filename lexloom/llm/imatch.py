@@ -37,6 +37,9 @@ SUBSETS = 8
 MAX_SHARE, MIN_SHARE, MIN_DOCS = 0.05, 1e-4, 2
 #: A text keeps its terms within the band if they are at least this share of its terms, else all.
 LEAST_KEPT = 0.25
+#: Files of the written lexicon, however many tasks counted its terms: each file that is written to a local folder has
+#: processes started by the executor.
+FILES = 4
 MET = 4
 BLANK = "--------"
 EMPTY = BLANK * len(SCALES) * SUBSETS
@@ -54,7 +57,7 @@ def lexicon(docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHAR
     texts = docs.select(F.xxhash64(text_of(text_col)).alias("_text"), term_hashes(text_of(text_col)).alias("_terms")).dropDuplicates(["_text"])
     counts = texts.select(F.explode("_terms").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
     low = min(n, max(min_docs, math.ceil(min_share * n)))
-    return written(counts.filter(F.col("n").between(low, max(low, int(max_share * n)))).select("h"), f"{scratch(spark, 'lexicon')}/terms")
+    return written(counts.filter(F.col("n").between(low, max(low, int(max_share * n)))).select("h").repartition(FILES), f"{scratch(spark, 'lexicon')}/terms")
 
 
 def table(terms: DataFrame) -> tuple[Column, int]:

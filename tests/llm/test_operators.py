@@ -199,6 +199,22 @@ def test_next_rows_of_uneven_repeated_and_missing_ids(spark, ranges):
     assert sorted(got, key=str) == sorted(((i, m, order[(k + 1) % len(order)][1]) for k, (i, m) in enumerate(order)), key=str)
 
 
+def test_the_written_lexicon_has_few_files(spark):
+    """However many tasks count its terms."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{j}" for j in range(1000) if (j + k) % 31 == 0) + f" own{k}") for k in range(90)], "doc_id long, text string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        terms = imatch.lexicon(docs)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    held = {r.h for r in terms.collect()}
+    assert terms.count() == len(held) == 1000 and 0 < len(terms.inputFiles()) <= imatch.FILES
+    assert held == {r.h for r in spark.sql("SELECT xxhash64('w' || id) AS h FROM range(1000)").collect()}
+
+
 def test_archives_round_trip(spark, tmp_path):
     body = "é" * 60
     rows = [(3, "http://a/\r\nx", body), (1, "http://b", body + "\r\n\r\nWARC/1.1\r\n"), (2, None, body), (5, "u", None), (4, "u", "short"), (6, "u", "short"), (7, "u", body), (None, "u", body)]
